@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from medallion_ops.session import materialize
+
 SAMPLE_PER_BUCKET = 64
 
 
@@ -41,14 +43,18 @@ def _bucket_expr(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
 
 
 def dense_surrogate_key(df: DataFrame, order_cols, name: str = "sk", start: int = 1,
-                        tie_break=None, buckets: int | None = None) -> DataFrame:
+                        tie_break=None, buckets: int | None = None,
+                        materialize_input: bool = False) -> DataFrame:
     """Add ``name`` = 1-based rank of each row under ``order_cols`` (asc, nulls first).
 
     Equals ``row_number() over (order by order_cols, tie_break)`` plus
-    ``start - 1``; the new column comes first. Inputs should be
-    deterministic (a stored table or a checkpoint): the frame is read by
-    the sampling, counting and final jobs.
+    ``start - 1``; the new column comes first. The frame is read by the
+    counting, sampling, bucket-count and final jobs, so it must be
+    deterministic: a stored table, or pass ``materialize_input=True`` for a
+    computed frame (it is then written once to the shared folder).
     """
+    if materialize_input:
+        df = materialize(df, "sk_input")
     spark = df.sparkSession
     order = _cols(order_cols) + _cols(tie_break or [])
     n_buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)

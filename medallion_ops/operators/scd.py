@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from medallion_ops.operators.dedup import latest_per_entity
 from medallion_ops.operators.keys import dense_surrogate_key
 from medallion_ops.operators.merge import assert_unique
+from medallion_ops.session import materialize
 
 OPEN_END = "9999-12-31"          # fixed value: end date of the current version
 VALIDITY = ["effective_date", "end_date", "is_current"]
@@ -54,7 +55,7 @@ def scd2_seed(df: DataFrame, key: str, attrs, effective=None, recency=None,
         F.lit(OPEN_END).cast("date").alias("end_date"),
         F.lit(True).alias("is_current"),
     )
-    return dense_surrogate_key(dim, [key], name=sk, start=start)
+    return dense_surrogate_key(dim, [key], name=sk, start=start, materialize_input=True)
 
 
 def _changed(check_cols, left: str, right: str) -> Column:
@@ -77,6 +78,7 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, check_cols, as_of,
         raise ValueError("only hard_deletes='ignore' is supported")
     check_cols = list(check_cols)
     attrs = [c for c in dim.columns if c not in {sk, key, *VALIDITY}]
+    incoming = materialize(incoming.select(key, *attrs), "scd_incoming")
     assert_unique(incoming, [key], "incoming")
     as_of_d = _date(as_of)
 
@@ -107,7 +109,7 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, check_cols, as_of,
         to_insert.select(
             key, *attrs, as_of_d.alias("effective_date"),
             F.lit(OPEN_END).cast("date").alias("end_date"), F.lit(True).alias("is_current")),
-        [key], name=sk, start=(next_sk or 0) + 1)
+        [key], name=sk, start=(next_sk or 0) + 1, materialize_input=True)
 
     cols = [sk, key, *attrs, *VALIDITY]
     return (hist.select(*cols)

@@ -17,7 +17,7 @@ from medallion_ops.functions.dates import date_key, month_index, year_end, year_
 from medallion_ops.operators import dedup, joins, keys, merge, quality, scd, windows
 from medallion_ops.operators.calendar import date_bounds, date_spine
 from medallion_ops.plans import analytics, gold, silver
-from medallion_ops.session import scratch_path
+from medallion_ops.session import materialize, scratch_path
 from medallion_ops.sources import files, sinks
 from medallion_ops.sources import tables as tb
 from medallion_ops.sources.tables import DELIVERED, table
@@ -26,7 +26,13 @@ from medallion_ops.sources.tables import DELIVERED, table
 # ---------------------------------------------------------------- shared inputs
 
 class Star:
-    """Silver and gold frames of one sf directory, built lazily and reused."""
+    """Silver and gold frames of one sf directory, built lazily and reused.
+
+    Each layer is stored once (Parquet in the shared folder, as the layered
+    design persists its tables) and read back, so the many jobs that read
+    it (date bounds, size checks, key allocation, joins) do not recompute
+    its dedup shuffles from the raw tables.
+    """
 
     def __init__(self, spark: SparkSession, d: str):
         self.spark, self.d = spark, d
@@ -34,7 +40,7 @@ class Star:
 
     def _get(self, name, build):
         if name not in self._memo:
-            self._memo[name] = build()
+            self._memo[name] = materialize(build(), name)
         return self._memo[name]
 
     @property
@@ -572,7 +578,8 @@ def q_scd2_merge(spark, d):
     seed = gold.dim_customer_seed(s.sc, s.so)
     mid = gold.customer_profile(s.sc, s.so, before=SCD_MID_CUTOFF).drop("first_order_date")
     full = gold.customer_profile(s.sc, s.so).drop("first_order_date")
-    one = scd.scd2_apply(seed, mid, "customer_unique_id", gold.CUSTOMER_ATTRS, SCD_MID_CUTOFF, sk="customer_sk")
+    one = materialize(scd.scd2_apply(seed, mid, "customer_unique_id", gold.CUSTOMER_ATTRS, SCD_MID_CUTOFF,
+                                     sk="customer_sk"), "dim_customer_v1")
     two = scd.scd2_apply(one, full, "customer_unique_id", gold.CUSTOMER_ATTRS, gold.APPLY_AS_OF,
                          sk="customer_sk")
     return two.select(*gold.DIM_CUSTOMER_COLS)
