@@ -3,8 +3,9 @@
 ``row_number() over (order by k)`` plans ``Exchange SinglePartition``: the
 whole table passes through one task. Here the same numbers come from
 
-1. a bounded sample of the sort key, cut into ``buckets`` ranges
-   (the boundary list is a small control value);
+1. a bounded sample of the sort key, cut into ``buckets`` ranges of about
+   ``ROWS_PER_BUCKET`` rows (the boundary list is a small control value;
+   a frame that fits one bucket skips the sampling and counting jobs);
 2. ``bucket`` = how many boundaries are <= the row's key, written as a
    balanced CASE tree over the literal boundaries (log2(buckets)
    comparisons per row, computed from the value, so re-evaluating a
@@ -23,9 +24,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medallion_ops.session import materialize
+from medallion_ops.session import materialize_counted
 
-SAMPLE_PER_BUCKET = 64
+ROWS_PER_BUCKET = 1_000_000     # rows one task numbers (one sorted run)
+MAX_BUCKETS = 2048
+SAMPLE_PER_BUCKET = 32
 
 
 def _cols(items) -> list[Column]:
@@ -54,16 +57,16 @@ def dense_surrogate_key(df: DataFrame, order_cols, name: str = "sk", start: int
     computed frame (it is then written once to the shared folder).
     """
     if materialize_input:
-        df = materialize(df, "sk_input")
-    spark = df.sparkSession
+        df, total = materialize_counted(df, "sk_input")
+    else:
+        total = df.count()
     order = _cols(order_cols) + _cols(tie_break or [])
-    n_buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    n_buckets = buckets or min(MAX_BUCKETS, max(1, -(-total // ROWS_PER_BUCKET)))
     names = [f"__k{i}" for i in range(len(order))]
     keyed = df.withColumns({n: c for n, c in zip(names, order)})
     key = F.struct(*[F.col(n) for n in names])
     types = {f.name: f.dataType for f in keyed.schema.fields}
 
-    total = keyed.count()
     bounds: list[Column] = []
     if total > 0 and n_buckets > 1:
         want = n_buckets * SAMPLE_PER_BUCKET
@@ -83,8 +86,11 @@ def dense_surrogate_key(df: DataFrame, order_cols, name: str = "sk", start: int
     bucket = _bucket_expr(key, bounds, 0, len(bounds))
     keyed = keyed.withColumn("__bucket", bucket)
 
-    counts = {r["__bucket"]: r["n"] for r in
-              keyed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if bounds:
+        counts = {r["__bucket"]: r["n"] for r in
+                  keyed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+    else:
+        counts = {0: total}
     offsets, acc = [], 0
     for b in range(len(bounds) + 1):
         offsets.append(acc)

@@ -460,7 +460,7 @@ def q_latest_per_entity(spark, d):
 
 def q_dense_surrogate_key(spark, d):
     return keys.dense_surrogate_key(table(spark, d, "part").select("p_partkey", "p_name", "p_type"),
-                                    ["p_name", "p_partkey"], name="part_sk")
+                                    ["p_name", "p_partkey"], name="part_sk", buckets=8)
 
 
 def q_window_sum(spark, d):

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion_ops.operators.calendar import date_bounds, date_dimension, date_spine
-from medallion_ops.operators.dedup import latest_per_entity
 from medallion_ops.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from medallion_ops.operators.keys import dense_surrogate_key
 from medallion_ops.operators.scd import scd2_apply, scd2_lookup, scd2_seed
@@ -40,23 +39,28 @@ def customer_profile(silver_customers: DataFrame, silver_orders: DataFrame,
     """Per person: attributes of the latest order, spend tier, first order day.
 
     ``before`` limits the history to orders placed before that day (a
-    snapshot of what was known then).
+    snapshot of what was known then). One grouped aggregation: the latest
+    attributes are ``max_by`` over (order time, customer_id) - null times
+    sort lowest, as with DESC NULLS LAST - so partial aggregation combines
+    a person's rows inside each task before the shuffle.
     """
     o = silver_orders.select("customer_id", "order_purchase_timestamp", "order_total")
     if before is not None:
         o = o.filter(F.col("order_purchase_timestamp") < F.lit(before).cast("timestamp_ntz"))
     c = silver_customers.select("customer_id", "customer_unique_id", *CUSTOMER_ATTRS[:3])
     joined = c.join(o, "customer_id", "inner" if before is not None else "left")
-    latest = latest_per_entity(joined, "customer_unique_id", "order_purchase_timestamp",
-                               tie_break=[("customer_id", "desc")])
-    spend = joined.groupBy("customer_unique_id").agg(
+    latest = F.max_by(F.struct(*CUSTOMER_ATTRS[:3]),
+                      F.struct("order_purchase_timestamp", "customer_id"))
+    prof = joined.groupBy("customer_unique_id").agg(
+        latest.alias("__a"),
         F.sum(F.col("order_total").cast("decimal(18,2)")).alias("spend"),
         F.to_date(F.min("order_purchase_timestamp")).alias("first_order_date"))
     tier = (F.when(F.col("spend") >= TIER_GOLD_FROM, "GOLD")
              .when(F.col("spend") >= TIER_SILVER_FROM, "SILVER")
              .otherwise("BRONZE"))
-    return latest.select("customer_unique_id", *CUSTOMER_ATTRS[:3]).join(spend, "customer_unique_id") \
-        .select("customer_unique_id", *CUSTOMER_ATTRS[:3], tier.alias("customer_tier"), "first_order_date")
+    return prof.filter(F.col("customer_unique_id").isNotNull()).select(
+        "customer_unique_id", *[F.col(f"__a.{a}").alias(a) for a in CUSTOMER_ATTRS[:3]],
+        tier.alias("customer_tier"), "first_order_date")
 
 
 def dim_customer_seed(silver_customers: DataFrame, silver_orders: DataFrame,

@@ -12,7 +12,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -79,9 +80,15 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     Unlike an RDD checkpoint, the Parquet copy keeps column pruning, filter
     pushdown and file-size statistics for the join planner.
     """
+    return materialize_counted(df, name)[0]
+
+
+def materialize_counted(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
+    """``materialize`` that also returns the row count, observed during the write."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    obs = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), int(obs.get["n"])
 
 
