@@ -38,9 +38,9 @@ class Star:
         self.spark, self.d = spark, d
         self._memo: dict = {}
 
-    def _get(self, name, build):
+    def _get(self, name, build, store: bool = True):
         if name not in self._memo:
-            self._memo[name] = materialize(build(), name)
+            self._memo[name] = materialize(build(), name) if store else build()
         return self._memo[name]
 
     @property
@@ -58,7 +58,9 @@ class Star:
 
     @property
     def sp(self):
-        return self._get("sp", lambda: silver.silver_products(tb.bronze_products(self.spark, self.d)))
+        # read once (by dim_product): not worth a stored copy
+        return self._get("sp", lambda: silver.silver_products(tb.bronze_products(self.spark, self.d)),
+                         store=False)
 
     @property
     def dimp(self):
@@ -75,8 +77,9 @@ class Star:
 
     @property
     def fact(self):
+        # read once per query: left lazy so the analytics prune its columns
         return self._get("fact", lambda: gold.fact_sales(self.soi, self.so, self.sc, self.dimp,
-                                                         self.dimd, self.dimc))
+                                                         self.dimd, self.dimc), store=False)
 
 
 # ---------------------------------------------------------------- 2.1 scans, sources, sinks
