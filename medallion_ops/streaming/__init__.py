@@ -1,0 +1,10 @@
+"""Streaming: intentionally empty.
+
+The source pipeline has no streaming operator (no watermark, window,
+stateful operator or late data): every read is a batch scan and runs are
+triggered by hand. Its only incremental behaviour - idempotent upserts and
+SCD2 expire-and-insert - lives in ``operators.merge`` and
+``operators.scd`` as batch DataFrame operators, and ``plans.build.run``
+applies them incrementally with ``previous=``. Nothing is added here that
+the source does not do.
+"""
