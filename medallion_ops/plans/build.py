@@ -22,6 +22,7 @@ from medallion_ops.operators.quality import enforce, orphan_check, quality_repor
 from medallion_ops.operators.scd import current_unique_violations, scd2_apply
 from medallion_ops.plans import analytics, gold, silver
 from medallion_ops.sources import tables as tb
+from medallion_ops.sources.sinks import register_table
 from medallion_ops.sources.tables import DELIVERED
 
 FACT_KEYS = ["order_id", "order_item_id"]
@@ -32,12 +33,15 @@ def _write(df: DataFrame, path: str) -> str:
     return path
 
 
-def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None = None) -> dict:
-    """Build every layer; returns ``{table: path}``.
+def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None = None,
+        register_prefix: str | None = None) -> dict:
+    """Build every layer; returns ``{layer.table: path}``.
 
     ``previous`` (the result of an earlier run) makes the run incremental:
     dim_customer gets the new snapshot applied as SCD2 instead of a fresh
     seed, and fact_sales is upserted into the previous fact.
+    ``register_prefix`` also exposes every table in the session catalog as
+    ``<prefix>_<layer>.<table>`` (databases created if missing).
     """
     previous = previous or {}
     run_id = uuid.uuid4().hex[:8]
@@ -111,6 +115,11 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None =
         analytics.top_products(f, dp, DELIVERED), f"{out}/analytics/top_products")
     paths["analytics.cohort_retention"] = _write(
         analytics.cohort_retention(f, dimc, dd, DELIVERED), f"{out}/analytics/cohort_retention")
+    if register_prefix is not None:
+        for key, path in paths.items():
+            layer, name = key.split(".", 1)
+            db = f"{register_prefix}_{layer}"
+            register_table(spark, db, name, path, db_location=f"{out}/_catalog/{db}.db")
     return paths
 
 

@@ -44,3 +44,24 @@ def schema_conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[
         (F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in schema.fields])
+
+
+def ensure_namespace(spark: SparkSession, database: str, location: str | None = None) -> str:
+    """``CREATE DATABASE IF NOT EXISTS`` (placed under ``location`` when given)."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{loc}")
+    return database
+
+
+def register_table(spark: SparkSession, database: str, name: str, path: str,
+                   db_location: str | None = None) -> str:
+    """Expose the Parquet files at ``path`` as ``database.name`` (an external table).
+
+    Re-registering points the name at the new path; the old files are left
+    alone, so readers of the previous version are not disturbed.
+    """
+    ensure_namespace(spark, database, db_location)
+    full = f"`{database}`.`{name}`"
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
+    return f"{database}.{name}"

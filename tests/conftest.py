@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,7 +14,8 @@ SF_ORACLE = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = get_session("local[4]", shuffle_partitions=4)
+    s = get_session("local[4]", shuffle_partitions=4,
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="mo-warehouse-")})
     yield s
     s.stop()
 

@@ -16,7 +16,9 @@ def test_build_then_incremental_rerun_is_stable(spark):
     assert fact1.count() == items.count()
     assert fact1.filter(F.col("product_sk").isNull() | F.col("date_key").isNull()).count() == 0
 
-    second = run(spark, SF_SMALL, out, previous=first)
+    second = run(spark, SF_SMALL, out, previous=first, register_prefix="shop")
+    assert spark.table("shop_gold.fact_sales").count() == fact1.count()
+    assert spark.table("shop_silver.orders").count() > 0
     fact2 = spark.read.parquet(second["gold.fact_sales"])
     assert fact2.count() == fact1.count()                      # upsert of the same facts: idempotent
     dim2 = spark.read.parquet(second["gold.dim_customer"])
