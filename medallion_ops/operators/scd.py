@@ -66,20 +66,25 @@ def _changed(check_cols, left: str, right: str) -> Column:
 
 
 def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, check_cols, as_of,
-               sk: str = "sk", hard_deletes: str = "ignore") -> DataFrame:
+               sk: str = "sk", hard_deletes: str = "ignore", max_sk: int | None = None,
+               incoming_unique: bool = False) -> DataFrame:
     """Expire changed current versions at ``as_of`` and insert new versions.
 
-    ``incoming`` must be unique on ``key`` (raises otherwise). Keys absent
-    from ``incoming`` stay current (``hard_deletes="ignore"``). New
-    versions get surrogate keys after ``max(sk)``. Attributes not in
-    ``check_cols`` are carried from the incoming row on insert.
+    ``incoming`` must be unique on ``key``: checked (raises) unless the
+    caller states it holds by construction (``incoming_unique=True``, e.g. a
+    ``groupBy`` on the key). Keys absent from ``incoming`` stay current
+    (``hard_deletes="ignore"``). New versions get surrogate keys after
+    ``max(sk)`` (pass ``max_sk`` when already known, e.g. observed while
+    writing ``dim``). Attributes not in ``check_cols`` are carried from the
+    incoming row on insert.
     """
     if hard_deletes != "ignore":
         raise ValueError("only hard_deletes='ignore' is supported")
     check_cols = list(check_cols)
     attrs = [c for c in dim.columns if c not in {sk, key, *VALIDITY}]
     incoming = materialize(incoming.select(key, *attrs), "scd_incoming")
-    assert_unique(incoming, [key], "incoming")
+    if not incoming_unique:
+        assert_unique(incoming, [key], "incoming")
     as_of_d = _date(as_of)
 
     cur = dim.filter(F.col("is_current"))
@@ -104,7 +109,7 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, check_cols, as_of,
         F.when(F.col("__expire"), F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
     )
 
-    next_sk = dim.agg(F.max(sk).alias("m")).collect()[0]["m"]
+    next_sk = max_sk if max_sk is not None else dim.agg(F.max(sk).alias("m")).collect()[0]["m"]
     inserts = dense_surrogate_key(
         to_insert.select(
             key, *attrs, as_of_d.alias("effective_date"),

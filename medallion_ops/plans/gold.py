@@ -9,7 +9,7 @@ from medallion_ops.operators.calendar import date_bounds, date_dimension, date_s
 from medallion_ops.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from medallion_ops.operators.keys import dense_surrogate_key
 from medallion_ops.operators.scd import scd2_apply, scd2_lookup, scd2_seed
-from medallion_ops.session import materialize
+from medallion_ops.session import materialize_observed
 
 # Fixed values of the customer scenario: spend tiers (cumulative order total)
 # and the two snapshot dates of the SCD2 load.
@@ -77,13 +77,15 @@ def dim_customer(silver_customers: DataFrame, silver_orders: DataFrame,
                  seed_before: str = SEED_CUTOFF, as_of: str = APPLY_AS_OF) -> DataFrame:
     """Seed from the early snapshot, then apply the full-history snapshot as SCD2.
 
-    The seed is stored once: the apply step reads it four times (current
-    rows, history, max key, comparison).
+    The seed is stored once (the apply step reads it three times: current
+    rows, history, comparison); its largest key is observed while writing it.
     """
-    seed = materialize(dim_customer_seed(silver_customers, silver_orders, seed_before), "dim_customer_seed")
+    seed, seen = materialize_observed(dim_customer_seed(silver_customers, silver_orders, seed_before),
+                                      "dim_customer_seed", max_sk=F.max("customer_sk"))
+    # the profile is a groupBy on the person: unique by construction
     incoming = customer_profile(silver_customers, silver_orders).drop("first_order_date")
-    return scd2_apply(seed, incoming, "customer_unique_id", CUSTOMER_ATTRS, as_of,
-                      sk="customer_sk").select(*DIM_CUSTOMER_COLS)
+    return scd2_apply(seed, incoming, "customer_unique_id", CUSTOMER_ATTRS, as_of, sk="customer_sk",
+                      max_sk=seen["max_sk"] or 0, incoming_unique=True).select(*DIM_CUSTOMER_COLS)
 
 
 def order_context(silver_orders: DataFrame, silver_customers: DataFrame, dim_date_df: DataFrame,

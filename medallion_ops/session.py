@@ -85,10 +85,21 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
 
 def materialize_counted(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
     """``materialize`` that also returns the row count, observed during the write."""
+    out, metrics = materialize_observed(df, name)
+    return out, int(metrics["n"])
+
+
+def materialize_observed(df: DataFrame, name: str = "stage", **metrics) -> tuple[DataFrame, dict]:
+    """``materialize`` plus aggregate metrics computed by the writing job itself.
+
+    ``metrics`` are named aggregate Columns (``n`` = row count is always
+    added); no extra pass over the data is made.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    obs = Observation(f"rows_{name}_{uuid.uuid4().hex[:8]}")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), int(obs.get["n"])
+    obs = Observation(f"obs_{name}_{uuid.uuid4().hex[:8]}")
+    aggs = [F.count(F.lit(1)).alias("n")] + [c.alias(k) for k, c in metrics.items()]
+    df.observe(obs, *aggs).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), dict(obs.get)
 
 
