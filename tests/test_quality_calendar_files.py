@@ -109,3 +109,18 @@ def test_scratch_paths_live_in_the_checkpoint_folder(spark):
     base = spark.sparkContext.getCheckpointDir()
     p = scratch_path(spark, "x")
     assert p.startswith(base.rstrip("/")) and p != scratch_path(spark, "x")
+
+
+def test_row_preserving_guard_detects_fan_out(spark):
+    from medallion_ops.operators.joins import RowPreservingJoin
+
+    items = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    dup_dim = spark.createDataFrame([(1, 10), (1, 11), (2, 20)], "k int, sk int")
+    ok_dim = spark.createDataFrame([(1, 10), (2, 20)], "k int, sk int")
+    good = RowPreservingJoin("good")
+    good.after(items.join(ok_dim, "k", "left")).write.format("noop").mode("overwrite").save()
+    assert good.check(items) == (2, 2)
+    bad = RowPreservingJoin("bad")
+    bad.after(items.join(dup_dim, "k", "left")).write.format("noop").mode("overwrite").save()
+    with pytest.raises(AssertionError, match="fan-out"):
+        bad.check(items)
