@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from medallion_ops.session import materialize
+
 CORRUPT = "_corrupt_record"
 
 
@@ -40,14 +42,17 @@ def csv_permissive_scan(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def quarantine_split(parsed: DataFrame, rules: list[Column] | None = None,
-                     corrupt_col: str = CORRUPT) -> tuple[DataFrame, DataFrame]:
+                     corrupt_col: str = CORRUPT, stage: bool = True) -> tuple[DataFrame, DataFrame]:
     """Split into ``(clean, rejects)``.
 
     ``clean``: no corrupt text and every rule true (helper column dropped).
-    ``rejects``: the rest, with the raw text kept for inspection. Spark
-    refuses a plan that reads only the corrupt column of a raw scan, so
-    both sides also read the data columns.
+    ``rejects``: the rest, with the raw text kept for inspection. The parsed
+    frame is first stored (``stage=True``): Spark refuses plans that read
+    only the corrupt column of a raw CSV scan (so ``clean.count()`` would
+    fail), and the costly multi-line parse then runs once for both outputs.
     """
+    if stage:
+        parsed = materialize(parsed, "parsed")
     ok = F.col(corrupt_col).isNull()
     for r in rules or []:
         ok = ok & F.coalesce(r, F.lit(False))

@@ -124,3 +124,11 @@ def test_row_preserving_guard_detects_fan_out(spark):
     bad.after(items.join(dup_dim, "k", "left")).write.format("noop").mode("overwrite").save()
     with pytest.raises(AssertionError, match="fan-out"):
         bad.check(items)
+
+
+def test_quarantine_counts_work_without_rules(spark, tmp_path):
+    p = tmp_path / "r.csv"
+    p.write_text("a,b\n1,x\nbad,y\n3,z\n")
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    clean, rejects = files.quarantine_split(files.csv_permissive_scan(spark, str(p), schema))
+    assert (clean.count(), rejects.count()) == (2, 1)
