@@ -50,3 +50,41 @@ def upsert(target: DataFrame, source: DataFrame, keys, check_unique: bool = True
     cols = target.columns
     kept = target.join(source.select(*keys), keys, "left_anti")
     return source.select(*cols).unionByName(kept.select(*cols))
+
+
+# Most partitions one upsert may touch; their values are collected as a filter.
+MAX_TOUCHED_PARTITIONS = 100_000
+
+
+def upsert_partitioned(target_path: str, source: DataFrame, keys, partition_cols,
+                       check_unique: bool = True) -> str:
+    """Upsert into a partitioned Parquet table, rewriting only the partitions ``source`` touches.
+
+    The touched partition values (a bounded control value, checked) become a
+    partition filter on the target scan (one IN-set per column: a superset
+    of the touched partitions for several columns, which only re-writes some
+    partitions unchanged), so untouched partitions are neither read nor
+    rewritten. The merged partitions are staged in the shared folder
+    (Spark cannot overwrite files it is reading) and then swapped in with a
+    dynamic partition overwrite. The partition columns must be a function of
+    the key: a row must never move between partitions.
+    """
+    from medallion_ops.session import materialize
+
+    spark = source.sparkSession
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    parts = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
+    target = spark.read.parquet(target_path)
+    touched = source.select(*parts).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
+    if len(touched) > MAX_TOUCHED_PARTITIONS:
+        raise ValueError(f"source touches more than {MAX_TOUCHED_PARTITIONS} partitions; rewrite the table instead")
+    cond = F.lit(True)
+    for i, p in enumerate(parts):
+        values = {row[i] for row in touched}
+        c = F.col(p).isin([v for v in values if v is not None])
+        cond = cond & ((c | F.col(p).isNull()) if None in values else c)
+    merged = upsert(target.filter(cond), source.select(*target.columns), keys, check_unique)
+    staged = materialize(merged, "upsert_partitions")
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(target_path))
+    return target_path

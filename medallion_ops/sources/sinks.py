@@ -64,4 +64,6 @@ def register_table(spark: SparkSession, database: str, name: str, path: str,
     full = f"`{database}`.`{name}`"
     spark.sql(f"DROP TABLE IF EXISTS {full}")
     spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{path}'")
+    if any(c.isPartition for c in spark.catalog.listColumns(f"{database}.{name}")):
+        spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")      # register the partition folders
     return f"{database}.{name}"

@@ -137,3 +137,23 @@ def test_scd2_lookup_current_and_point_in_time(spark):
     assert cur == {1: new_sk, 2: new_sk, 3: None, 4: new_sk}
     assert pit == {1: old_sk, 2: new_sk, 3: None, 4: None}
     assert scd2_lookup(facts, out, "id", mode="point_in_time", at=F.col("d")).count() == 4
+
+
+def test_upsert_partitioned_rewrites_only_touched_partitions(spark):
+    import glob
+    import os
+
+    from medallion_ops.operators.merge import upsert_partitioned
+    from medallion_ops.session import scratch_path
+
+    path = scratch_path(spark, "upsert_parts")
+    spark.createDataFrame([(1, "a", 1), (2, "b", 1), (3, "c", 2), (4, "d", None)], "k int, v string, p int") \
+        .write.partitionBy("p").parquet(path)
+    local = path[len("file:"):] if path.startswith("file:") else path
+    before = {f: os.path.getmtime(f) for f in glob.glob(local + "/p=*/*.parquet")}
+    source = spark.createDataFrame([(2, "B", 1), (5, "E", 1), (6, "F", None)], "k int, v string, p int")
+    upsert_partitioned(path, source, "k", "p")
+    got = sorted(map(tuple, spark.read.parquet(path).select("k", "v", "p").collect()))
+    assert got == [(1, "a", 1), (2, "B", 1), (3, "c", 2), (4, "d", None), (5, "E", 1), (6, "F", None)]
+    untouched = [f for f in before if "/p=2/" in f]
+    assert untouched and all(os.path.getmtime(f) == before[f] for f in untouched)
