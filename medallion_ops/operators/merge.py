@@ -36,19 +36,28 @@ def assert_unique(df: DataFrame, keys, what: str = "source") -> None:
         raise DuplicateKeyError(f"{what} has duplicate keys, e.g. {dup[0].asDict()}")
 
 
-def upsert(target: DataFrame, source: DataFrame, keys, check_unique: bool = True) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys, check_unique: bool = True,
+           broadcast_rows: int | None = 2_000_000) -> DataFrame:
     """Rows of ``source`` replace same-key rows of ``target``; the rest is inserted.
 
     Stricter than MERGE: any duplicate source key raises (MERGE rejects only
     duplicates that match). Null keys never match, so they are inserted and
-    target rows with null keys are kept.
+    target rows with null keys are kept. A source of at most
+    ``broadcast_rows`` rows (checked) has its keys broadcast, so the target
+    is streamed through the anti join without being shuffled; a larger one
+    is joined by sort-merge.
     """
+    from medallion_ops.operators.joins import broadcast_if_small
+
     keys = [keys] if isinstance(keys, str) else list(keys)
     assert_same_columns(target, source)
     if check_unique:
         assert_unique(source, keys)
     cols = target.columns
-    kept = target.join(source.select(*keys), keys, "left_anti")
+    source_keys = source.select(*keys)
+    if broadcast_rows is not None:
+        source_keys = broadcast_if_small(source_keys, broadcast_rows)
+    kept = target.join(source_keys, keys, "left_anti")
     return source.select(*cols).unionByName(kept.select(*cols))
 
 
