@@ -32,8 +32,12 @@ FACT_KEYS = ["order_id", "order_item_id"]
 FACT_PARTITION = "order_month"          # yyyyMM of the order date
 
 
+_WRITTEN: dict = {}
+
+
 def _write(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN[path] = df.schema              # read back with it: no schema-inference job
     return path
 
 
@@ -53,7 +57,9 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None =
     paths: dict[str, str] = {}
 
     def read(name):
-        return spark.read.parquet(paths[name])
+        schema = _WRITTEN.get(paths[name])
+        r = spark.read.schema(schema) if schema is not None else spark.read
+        return r.parquet(paths[name])
 
     # bronze: source shape + lineage, landed as-is
     bronze = {

@@ -100,6 +100,7 @@ def materialize_observed(df: DataFrame, name: str = "stage", **metrics) -> tuple
     obs = Observation(f"obs_{name}_{uuid.uuid4().hex[:8]}")
     aggs = [F.count(F.lit(1)).alias("n")] + [c.alias(k) for k, c in metrics.items()]
     df.observe(obs, *aggs).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), dict(obs.get)
+    # the schema is the one just written: passing it skips an inference job
+    return spark.read.schema(df.schema).parquet(path), dict(obs.get)
 
 

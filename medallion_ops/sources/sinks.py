@@ -29,9 +29,9 @@ def overwrite_roundtrip(df: DataFrame, name: str = "table", fmt: str = "parquet"
     """Write ``df`` to a fresh path in the shared folder and scan it back."""
     spark: SparkSession = df.sparkSession
     path = write_overwrite(df, scratch_path(spark, name), fmt=fmt)
-    r = spark.read.format(fmt)
+    r = spark.read.format(fmt).schema(df.schema)        # known schema: no inference pass
     if fmt == "csv":
-        r = r.schema(df.schema).option("header", True).option("quote", '"').option("escape", '"')
+        r = r.option("header", True).option("quote", '"').option("escape", '"')
     return r.load(path)
 
 
