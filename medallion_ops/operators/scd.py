@@ -123,10 +123,11 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, check_cols, as_of,
 
 
 def snapshot_check(dim: DataFrame, incoming: DataFrame, unique_key: str, check_cols, as_of,
-                   sk: str = "sk", hard_deletes: str = "ignore") -> DataFrame:
+                   sk: str = "sk", hard_deletes: str = "ignore", max_sk: int | None = None,
+                   incoming_unique: bool = False) -> DataFrame:
     """Check-strategy snapshot: a new version when any ``check_cols`` value
     differs (null-safe); rows gone from the source stay current."""
-    return scd2_apply(dim, incoming, unique_key, check_cols, as_of, sk, hard_deletes)
+    return scd2_apply(dim, incoming, unique_key, check_cols, as_of, sk, hard_deletes, max_sk, incoming_unique)
 
 
 def scd2_lookup(fact: DataFrame, dim: DataFrame, key: str, sk: str = "sk",

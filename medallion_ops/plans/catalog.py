@@ -17,7 +17,7 @@ from medallion_ops.functions.dates import date_key, month_index, year_end, year_
 from medallion_ops.operators import dedup, joins, keys, merge, quality, scd, windows
 from medallion_ops.operators.calendar import date_bounds, date_spine
 from medallion_ops.plans import analytics, gold, silver
-from medallion_ops.session import materialize, scratch_path
+from medallion_ops.session import materialize, materialize_observed, scratch_path
 from medallion_ops.sources import files, sinks
 from medallion_ops.sources import tables as tb
 from medallion_ops.sources.tables import DELIVERED, table
@@ -552,6 +552,9 @@ def _bump(df: DataFrame) -> DataFrame:
 
 
 def q_upsert_merge(spark, d):
+    """Two overlapping loads of the whole silver table: every item is in at least
+    one of them, items 3-4 in both (updated), 1-2 only in the first (kept),
+    5+ only in the second (inserted)."""
     soi = Star(spark, d).soi
     target = soi.filter(F.col("order_item_id") <= 4)            # first load: items 1-4
     source = _bump(soi.filter(F.col("order_item_id") >= 3))     # second: items 3+, repriced
@@ -559,6 +562,7 @@ def q_upsert_merge(spark, d):
 
 
 def q_upsert_idempotence(spark, d):
+    """The merge protocol: load the first items, merge the whole table, merge it again."""
     soi = Star(spark, d).soi
     k = ["order_id", "order_item_id"]
     half = soi.filter(F.col("order_item_id") == 1)
@@ -581,16 +585,20 @@ def q_scd2_seed(spark, d):
 SCD_MID_CUTOFF = "2000-01-01"
 
 
+def _apply(dim, max_sk, incoming, check_cols, as_of):
+    return scd.scd2_apply(dim, incoming, "customer_unique_id", check_cols, as_of, sk="customer_sk",
+                          max_sk=max_sk, incoming_unique=True)     # profiles are grouped by person
+
+
 def q_scd2_merge(spark, d):
     """Two successive loads: snapshot before 2000 applied on 2000-01-01, then all."""
     s = Star(spark, d)
-    seed = gold.dim_customer_seed(s.sc, s.so)
+    seed, seen = gold.stored_seed(s.sc, s.so)
     mid = gold.customer_profile(s.sc, s.so, before=SCD_MID_CUTOFF).drop("first_order_date")
     full = gold.customer_profile(s.sc, s.so).drop("first_order_date")
-    one = materialize(scd.scd2_apply(seed, mid, "customer_unique_id", gold.CUSTOMER_ATTRS, SCD_MID_CUTOFF,
-                                     sk="customer_sk"), "dim_customer_v1")
-    two = scd.scd2_apply(one, full, "customer_unique_id", gold.CUSTOMER_ATTRS, gold.APPLY_AS_OF,
-                         sk="customer_sk")
+    one, seen = materialize_observed(_apply(seed, seen, mid, gold.CUSTOMER_ATTRS, SCD_MID_CUTOFF),
+                                     "dim_customer_v1", max_sk=F.max("customer_sk"))
+    two = _apply(one, seen["max_sk"] or 0, full, gold.CUSTOMER_ATTRS, gold.APPLY_AS_OF)
     return two.select(*gold.DIM_CUSTOMER_COLS)
 
 
@@ -599,10 +607,10 @@ SNAPSHOT_CHECK_COLS = ["customer_zip_code_prefix", "customer_city", "customer_st
 
 def q_snapshot_check(spark, d):
     s = Star(spark, d)
-    seed = gold.dim_customer_seed(s.sc, s.so)
+    seed, seen = gold.stored_seed(s.sc, s.so)
     full = gold.customer_profile(s.sc, s.so).drop("first_order_date")
     return scd.snapshot_check(seed, full, "customer_unique_id", SNAPSHOT_CHECK_COLS, gold.APPLY_AS_OF,
-                              sk="customer_sk").select(*gold.DIM_CUSTOMER_COLS)
+                              sk="customer_sk", max_sk=seen, incoming_unique=True).select(*gold.DIM_CUSTOMER_COLS)
 
 
 # ---------------------------------------------------------------- 2.10 composite models

@@ -73,19 +73,23 @@ def dim_customer_seed(silver_customers: DataFrame, silver_orders: DataFrame,
         .select(*DIM_CUSTOMER_COLS)
 
 
-def dim_customer(silver_customers: DataFrame, silver_orders: DataFrame,
-                 seed_before: str = SEED_CUTOFF, as_of: str = APPLY_AS_OF) -> DataFrame:
-    """Seed from the early snapshot, then apply the full-history snapshot as SCD2.
-
-    The seed is stored once (the apply step reads it three times: current
-    rows, history, comparison); its largest key is observed while writing it.
-    """
+def stored_seed(silver_customers: DataFrame, silver_orders: DataFrame,
+                seed_before: str = SEED_CUTOFF) -> tuple[DataFrame, int]:
+    """The seed, stored once (an apply step reads it three times: current
+    rows, history, comparison), and its largest key, observed while writing."""
     seed, seen = materialize_observed(dim_customer_seed(silver_customers, silver_orders, seed_before),
                                       "dim_customer_seed", max_sk=F.max("customer_sk"))
+    return seed, seen["max_sk"] or 0
+
+
+def dim_customer(silver_customers: DataFrame, silver_orders: DataFrame,
+                 seed_before: str = SEED_CUTOFF, as_of: str = APPLY_AS_OF) -> DataFrame:
+    """Seed from the early snapshot, then apply the full-history snapshot as SCD2."""
+    seed, max_sk = stored_seed(silver_customers, silver_orders, seed_before)
     # the profile is a groupBy on the person: unique by construction
     incoming = customer_profile(silver_customers, silver_orders).drop("first_order_date")
     return scd2_apply(seed, incoming, "customer_unique_id", CUSTOMER_ATTRS, as_of, sk="customer_sk",
-                      max_sk=seen["max_sk"] or 0, incoming_unique=True).select(*DIM_CUSTOMER_COLS)
+                      max_sk=max_sk, incoming_unique=True).select(*DIM_CUSTOMER_COLS)
 
 
 def order_context(silver_orders: DataFrame, silver_customers: DataFrame, dim_date_df: DataFrame,
