@@ -19,6 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medallion_ops.operators.dedup import latest_per_entity
 from medallion_ops.operators.joins import RowPreservingJoin
 from medallion_ops.operators.merge import upsert_partitioned
 from medallion_ops.operators.quality import enforce, orphan_check, quality_report, table_checks
@@ -49,7 +50,9 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None =
     dim_customer gets the new snapshot applied as SCD2 instead of a fresh
     seed, and fact_sales is upserted into the previous fact.
     ``register_prefix`` also exposes every table in the session catalog as
-    ``<prefix>_<layer>.<table>`` (databases created if missing).
+    ``<prefix>_<layer>.<table>`` (``""``: the layer name itself), creates the
+    databases if missing, and adds the lazy view ``customer_current``
+    (latest attributes per person, recomputed on every read, as a view is).
     """
     previous = previous or {}
     run_id = uuid.uuid4().hex[:8]
@@ -133,8 +136,13 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None =
     if register_prefix is not None:
         for key, path in paths.items():
             layer, name = key.split(".", 1)
-            db = f"{register_prefix}_{layer}"
+            db = f"{register_prefix}_{layer}" if register_prefix else layer
             register_table(spark, db, name, path, db_location=f"{out}/_catalog/{db}.db")
+        current = latest_per_entity(
+            sc.join(so.select("customer_id", "order_purchase_timestamp"), "customer_id", "left"),
+            "customer_unique_id", "order_purchase_timestamp", tie_break=[("customer_id", "desc")])
+        current.select("customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state") \
+            .createOrReplaceTempView(f"{register_prefix}_customer_current" if register_prefix else "customer_current")
     return paths
 
 

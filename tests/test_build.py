@@ -21,6 +21,8 @@ def test_build_then_incremental_rerun_is_stable(spark):
     second = run(spark, SF_SMALL, out, previous=first, register_prefix="shop")
     assert spark.table("shop_gold.fact_sales").count() == n1
     assert spark.table("shop_silver.orders").count() > 0
+    people = spark.table("shop_customer_current")
+    assert people.count() == people.select("customer_unique_id").distinct().count() > 0
     fact2 = spark.read.parquet(second["gold.fact_sales"])
     # upsert of the same facts into the partitioned fact: idempotent, row for row
     assert sorted(map(tuple, fact2.select(*sorted(fact2.columns)).collect())) == rows1
