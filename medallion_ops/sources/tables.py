@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medallion_ops.operators.joins import broadcast_if_small
-
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -83,10 +81,11 @@ def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _lineage(table(spark, sf_dir, "orders")).select(
         "o_orderkey", "o_custkey", "_load_timestamp", "_source_file")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    # nation and region are reference tables: each is size-checked on its own scan and
-    # broadcast into the customer scan
-    n = broadcast_if_small(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"), 10_000)
-    r = broadcast_if_small(table(spark, sf_dir, "region").select("r_regionkey", "r_name"), 10_000)
+    # nation and region are plain scans of reference tables: the planner broadcasts them
+    # when their file-size statistic is under spark.sql.autoBroadcastJoinThreshold (a size
+    # check without an extra job), and joins them by sort-merge otherwise
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     person = (c.join(n, c.c_nationkey == n.n_nationkey, "left")
                .join(r, F.col("n_regionkey") == r.r_regionkey, "left"))
     out = o.join(person, o.o_custkey == person.c_custkey, "left")
