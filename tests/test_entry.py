@@ -9,7 +9,7 @@ import pytest
 from __spark_entry__ import ROWS_ONLY, entry, oracle_sql, queries
 from medallion_ops.sources.tables import TABLES
 
-from .conftest import SF_ORACLE
+from .conftest import SF_ORACLE, SF_SMALL
 
 
 def test_entry_runs_on_sf0001(spark):
@@ -41,14 +41,23 @@ def _sorted_rows(cols, records):
     return sorted(tuple(_norm(r[i]) for i in idx) for r in records)
 
 
-@pytest.fixture(scope="module")
-def duck():
+def _duck(sf):
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_ORACLE}/{t}.parquet')")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     return con
 
 
+@pytest.fixture(scope="module")
+def duck():
+    return _duck(SF_ORACLE)
+
+
+@pytest.fixture(scope="module")
+def duck_small():
+    return _duck(SF_SMALL)
+
+
 FAST_KEYS = ["silver_order_items", "dedup_latest", "dense_surrogate_key", "payments_collapsed",
              "payments_with_total", "silver_reviews", "dq_report", "quarantine_split", "dim_date",
              "window_ratio_to_max", "upsert_merge", "orphan_anti_join", "fn_date_parts"]
@@ -61,3 +70,12 @@ def test_oracle_agrees(spark, duck, key):
     ocols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(ocols)
     assert _sorted_rows(sdf.columns, [tuple(r) for r in sdf.collect()]) == _sorted_rows(ocols, res.fetchall())
+
+
+@pytest.mark.parametrize("key", sorted(oracle_sql()))
+def test_every_key_agrees_with_its_oracle_at_sf0001(spark, duck_small, key):
+    sdf = queries()[key](spark, SF_SMALL)
+    res = duck_small.execute(oracle_sql()[key])
+    ocols = [d[0] for d in res.description]
+    assert sorted(sdf.columns) == sorted(ocols)
+    assert _sorted_rows(sdf.columns, [tuple(r) for r in sdf.collect()]) == _sorted_rows(ocols, res.fetchall())
