@@ -27,6 +27,28 @@ SESSION_CONF = {
 }
 
 
+MB = 1 << 20
+
+
+def scale_conf(input_bytes: int, cores: int) -> dict:
+    """Shuffle and scan sizing for a cluster run over ``input_bytes`` of Parquet.
+
+    About 1 GiB of input per initial shuffle partition (AQE then coalesces
+    small ones towards the 256 MiB advisory size and splits skewed ones over
+    512 MiB), never fewer than 2 tasks per core, at most 100,000; scan splits
+    of 256 MiB. For 100 TB on 8,000 cores: 100,000 shuffle partitions and
+    ~400,000 scan tasks.
+    """
+    shuffle = min(100_000, max(2 * cores, -(-input_bytes // (1024 * MB))))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(256 * MB),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * MB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * MB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app: str = "medallion_ops", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's settings."""

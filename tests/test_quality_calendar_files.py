@@ -132,3 +132,12 @@ def test_quarantine_counts_work_without_rules(spark, tmp_path):
     schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
     clean, rejects = files.quarantine_split(files.csv_permissive_scan(spark, str(p), schema))
     assert (clean.count(), rejects.count()) == (2, 1)
+
+
+def test_scale_conf_sizes_partitions():
+    from medallion_ops.session import scale_conf
+
+    big = scale_conf(100 * 10**12, 8000)
+    assert big["spark.sql.shuffle.partitions"] == "93133"          # ~1 GiB of input each
+    assert scale_conf(10**9, 8)["spark.sql.shuffle.partitions"] == "16"   # floor: 2 tasks per core
+    assert scale_conf(10**18, 8)["spark.sql.shuffle.partitions"] == "100000"
