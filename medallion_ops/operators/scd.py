@@ -82,22 +82,24 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, check_cols, as_of,
         raise ValueError("only hard_deletes='ignore' is supported")
     check_cols = list(check_cols)
     attrs = [c for c in dim.columns if c not in {sk, key, *VALIDITY}]
-    incoming = materialize(incoming.select(key, *attrs), "scd_incoming")
-    if not incoming_unique:
-        assert_unique(incoming, [key], "incoming")
     as_of_d = _date(as_of)
 
     cur = dim.filter(F.col("is_current"))
     hist = dim.filter(~F.col("is_current"))
 
+    # one row per incoming row, tagged new / changed / same; stored once because the
+    # inserts and the expiry keys both read it
     inc = incoming.select(key, *attrs).alias("i")
     cur_cmp = cur.select(key, *check_cols).alias("c")
-    classified = inc.join(cur_cmp, F.col(f"i.{key}") == F.col(f"c.{key}"), "left").select(
+    classified = materialize(inc.join(cur_cmp, F.col(f"i.{key}") == F.col(f"c.{key}"), "left").select(
         "i.*",
         F.when(F.col(f"c.{key}").isNull(), F.lit("new"))
          .when(_changed(check_cols, "i", "c"), F.lit("changed"))
          .otherwise(F.lit("same")).alias("__change"),
-    )
+    ), "scd_classified")
+    if not incoming_unique:
+        # also catches a dimension with two current versions of a key (the join fans out)
+        assert_unique(classified, [key], "incoming")
     to_insert = classified.filter(F.col("__change") != "same").drop("__change")
     changed_keys = classified.filter(F.col("__change") == "changed").select(
         key, F.lit(True).alias("__expire"))
@@ -114,7 +116,7 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, check_cols, as_of,
         to_insert.select(
             key, *attrs, as_of_d.alias("effective_date"),
             F.lit(OPEN_END).cast("date").alias("end_date"), F.lit(True).alias("is_current")),
-        [key], name=sk, start=(next_sk or 0) + 1, materialize_input=True)
+        [key], name=sk, start=(next_sk or 0) + 1)
 
     cols = [sk, key, *attrs, *VALIDITY]
     return (hist.select(*cols)
