@@ -43,12 +43,14 @@ def _write(df: DataFrame, path: str) -> str:
 
 
 def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None = None,
-        register_prefix: str | None = None) -> dict:
+        register_prefix: str | None = None, since: str | None = None) -> dict:
     """Build every layer; returns ``{layer.table: path}``.
 
     ``previous`` (the result of an earlier run) makes the run incremental:
     dim_customer gets the new snapshot applied as SCD2 instead of a fresh
-    seed, and fact_sales is upserted into the previous fact.
+    seed, and fact_sales is upserted into the previous fact. With ``since``
+    (a date) only facts of orders placed on or after it are re-staged and
+    merged, so older fact partitions are neither read nor rewritten.
     ``register_prefix`` also exposes every table in the session catalog as
     ``<prefix>_<layer>.<table>`` (``""``: the layer name itself), creates the
     databases if missing, and adds the lazy view ``customer_current``
@@ -113,10 +115,14 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None =
     # The stored fact is partitioned by order month (a function of the order, so a
     # row never changes partition): a rerun rewrites only the months it touches.
     guard = RowPreservingJoin("fact_sales")
-    fact = gold.fact_sales(soi, so, sc, read("gold.dim_product"), read("gold.dim_date"), dimc, guard=guard)
+    items, orders = soi, so
+    if since is not None and "gold.fact_sales" in previous:
+        orders = so.filter(F.col("order_purchase_timestamp") >= F.lit(since).cast("timestamp_ntz"))
+        items = soi.join(orders.select("order_id"), "order_id", "left_semi")
+    fact = gold.fact_sales(items, orders, sc, read("gold.dim_product"), read("gold.dim_date"), dimc, guard=guard)
     staged = _write(fact.withColumn(FACT_PARTITION, F.floor(F.col("date_key") / 100).cast("int")),
                     f"{out}/gold/fact_sales_staged/{run_id}")
-    guard.check(soi)
+    guard.check(items)
     if "gold.fact_sales" in previous:
         # keys are unique already: the gate enforced them on silver items and the guard
         # proved one fact row per item, so the merge skips its own duplicate-key shuffle
