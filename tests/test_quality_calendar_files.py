@@ -141,3 +141,15 @@ def test_scale_conf_sizes_partitions():
     assert big["spark.sql.shuffle.partitions"] == "93133"          # ~1 GiB of input each
     assert scale_conf(10**9, 8)["spark.sql.shuffle.partitions"] == "16"   # floor: 2 tasks per core
     assert scale_conf(10**18, 8)["spark.sql.shuffle.partitions"] == "100000"
+
+
+def test_schema_conform_fails_loudly_and_fills_missing(spark):
+    from medallion_ops.sources.sinks import schema_conform
+
+    target = T.StructType([T.StructField("id", T.LongType()), T.StructField("score", T.IntegerType()),
+                           T.StructField("is_current", T.BooleanType())])
+    ok = schema_conform(spark.createDataFrame([("1", "5", "x")], "id string, score string, extra string"), target)
+    assert ok.columns == ["id", "score", "is_current"] and tuple(ok.first()) == (1, 5, None)
+    bad = schema_conform(spark.createDataFrame([("1", "five")], "id string, score string"), target)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot be cast"):
+        bad.collect()
