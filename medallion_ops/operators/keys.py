@@ -102,3 +102,20 @@ def dense_surrogate_key(df: DataFrame, order_cols, name: str = "sk", start: int
     out = keyed.withColumn(
         name, (F.lit(start - 1).cast("bigint") + offset + F.row_number().over(w)).cast("bigint"))
     return out.select(name, *[F.col(f"`{c}`") for c in df.columns])
+
+
+def extend_surrogate_keys(existing: DataFrame, incoming: DataFrame, key: str, name: str = "sk") -> DataFrame:
+    """Surrogate keys for an incremental load: known keys keep theirs, new ones follow the maximum.
+
+    ``existing`` holds ``key`` and ``name`` from the previous load; every row of
+    ``incoming`` comes back with ``name`` first. Keys already issued never
+    change, so facts stored earlier stay joined to the right rows; new keys
+    are numbered densely in key order after ``max(name)``.
+    """
+    known = existing.select(key, name)
+    max_sk = existing.agg(F.max(name).alias("m")).collect()[0]["m"] or 0
+    cols = [c for c in incoming.columns]
+    kept = incoming.join(known, key, "inner").select(name, *cols)
+    new = incoming.join(known.select(key), key, "left_anti")
+    added = dense_surrogate_key(new, [key], name=name, start=max_sk + 1, materialize_input=True)
+    return kept.unionByName(added.select(name, *cols))

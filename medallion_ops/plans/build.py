@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from medallion_ops.operators.dedup import latest_per_entity
 from medallion_ops.operators.joins import RowPreservingJoin
+from medallion_ops.operators.keys import extend_surrogate_keys
 from medallion_ops.operators.merge import upsert_partitioned
 from medallion_ops.operators.quality import enforce, orphan_check, quality_report, table_checks
 from medallion_ops.operators.scd import current_unique_violations, scd2_apply
@@ -97,7 +98,12 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None =
     ]))
 
     # gold dimensions
-    paths["gold.dim_product"] = _write(gold.dim_product(sp), f"{out}/gold/dim_product")
+    if "gold.dim_product" in previous:
+        # issued keys never change (facts stored earlier refer to them); new products follow
+        dimp = extend_surrogate_keys(spark.read.parquet(previous["gold.dim_product"]), sp, "product_id", "product_sk")
+        paths["gold.dim_product"] = _write(dimp, f"{out}/gold/dim_product/{run_id}")
+    else:
+        paths["gold.dim_product"] = _write(gold.dim_product(sp), f"{out}/gold/dim_product/{run_id}")
     paths["gold.dim_date"] = _write(
         gold.dim_date([(soi, ["shipping_limit_date"]), (so, ["order_purchase_timestamp"])]), f"{out}/gold/dim_date")
     if "gold.dim_customer" in previous:

@@ -83,3 +83,13 @@ def test_dense_key_has_no_single_partition_exchange(spark):
     out = dense_surrogate_key(df, ["k"], buckets=8)
     assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
     assert out.agg(F.countDistinct("sk")).first()[0] == 5000
+
+
+def test_extend_surrogate_keys_keeps_issued_keys(spark):
+    from medallion_ops.operators.keys import extend_surrogate_keys
+
+    existing = spark.createDataFrame([(1, "b"), (2, "d")], "sk long, k string")
+    incoming = spark.createDataFrame([("a", 10), ("b", 20), ("d", 30), ("c", 40)], "k string, v int")
+    got = {r.k: (r.sk, r.v) for r in extend_surrogate_keys(existing, incoming, "k").collect()}
+    assert got == {"b": (1, 20), "d": (2, 30), "a": (3, 10), "c": (4, 40)}
+    assert extend_surrogate_keys(existing, incoming, "k").columns == ["sk", "k", "v"]
