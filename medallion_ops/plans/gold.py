@@ -92,19 +92,24 @@ def dim_customer(silver_customers: DataFrame, silver_orders: DataFrame,
                       max_sk=max_sk, incoming_unique=True).select(*DIM_CUSTOMER_COLS)
 
 
-def order_context(silver_orders: DataFrame, silver_customers: DataFrame, dim_date_df: DataFrame,
-                  dim_customer_df: DataFrame, mode: str = "current") -> DataFrame:
+def order_context(silver_orders: DataFrame, silver_customers: DataFrame | None, dim_date_df: DataFrame,
+                  dim_customer_df: DataFrame | None, mode: str = "current") -> DataFrame:
     """Order-grain lookups: order -> person -> customer_sk, order day -> date_key.
 
     Done at order grain so the item table (the largest) is shuffled once,
-    for its join to this frame on order_id.
+    for its join to this frame on order_id. Without ``dim_customer_df`` the
+    person lookup is left out (no ``customer_sk``): both of its joins are
+    row-preserving (one silver customer per customer_id, at most one current
+    version per person), so every other column is unchanged.
     """
     o = silver_orders.select("order_id", "customer_id", "order_purchase_timestamp", "order_status")
-    o = o.join(silver_customers.select("customer_id", "customer_unique_id"), "customer_id", "left")
     o = o.withColumn("order_date", F.to_date("order_purchase_timestamp"))
     dd = broadcast_if_small(dim_date_df.select(F.col("date").alias("order_date"), "date_key"),
                             DEFAULT_BROADCAST_ROWS)
     o = o.join(dd, "order_date", "left")
+    if dim_customer_df is None:
+        return o.select("order_id", "order_status", "date_key")
+    o = o.join(silver_customers.select("customer_id", "customer_unique_id"), "customer_id", "left")
     o = scd2_lookup(o, dim_customer_df, "customer_unique_id", sk="customer_sk", mode=mode,
                     at="order_date")
     return o.select("order_id", "order_status", "date_key", "customer_sk")
@@ -117,10 +122,13 @@ def fact_sales(silver_order_items: DataFrame, silver_orders: DataFrame, silver_c
 
     ``guard`` (a RowPreservingJoin) observes the fact count in the writing
     job; ``guard.check(silver_order_items)`` after the write proves no fan-out.
+    ``dim_customer_df=None`` gives the fact without ``customer_sk``, for
+    readers that do not use it (the customer dimension is then not needed).
     """
     items = silver_order_items.select("order_id", "order_item_id", "product_id", "price", "freight_value")
     prod = broadcast_if_small(dim_product_df.select("product_id", "product_sk"), DEFAULT_BROADCAST_ROWS)
     f = items.join(prod, "product_id", "left")
     ctx = order_context(silver_orders, silver_customers, dim_date_df, dim_customer_df, mode)
-    f = f.join(ctx, "order_id", "left").select(*FACT_COLS)
+    f = f.join(ctx, "order_id", "left")
+    f = f.select(*[c for c in FACT_COLS if c in f.columns])
     return guard.after(f) if guard is not None else f
