@@ -81,12 +81,16 @@ class Star:
         return self._get("fact", lambda: gold.fact_sales(self.soi, self.so, self.sc, self.dimp,
                                                          self.dimd, self.dimc), store=False)
 
+    def fact_for(self, product: bool = True, customer: bool = True):
+        """The fact with only the lookups a reader uses: both are row-preserving, so
+        leaving one out changes no other column and skips building its dimension."""
+        return self._get(f"fact_{product}_{customer}", lambda: gold.fact_sales(
+            self.soi, self.so, self.sc if customer else None, self.dimp if product else None,
+            self.dimd, self.dimc if customer else None), store=False)
+
     @property
     def fact_without_customer(self):
-        # the same rows without customer_sk: its lookup is row-preserving, so readers
-        # that never use the column skip building the customer dimension
-        return self._get("fact_nc", lambda: gold.fact_sales(self.soi, self.so, None, self.dimp,
-                                                            self.dimd, None), store=False)
+        return self.fact_for(product=True, customer=False)
 
 
 # ---------------------------------------------------------------- 2.1 scans, sources, sinks
@@ -683,7 +687,7 @@ def q_top_products(spark, d):
 
 def q_cohort_retention(spark, d):
     s = Star(spark, d)
-    return analytics.cohort_retention(s.fact, s.dimc, s.dimd, DELIVERED)
+    return analytics.cohort_retention(s.fact_for(product=False), s.dimc, s.dimd, DELIVERED)
 
 
 QUERIES = {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}

@@ -116,18 +116,22 @@ def order_context(silver_orders: DataFrame, silver_customers: DataFrame | None,
 
 
 def fact_sales(silver_order_items: DataFrame, silver_orders: DataFrame, silver_customers: DataFrame,
-               dim_product_df: DataFrame, dim_date_df: DataFrame, dim_customer_df: DataFrame,
+               dim_product_df: DataFrame | None, dim_date_df: DataFrame, dim_customer_df: DataFrame | None,
                mode: str = "current", guard=None) -> DataFrame:
     """One row per order item with product, date and customer keys (left joins only).
 
     ``guard`` (a RowPreservingJoin) observes the fact count in the writing
     job; ``guard.check(silver_order_items)`` after the write proves no fan-out.
-    ``dim_customer_df=None`` gives the fact without ``customer_sk``, for
-    readers that do not use it (the customer dimension is then not needed).
+    ``dim_customer_df=None`` / ``dim_product_df=None`` give the fact without
+    ``customer_sk`` / ``product_sk`` for readers that do not use them: both
+    lookups are row-preserving, so the other columns are unchanged and the
+    dimension need not be built.
     """
     items = silver_order_items.select("order_id", "order_item_id", "product_id", "price", "freight_value")
-    prod = broadcast_if_small(dim_product_df.select("product_id", "product_sk"), DEFAULT_BROADCAST_ROWS)
-    f = items.join(prod, "product_id", "left")
+    f = items
+    if dim_product_df is not None:
+        prod = broadcast_if_small(dim_product_df.select("product_id", "product_sk"), DEFAULT_BROADCAST_ROWS)
+        f = f.join(prod, "product_id", "left")
     ctx = order_context(silver_orders, silver_customers, dim_date_df, dim_customer_df, mode)
     f = f.join(ctx, "order_id", "left")
     f = f.select(*[c for c in FACT_COLS if c in f.columns])
