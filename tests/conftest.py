@@ -20,7 +20,3 @@ def spark():
     s.stop()
 
 
-def rows(df, order=None):
-    """Collect as sorted list of tuples (order-insensitive comparisons)."""
-    out = [tuple(r) for r in df.collect()]
-    return sorted(out, key=lambda t: tuple((v is None, str(v)) for v in t))
