@@ -172,8 +172,9 @@ def q_bronze_ingest(spark, d):
         df = table(spark, d, name)
         sources[name] = (sinks.write_overwrite(df, f"{base}/csv/{name}", fmt="csv"), df.schema)
     bronze = scratch_path(spark, "bronze")
-    return files.bronze_ingest(
+    report, observed = files.bronze_ingest(
         spark, sources, lambda n, df: sinks.write_overwrite(df, f"{bronze}/{n}"), load_ts=tb.LOAD_TS)
+    return report
 
 
 CUSTOMER_DDL = T.StructType([

@@ -7,6 +7,8 @@ parity with exploratory use.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,17 +73,21 @@ def lineage_columns(df: DataFrame, load_ts: str | None = None) -> DataFrame:
     return df.withColumns({"_load_timestamp": ts, "_source_file": F.col("_metadata.file_path")})
 
 
-def bronze_ingest(spark: SparkSession, sources: dict, write, load_ts: str | None = None) -> DataFrame:
+def bronze_ingest(spark: SparkSession, sources: dict, write, load_ts: str | None = None) -> tuple[DataFrame, dict]:
     """Land every ``{table: (path, schema)}`` file set with lineage columns.
 
-    ``write(table, df)`` persists one table (overwrite). Row counts come
-    from an ``observe`` on the write itself, not a second scan; the result
-    is a small ``(table_name, n_rows)`` frame.
+    ``write(table, df) -> path`` persists one table (overwrite). Returns the
+    report ``(table_name, n_rows)`` read from the landed tables (a footer-level
+    count per table) and the counts observed by the writing jobs themselves;
+    the two agree unless a landed table was changed in between.
     """
-    counts = []
+    reports, observed = [], {}
     for name, (path, schema) in sources.items():
         obs = Observation(f"ingest_{name}")
         df = lineage_columns(csv_scan(spark, path, schema), load_ts)
-        write(name, df.observe(obs, F.count(F.lit(1)).alias("n")))
-        counts.append((name, int(obs.get["n"])))
-    return spark.createDataFrame(counts, "table_name string, n_rows bigint")
+        landed = write(name, df.observe(obs, F.count(F.lit(1)).alias("n")))
+        observed[name] = int(obs.get["n"])
+        reports.append(spark.read.schema(df.schema).parquet(landed)
+                       .agg(F.count(F.lit(1)).alias("n_rows"))
+                       .select(F.lit(name).alias("table_name"), "n_rows"))
+    return reduce(DataFrame.unionByName, reports), observed

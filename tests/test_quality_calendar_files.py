@@ -153,3 +153,21 @@ def test_schema_conform_fails_loudly_and_fills_missing(spark):
     bad = schema_conform(spark.createDataFrame([("1", "five")], "id string, score string"), target)
     with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot be cast"):
         bad.collect()
+
+
+def test_bronze_ingest_report_matches_observed_counts(spark, tmp_path):
+    a = tmp_path / "a.csv"
+    a.write_text("x,y\n1,p\n2,q\n3,r\n")
+    b = tmp_path / "b.csv"
+    b.write_text("x,y\n9,z\n")
+    schema = T.StructType([T.StructField("x", T.IntegerType()), T.StructField("y", T.StringType())])
+    out = scratch_path(spark, "ingest")
+
+    def write(name, df):
+        df.write.mode("overwrite").parquet(f"{out}/{name}")
+        return f"{out}/{name}"
+
+    report, observed = files.bronze_ingest(spark, {"a": (str(a), schema), "b": (str(b), schema)}, write)
+    assert {r.table_name: r.n_rows for r in report.collect()} == observed == {"a": 3, "b": 1}
+    landed = spark.read.parquet(f"{out}/a")
+    assert {"_load_timestamp", "_source_file"} <= set(landed.columns)
