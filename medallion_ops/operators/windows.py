@@ -10,16 +10,26 @@ are the plain window form for small partitions (e.g. after a DISTINCT).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def per_key_total(df: DataFrame, keys, value: str, name: str, scale: int | None = 2) -> DataFrame:
-    """Attach ``name`` = sum of ``value`` over the row's key (rounded to ``scale``)."""
+    """Attach ``name`` = sum of ``value`` over the row's key (rounded to ``scale``).
+
+    Same result as ``sum(value) over (partition by keys)``, including null
+    keys (one group, joined back null-safely); output columns are the key
+    columns first, then the rest of ``df``, then ``name``.
+    """
     keys = [keys] if isinstance(keys, str) else list(keys)
     s = F.sum(value)
     tot = df.groupBy(*keys).agg((F.round(s, scale) if scale is not None else s).alias(name))
-    return df.join(tot, keys, "left")
+    tot = tot.select(*[F.col(k).alias(f"__pk{i}") for i, k in enumerate(keys)], name)
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__pk{i}")) for i, k in enumerate(keys)])
+    rest = [c for c in df.columns if c not in keys]
+    return df.join(tot, cond, "left").select(*keys, *rest, name)
 
 
 def sum_over(col: str, keys) -> Column:

@@ -46,3 +46,14 @@ def test_quality_counts_with_hot_key(spark):
     df = _hot(spark)
     r = {x.check_name: x.failures for x in table_checks("t", df, unique="k").collect()}
     assert r["unique(k)"] == N - 201
+
+
+def test_per_key_total_matches_the_window_for_null_keys(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), (1, 5.0)], "k int, v double")
+
+    def triples(frame):
+        return sorted(((r.k if r.k is not None else -1), r.v, r.tot) for r in frame.collect())
+
+    got = triples(per_key_total(df, "k", "v", "tot", scale=None))
+    ref = triples(df.withColumn("tot", F.sum("v").over(Window.partitionBy("k"))))
+    assert got == ref == [(-1, 1.0, 3.0), (-1, 2.0, 3.0), (1, 5.0, 5.0)]
