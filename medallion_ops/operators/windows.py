@@ -4,7 +4,7 @@ A window ``PARTITION BY k`` puts every row of a key in one task. Where the
 result is only a per-key aggregate attached to each row, the skew-safe
 form is an aggregation (partial in every task, so a hot key is combined
 before the shuffle) joined back on the key; AQE splits a skewed detail
-side of that join. ``per_key_total`` is that form; the ``*_over`` helpers
+side of that join. ``per_key_agg`` / ``per_key_total`` are that form; the ``*_over`` helpers
 are the plain window form for small partitions (e.g. after a DISTINCT).
 """
 
@@ -16,20 +16,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def per_key_total(df: DataFrame, keys, value: str, name: str, scale: int | None = 2) -> DataFrame:
-    """Attach ``name`` = sum of ``value`` over the row's key (rounded to ``scale``).
+def per_key_agg(df: DataFrame, keys, aggs: dict) -> DataFrame:
+    """Attach per-key aggregates to every row: ``{name: aggregate Column}``.
 
-    Same result as ``sum(value) over (partition by keys)``, including null
-    keys (one group, joined back null-safely); output columns are the key
-    columns first, then the rest of ``df``, then ``name``.
+    Same result as ``agg over (partition by keys)``, including null keys (one
+    group, joined back null-safely); output columns are the key columns
+    first, then the rest of ``df``, then the aggregates.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    s = F.sum(value)
-    tot = df.groupBy(*keys).agg((F.round(s, scale) if scale is not None else s).alias(name))
-    tot = tot.select(*[F.col(k).alias(f"__pk{i}") for i, k in enumerate(keys)], name)
+    tot = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
+    tot = tot.select(*[F.col(k).alias(f"__pk{i}") for i, k in enumerate(keys)], *aggs)
     cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__pk{i}")) for i, k in enumerate(keys)])
     rest = [c for c in df.columns if c not in keys]
-    return df.join(tot, cond, "left").select(*keys, *rest, name)
+    return df.join(tot, cond, "left").select(*keys, *rest, *aggs)
+
+
+def per_key_total(df: DataFrame, keys, value: str, name: str, scale: int | None = 2) -> DataFrame:
+    """Attach ``name`` = sum of ``value`` over the row's key (rounded to ``scale``)."""
+    s = F.sum(value)
+    return per_key_agg(df, keys, {name: F.round(s, scale) if scale is not None else s})
 
 
 def sum_over(col: str, keys) -> Column:

@@ -491,8 +491,7 @@ def q_window_sum(spark, d):
 
 def q_window_min(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_date"))
-    first = o.groupBy("o_custkey").agg(F.min("order_date").alias("first_order_date"))
-    return o.join(first, "o_custkey", "left")
+    return windows.per_key_agg(o, "o_custkey", {"first_order_date": F.min("order_date")})
 
 
 def q_window_ratio_to_max(spark, d):
