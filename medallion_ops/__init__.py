@@ -3,8 +3,23 @@
 Every public function takes and returns DataFrames built from built-in
 Spark expressions; Catalyst plans the work. Only ``plans.build`` and
 ``sources`` touch storage.
+
+Operators (``medallion_ops.operators``):
+    dedup.dedup_latest / dedup_any / latest_per_entity   keyed dedup, latest wins
+    keys.dense_surrogate_key / extend_surrogate_keys      dense keys without one-task sorts
+    merge.upsert / upsert_partitioned                     MERGE as relations; partition-scoped rewrite
+    scd.scd2_seed / scd2_apply / snapshot_check / scd2_lookup   type-2 dimensions
+    quality.table_checks / orphan_check / quality_report / enforce   one-pass checks, fail loudly
+    calendar.date_bounds / date_spine / date_dimension   the date dimension
+    joins.broadcast_if_small / orphans / RowPreservingJoin / row_number_join
+    windows.per_key_agg / per_key_total / *_over / ratio_to_max
+Sources and sinks (``medallion_ops.sources``): tables (driver tables and
+bronze adapters), files (CSV, permissive CSV, quarantine, lineage, ingest),
+sinks (overwrite, round trip, schema conformance, catalog registration).
+Plans (``medallion_ops.plans``): silver, gold, analytics, build, catalog
+(the registered queries) and oracle (their DuckDB SQL).
 """
 
-from medallion_ops.session import checkpoint_dir, get_session, materialize
+from medallion_ops.session import checkpoint_dir, get_session, materialize, scale_conf
 
-__all__ = ["get_session", "checkpoint_dir", "materialize"]
+__all__ = ["get_session", "checkpoint_dir", "materialize", "scale_conf"]
