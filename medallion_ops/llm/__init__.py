@@ -6,3 +6,10 @@ column names) and returns its real outputs (texts, spans, files).
 parameters and their DuckDB SQL. Nothing outside this package (and the
 top-level ``corpus_pipeline.py``) imports it.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

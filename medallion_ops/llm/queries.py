@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion_ops.llm.common import table
+from medallion_ops.llm.decontaminate import scan_benchmark
 from medallion_ops.llm.mixing import mix_to_weights
 from medallion_ops.llm.secret_ledger import RULES, scan_versions
 
@@ -27,9 +28,18 @@ def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.sha2(spans.cast("binary"), 256).alias("base_sha256"), spans.alias("spans"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows of 10 words in every document."""
+    found = scan_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10, keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op1_mix_to_weights": op1_mix_to_weights,
     "op4_secret_ledger": op4_secret_ledger,
+    "op9_decontaminate": op9_decontaminate,
 }
 
 ORACLE: dict[str, str] = {}
@@ -73,3 +83,40 @@ select doc_id, size, source_size::bigint as source_size, target,
          as taken
 from placed, cut
 """
+
+ORACLE["op4_secret_ledger"] = r"""
+with rules as (
+  select * from (values
+    ('assign', 0, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+    ('access', 1, 'AKIA[A-Z0-9]{16,}', 0, 20),
+    ('hex', 2, '[0-9a-f]{24,}', 0, 24)) as r(kind, place, pattern, grp, least)),
+docs as (select row_number() over () as n, doc_id, coalesce(text, '') as text from documents),
+cut as (
+  select n, 'assign' as kind, 0 as place,
+         string_split_regex(text, (select pattern from rules where kind = 'assign')) as gaps,
+         regexp_extract_all(text, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 0) as hits,
+         regexp_extract_all(text, '(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2) as sized
+  from docs
+  union all
+  select n, 'access', 1, string_split_regex(text, 'AKIA[A-Z0-9]{16,}'), regexp_extract_all(text, 'AKIA[A-Z0-9]{16,}'),
+         regexp_extract_all(text, 'AKIA[A-Z0-9]{16,}') from docs
+  union all
+  select n, 'hex', 2, string_split_regex(text, '[0-9a-f]{24,}'), regexp_extract_all(text, '[0-9a-f]{24,}'),
+         regexp_extract_all(text, '[0-9a-f]{24,}') from docs),
+each as (
+  select n, kind, place, gaps, hits, sized, unnest(range(1, len(hits) + 1)) as i from cut where len(hits) > 0),
+spans as (
+  select n, kind, place, len(sized[i]) as measured,
+         list_sum(list_transform(gaps[1:i], lambda g: len(g)))
+           + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: len(h))), 0) as b, len(hits[i]) as l
+  from each),
+kept as (select * from spans s where measured >= (select least from rules r where r.kind = s.kind)),
+per as (
+  select n, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+         count(*) filter (kind = 'hex') as n_hex,
+         string_agg(kind || ':' || b::bigint || ':' || (b + l)::bigint, ',' order by b, place) as spans
+  from kept group by n)
+select doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0)::bigint as n_access,
+       coalesce(n_hex, 0)::bigint as n_hex, sha256(coalesce(spans, '')) as base_sha256, coalesce(spans, '') as spans
+from docs left join per using (n)
+"""
