@@ -9,6 +9,15 @@ from medallion_ops.llm.common import table
 from medallion_ops.llm.decontaminate import scan_benchmark
 from medallion_ops.llm.mixing import mix_to_weights
 from medallion_ops.llm.secret_ledger import RULES, scan_versions
+from medallion_ops.llm.simhash import near_duplicates
+from medallion_ops.llm.token_files import read_index, write_token_files
+
+
+def tokenizer_path(name: str) -> str:
+    """A public vocabulary file, which every executor has at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +37,13 @@ def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.sha2(spans.cast("binary"), 256).alias("base_sha256"), spans.alias("spans"))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token files, read back document by document."""
+    folder, manifest = write_token_files(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                         end_id=0)
+    return read_index(folder, manifest)
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark windows of 10 words in every document."""
     found = scan_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10, keep=["doc_id"])
@@ -36,10 +52,19 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: 3-word shingles, at most 3 differing bits."""
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=3, distance=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        F.col("component").alias("component_id"))
+
+
 QUERIES = {
     "op1_mix_to_weights": op1_mix_to_weights,
     "op4_secret_ledger": op4_secret_ledger,
+    "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
+    "op10_simhash": op10_simhash,
 }
 
 ORACLE: dict[str, str] = {}
