@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from medallion_ops.llm.ann import search
 from medallion_ops.llm.common import table
 from medallion_ops.llm.decontaminate import scan_benchmark
 from medallion_ops.llm.mixing import mix_to_weights
@@ -26,6 +27,11 @@ def op1_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows by inner product of every row whose vec_id is divisible by 20."""
+    return search(table(spark, sf_dir, "embeddings"), k=20)
+
+
 def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document, scanned once per distinct content."""
     docs = table(spark, sf_dir, "documents")
@@ -61,6 +67,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_to_weights": op1_mix_to_weights,
+    "op3_adaptive_scan": op3_adaptive_scan,
     "op4_secret_ledger": op4_secret_ledger,
     "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
