@@ -11,6 +11,7 @@ from medallion_ops.llm.decontaminate import scan_benchmark
 from medallion_ops.llm.mixing import mix_to_weights
 from medallion_ops.llm.secret_ledger import RULES, scan_versions
 from medallion_ops.llm.simhash import near_duplicates
+from medallion_ops.llm.toxicity import fit_toxicity, score_toxicity
 from medallion_ops.llm.token_files import read_index, write_token_files
 
 
@@ -43,6 +44,20 @@ def op4_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.sha2(spans.cast("binary"), 256).alias("base_sha256"), spans.alias("spans"))
 
 
+def remainder(modulus: int):
+    """crc32 of doc_id as text, modulo ``modulus``: which rows labels are learned from."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels are learned where the remainder modulo 5 is not 0."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), learn=remainder(5) != 0)
+    scored = score_toxicity(docs, model, keep=["doc_id"], score_col="score")
+    return scored.select("doc_id", (remainder(5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token files, read back document by document."""
     folder, manifest = write_token_files(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
@@ -69,6 +84,7 @@ QUERIES = {
     "op1_mix_to_weights": op1_mix_to_weights,
     "op3_adaptive_scan": op3_adaptive_scan,
     "op4_secret_ledger": op4_secret_ledger,
+    "op5_toxicity": op5_toxicity,
     "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
     "op10_simhash": op10_simhash,
