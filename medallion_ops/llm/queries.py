@@ -9,10 +9,12 @@ from medallion_ops.llm.ann import search
 from medallion_ops.llm.common import table
 from medallion_ops.llm.decontaminate import scan_benchmark
 from medallion_ops.llm.mixing import mix_to_weights
+from medallion_ops.llm.quality_crf import fit_quality, score_quality
 from medallion_ops.llm.secret_ledger import RULES, scan_versions
 from medallion_ops.llm.simhash import near_duplicates
-from medallion_ops.llm.toxicity import fit_toxicity, score_toxicity
+from medallion_ops.llm.token_counts import count_tokens, ranked_vocabulary
 from medallion_ops.llm.token_files import read_index, write_token_files
+from medallion_ops.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -58,6 +60,21 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram token counts of every document."""
+    return count_tokens(table(spark, sf_dir, "documents"), ranked_vocabulary(tokenizer_path("piece_bpe_32k.model")),
+                        keep=["doc_id"])
+
+
+def op7_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; labels are learned where the remainder modulo 4 is not 2."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"), learn=remainder(4) != 2)
+    scored = score_quality(docs, model, keep=["doc_id"], score_col="score")
+    return scored.select("doc_id", (remainder(4) == 2).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token files, read back document by document."""
     folder, manifest = write_token_files(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
@@ -85,6 +102,8 @@ QUERIES = {
     "op3_adaptive_scan": op3_adaptive_scan,
     "op4_secret_ledger": op4_secret_ledger,
     "op5_toxicity": op5_toxicity,
+    "op6_token_counts": op6_token_counts,
+    "op7_quality_crf": op7_quality_crf,
     "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
     "op10_simhash": op10_simhash,

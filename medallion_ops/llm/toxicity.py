@@ -46,6 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion_ops.llm.common import col, text_chunks
+from medallion_ops.llm.learning import labelled_sample, platt
 
 SYMBOLS = 31                     # 0: no letter, 1-26: a-z, 27-30: other letters
 GAP = 3                          # neighbours of a subsequence stand at most so far apart
@@ -146,6 +147,20 @@ def feature_matrix(batch: list[str], table: np.ndarray) -> np.ndarray:
     return out / np.where(norm > 0, norm, 1)
 
 
+def kernel(batch: list[str], base: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Kernel values of mentions (first windows) with the rows of ``base``."""
+    across = np.ascontiguousarray(base.T)
+    out = np.zeros((len(batch), len(base)))
+    for owner, m in codes([t[:WIDTH] for t in batch], table):
+        for at in range(0, len(m), 1024):
+            row, code, w = weighted(subsequences(m[at:at + 1024]))
+            if len(row):
+                first = np.flatnonzero(np.diff(row, prepend=-1))
+                norm = np.sqrt(np.add.reduceat(w * w, first))[:, None]
+                out[owner[at + row[first]]] = np.add.reduceat(across[code] * w[:, None].astype(np.float32), first) / norm
+    return out
+
+
 def decisions(batch: list[str], table: np.ndarray, weights: np.ndarray, bias: float) -> np.ndarray:
     """Decision value of each mention: normalised subsequence vector times the collapsed weights."""
     out = np.full(len(batch), -np.inf)
@@ -175,35 +190,29 @@ def linear_svm(x: np.ndarray, y: np.ndarray, c: float) -> tuple[np.ndarray, floa
     return w[:-1], float(w[-1])
 
 
-def platt(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """a, b of P(1 | f) = 1 / (1 + exp(-(a f + b))), with Platt's smoothed targets; classes weigh alike."""
-    pos, neg = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    t = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    weight = np.where(y > 0, 0.5 / pos, 0.5 / neg) * len(y)
-    a, b = 1.0, 0.0
-    for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(a * f + b, -35, 35)))
-        g = weight * (p - t)
-        h = weight * p * (1 - p) + 1e-9
-        grad = np.array([(g * f).sum() + 1e-3 * a, g.sum()])
-        hess = np.array([[(h * f * f).sum() + 1e-3, (h * f).sum()], [(h * f).sum(), h.sum() + 1e-6]])
-        step = np.linalg.solve(hess, grad)
-        a, b = a - step[0], b - step[1]
-        if np.abs(step).max() < 1e-8:
-            break
-    return float(a), float(b)
-
+def first_guess(toxic: list[list[str]], clean: list[list[str]]) -> list[list[str]]:
+    """The mentions of each toxic document that look toxic before any training.
 
-def _first_guess(toxic: list[list[str]], clean: list[list[str]]) -> dict[str, float]:
-    """Log-odds of character 4-grams between toxic and clean documents, to pick the first worst mentions."""
-    def spread(docs):
-        seen = Counter()
+    They hold a character 4-gram that is in significantly more toxic than
+    clean documents (z of 6 for equal shares) and at least ten times as
+    often; a document without such a mention gives its best one.
+    """
+    grams = lambda w: {f" {w} "[i:i + 4] for i in range(max(1, len(w) - 1))}
+    count = []
+    for docs in (toxic, clean):
+        seen: Counter = Counter()
         for words in docs:
-            seen.update({f" {w} "[i:i + 4] for w in words for i in range(len(w) - 1)})
-        return seen
-    bad, good = spread(toxic), spread(clean)
-    return {g: np.log((n + 0.1) / (len(toxic) + 1)) - np.log((good[g] + 0.1) / (len(clean) + 1)) + 0.15 * np.log(n)
-            for g, n in bad.items() if n >= 3}
+            seen.update(set().union(*map(grams, words)))
+        count.append(seen)
+    p, n = len(toxic), len(clean)
+    score = {}
+    for g, k in count[0].items():
+        other = count[1][g]
+        share = (k + other) / (p + n)
+        z = (k / p - other / n) / np.sqrt(share * (1 - share) * (1 / p + 1 / n) + 1e-12)
+        score[g] = z if k / p >= 10 * other / n else min(z, 0.0)
+    odds = {w: max(score[g] for g in grams(w)) for words in toxic for w in words}
+    return [[w for w in words if odds[w] >= 6] or [max(words, key=odds.__getitem__)] for words in toxic]
 
 
 def train(documents: list[tuple[str, int]], landmarks: int = 256, rounds: int = 4, seed: int = 5) -> dict | None:
@@ -218,35 +227,37 @@ def train(documents: list[tuple[str, int]], landmarks: int = 256, rounds: int =
     toxic, clean = split[1], split[0]
     if not toxic or not clean:
         return None
-    guess = _first_guess(toxic, clean)
-    odds = lambda w: max((guess.get(f" {w} "[i:i + 4], -9.0) for i in range(len(w) - 1)), default=-9.0)
-    worst = [max(words, key=odds) for words in toxic]
+    guess = first_guess(toxic, clean)
+    worst = [w for words in guess for w in words]
     pool = sorted({w for words in clean for w in words})
     negative = [pool[i] for i in rng.choice(len(pool), min(6000, len(pool)), replace=False)]
+    sample, hard = len(negative), []
     vocabulary = sorted({w for words in toxic for w in words})
     where = {w: i for i, w in enumerate(vocabulary)}
-    weights, bias = np.zeros(SYMBOLS ** 3), 0.0
+    weights, bias, taken = np.zeros(SYMBOLS ** 3), 0.0, set(pool)
     for r in range(rounds):
-        counts = Counter(worst)
+        counts = Counter(w for w in worst if w not in taken or len(toxic) < 50)
+        counts = counts or Counter(worst)
         marks = [w for w, _ in counts.most_common(landmarks * 5 // 8)]
-        hard = negative[6000:][-landmarks // 4:] if len(negative) > 6000 else []
-        marks = list(dict.fromkeys([*marks, *hard, *negative[:landmarks - len(marks) - len(hard)]]))
+        marks = list(dict.fromkeys([*marks, *hard[:landmarks // 4], *negative[:landmarks]]))[:landmarks]
         base = feature_matrix(marks, table)
         values, vectors = np.linalg.eigh((base @ base.T).astype(np.float64))
         good = values > 1e-6
         white = vectors[:, good] / np.sqrt(values[good])
         bad = list(counts)
-        rows = [*bad, *negative]
-        x = np.concatenate([feature_matrix(rows[i:i + 1024], table) @ base.T for i in range(0, len(rows), 1024)]) @ white
+        x = kernel([*bad, *negative], base, table) @ white
         y = np.concatenate([np.ones(len(bad)), -np.ones(len(negative))])
         w, bias = linear_svm(x, y, c=200.0)
         weights = base.T.astype(np.float64) @ (white @ w)
         f = decisions(vocabulary, table, weights, bias)
-        worst = [words[int(np.argmax(f[[where[w] for w in words]]))] for words in toxic]
+        best = [words[int(np.argmax(f[[where[w] for w in words]]))] for words in toxic]
+        worst = [w for words in guess for w in words if len(words) > 1] + best
         if r + 1 < rounds:
             g = decisions(pool, table, weights, bias)
             known = set(negative)
-            negative += [pool[i] for i in np.argsort(-g)[:500] if pool[i] not in known]
+            hard = [pool[i] for i in np.argsort(-g)[:500]]
+            negative = negative[:sample] + [w for w in dict.fromkeys([*hard, *negative[sample:]]) if w not in known
+                                            or w in negative[sample:]]
     place = {w: i for i, w in enumerate(pool)}
     g = decisions(pool, table, weights, bias)
     top = [max(f[[where[w] for w in words]]) for words in toxic] + [max(g[[place[w] for w in words]]) for words in clean]
@@ -254,28 +265,6 @@ def train(documents: list[tuple[str, int]], landmarks: int = 256, rounds: int =
     return {"weights": weights.astype(np.float32), "bias": bias, "a": a, "b": b, "table": table}
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column, most: dict[int, int],
-                    id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
-    """(text, label) of at most ``most[label]`` documents per label, chosen by a hash of the id.
-
-    ``learn`` is a condition on the id column. Ids are chosen among the
-    narrow rows; only the chosen texts are read to the driver.
-    """
-    ids = docs.select(col(id_col).alias(id_col)).where(learn).distinct()
-    known = labels.select(col(id_col).alias(id_col), col(label_col).cast("int").alias("label")).where("label in (0, 1)")
-    known = known.groupBy(id_col).agg(F.max("label").alias("label")).join(ids, id_col, "left_semi")
-    chosen = []
-    for label, n in most.items():
-        rows = known.where(F.col("label") == label).orderBy(F.xxhash64(id_col), id_col).limit(n).collect()
-        chosen += [(r[id_col], label) for r in rows]
-    if not chosen:
-        return []
-    picked = docs.sparkSession.createDataFrame(chosen, f"{id_col} bigint, label int")
-    rows = docs.select(col(id_col).cast("bigint").alias(id_col), col(text_col).cast("string").alias("text"))
-    found = rows.join(F.broadcast(picked), id_col).select(id_col, "text", "label").collect()    # as many as chosen
-    return [(r["text"], r["label"]) for r in sorted(found, key=lambda r: (r[id_col], r["text"] or ""))]
-
-
 def _score(model, keep: list[str], text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
