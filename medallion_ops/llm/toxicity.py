@@ -51,6 +51,7 @@ from medallion_ops.llm.learning import labelled_sample, platt
 SYMBOLS = 31                     # 0: no letter, 1-26: a-z, 27-30: other letters
 GAP = 3                          # neighbours of a subsequence stand at most so far apart
 DECAY = 0.6
+COST = 3_000.0 # of the SVM's errors
 WIDTH = 24                       # longer mentions are read in windows of this width, half overlapping
 CACHE = 200_000                  # distinct mentions a task remembers
 SLICE = 4 << 20
@@ -172,10 +173,14 @@ def decisions(batch: list[str], table: np.ndarray, weights: np.ndarray, bias: fl
     return np.where(np.isfinite(out), out, bias)
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, c: float) -> tuple[np.ndarray, float]:
-    """L2-regularised squared-hinge SVM by Newton steps on the active examples; classes weigh alike."""
+def linear_svm(x: np.ndarray, y: np.ndarray, often: np.ndarray, c: float) -> tuple[np.ndarray, float]:
+    """L2-regularised squared-hinge SVM by Newton steps on the active examples.
+
+    An example weighs as ``often`` as it occurs; the classes weigh alike.
+    """
     ones = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    cost = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())) * c
+    share = [often[y == k].sum() or 1.0 for k in (-1, 1)]
+    cost = often / np.where(y > 0, share[1], share[0]) * c / 2
     w = np.zeros(ones.shape[1])
     ridge = np.eye(len(w))
     ridge[-1, -1] = 1e-6
@@ -231,7 +236,7 @@ def train(documents: list[tuple[str, int]], landmarks: int = 256, rounds: int =
     worst = [w for words in guess for w in words]
     pool = sorted({w for words in clean for w in words})
     negative = [pool[i] for i in rng.choice(len(pool), min(6000, len(pool)), replace=False)]
-    sample, hard = len(negative), []
+    hard: list[str] = []
     vocabulary = sorted({w for words in toxic for w in words})
     where = {w: i for i, w in enumerate(vocabulary)}
     weights, bias, taken = np.zeros(SYMBOLS ** 3), 0.0, set(pool)
@@ -245,19 +250,19 @@ def train(documents: list[tuple[str, int]], landmarks: int = 256, rounds: int =
         good = values > 1e-6
         white = vectors[:, good] / np.sqrt(values[good])
         bad = list(counts)
-        x = kernel([*bad, *negative], base, table) @ white
-        y = np.concatenate([np.ones(len(bad)), -np.ones(len(negative))])
-        w, bias = linear_svm(x, y, c=200.0)
+        x = kernel([*bad, *map(".".join, bad), *negative], base, table) @ white      # spelled out with dots as well
+        y = np.concatenate([np.ones(2 * len(bad)), -np.ones(len(negative))])
+        seen = np.array([counts[w] for w in bad], np.float64)
+        often = np.concatenate([seen, 0.5 * seen, np.ones(len(negative))])
+        w, bias = linear_svm(x, y, often, c=COST)
         weights = base.T.astype(np.float64) @ (white @ w)
         f = decisions(vocabulary, table, weights, bias)
         best = [words[int(np.argmax(f[[where[w] for w in words]]))] for words in toxic]
         worst = [w for words in guess for w in words if len(words) > 1] + best
         if r + 1 < rounds:
             g = decisions(pool, table, weights, bias)
-            known = set(negative)
             hard = [pool[i] for i in np.argsort(-g)[:500]]
-            negative = negative[:sample] + [w for w in dict.fromkeys([*hard, *negative[sample:]]) if w not in known
-                                            or w in negative[sample:]]
+            negative = list(dict.fromkeys([*negative, *hard]))
     place = {w: i for i, w in enumerate(pool)}
     g = decisions(pool, table, weights, bias)
     top = [max(f[[where[w] for w in words]]) for words in toxic] + [max(g[[place[w] for w in words]]) for words in clean]
