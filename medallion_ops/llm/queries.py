@@ -15,6 +15,7 @@ from medallion_ops.llm.simhash import near_duplicates
 from medallion_ops.llm.token_counts import count_tokens, ranked_vocabulary
 from medallion_ops.llm.token_files import read_index, write_token_files
 from medallion_ops.llm.toxicity import fit_toxicity, score_toxicity
+from medallion_ops.llm.warc_derivatives import read_records, responses_of_pages, write_derivatives
 
 
 def tokenizer_path(name: str) -> str:
@@ -30,6 +31,12 @@ def op1_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page, written to files and read back."""
+    folder, index = write_derivatives(responses_of_pages(table(spark, sf_dir, "pages")))
+    return read_records(folder, index, blocks=False).drop("block")
+
+
 def op3_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest rows by inner product of every row whose vec_id is divisible by 20."""
     return search(table(spark, sf_dir, "embeddings"), k=20)
@@ -99,6 +106,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mix_to_weights": op1_mix_to_weights,
+    "op2_warc_derivatives": op2_warc_derivatives,
     "op3_adaptive_scan": op3_adaptive_scan,
     "op4_secret_ledger": op4_secret_ledger,
     "op5_toxicity": op5_toxicity,
