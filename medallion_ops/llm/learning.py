@@ -17,23 +17,26 @@ def worker_state(name: str) -> types.ModuleType:
     return sys.modules.setdefault(f"corpus_worker_{name}", types.ModuleType(f"corpus_worker_{name}"))
 
 
-def platt(f: np.ndarray, y: np.ndarray, share: float = 0.5) -> tuple[float, float]:
-    """a, b of P(1 | f) = 1 / (1 + exp(-(a f + b))), with Platt's smoothed targets; label 1 weighs ``share`` in all."""
+def logistic(x: np.ndarray, y: np.ndarray, share: float = 0.5) -> np.ndarray:
+    """w of P(1 | x) = 1 / (1 + exp(-(w[:-1] x + w[-1]))), with Platt's smoothed targets.
+
+    Label 1 weighs ``share`` in all; Newton steps with a small ridge.
+    """
     pos, neg = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    t = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
+    target = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
     weight = np.where(y > 0, share / pos, (1 - share) / neg) * len(y)
-    a, b = 1.0, 0.0
+    ones = np.concatenate([x.reshape(len(y), -1), np.ones((len(y), 1))], axis=1)
+    ridge = np.full(ones.shape[1], 1e-3)
+    w = np.zeros(ones.shape[1])
     for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(a * f + b, -35, 35)))
-        g = weight * (p - t)
-        h = weight * p * (1 - p) + 1e-9
-        grad = np.array([(g * f).sum() + 1e-3 * a, g.sum()])
-        hess = np.array([[(h * f * f).sum() + 1e-3, (h * f).sum()], [(h * f).sum(), h.sum() + 1e-6]])
+        p = 1 / (1 + np.exp(-np.clip(ones @ w, -35, 35)))
+        grad = ones.T @ (weight * (p - target)) + ridge * w
+        hess = (ones * (weight * p * (1 - p) + 1e-9)[:, None]).T @ ones + np.diag(ridge)
         step = np.linalg.solve(hess, grad)
-        a, b = a - step[0], b - step[1]
+        w = w - step * min(1.0, 10 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-8:
             break
-    return float(a), float(b)
+    return w
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, learn: Column, most: dict[int, int],

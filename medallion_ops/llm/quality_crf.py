@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion_ops.llm.common import col, text_chunks
-from medallion_ops.llm.learning import labelled_sample, platt
+from medallion_ops.llm.learning import labelled_sample, logistic
 
 SLICE = 2 << 20
 PADDED = 1 << 16               # lines, padding included, that are run through the chain at once
@@ -204,8 +204,8 @@ def train(documents: list[tuple[str, int]], share: float) -> dict | None:
     x = with_neighbours(own, first)
     theta, trans = fit_chain(x, first, labels)
     f = _means(good_lines(x, first, theta, trans), long, first)
-    a, b = platt(f, labels, share)
-    return {"theta": theta, "trans": trans, "a": a, "b": b, "table": table}
+    a, b = logistic(f, labels, share)
+    return {"theta": theta, "trans": trans, "a": float(a), "b": float(b), "table": table}
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, learn: Column, max_good: int = 1500, max_bad: int = 1000,

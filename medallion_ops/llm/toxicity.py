@@ -10,16 +10,17 @@ insult's subsequences in common.
 
 Nystroem: features of a mention are its kernel values with ``landmarks``
 training mentions, whitened by the landmarks' own kernel matrix. A linear
-SVM (squared hinge, Newton steps) is trained on them. A sentence is as bad
-as its worst mention and a document as its worst sentence; only documents
-are labelled, so training alternates (multiple-instance SVM): the worst
-mentions of the toxic sentences are the positive examples, mentions of
-clean sentences the negative ones, the hardest added each round. Platt's
-method maps the worst decision value to a probability.
+SVM (squared hinge, Newton steps) is trained on them. Sentences are as bad as
+their mentions; only documents are labelled, so training alternates
+(multiple-instance SVM): the worst mentions of the toxic documents'
+sentences are the positive examples, mentions of clean sentences the
+negative ones, the hardest added each round. Platt's method maps a
+document's two worst decision values to a probability (a single accidental
+likeness is weaker evidence than two).
 
 Scoring needs no kernel matrix: the decision function is a sum over
 landmarks, and the landmarks' subsequence weights add up to one table of
-31^3 entries (the same number, rearranged), looked up for the subsequences
+42^3 entries (the same number, rearranged), looked up for the subsequences
 of each distinct mention of a task, with its exact norm.
 
 The model is fitted on a bounded sample of labelled documents
@@ -35,7 +36,7 @@ empty table gives an empty result; other columns pass through unread.
 from __future__ import annotations
 
 import re
-import unicodedata
+import string
 from collections import Counter
 from collections.abc import Iterator
 
@@ -46,13 +47,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion_ops.llm.common import col, text_chunks
-from medallion_ops.llm.learning import labelled_sample, platt
+from medallion_ops.llm.learning import labelled_sample, logistic
 
-SYMBOLS = 31                     # 0: no letter, 1-26: a-z, 27-30: other letters
+SYMBOLS = 42                     # 0: no letter, 1-26: a-z, 27: start of a mention, 28-41: other letters
+START = 27
 GAP = 3                          # neighbours of a subsequence stand at most so far apart
 DECAY = 0.6
-COST = 3_000.0 # of the SVM's errors
+COST = 3_000.0                  # of the SVM's errors
+POWER = 0.5                      # a clean mention weighs as its document count to this power
+COMMON = 3                       # clean documents that make a mention ordinary, unless toxic ones have it LIFT times as often
+LIFT = 3.0                       # how much more often a first guess is in toxic documents
 WIDTH = 24                       # longer mentions are read in windows of this width, half overlapping
+MARKS = string.punctuation
 CACHE = 200_000                  # distinct mentions a task remembers
 SLICE = 4 << 20
 COMBOS = [(a, b, DECAY ** (a + b - 2)) for a in range(1, GAP + 1) for b in range(1, GAP + 1)]
@@ -61,13 +67,11 @@ SENTENCE = re.compile(r"[.!?\n]+(?:\s|$)")
 
 
 def symbol_table() -> np.ndarray:
-    """Symbol of each character of the basic plane: its base letter, one of four classes, or 0."""
+    """Symbol of each character of the basic plane: a letter a-z, one of fourteen classes of other letters, or 0."""
     out = np.zeros(1 << 16, np.uint8)
     for c in range(1 << 16):
-        if 0xD800 <= c < 0xE000:
-            continue
-        base = unicodedata.normalize("NFKD", chr(c))[0].lower()
-        out[c] = ord(base) - 96 if "a" <= base <= "z" else 27 + c % 4 if chr(c).isalpha() else 0
+        x = chr(c).lower()[0]
+        out[c] = ord(x) - 96 if "a" <= x <= "z" else 28 + ord(x) % 14 if x.isalpha() else 0
     return out
 
 
@@ -99,8 +103,10 @@ def codes(batch: list[str], table: np.ndarray) -> Iterator[tuple[np.ndarray, np.
         here = np.flatnonzero((size > lo) & (size <= hi))
         for at in range(0, len(here), 16384):
             part = here[at:at + 16384]
-            m = flat[begin[part][:, None] + np.arange(hi)].astype(np.int32)
-            m[np.arange(hi)[None, :] >= size[part][:, None]] = 0
+            m = np.zeros((len(part), hi + 1), np.int32)
+            m[:, 1:] = flat[begin[part][:, None] + np.arange(hi)]
+            m[:, 1:][np.arange(hi)[None, :] >= size[part][:, None]] = 0
+            m[:, 0] = np.where(begin[part] == starts[owner[part]], START, 0)
             yield owner[part], m
         lo = hi
 
@@ -162,15 +168,22 @@ def kernel(batch: list[str], base: np.ndarray, table: np.ndarray) -> np.ndarray:
     return out
 
 
-def decisions(batch: list[str], table: np.ndarray, weights: np.ndarray, bias: float) -> np.ndarray:
-    """Decision value of each mention: normalised subsequence vector times the collapsed weights."""
+def decisions(batch: list[str], table: np.ndarray, weights: np.ndarray, bias: float,
+              ordinary: frozenset[str] = frozenset()) -> np.ndarray:
+    """Decision value of each mention: normalised subsequence vector times the collapsed weights.
+
+    ``ordinary`` mentions, known from clean documents, are -1 however like an insult they look.
+    """
     out = np.full(len(batch), -np.inf)
     for owner, m in codes(batch, table):
         row, code, w = weighted(subsequences(m))
         dot = np.bincount(row, weights[code] * w, len(m))
         norm = np.sqrt(np.bincount(row, w * w, len(m)))
         np.maximum.at(out, owner, np.where(norm > 0, dot / np.where(norm > 0, norm, 1), 0.0) + bias)
-    return np.where(np.isfinite(out), out, bias)
+    out = np.where(np.isfinite(out), out, bias)
+    if ordinary:
+        out[[i for i, w in enumerate(batch) if w.strip(MARKS) in ordinary]] = -1.0
+    return out
 
 
 def linear_svm(x: np.ndarray, y: np.ndarray, often: np.ndarray, c: float) -> tuple[np.ndarray, float]:
@@ -196,13 +209,13 @@ def linear_svm(x: np.ndarray, y: np.ndarray, often: np.ndarray, c: float) -> tup
 
 
 def first_guess(toxic: list[list[str]], clean: list[list[str]]) -> list[list[str]]:
-    """The mentions of each toxic document that look toxic before any training.
+    """The mentions of each toxic document that look toxic before any training, perhaps none.
 
-    They hold a character 4-gram that is in significantly more toxic than
-    clean documents (z of 6 for equal shares) and at least ten times as
-    often; a document without such a mention gives its best one.
+    They hold a run of 4 to 6 characters (the start of the mention is one)
+    that is in significantly more toxic than clean documents: z of 6 for
+    equal shares and ten times as often, or z of 12 and ``LIFT`` times.
     """
-    grams = lambda w: {f" {w} "[i:i + 4] for i in range(max(1, len(w) - 1))}
+    grams = lambda w: {f" {w} "[i:i + n] for n in (4, 5, 6) for i in range(max(1, len(w) + 3 - n))}
     count = []
     for docs in (toxic, clean):
         seen: Counter = Counter()
@@ -210,39 +223,47 @@ def first_guess(toxic: list[list[str]], clean: list[list[str]]) -> list[list[str
             seen.update(set().union(*map(grams, words)))
         count.append(seen)
     p, n = len(toxic), len(clean)
-    score = {}
+    sure = set()
     for g, k in count[0].items():
         other = count[1][g]
         share = (k + other) / (p + n)
         z = (k / p - other / n) / np.sqrt(share * (1 - share) * (1 / p + 1 / n) + 1e-12)
-        score[g] = z if k / p >= 10 * other / n else min(z, 0.0)
-    odds = {w: max(score[g] for g in grams(w)) for words in toxic for w in words}
-    return [[w for w in words if odds[w] >= 6] or [max(words, key=odds.__getitem__)] for words in toxic]
+        if k / p >= (LIFT if z >= 12 else 10) * other / n and z >= 6:
+            sure.add(g)
+    looks = {w: not sure.isdisjoint(grams(w)) for w in {w for words in toxic for w in words}}
+    return [[w for w in words if looks[w]] for words in toxic]
 
 
-def train(documents: list[tuple[str, int]], landmarks: int = 256, rounds: int = 4, seed: int = 5) -> dict | None:
+def train(documents: list[tuple[str, int]], landmarks: int = 400, rounds: int = 4, seed: int = 5) -> dict | None:
     """Fits the model on (text, toxic) pairs; None unless both kinds are there."""
     table = symbol_table()
     rng = np.random.default_rng(seed)
-    split = {0: [], 1: []}
+    said: dict[int, list[list[str]]] = {0: [], 1: []}
     for text, label in documents:
-        words = sorted({w for s in SENTENCE.split(text or "") for w in mentions(s)})
+        words = [w for s in SENTENCE.split(text or "") for w in mentions(s)]
         if words:
-            split[int(label)].append(words)
-    toxic, clean = split[1], split[0]
+            said[int(label)].append(words)
+    toxic, clean = ([sorted(set(words)) for words in said[k]] for k in (1, 0))
     if not toxic or not clean:
         return None
-    guess = first_guess(toxic, clean)
-    worst = [w for words in guess for w in words]
-    pool = sorted({w for words in clean for w in words})
+    usual = Counter(w for words in clean for w in words)
+    pool = sorted(usual)
+    often_clean = np.log2(1.0 + np.array([usual[w] for w in pool]))
     negative = [pool[i] for i in rng.choice(len(pool), min(6000, len(pool)), replace=False)]
     hard: list[str] = []
     vocabulary = sorted({w for words in toxic for w in words})
     where = {w: i for i, w in enumerate(vocabulary)}
-    weights, bias, taken = np.zeros(SYMBOLS ** 3), 0.0, set(pool)
+    blamed = Counter(w for words in toxic for w in {w.strip(MARKS) for w in words})
+    plain = Counter(w for words in clean for w in {w.strip(MARKS) for w in words})
+    ordinary = frozenset(w for w, n in plain.items()
+                         if n >= COMMON and blamed[w] / len(toxic) < LIFT * n / len(clean))
+    guess = [[w for w in words if w.strip(MARKS) not in ordinary] for words in first_guess(toxic, clean)]
+    worst = [w for words in guess for w in words]
+    weights, bias = np.zeros(SYMBOLS ** 3), 0.0
     for r in range(rounds):
-        counts = Counter(w for w in worst if w not in taken or len(toxic) < 50)
-        counts = counts or Counter(worst)
+        counts = Counter(worst)
+        if not counts:
+            return None
         marks = [w for w, _ in counts.most_common(landmarks * 5 // 8)]
         marks = list(dict.fromkeys([*marks, *hard[:landmarks // 4], *negative[:landmarks]]))[:landmarks]
         base = feature_matrix(marks, table)
@@ -253,21 +274,35 @@ def train(documents: list[tuple[str, int]], landmarks: int = 256, rounds: int =
         x = kernel([*bad, *map(".".join, bad), *negative], base, table) @ white      # spelled out with dots as well
         y = np.concatenate([np.ones(2 * len(bad)), -np.ones(len(negative))])
         seen = np.array([counts[w] for w in bad], np.float64)
-        often = np.concatenate([seen, 0.5 * seen, np.ones(len(negative))])
+        often = np.concatenate([seen, 0.5 * seen, [usual[w] ** POWER for w in negative]])
         w, bias = linear_svm(x, y, often, c=COST)
         weights = base.T.astype(np.float64) @ (white @ w)
-        f = decisions(vocabulary, table, weights, bias)
+        f = decisions(vocabulary, table, weights, bias, ordinary)
         best = [words[int(np.argmax(f[[where[w] for w in words]]))] for words in toxic]
-        worst = [w for words in guess for w in words if len(words) > 1] + best
+        worst = [w for words in guess for w in words] + [w for w in best if f[where[w]] > 0]
         if r + 1 < rounds:
-            g = decisions(pool, table, weights, bias)
-            hard = [pool[i] for i in np.argsort(-g)[:500]]
+            g = decisions(pool, table, weights, bias, ordinary)
+            hard = [pool[i] for i in np.argsort(-(np.maximum(g, -0.5) + 0.5) * often_clean)[:500]]
             negative = list(dict.fromkeys([*negative, *hard]))
-    place = {w: i for i, w in enumerate(pool)}
-    g = decisions(pool, table, weights, bias)
-    top = [max(f[[where[w] for w in words]]) for words in toxic] + [max(g[[place[w] for w in words]]) for words in clean]
-    a, b = platt(np.array(top), np.array([1] * len(toxic) + [0] * len(clean)))
-    return {"weights": weights.astype(np.float32), "bias": bias, "a": a, "b": b, "table": table}
+    value = dict(zip(vocabulary, f.tolist())) | dict(zip(pool, decisions(pool, table, weights, bias, ordinary).tolist()))
+    top = np.array([worst_two(words, value) for words in said[1] + said[0]])
+    w = logistic(top, np.array([1] * len(toxic) + [0] * len(clean)))
+    return {"weights": weights.astype(np.float32), "bias": bias, "w": w, "table": table,
+            "ordinary": ordinary}
+
+
+def worst_two(words: list[str], value: dict[str, float]) -> tuple[float, float]:
+    """Decision values of the two worst mentions; one that is said twice is both."""
+    first, second, worst = -np.inf, -np.inf, ""
+    for w in set(words):
+        f = value[w]
+        if f > first:
+            first, second, worst = f, first, w
+        elif f > second:
+            second = f
+    if words.count(worst) > 1 or len(words) == 1:
+        second = first
+    return first, second
 
 
 def _score(model, keep: list[str], text: str):
@@ -275,21 +310,22 @@ def _score(model, keep: list[str], text: str):
         own = model.value
         known: dict[str, float] = {}
         for batch in text_chunks(batches, text, SLICE):
-            words = [set(mentions(t)) for t in batch.column(text).to_pylist()]
-            new = [w for w in set().union(*words) if w not in known]
+            words = [mentions(t) for t in batch.column(text).to_pylist()]
+            every = set().union(*words)
+            new = [w for w in every if w not in known]
             if len(known) + len(new) > CACHE:
                 known.clear()
-                new = list(set().union(*words))
+                new = list(every)
             if new:
-                known.update(zip(new, decisions(new, own["table"], own["weights"], own["bias"]).tolist()))
-            f = np.array([max(map(known.__getitem__, w)) if w else own["bias"] for w in words])
-            score = 1 / (1 + np.exp(-np.clip(own["a"] * f + own["b"], -35, 35)))
+                known.update(zip(new, decisions(new, own["table"], own["weights"], own["bias"], own["ordinary"]).tolist()))
+            f = np.array([worst_two(w, known) if w else (own["bias"],) * 2 for w in words])
+            score = 1 / (1 + np.exp(-np.clip(f @ own["w"][:2] + own["w"][2], -35, 35)))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(score)],
                                              names=[*keep, "toxicity"])
     return run
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, max_toxic: int = 2000, max_clean: int = 4000,
+def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, max_toxic: int = 1500, max_clean: int = 3000,
                  label_col: str = "toxic", **cols) -> dict | None:
     """Trains on at most ``max_toxic`` + ``max_clean`` labelled documents that meet ``learn``."""
     return train(labelled_sample(docs, labels, label_col, learn, {1: max_toxic, 0: max_clean}, **cols))
