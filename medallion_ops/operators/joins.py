@@ -1,29 +1,18 @@
-"""Join helpers: size-checked broadcast, row-preserving guard, row-number join."""
+"""Join helpers: lookups by USING, anti joins, row-preserving guard, row-number join.
+
+No broadcast hints: the planner broadcasts a side when its file size (or,
+with adaptive execution, its size at run time) is under the session's
+threshold, and joins by sort-merge otherwise.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-# A side is broadcast only when it provably has at most this many rows.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a bounded job), so a side
-    that grows with the data falls back to a shuffled join that AQE may
-    still turn into a broadcast at run time.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
-def left_join_using(left: DataFrame, right: DataFrame, keys, broadcast_rows: int | None = None) -> DataFrame:
+def left_join_using(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     """Left outer join on same-named key columns (``USING``)."""
-    if broadcast_rows is not None:
-        right = broadcast_if_small(right, broadcast_rows)
     return left.join(right, keys, "left")
 
 

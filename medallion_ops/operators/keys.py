@@ -3,20 +3,17 @@
 ``row_number() over (order by k)`` plans ``Exchange SinglePartition``: the
 whole table passes through one task. Here the same numbers come from
 
-1. a bounded sample of the sort key, cut into ``buckets`` ranges of about
-   ``ROWS_PER_BUCKET`` rows (the boundary list is a small control value;
-   a frame that fits one bucket skips the sampling and counting jobs);
-2. ``bucket`` = how many boundaries are <= the row's key, written as a
-   balanced CASE tree over the literal boundaries (log2(buckets)
-   comparisons per row, computed from the value, so re-evaluating a
-   partition cannot move a row to another bucket);
-3. ``row_number()`` partitioned by bucket: one shuffle, range-balanced;
-4. per-bucket counts (one row per bucket), prefix-summed and inlined as a
-   literal array: ``sk = start - 1 + offset[bucket] + rn``.
-
-Rows with equal sort keys may straddle buckets only through ``tie_break``
-columns, which are part of the order; with them a hot key spreads over
-many buckets instead of landing in one task.
+1. one range shuffle on the key and the tie-break, stored with each row's
+   partition number: all rows of partition p sort before those of p + 1;
+2. the rows per partition, prefix-summed: a table with one row per
+   partition, stored as well;
+3. ``row_number()`` within each partition plus the partition's offset.
+
+The same plan runs at every size; the number of partitions is the session's
+shuffle parallelism (adaptive execution coalesces small ones before the
+numbers are taken). Rows with equal keys share a partition unless
+``tie_break`` columns, which are part of the order, tell them apart; with
+them a hot key spreads over as many partitions as its rows need.
 """
 
 from __future__ import annotations
@@ -24,11 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from medallion_ops.session import materialize_counted
-
-ROWS_PER_BUCKET = 1_000_000     # rows one task numbers (one sorted run)
-MAX_BUCKETS = 2048
-SAMPLE_PER_BUCKET = 32
+from medallion_ops.session import materialize
 
 
 def _cols(items) -> list[Column]:
@@ -36,71 +29,29 @@ def _cols(items) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in items]
 
 
-def _bucket_expr(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
-    """Number of ``bounds[lo:hi]`` that are <= key, plus ``lo``."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(key >= bounds[mid], _bucket_expr(key, bounds, mid + 1, hi)) \
-            .otherwise(_bucket_expr(key, bounds, lo, mid))
-
-
 def dense_surrogate_key(df: DataFrame, order_cols, name: str = "sk", start: int = 1,
-                        tie_break=None, buckets: int | None = None,
-                        materialize_input: bool = False) -> DataFrame:
+                        tie_break=None, partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 1-based rank of each row under ``order_cols`` (asc, nulls first).
 
     Equals ``row_number() over (order by order_cols, tie_break)`` plus
-    ``start - 1``; the new column comes first. The frame is read by the
-    counting, sampling, bucket-count and final jobs, so it must be
-    deterministic: a stored table, or pass ``materialize_input=True`` for a
-    computed frame (it is then written once to the shared folder).
+    ``start - 1``; the new column comes first. ``df`` is computed twice (the
+    range sample reads only what the keys need, then the stored pass), never
+    after that; ``partitions`` overrides the shuffle parallelism.
     """
-    if materialize_input:
-        df, total = materialize_counted(df, "sk_input")
-    else:
-        total = df.count()
-    order = _cols(order_cols) + _cols(tie_break or [])
-    n_buckets = buckets or min(MAX_BUCKETS, max(1, -(-total // ROWS_PER_BUCKET)))
-    names = [f"__k{i}" for i in range(len(order))]
-    keyed = df.withColumns({n: c for n, c in zip(names, order)})
-    key = F.struct(*[F.col(n) for n in names])
-    types = {f.name: f.dataType for f in keyed.schema.fields}
-
-    bounds: list[Column] = []
-    if total > 0 and n_buckets > 1:
-        want = n_buckets * SAMPLE_PER_BUCKET
-        frac = min(1.0, 2.0 * want / total)
-        sample = (keyed.select(*names).sample(False, frac, seed=7)
-                  .orderBy(*[F.col(n).asc_nulls_first() for n in names])
-                  .limit(4 * want).collect())
-        step = len(sample) / n_buckets
-        picked, seen = [], set()
-        for i in range(1, n_buckets):
-            row = tuple(sample[int(i * step)]) if sample else None
-            if row is not None and row not in seen:
-                seen.add(row)
-                picked.append(row)
-        bounds = [F.struct(*[F.lit(v).cast(types[n]).alias(n) for n, v in zip(names, row)])
-                  for row in picked]
-    bucket = _bucket_expr(key, bounds, 0, len(bounds))
-    keyed = keyed.withColumn("__bucket", bucket)
-
-    if bounds:
-        counts = {r["__bucket"]: r["n"] for r in
-                  keyed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
-    else:
-        counts = {0: total}
-    offsets, acc = [], 0
-    for b in range(len(bounds) + 1):
-        offsets.append(acc)
-        acc += counts.get(b, 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]),
-                          F.col("__bucket") + 1)
-
-    w = Window.partitionBy("__bucket").orderBy(*[F.col(n).asc_nulls_first() for n in names])
-    out = keyed.withColumn(
-        name, (F.lit(start - 1).cast("bigint") + offset + F.row_number().over(w)).cast("bigint"))
+    names = [f"__k{i}" for i in range(len(_cols(order_cols)) + len(_cols(tie_break or [])))]
+    keyed = df.withColumns(dict(zip(names, _cols(order_cols) + _cols(tie_break or []))))
+    order = [F.col(n).asc_nulls_first() for n in names]
+    dealt = keyed.repartitionByRange(partitions, *order) if partitions else keyed.repartitionByRange(*order)
+    stored = materialize(dealt.withColumn("__part", F.spark_partition_id()), "sk_input")
+
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)     # a row per partition
+    sizes = stored.groupBy("__part").agg(F.count(F.lit(1)).alias("n"))
+    offsets = materialize(sizes.select("__part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__before")),
+                          "sk_offsets")
+
+    ranked = stored.withColumn("__rn", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
+    out = ranked.join(offsets, "__part").withColumn(
+        name, (F.lit(start - 1).cast("bigint") + F.col("__before") + F.col("__rn")).cast("bigint"))
     return out.select(name, *[F.col(f"`{c}`") for c in df.columns])
 
 
@@ -117,5 +68,5 @@ def extend_surrogate_keys(existing: DataFrame, incoming: DataFrame, key: str, na
     cols = [c for c in incoming.columns]
     kept = incoming.join(known, key, "inner").select(name, *cols)
     new = incoming.join(known.select(key), key, "left_anti")
-    added = dense_surrogate_key(new, [key], name=name, start=max_sk + 1, materialize_input=True)
+    added = dense_surrogate_key(new, [key], name=name, start=max_sk + 1)
     return kept.unionByName(added.select(name, *cols))

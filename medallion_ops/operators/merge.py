@@ -2,8 +2,8 @@
 
 Plain Parquet has no MERGE, so the merged table is expressed as a relation:
 ``source  UNION ALL  (target LEFT ANTI JOIN source ON keys)``. Both sides
-shuffle once on the keys (or the source is broadcast by AQE when it is a
-small batch); nothing is rewritten in place, so a failed run leaves the
+shuffle once on the keys (or the source is broadcast when its size is under
+the planner's threshold); nothing is rewritten in place, so a failed run leaves the
 old table intact and a rerun gives the same result.
 """
 
@@ -36,47 +36,46 @@ def assert_unique(df: DataFrame, keys, what: str = "source") -> None:
         raise DuplicateKeyError(f"{what} has duplicate keys, e.g. {dup[0].asDict()}")
 
 
-def upsert(target: DataFrame, source: DataFrame, keys, check_unique: bool = True,
-           broadcast_rows: int | None = 2_000_000) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys, check_unique: bool = True) -> DataFrame:
     """Rows of ``source`` replace same-key rows of ``target``; the rest is inserted.
 
     Stricter than MERGE: any duplicate source key raises (MERGE rejects only
     duplicates that match). Null keys never match, so they are inserted and
-    target rows with null keys are kept. A source of at most
-    ``broadcast_rows`` rows (checked) has its keys broadcast, so the target
-    is streamed through the anti join without being shuffled; a larger one
-    is joined by sort-merge.
+    target rows with null keys are kept. The planner decides from sizes
+    whether the source's keys are broadcast or both sides are sorted.
     """
-    from medallion_ops.operators.joins import broadcast_if_small
-
     keys = [keys] if isinstance(keys, str) else list(keys)
     assert_same_columns(target, source)
     if check_unique:
         assert_unique(source, keys)
     cols = target.columns
-    source_keys = source.select(*keys)
-    if broadcast_rows is not None:
-        source_keys = broadcast_if_small(source_keys, broadcast_rows)
-    kept = target.join(source_keys, keys, "left_anti")
+    kept = target.join(source.select(*keys), keys, "left_anti")
     return source.select(*cols).unionByName(kept.select(*cols))
 
 
-# Most partitions one upsert may touch; their values are collected as a filter.
-MAX_TOUCHED_PARTITIONS = 100_000
+def _drop_partition(spark, path: str, parts: list[str], values) -> None:
+    """Deletes one partition's folder of a Parquet table."""
+    jvm = spark.sparkContext._jvm
+    name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    folder = jvm.org.apache.hadoop.fs.Path("/".join(
+        [path.rstrip("/"), *[name(p, None if v is None else str(v)) for p, v in zip(parts, values)]]))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def upsert_partitioned(target_path: str, source: DataFrame, keys, partition_cols,
                        check_unique: bool = True) -> str:
-    """Upsert into a partitioned Parquet table, rewriting only the partitions ``source`` touches.
-
-    The touched partition values (a bounded control value, checked) become a
-    partition filter on the target scan (one IN-set per column: a superset
-    of the touched partitions for several columns, which only re-writes some
-    partitions unchanged), so untouched partitions are neither read nor
-    rewritten. The merged partitions are staged in the shared folder
-    (Spark cannot overwrite files it is reading) and then swapped in with a
-    dynamic partition overwrite. The partition columns must be a function of
-    the key: a row must never move between partitions.
+    """Upsert into a partitioned Parquet table, rewriting only the partitions it touches.
+
+    Touched are the partitions ``source`` falls into and those that hold the
+    present rows of its keys: a row whose partition changes (or that leaves
+    the null partition) is found where it lies now by a semi join on the
+    target's key and partition columns. Their values become a partition
+    filter on the target scan (the driver lists that many folders anyway to
+    plan it), so other partitions are neither read in full nor rewritten.
+    The merged partitions are staged in the shared folder (Spark cannot
+    overwrite files it is reading) and then swapped in with a dynamic
+    partition overwrite; partitions that lost all their rows are deleted
+    last. A run that fails in between is mended by running it again.
     """
     from medallion_ops.session import materialize
 
@@ -84,16 +83,25 @@ def upsert_partitioned(target_path: str, source: DataFrame, keys, partition_cols
     keys = [keys] if isinstance(keys, str) else list(keys)
     parts = [partition_cols] if isinstance(partition_cols, str) else list(partition_cols)
     target = spark.read.parquet(target_path)
-    touched = source.select(*parts).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-    if len(touched) > MAX_TOUCHED_PARTITIONS:
-        raise ValueError(f"source touches more than {MAX_TOUCHED_PARTITIONS} partitions; rewrite the table instead")
-    cond = F.lit(True)
-    for i, p in enumerate(parts):
-        values = {row[i] for row in touched}
-        c = F.col(p).isin([v for v in values if v is not None])
-        cond = cond & ((c | F.col(p).isNull()) if None in values else c)
-    merged = upsert(target.filter(cond), source.select(*target.columns), keys, check_unique)
-    staged = materialize(merged, "upsert_partitions")
+    source = source.select(*target.columns)
+    if check_unique:
+        assert_unique(source, keys)
+    present = target.select(*keys, *parts).join(source.select(*keys), keys, "left_semi").select(*parts)
+    touched = {tuple(r) for r in present.unionByName(source.select(*parts)).distinct().collect()}
+    cond = F.lit(False)
+    for row in sorted(touched, key=str):
+        one = F.lit(True)
+        for p, v in zip(parts, row):
+            one = one & (F.col(p).isNull() if v is None else F.col(p) == F.lit(v))
+        cond = cond | one
+    if len(parts) == 1:      # one IN set instead of a chain
+        values = [r[0] for r in touched if r[0] is not None]
+        cond = F.col(parts[0]).isin(values) if values else F.lit(False)
+        cond = cond | F.col(parts[0]).isNull() if (None,) in touched else cond
+    staged = materialize(upsert(target.filter(cond), source, keys, check_unique=False), "upsert_partitions")
+    left = {tuple(r) for r in staged.select(*parts).distinct().collect()}
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*parts).parquet(target_path))
+    for row in touched - left:
+        _drop_partition(spark, target_path, parts, row)
     return target_path

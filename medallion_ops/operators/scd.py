@@ -4,8 +4,8 @@ Validity is the half-open interval ``[effective_date, end_date)``; the open
 version has ``end_date = 9999-12-31`` and ``is_current = true``.
 
 ``scd2_apply`` classifies each incoming row against the current version by
-one left join on the natural key (new / changed / same, with a null-safe
-compare), then emits
+one null-safe left join on the natural key (new / changed / corrected /
+same, with a null-safe compare), then emits
 
     history  UNION ALL  current (expired when changed)  UNION ALL  inserts
 
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from medallion_ops.operators.dedup import latest_per_entity
 from medallion_ops.operators.keys import dense_surrogate_key
 from medallion_ops.operators.merge import assert_unique
-from medallion_ops.session import materialize
+from medallion_ops.session import materialize_observed
 
 OPEN_END = "9999-12-31"          # fixed value: end date of the current version
 VALIDITY = ["effective_date", "end_date", "is_current"]
@@ -55,7 +55,7 @@ def scd2_seed(df: DataFrame, key: str, attrs, effective=None, recency=None,
         F.lit(OPEN_END).cast("date").alias("end_date"),
         F.lit(True).alias("is_current"),
     )
-    return dense_surrogate_key(dim, [key], name=sk, start=start, materialize_input=True)
+    return dense_surrogate_key(dim, [key], name=sk, start=start)
 
 
 def _changed(check_cols, left: str, right: str) -> Column:
@@ -72,11 +72,17 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, check_cols, as_of,
 
     ``incoming`` must be unique on ``key``: checked (raises) unless the
     caller states it holds by construction (``incoming_unique=True``, e.g. a
-    ``groupBy`` on the key). Keys absent from ``incoming`` stay current
-    (``hard_deletes="ignore"``). New versions get surrogate keys after
-    ``max(sk)`` (pass ``max_sk`` when already known, e.g. observed while
-    writing ``dim``). Attributes not in ``check_cols`` are carried from the
-    incoming row on insert.
+    ``groupBy`` on the key). Keys are compared null-safely, so a null key is
+    one more key, with one current version. Keys absent from ``incoming``
+    stay current (``hard_deletes="ignore"``); a version whose ``is_current``
+    is null counts as history and is kept as it is.
+
+    A change dated on the day its current version began corrects that
+    version in place (same key, no zero-length interval); a change dated
+    earlier raises, as it would end a version before it began. New versions
+    get surrogate keys after ``max(sk)`` (pass ``max_sk`` when already known,
+    e.g. observed while writing ``dim``). Attributes not in ``check_cols``
+    are carried from the incoming row on insert and correction.
     """
     if hard_deletes != "ignore":
         raise ValueError("only hard_deletes='ignore' is supported")
@@ -84,31 +90,38 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, check_cols, as_of,
     attrs = [c for c in dim.columns if c not in {sk, key, *VALIDITY}]
     as_of_d = _date(as_of)
 
-    cur = dim.filter(F.col("is_current"))
-    hist = dim.filter(~F.col("is_current"))
+    is_open = F.coalesce(F.col("is_current"), F.lit(False))
+    cur, hist = dim.filter(is_open), dim.filter(~is_open)
 
-    # one row per incoming row, tagged new / changed / same; stored once because the
-    # inserts and the expiry keys both read it
+    # one row per incoming row, tagged new / changed / fixed / late / same; stored once because
+    # the inserts and the expiry keys both read it
     inc = incoming.select(key, *attrs).alias("i")
-    cur_cmp = cur.select(key, *check_cols).alias("c")
-    classified = materialize(inc.join(cur_cmp, F.col(f"i.{key}") == F.col(f"c.{key}"), "left").select(
-        "i.*",
-        F.when(F.col(f"c.{key}").isNull(), F.lit("new"))
-         .when(_changed(check_cols, "i", "c"), F.lit("changed"))
-         .otherwise(F.lit("same")).alias("__change"),
-    ), "scd_classified")
+    cur_cmp = cur.select(key, *check_cols, "effective_date", F.lit(True).alias("__there")).alias("c")
+    begun = F.col("c.effective_date")
+    classified, seen = materialize_observed(
+        inc.join(cur_cmp, F.col(f"i.{key}").eqNullSafe(F.col(f"c.{key}")), "left").select(
+            "i.*",
+            F.when(F.col("c.__there").isNull(), F.lit("new"))
+             .when(~_changed(check_cols, "i", "c"), F.lit("same"))
+             .when(begun > as_of_d, F.lit("late"))
+             .when(begun == as_of_d, F.lit("fixed"))
+             .otherwise(F.lit("changed")).alias("__change")),
+        "scd_classified", late=F.sum((F.col("__change") == "late").cast("bigint")))
+    if seen.get("late"):
+        raise ValueError(f"{seen['late']} changes dated {as_of} begin before the versions they would end")
     if not incoming_unique:
         # also catches a dimension with two current versions of a key (the join fans out)
         assert_unique(classified, [key], "incoming")
-    to_insert = classified.filter(F.col("__change") != "same").drop("__change")
-    changed_keys = classified.filter(F.col("__change") == "changed").select(
-        key, F.lit(True).alias("__expire"))
+    to_insert = classified.filter(F.col("__change").isin("new", "changed")).drop("__change")
+    touched = classified.filter(F.col("__change").isin("changed", "fixed")).select(
+        F.col(key).alias("__key"), *[F.col(a).alias(f"__{a}") for a in attrs], "__change")
 
-    expired_or_kept = cur.join(changed_keys, key, "left").select(
-        sk, key, *attrs,
+    fixed, ended = F.col("__change") == "fixed", F.col("__change") == "changed"
+    expired_or_kept = cur.join(touched, F.col(key).eqNullSafe(F.col("__key")), "left").select(
+        sk, key, *[F.when(fixed, F.col(f"__{a}")).otherwise(F.col(a)).alias(a) for a in attrs],
         "effective_date",
-        F.when(F.col("__expire"), as_of_d).otherwise(F.col("end_date")).alias("end_date"),
-        F.when(F.col("__expire"), F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
+        F.when(ended, as_of_d).otherwise(F.col("end_date")).alias("end_date"),
+        F.when(ended, F.lit(False)).otherwise(F.col("is_current")).alias("is_current"),
     )
 
     next_sk = max_sk if max_sk is not None else dim.agg(F.max(sk).alias("m")).collect()[0]["m"]

@@ -32,9 +32,17 @@ def per_key_agg(df: DataFrame, keys, aggs: dict) -> DataFrame:
 
 
 def per_key_total(df: DataFrame, keys, value: str, name: str, scale: int | None = 2) -> DataFrame:
-    """Attach ``name`` = sum of ``value`` over the row's key (rounded to ``scale``)."""
-    s = F.sum(value)
-    return per_key_agg(df, keys, {name: F.round(s, scale) if scale is not None else s})
+    """Attach ``name`` = sum of ``value`` over the row's key.
+
+    With ``scale`` the values are rounded to that many decimals before an
+    exact decimal sum, so the result does not depend on the order of rows.
+    """
+    return per_key_agg(df, keys, {name: money_sum(value, scale) if scale is not None else F.sum(value)})
+
+
+def money_sum(value: str, scale: int = 2) -> Column:
+    """Sum of ``value`` rounded to ``scale`` decimals, as an exact decimal."""
+    return F.sum(F.col(value).cast(f"decimal(18,{scale})")).cast(f"decimal(38,{scale})")
 
 
 def sum_over(col: str, keys) -> Column:

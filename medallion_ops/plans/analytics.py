@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from medallion_ops.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from medallion_ops.operators.windows import max_over, min_over
 
 REVENUE = "decimal(38,2)"
 
 
 def _dates(dim_date: DataFrame, *cols) -> DataFrame:
-    # dim_date is bounded by the calendar (<= 366 rows per year); the check proves it.
-    return broadcast_if_small(dim_date.select("date_key", *cols), DEFAULT_BROADCAST_ROWS)
+    return dim_date.select("date_key", *cols)
 
 
 def monthly_revenue(fact: DataFrame, dim_date: DataFrame, status: str | None) -> DataFrame:
@@ -31,19 +29,21 @@ def monthly_revenue(fact: DataFrame, dim_date: DataFrame, status: str | None) ->
 def top_products(fact: DataFrame, dim_product: DataFrame, status: str, k: int = 10) -> DataFrame:
     """The ``k`` products with the highest revenue (ties by product_sk).
 
-    Aggregated to product grain before the join, then TakeOrderedAndProject:
-    each task keeps its own top k, so only k rows per task reach the driver.
+    Aggregated to product grain and cut to the top k before the join: the
+    order (revenue, product_sk) needs no dimension column, and facts without
+    a product are out as the inner join has them. Each task keeps its own
+    top k; the dimension is joined to k rows.
     """
-    sales = (fact.filter(F.col("order_status") == status)
+    order = [F.col("product_revenue").desc(), F.col("product_sk").asc()]
+    sales = (fact.filter((F.col("order_status") == status) & F.col("product_sk").isNotNull())
                  .groupBy("product_sk")
                  .agg(F.count(F.lit(1)).alias("units_sold"),
-                      F.sum("price").cast(REVENUE).alias("product_revenue")))
-    dp = broadcast_if_small(dim_product.select("product_sk", "product_id", "product_category_name"),
-                            DEFAULT_BROADCAST_ROWS)
+                      F.sum("price").cast(REVENUE).alias("product_revenue"))
+                 .orderBy(*order).limit(k))
+    dp = dim_product.select("product_sk", "product_id", "product_category_name")
     return (sales.join(dp, "product_sk")
                  .select("product_sk", "product_id", "product_category_name", "units_sold", "product_revenue")
-                 .orderBy(F.col("product_revenue").desc(), F.col("product_sk").asc())
-                 .limit(k))
+                 .orderBy(*order).limit(k))
 
 
 def monthly_activity(fact: DataFrame, dim_customer: DataFrame, dim_date: DataFrame, status: str) -> DataFrame:

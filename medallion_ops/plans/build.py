@@ -1,12 +1,13 @@
 """Layer-by-layer build: bronze -> silver -> quality gate -> gold -> analytics.
 
 Each stage is one write (Parquet under ``out_dir``); later stages read the
-written tables, so no stage recomputes another's shuffles and a failed job
-restarts from the last written layer. ``dim_customer`` reads its own
-previous version, so each version goes to a new path (plain Parquet cannot
-be overwritten while it is read). ``fact_sales`` is partitioned by order
-month and upserted in place: only the months the new facts touch are
-re-read and rewritten (dynamic partition overwrite from a staged copy).
+written tables, so no stage recomputes another's shuffles. Every run writes
+its tables to paths of its own and returns them at the end, so a failed run
+leaves the previous run's tables as they were. The exception is
+``fact_sales``: it is partitioned by order month and, in an incremental run,
+upserted in place after everything else but the analytics is written (only
+the months that lose or gain rows are rewritten, from a staged copy; the
+upsert can be repeated after a failure).
 
     python -m medallion_ops.plans.build /root/testdata/sf0.01 /shared/out
 """
@@ -24,7 +25,7 @@ from medallion_ops.operators.joins import RowPreservingJoin
 from medallion_ops.operators.keys import extend_surrogate_keys
 from medallion_ops.operators.merge import upsert_partitioned
 from medallion_ops.operators.quality import enforce, orphan_check, quality_report, table_checks
-from medallion_ops.operators.scd import current_unique_violations, scd2_apply
+from medallion_ops.operators.scd import current_unique_violations, scd2_apply, scd2_lookup
 from medallion_ops.plans import analytics, gold, silver
 from medallion_ops.sources import tables as tb
 from medallion_ops.sources.sinks import register_table
@@ -34,24 +35,41 @@ FACT_KEYS = ["order_id", "order_item_id"]
 FACT_PARTITION = "order_month"          # yyyyMM of the order date
 
 
-_WRITTEN: dict = {}
-
-
 def _write(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").parquet(path)
-    _WRITTEN[path] = df.schema              # read back with it: no schema-inference job
+    df.write.parquet(path)
     return path
 
 
+def changed_orders(so: DataFrame, soi: DataFrame, context: DataFrame, previous: dict) -> DataFrame:
+    """Orders whose facts may differ from the previous run's: order_id.
+
+    An order counts if its silver row, one of its items or the surrogate key
+    of its person is new, changed or gone. Compared by value against the
+    previous run's tables, so it does not matter when a change was made.
+    ``context`` maps order_id to the current customer_sk.
+    """
+    spark = so.sparkSession
+    old = {k: spark.read.parquet(previous[k]) for k in ("silver.orders", "silver.order_items", "gold.order_customer")}
+    ids = None
+    for now, before in ((so, old["silver.orders"]), (soi, old["silver.order_items"]),
+                        (context, old["gold.order_customer"])):
+        before = before.select(*now.columns)
+        diff = now.exceptAll(before).select("order_id").unionByName(before.exceptAll(now).select("order_id"))
+        ids = diff if ids is None else ids.unionByName(diff)
+    return ids.distinct()
+
+
 def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None = None,
-        register_prefix: str | None = None, since: str | None = None) -> dict:
+        register_prefix: str | None = None, as_of: str | None = None, changed_only: bool = False) -> dict:
     """Build every layer; returns ``{layer.table: path}``.
 
     ``previous`` (the result of an earlier run) makes the run incremental:
-    dim_customer gets the new snapshot applied as SCD2 instead of a fresh
-    seed, and fact_sales is upserted into the previous fact. With ``since``
-    (a date) only facts of orders placed on or after it are re-staged and
-    merged, so older fact partitions are neither read nor rewritten.
+    dim_customer gets the new snapshot applied as SCD2 ``as_of`` that day
+    (default: today; a first run applies its second load on
+    ``gold.APPLY_AS_OF``), and fact_sales is upserted into the previous fact.
+    With ``changed_only`` only facts of orders that changed since the
+    previous run are re-staged and merged, so months without changes are
+    neither read nor rewritten.
     ``register_prefix`` also exposes every table in the session catalog as
     ``<prefix>_<layer>.<table>`` (``""``: the layer name itself), creates the
     databases if missing, and adds the lazy view ``customer_current``
@@ -63,9 +81,7 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None =
     paths: dict[str, str] = {}
 
     def read(name):
-        schema = _WRITTEN.get(paths[name])
-        r = spark.read.schema(schema) if schema is not None else spark.read
-        return r.parquet(paths[name])
+        return spark.read.parquet(paths[name])
 
     # bronze: source shape + lineage, landed as-is
     bronze = {
@@ -74,16 +90,16 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None =
         "payments": tb.bronze_payments, "reviews": tb.bronze_reviews,
     }
     for name, adapter in bronze.items():
-        paths[f"bronze.{name}"] = _write(adapter(spark, sf_dir), f"{out}/bronze/{name}")
+        paths[f"bronze.{name}"] = _write(adapter(spark, sf_dir), f"{out}/bronze/{name}/{run_id}")
 
     # silver: dedup, cast, null-key filter; orders first (others depend on it)
-    paths["silver.orders"] = _write(silver.silver_orders(read("bronze.orders")), f"{out}/silver/orders")
+    paths["silver.orders"] = _write(silver.silver_orders(read("bronze.orders")), f"{out}/silver/orders/{run_id}")
     paths["silver.order_items"] = _write(
-        silver.silver_order_items(read("bronze.order_items"), tb.ORDER_ITEM_TIE_BREAK), f"{out}/silver/order_items")
-    paths["silver.customers"] = _write(silver.silver_customers(read("bronze.customers")), f"{out}/silver/customers")
-    paths["silver.products"] = _write(silver.silver_products(read("bronze.products")), f"{out}/silver/products")
-    paths["silver.payments"] = _write(silver.payments_collapsed(read("bronze.payments")), f"{out}/silver/payments")
-    paths["silver.reviews"] = _write(silver.silver_reviews(read("bronze.reviews")), f"{out}/silver/reviews")
+        silver.silver_order_items(read("bronze.order_items"), tb.ORDER_ITEM_TIE_BREAK), f"{out}/silver/order_items/{run_id}")
+    paths["silver.customers"] = _write(silver.silver_customers(read("bronze.customers")), f"{out}/silver/customers/{run_id}")
+    paths["silver.products"] = _write(silver.silver_products(read("bronze.products")), f"{out}/silver/products/{run_id}")
+    paths["silver.payments"] = _write(silver.payments_collapsed(read("bronze.payments")), f"{out}/silver/payments/{run_id}")
+    paths["silver.reviews"] = _write(silver.silver_reviews(read("bronze.reviews")), f"{out}/silver/reviews/{run_id}")
 
     so, soi = read("silver.orders"), read("silver.order_items")
     sc, sp = read("silver.customers"), read("silver.products")
@@ -105,26 +121,32 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None =
     else:
         paths["gold.dim_product"] = _write(gold.dim_product(sp), f"{out}/gold/dim_product/{run_id}")
     paths["gold.dim_date"] = _write(
-        gold.dim_date([(soi, ["shipping_limit_date"]), (so, ["order_purchase_timestamp"])]), f"{out}/gold/dim_date")
+        gold.dim_date([(soi, ["shipping_limit_date"]), (so, ["order_purchase_timestamp"]),
+                       (read("silver.reviews"), ["review_creation_date", "review_answer_timestamp"])]),
+        f"{out}/gold/dim_date/{run_id}")
     if "gold.dim_customer" in previous:
         incoming = gold.customer_profile(sc, so).drop("first_order_date")
         dimc = scd2_apply(spark.read.parquet(previous["gold.dim_customer"]), incoming, "customer_unique_id",
-                          gold.CUSTOMER_ATTRS, gold.APPLY_AS_OF, sk="customer_sk")
+                          gold.CUSTOMER_ATTRS, as_of or F.current_date(), sk="customer_sk")
     else:
-        dimc = gold.dim_customer(sc, so)
+        dimc = gold.dim_customer(sc, so, as_of=as_of or gold.APPLY_AS_OF)
     paths["gold.dim_customer"] = _write(dimc.select(*gold.DIM_CUSTOMER_COLS), f"{out}/gold/dim_customer/{run_id}")
     dimc = read("gold.dim_customer")
     if current_unique_violations(dimc, "customer_unique_id").limit(1).count():
         raise AssertionError("dim_customer has a key with several current versions")
 
     # fact: row-preserving lookups (output counted by the writing job, input from stored silver)
-    # The stored fact is partitioned by order month (a function of the order, so a
-    # row never changes partition): a rerun rewrites only the months it touches.
+    people = so.join(sc.select("customer_id", "customer_unique_id"), "customer_id", "left")
+    paths["gold.order_customer"] = _write(
+        scd2_lookup(people, dimc, "customer_unique_id", sk="customer_sk").select("order_id", "customer_sk"),
+        f"{out}/gold/order_customer/{run_id}")
     guard = RowPreservingJoin("fact_sales")
     items, orders = soi, so
-    if since is not None and "gold.fact_sales" in previous:
-        orders = so.filter(F.col("order_purchase_timestamp") >= F.lit(since).cast("timestamp_ntz"))
-        items = soi.join(orders.select("order_id"), "order_id", "left_semi")
+    if changed_only and "gold.fact_sales" in previous:
+        paths["gold.changed_orders"] = _write(changed_orders(so, soi, read("gold.order_customer"), previous),
+                                              f"{out}/gold/changed_orders/{run_id}")
+        orders = so.join(read("gold.changed_orders"), "order_id", "left_semi")
+        items = soi.join(read("gold.changed_orders"), "order_id", "left_semi")
     fact = gold.fact_sales(items, orders, sc, read("gold.dim_product"), read("gold.dim_date"), dimc, guard=guard)
     staged = _write(fact.withColumn(FACT_PARTITION, F.floor(F.col("date_key") / 100).cast("int")),
                     f"{out}/gold/fact_sales_staged/{run_id}")
@@ -136,18 +158,17 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None =
             previous["gold.fact_sales"], spark.read.parquet(staged), FACT_KEYS, FACT_PARTITION,
             check_unique=False)
     else:
-        paths["gold.fact_sales"] = f"{out}/gold/fact_sales"
-        spark.read.parquet(staged).write.mode("overwrite").partitionBy(FACT_PARTITION) \
-            .parquet(paths["gold.fact_sales"])
+        paths["gold.fact_sales"] = f"{out}/gold/fact_sales/{run_id}"
+        spark.read.parquet(staged).write.partitionBy(FACT_PARTITION).parquet(paths["gold.fact_sales"])
 
     # analytics
     f, dd, dp = read("gold.fact_sales"), read("gold.dim_date"), read("gold.dim_product")
     paths["analytics.monthly_revenue"] = _write(
-        analytics.monthly_revenue(f, dd, DELIVERED), f"{out}/analytics/monthly_revenue")
+        analytics.monthly_revenue(f, dd, DELIVERED), f"{out}/analytics/monthly_revenue/{run_id}")
     paths["analytics.top_products"] = _write(
-        analytics.top_products(f, dp, DELIVERED), f"{out}/analytics/top_products")
+        analytics.top_products(f, dp, DELIVERED), f"{out}/analytics/top_products/{run_id}")
     paths["analytics.cohort_retention"] = _write(
-        analytics.cohort_retention(f, dimc, dd, DELIVERED), f"{out}/analytics/cohort_retention")
+        analytics.cohort_retention(f, dimc, dd, DELIVERED), f"{out}/analytics/cohort_retention/{run_id}")
     if register_prefix is not None:
         for key, path in paths.items():
             layer, name = key.split(".", 1)

@@ -62,6 +62,11 @@ class Star:
         return self._get("sp", lambda: silver.silver_products(tb.bronze_products(self.spark, self.d)),
                          store=False)
 
+    @property
+    def sr(self):
+        # read once (by the date bounds)
+        return self._get("sr", lambda: silver.silver_reviews(tb.bronze_reviews(self.spark, self.d)), store=False)
+
     @property
     def dimp(self):
         return self._get("dimp", lambda: gold.dim_product(self.sp))
@@ -69,7 +74,8 @@ class Star:
     @property
     def dimd(self):
         return self._get("dimd", lambda: gold.dim_date(
-            [(self.soi, ["shipping_limit_date"]), (self.so, ["order_purchase_timestamp"])]))
+            [(self.soi, ["shipping_limit_date"]), (self.so, ["order_purchase_timestamp"]),
+             (self.sr, ["review_creation_date", "review_answer_timestamp"])]))
 
     @property
     def dimc(self):
@@ -81,17 +87,6 @@ class Star:
         return self._get("fact", lambda: gold.fact_sales(self.soi, self.so, self.sc, self.dimp,
                                                          self.dimd, self.dimc), store=False)
 
-    def fact_for(self, product: bool = True, customer: bool = True):
-        """The fact with only the lookups a reader uses: both are row-preserving, so
-        leaving one out changes no other column and skips building its dimension."""
-        return self._get(f"fact_{product}_{customer}", lambda: gold.fact_sales(
-            self.soi, self.so, self.sc if customer else None, self.dimp if product else None,
-            self.dimd, self.dimc if customer else None), store=False)
-
-    @property
-    def fact_without_customer(self):
-        return self.fact_for(product=True, customer=False)
-
 
 # ---------------------------------------------------------------- 2.1 scans, sources, sinks
 
@@ -104,8 +99,10 @@ def q_limit_preview(spark, d):
 
 
 def q_lineage_columns(spark, d):
-    return files.lineage_columns(table(spark, d, "orders"), load_ts=tb.LOAD_TS).select(
-        "o_orderkey", "o_orderstatus", "_load_timestamp", "_source_file")
+    landed = files.lineage_columns(table(spark, d, "orders"), load_ts=tb.LOAD_TS)
+    return landed.select(
+        "o_orderkey", "o_orderstatus", F.col("_load_timestamp").cast("timestamp_ntz").alias("_load_timestamp"),
+        F.regexp_extract("_source_file", "([^/]+)[.]parquet", 1).alias("_source_table"))
 
 
 def q_overwrite_roundtrip(spark, d):
@@ -163,7 +160,7 @@ def q_quarantine_split(spark, d):
         rejects.drop(files.CORRUPT).withColumn("quarantined", F.lit(True)))
 
 
-INGEST_TABLES = ("region", "nation", "supplier", "customer", "part", "orders")
+INGEST_TABLES = ("region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events")
 
 
 def q_bronze_ingest(spark, d):
@@ -174,7 +171,8 @@ def q_bronze_ingest(spark, d):
     bronze = scratch_path(spark, "bronze")
     report, observed = files.bronze_ingest(
         spark, sources, lambda n, df: sinks.write_overwrite(df, f"{bronze}/{n}"), load_ts=tb.LOAD_TS)
-    return report
+    wrote = F.create_map(*[F.lit(x) for kv in observed.items() for x in kv])
+    return report.withColumn("as_written", F.col("n_rows") == wrote[F.col("table_name")])
 
 
 CUSTOMER_DDL = T.StructType([
@@ -205,13 +203,48 @@ def q_schema_describe(spark, d):
     """Column profile: name and type from ``DESCRIBE``, non-null count from one scan."""
     li = table(spark, d, "lineitem")
     li.createOrReplaceTempView("mo_lineitem_d")
-    desc = spark.sql("DESCRIBE TABLE mo_lineitem_d").select("col_name", "data_type")
-    counts = li.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("col_name"), F.col(c).isNotNull().cast("long").alias("v")) for c in li.columns]))
-        .alias("c")).groupBy("c.col_name").agg(F.sum("c.v").alias("non_null"))
+    desc = spark.sql("DESCRIBE TABLE mo_lineitem_d").select("col_name", F.upper("data_type").alias("data_type"))
+    one = li.agg(*[F.count(c).alias(c) for c in li.columns])           # a single row, then stacked
+    counts = one.select(F.explode(F.map_from_arrays(
+        F.array(*[F.lit(c) for c in li.columns]), F.array(*[F.col(c) for c in li.columns]))).alias("col_name", "non_null"))
     return desc.join(counts, "col_name", "left")
 
 
+def q_csv_scan_inferred(spark, d):
+    """The exploratory scan: types guessed from the text by an extra pass."""
+    part = table(spark, d, "part")
+    path = sinks.write_overwrite(part, scratch_path(spark, "part_csv"), fmt="csv")
+    got = files.csv_scan(spark, path, infer=True)
+    return got.withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
+
+
+def q_typed_table_identity(spark, d):
+    """A declared table with an allocated key: conformed rows, numbered, registered and read by name."""
+    typed = sinks.schema_conform(table(spark, d, "customer"), CUSTOMER_DDL)
+    keyed = keys.dense_surrogate_key(typed, ["c_custkey"], name="customer_sk")
+    base = scratch_path(spark, "catalog")
+    path = sinks.write_overwrite(keyed, f"{base}/typed_customer")
+    name = sinks.register_table(spark, "mo_typed", f"customer_{base[-12:]}", path, db_location=f"{base}/mo_typed.db")
+    return spark.table(name)
+
+
+def q_view_over_table(spark, d):
+    """A lazy view over a registered table, in a namespace of its own."""
+    base = scratch_path(spark, "catalog")
+    path = sinks.write_overwrite(table(spark, d, "customer").select("c_custkey", "c_nationkey"), f"{base}/people")
+    name = sinks.register_table(spark, "mo_views", f"people_{base[-12:]}", path, db_location=f"{base}/mo_views.db")
+    spark.table(name).groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n_people")) \
+        .createOrReplaceTempView("mo_people_by_nation")
+    return spark.table("mo_people_by_nation")
+
+
+def q_inline_relation(spark, d):
+    """A small in-line relation (status names) joined to a table."""
+    names = spark.createDataFrame([("F", "fulfilled"), ("O", "open"), ("P", "pending")], "code string, status string")
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    return o.join(names, F.col("o_orderstatus") == F.col("code"), "left").select("o_orderkey", "status")
+
+
 # ---------------------------------------------------------------- 2.2 projections, filters
 
 def q_project_columns(spark, d):
@@ -322,10 +355,10 @@ def q_left_join_using(spark, d):
 
 
 def q_left_join_on(spark, d):
-    li = _items(spark, d)
-    o = table(spark, d, "orders").filter(F.col("o_orderstatus") == DELIVERED) \
-        .select("o_orderkey", "o_orderdate")
-    return li.join(o, li.order_id == o.o_orderkey, "left").drop("o_orderkey")
+    """Every customer with its events' types; most customers have none."""
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    e = table(spark, d, "events").select("user_id", "event_id", "event_type")
+    return c.join(e, c.c_custkey == e.user_id, "left").drop("user_id")
 
 
 def q_star_join_inner(spark, d):
@@ -335,7 +368,9 @@ def q_star_join_inner(spark, d):
 
 
 def q_orphan_anti_join(spark, d):
-    return joins.orphans(_items(spark, d), _delivered(spark, d), "order_id")
+    """Customers without any event."""
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), "c_nationkey")
+    return joins.orphans(c, table(spark, d, "events"), "user_id")
 
 
 def q_row_number_join(spark, d):
@@ -415,12 +450,46 @@ def q_having_duplicates(spark, d):
 
 
 def q_null_fk_audit(spark, d):
-    thin_p = table(spark, d, "part").filter(F.col("p_size") < 25).select(
-        F.col("p_partkey").alias("product_id"), F.col("p_partkey").alias("product_sk"))
-    f = _items(spark, d).join(thin_p, "product_id", "left") \
-        .join(_delivered(spark, d).select("order_id", F.col("order_id").alias("order_fk")), "order_id", "left")
-    return quality.null_counts(f, ["product_sk", "order_fk"]).select(
-        F.col("null_product_sk").alias("null_prod"), F.col("null_order_fk").alias("null_order"))
+    """Foreign keys of the fact that found no dimension row."""
+    audit = quality.null_counts(Star(spark, d).fact, ["product_sk", "customer_sk", "date_key"])
+    return audit.select(F.col("null_product_sk").alias("null_prod"), F.col("null_customer_sk").alias("null_cust"),
+                        F.col("null_date_key").alias("null_date"))
+
+
+def q_row_preserving_fact(spark, d):
+    """Rows of the items table and of the fact built from it: the lookups neither lose nor repeat any."""
+    s = Star(spark, d)
+    row = lambda df, i, o: df.select(F.lit(i).cast("bigint").alias("i"), F.lit(o).cast("bigint").alias("o"))
+    both = row(s.soi, 1, 0).unionByName(row(s.fact, 0, 1)).agg(F.sum("i").alias("rows_in"), F.sum("o").alias("rows_out"))
+    return both.withColumn("passed", F.col("rows_in") == F.col("rows_out"))
+
+
+def q_first_row(spark, d):
+    """The first order of the whole table by date, then key."""
+    return table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate") \
+        .orderBy("o_orderdate", "o_orderkey").limit(1)
+
+
+def q_filter_sql_string(spark, d):
+    """The same kind of filter written as an SQL string."""
+    return table(spark, d, "lineitem").filter("l_quantity >= 25 AND l_returnflag <> 'N'") \
+        .select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+
+
+def q_column_lists_equal(spark, d):
+    """The check before a merge, over all tables: whether a bumped copy has the table's columns."""
+    out = []
+    for name in ("orders", "lineitem", "part"):
+        df = table(spark, d, name)
+        for label, other in (("same", df.select(*reversed(df.columns))), ("fewer", df.drop(df.columns[-1]))):
+            try:
+                merge.assert_same_columns(df, other)
+                equal = True
+            except ValueError:
+                equal = False
+            out.append(df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(name).alias("table_name"), F.lit(label).alias("candidate"), F.lit(equal).alias("equal"), "n_rows"))
+    return reduce(DataFrame.unionByName, out)
 
 
 def q_dq_unique_key(spark, d):
@@ -481,10 +550,11 @@ def q_latest_per_entity(spark, d):
 
 def q_dense_surrogate_key(spark, d):
     return keys.dense_surrogate_key(table(spark, d, "part").select("p_partkey", "p_name", "p_type"),
-                                    ["p_name", "p_partkey"], name="part_sk", buckets=8)
+                                    ["p_name", "p_partkey"], name="part_sk")
 
 
 def q_window_sum(spark, d):
+    """Every event with its user's exact total."""
     e = table(spark, d, "events").select("event_id", "user_id", "value")
     return windows.per_key_total(e, "user_id", "value", "user_total")
 
@@ -572,6 +642,19 @@ def q_upsert_merge(spark, d):
     return merge.upsert(target, source, ["order_id", "order_item_id"])
 
 
+def q_upsert_partitioned(spark, d):
+    """Two overlapping loads into a table partitioned by ship month: the second moves items 3+ by
+    forty days, most of them into another month's partition."""
+    month = F.date_format("shipping_limit_date", "yyyyMM").cast("int")
+    soi = Star(spark, d).soi.select("order_id", "order_item_id", "price", "shipping_limit_date")
+    path = scratch_path(spark, "fact_by_month")
+    soi.filter(F.col("order_item_id") <= 4).withColumn("ship_month", month).write.partitionBy("ship_month").parquet(path)
+    later = soi.filter(F.col("order_item_id") >= 3).withColumn(
+        "shipping_limit_date", F.col("shipping_limit_date") + F.expr("interval 40 days"))
+    merge.upsert_partitioned(path, later.withColumn("ship_month", month), ["order_id", "order_item_id"], "ship_month")
+    return spark.read.parquet(path)
+
+
 def q_upsert_idempotence(spark, d):
     """The merge protocol: load the first items, merge the whole table, merge it again."""
     soi = Star(spark, d).soi
@@ -627,15 +710,15 @@ def q_snapshot_check(spark, d):
 # ---------------------------------------------------------------- 2.10 composite models
 
 def q_silver_orders(spark, d):
-    return Star(spark, d).so
+    return silver.silver_orders(tb.bronze_orders(spark, d))
 
 
 def q_silver_order_items(spark, d):
-    return Star(spark, d).soi
+    return silver.silver_order_items(tb.bronze_order_items(spark, d), tb.ORDER_ITEM_TIE_BREAK)
 
 
 def q_silver_customers(spark, d):
-    return Star(spark, d).sc
+    return silver.silver_customers(tb.bronze_customers(spark, d))
 
 
 def q_silver_products(spark, d):
@@ -646,6 +729,14 @@ def q_silver_reviews(spark, d):
     return silver.silver_reviews(tb.bronze_reviews(spark, d))
 
 
+def q_silver_reviews_clean(spark, d):
+    """Silver reviews behind the quarantine: raw CSV -> clean rows -> latest per review."""
+    clean, _ = files.quarantine_split(_review_csv(spark, d), [F.length("review_id") == 32])
+    bronze = clean.select("*", F.col("review_answer_timestamp").alias("review_creation_date"),
+                          F.col("review_comment_message").alias("event_id"))
+    return silver.silver_reviews(bronze)
+
+
 def q_payments_collapsed(spark, d):
     return silver.payments_collapsed(tb.bronze_payments(spark, d))
 
@@ -672,22 +763,22 @@ def q_fact_sales(spark, d):
 
 def q_monthly_revenue(spark, d):
     s = Star(spark, d)
-    return analytics.monthly_revenue(s.fact_without_customer, s.dimd, DELIVERED)
+    return analytics.monthly_revenue(s.fact, s.dimd, DELIVERED)
 
 
 def q_monthly_trend(spark, d):
     s = Star(spark, d)
-    return analytics.monthly_revenue(s.fact_without_customer, s.dimd, None)
+    return analytics.monthly_revenue(s.fact, s.dimd, None)
 
 
 def q_top_products(spark, d):
     s = Star(spark, d)
-    return analytics.top_products(s.fact_without_customer, s.dimp, DELIVERED, 10)
+    return analytics.top_products(s.fact, s.dimp, DELIVERED, 10)
 
 
 def q_cohort_retention(spark, d):
     s = Star(spark, d)
-    return analytics.cohort_retention(s.fact_for(product=False), s.dimc, s.dimd, DELIVERED)
+    return analytics.cohort_retention(s.fact, s.dimc, s.dimd, DELIVERED)
 
 
 QUERIES = {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}

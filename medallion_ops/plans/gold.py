@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion_ops.operators.calendar import date_bounds, date_dimension, date_spine
-from medallion_ops.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 from medallion_ops.operators.keys import dense_surrogate_key
 from medallion_ops.operators.scd import scd2_apply, scd2_lookup, scd2_seed
 from medallion_ops.session import materialize_observed
@@ -15,7 +14,7 @@ from medallion_ops.session import materialize_observed
 # and the two snapshot dates of the SCD2 load.
 TIER_SILVER_FROM = 1_000_000
 TIER_GOLD_FROM = 2_500_000
-SEED_CUTOFF = "1998-01-01"      # first load sees orders before this day
+SEED_CUTOFF = "1998-01-01"      # first load of the two-load scenario sees orders before this day
 APPLY_AS_OF = "2002-01-01"      # second load sees all orders, applied on this day
 
 CUSTOMER_ATTRS = ["customer_zip_code_prefix", "customer_city", "customer_state", "customer_tier"]
@@ -65,8 +64,11 @@ def customer_profile(silver_customers: DataFrame, silver_orders: DataFrame,
 
 
 def dim_customer_seed(silver_customers: DataFrame, silver_orders: DataFrame,
-                      before: str = SEED_CUTOFF) -> DataFrame:
-    """First SCD2 load: one current version per person, valid from the first order."""
+                      before: str | None = None) -> DataFrame:
+    """First SCD2 load: one current version per person, valid from the first order.
+
+    ``before``: load what was known before that day (default: everything).
+    """
     prof = customer_profile(silver_customers, silver_orders, before)
     return scd2_seed(prof, "customer_unique_id", CUSTOMER_ATTRS,
                      effective=F.col("first_order_date"), sk="customer_sk") \
@@ -92,23 +94,17 @@ def dim_customer(silver_customers: DataFrame, silver_orders: DataFrame,
                       max_sk=max_sk, incoming_unique=True).select(*DIM_CUSTOMER_COLS)
 
 
-def order_context(silver_orders: DataFrame, silver_customers: DataFrame | None, dim_date_df: DataFrame,
-                  dim_customer_df: DataFrame | None, mode: str = "current") -> DataFrame:
+def order_context(silver_orders: DataFrame, silver_customers: DataFrame, dim_date_df: DataFrame,
+                  dim_customer_df: DataFrame, mode: str = "current") -> DataFrame:
     """Order-grain lookups: order -> person -> customer_sk, order day -> date_key.
 
     Done at order grain so the item table (the largest) is shuffled once,
-    for its join to this frame on order_id. Without ``dim_customer_df`` the
-    person lookup is left out (no ``customer_sk``): both of its joins are
-    row-preserving (one silver customer per customer_id, at most one current
-    version per person), so every other column is unchanged.
+    for its join to this frame on order_id.
     """
     o = silver_orders.select("order_id", "customer_id", "order_purchase_timestamp", "order_status")
     o = o.withColumn("order_date", F.to_date("order_purchase_timestamp"))
-    dd = broadcast_if_small(dim_date_df.select(F.col("date").alias("order_date"), "date_key"),
-                            DEFAULT_BROADCAST_ROWS)
+    dd = dim_date_df.select(F.col("date").alias("order_date"), "date_key")
     o = o.join(dd, "order_date", "left")
-    if dim_customer_df is None:
-        return o.select("order_id", "order_status", "date_key")
     o = o.join(silver_customers.select("customer_id", "customer_unique_id"), "customer_id", "left")
     o = scd2_lookup(o, dim_customer_df, "customer_unique_id", sk="customer_sk", mode=mode,
                     at="order_date")
@@ -116,23 +112,16 @@ def order_context(silver_orders: DataFrame, silver_customers: DataFrame | None,
 
 
 def fact_sales(silver_order_items: DataFrame, silver_orders: DataFrame, silver_customers: DataFrame,
-               dim_product_df: DataFrame | None, dim_date_df: DataFrame, dim_customer_df: DataFrame | None,
+               dim_product_df: DataFrame, dim_date_df: DataFrame, dim_customer_df: DataFrame,
                mode: str = "current", guard=None) -> DataFrame:
     """One row per order item with product, date and customer keys (left joins only).
 
     ``guard`` (a RowPreservingJoin) observes the fact count in the writing
     job; ``guard.check(silver_order_items)`` after the write proves no fan-out.
-    ``dim_customer_df=None`` / ``dim_product_df=None`` give the fact without
-    ``customer_sk`` / ``product_sk`` for readers that do not use them: both
-    lookups are row-preserving, so the other columns are unchanged and the
-    dimension need not be built.
     """
     items = silver_order_items.select("order_id", "order_item_id", "product_id", "price", "freight_value")
-    f = items
-    if dim_product_df is not None:
-        prod = broadcast_if_small(dim_product_df.select("product_id", "product_sk"), DEFAULT_BROADCAST_ROWS)
-        f = f.join(prod, "product_id", "left")
+    f = items.join(dim_product_df.select("product_id", "product_sk"), "product_id", "left")
     ctx = order_context(silver_orders, silver_customers, dim_date_df, dim_customer_df, mode)
     f = f.join(ctx, "order_id", "left")
-    f = f.select(*[c for c in FACT_COLS if c in f.columns])
+    f = f.select(*FACT_COLS)
     return guard.after(f) if guard is not None else f

@@ -1,4 +1,4 @@
-"""DuckDB SQL for every registered key, written independently of the Spark plans.
+"""DuckDB SQL for every registered key, written from the keys' specification.
 
 Tables ``region nation customer supplier part orders lineitem events ...``
 are views over the same Parquet files. Shared silver/gold relations are
@@ -89,7 +89,8 @@ cte("dimp", ["sp"], """
 cte("bounds", ["soi", "so"], """
   SELECT min(d) AS min_date, max(d) AS max_date FROM (
     SELECT CAST(shipping_limit_date AS DATE) AS d FROM soi
-    UNION ALL SELECT CAST(order_purchase_timestamp AS DATE) FROM so) u""")
+    UNION ALL SELECT CAST(order_purchase_timestamp AS DATE) FROM so
+    UNION ALL SELECT CAST(ts AS DATE) FROM events) u""")      # reviews: created and answered at the event's time
 
 SPINE = """
   SELECT CAST(unnest(generate_series(CAST(date_trunc('year', min_date) AS DATE),
@@ -183,6 +184,7 @@ def scd2_apply_sql(dim: str, incoming: str, as_of: str, check_cols) -> str:
     FROM cls WHERE chg <> 'same') u"""
 
 
+cte("dimc_all", ["prof_full"], CTE["dimc_seed"][1].replace("prof_seed", "prof_full"))
 cte("dimc", ["dimc_seed", "prof_full"], scd2_apply_sql("dimc_seed", "prof_full", "2002-01-01", ATTRS))
 cte("dimc_mid", ["dimc_seed", "prof_mid"], scd2_apply_sql("dimc_seed", "prof_mid", "2000-01-01", ATTRS))
 cte("dimc_two", ["dimc_mid", "prof_full"], scd2_apply_sql("dimc_mid", "prof_full", "2002-01-01", ATTRS))
@@ -235,13 +237,28 @@ ORACLE: dict[str, str] = {
         SELECT review_id, order_id, review_score, review_comment_message, review_answer_timestamp,
                (is_corrupt OR review_id IS NULL OR length(review_id) <> 32) AS quarantined
         FROM {REVIEW_CSV} r""",
-    "bronze_ingest": """
-        SELECT 'region' AS table_name, count(*) AS n_rows FROM region UNION ALL
-        SELECT 'nation', count(*) FROM nation UNION ALL
-        SELECT 'supplier', count(*) FROM supplier UNION ALL
-        SELECT 'customer', count(*) FROM customer UNION ALL
-        SELECT 'part', count(*) FROM part UNION ALL
-        SELECT 'orders', count(*) FROM orders""",
+    "bronze_ingest": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS n_rows, true AS as_written FROM {t}"
+        for t in "region nation supplier customer part orders lineitem events".split()),
+    "csv_scan_inferred": "SELECT * FROM part",
+    "lineage_columns": f"""SELECT o_orderkey, o_orderstatus, {LOAD_TS} AS _load_timestamp, 'orders' AS _source_table
+                           FROM orders""",
+    "schema_describe": """
+        SELECT d.column_name AS col_name,
+               CASE d.column_type WHEN 'VARCHAR' THEN 'STRING' WHEN 'INTEGER' THEN 'INT'
+                    WHEN 'TIMESTAMP' THEN 'TIMESTAMP_NTZ' ELSE d.column_type END AS data_type, c.non_null
+        FROM (DESCRIBE lineitem) d
+        JOIN (UNPIVOT (SELECT count(COLUMNS(*)) FROM lineitem) ON COLUMNS(*) INTO NAME n VALUE non_null) c
+          ON c.n = d.column_name""",
+    "typed_table_identity": """
+        SELECT CAST(row_number() OVER (ORDER BY c_custkey NULLS FIRST) AS BIGINT) AS customer_sk, c_custkey, c_name,
+               CAST(c_nationkey AS VARCHAR) AS c_nationkey, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal, c_mktsegment,
+               CAST(NULL AS BOOLEAN) AS is_current
+        FROM customer""",
+    "view_over_table": "SELECT c_nationkey, count(*) AS n_people FROM customer GROUP BY c_nationkey",
+    "inline_relation": """
+        SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'fulfilled' WHEN 'O' THEN 'open' WHEN 'P' THEN 'pending' END
+               AS status FROM orders""",
     "schema_conform": """
         SELECT c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
                CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal, c_mktsegment,
@@ -287,14 +304,14 @@ ORACLE: dict[str, str] = {
     "left_join_using": f"""
         SELECT i.*, p.p_type AS product_category_name FROM {ITEMS} i
         LEFT JOIN part p ON i.product_id = p.p_partkey""",
-    "left_join_on": f"""
-        SELECT i.*, o.o_orderdate FROM {ITEMS} i
-        LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = {DELIVERED}) o ON i.order_id = o.o_orderkey""",
+    "left_join_on": """
+        SELECT c_custkey, c_nationkey, event_id, event_type FROM customer LEFT JOIN events ON c_custkey = user_id""",
     "star_join_inner": f"""
         SELECT i.order_id, i.order_item_id, i.product_id, p.p_type, o.order_status, i.price
         FROM {ITEMS} i JOIN {DELIV} o ON i.order_id = o.order_id JOIN part p ON i.product_id = p.p_partkey""",
-    "orphan_anti_join": f"""
-        SELECT i.* FROM {ITEMS} i WHERE NOT EXISTS (SELECT 1 FROM {DELIV} o WHERE o.order_id = i.order_id)""",
+    "orphan_anti_join": """
+        SELECT c_custkey AS user_id, c_nationkey FROM customer
+        WHERE NOT EXISTS (SELECT 1 FROM events WHERE user_id = c_custkey)""",
     "row_number_join": """
         SELECT a.rn, a.o_orderkey, a.o_custkey, b.p_partkey, b.p_type
         FROM (SELECT CAST(row_number() OVER (ORDER BY o_orderkey NULLS FIRST) AS BIGINT) AS rn, o_orderkey, o_custkey
@@ -335,12 +352,19 @@ ORACLE: dict[str, str] = {
           SELECT CAST(ts AS DATE) FROM events) u""",
     "having_duplicates": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
                             GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
-    "null_fk_audit": f"""
-        SELECT CAST(sum(CASE WHEN p.p_partkey IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_prod,
-               CAST(sum(CASE WHEN o.order_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_order
-        FROM {ITEMS} i
-        LEFT JOIN (SELECT p_partkey FROM part WHERE p_size < 25) p ON i.product_id = p.p_partkey
-        LEFT JOIN {DELIV} o ON i.order_id = o.order_id""",
+    "null_fk_audit": with_("fact") + """
+        SELECT count(*) FILTER (WHERE product_sk IS NULL) AS null_prod,
+               count(*) FILTER (WHERE customer_sk IS NULL) AS null_cust,
+               count(*) FILTER (WHERE date_key IS NULL) AS null_date FROM fact""",
+    "row_preserving_fact": with_("soi", "fact") + """
+        SELECT (SELECT count(*) FROM soi) AS rows_in, (SELECT count(*) FROM fact) AS rows_out,
+               (SELECT count(*) FROM soi) = (SELECT count(*) FROM fact) AS passed""",
+    "first_row": "SELECT o_orderkey, o_custkey, o_orderdate FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 1",
+    "filter_sql_string": """SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem
+                            WHERE l_quantity >= 25 AND l_returnflag <> 'N'""",
+    "column_lists_equal": " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS candidate, {e} AS equal, count(*) AS n_rows FROM {t}"
+        for t in ("orders", "lineitem", "part") for c, e in (("same", "true"), ("fewer", "false"))),
     "dq_unique_key": with_("soi") + """
         SELECT 'bronze_order_items' AS table_name, 'unique(order_id,order_item_id)' AS check_name,
                count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS failures,
@@ -397,7 +421,8 @@ ORACLE: dict[str, str] = {
     "dense_surrogate_key": """
         SELECT CAST(row_number() OVER (ORDER BY p_name NULLS FIRST, p_partkey NULLS FIRST) AS BIGINT) AS part_sk,
                p_partkey, p_name, p_type FROM part""",
-    "window_sum": """SELECT event_id, user_id, value, round(sum(value) OVER (PARTITION BY user_id), 2) AS user_total
+    "window_sum": """SELECT event_id, user_id, value,
+                            CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY user_id) AS DECIMAL(38,2)) AS user_total
                      FROM events""",
     "window_min": """SELECT o_custkey, o_orderkey, CAST(o_orderdate AS DATE) AS order_date,
                             min(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey) AS first_order_date
@@ -452,13 +477,20 @@ ORACLE: dict[str, str] = {
         SELECT * FROM soi t WHERE order_item_id <= 4 AND NOT EXISTS (
           SELECT 1 FROM soi s WHERE s.order_item_id >= 3
             AND s.order_id = t.order_id AND s.order_item_id = t.order_item_id)""",
+    "upsert_partitioned": with_("soi") + """
+        , moved AS (SELECT order_id, order_item_id, price, shipping_limit_date + INTERVAL 40 DAY AS shipping_limit_date
+                    FROM soi WHERE order_item_id >= 3),
+        kept AS (SELECT order_id, order_item_id, price, shipping_limit_date FROM soi WHERE order_item_id < 3)
+        SELECT order_id, order_item_id, price, CAST(shipping_limit_date AS TIMESTAMP) AS shipping_limit_date,
+               CAST(strftime(shipping_limit_date, '%Y%m') AS INTEGER) AS ship_month
+        FROM (SELECT * FROM moved UNION ALL SELECT * FROM kept) a""",
     "upsert_idempotence": with_("soi") + """
         SELECT 'half' AS step, count(*) AS n_rows, CAST(sum(price) AS DECIMAL(38,2)) AS total_price
         FROM soi WHERE order_item_id = 1
         UNION ALL SELECT 'merge_1', count(*), CAST(sum(price + 1) AS DECIMAL(38,2)) FROM soi
         UNION ALL SELECT 'merge_2', count(*), CAST(sum(price + 1) AS DECIMAL(38,2)) FROM soi""",
-    "scd2_seed": with_("dimc_seed") + f"""
-        SELECT customer_sk, customer_unique_id, {A}, effective_date, end_date, is_current FROM dimc_seed""",
+    "scd2_seed": with_("dimc_all") + f"""
+        SELECT customer_sk, customer_unique_id, {A}, effective_date, end_date, is_current FROM dimc_all""",
     "scd2_merge": with_("dimc_two") + "SELECT * FROM dimc_two",
     "snapshot_check": with_("dimc_snap") + "SELECT * FROM dimc_snap",
     # 2.10
@@ -476,16 +508,23 @@ ORACLE: dict[str, str] = {
                    ORDER BY ts DESC NULLS LAST, ts DESC NULLS LAST, event_id DESC NULLS LAST) AS rn
           FROM events) t
         WHERE rn = 1 AND review_id IS NOT NULL""",
+    "silver_reviews_clean": f"""
+        SELECT review_id, order_id, review_score, review_comment_message,
+               review_answer_timestamp AS review_creation_date, review_answer_timestamp
+        FROM {REVIEW_CSV} r WHERE NOT is_corrupt AND length(review_id) = 32
+        QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY review_answer_timestamp DESC NULLS LAST,
+          review_comment_message DESC NULLS LAST) = 1""",
     "payments_collapsed": """
         SELECT order_id, arg_max(payment_sequential, -payment_sequential) AS payment_sequential,
                arg_max(payment_type, -payment_sequential) AS payment_type,
-               round(sum(payment_value), 2) AS payment_value
+               CAST(sum(CAST(payment_value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS payment_value
         FROM (SELECT user_id AS order_id, event_id AS payment_sequential, event_type AS payment_type,
                      value AS payment_value FROM events WHERE event_type = 'purchase') p
         WHERE order_id IS NOT NULL GROUP BY order_id""",
     "payments_with_total": """
         SELECT order_id, payment_sequential, payment_type, payment_value,
-               round(sum(payment_value) OVER (PARTITION BY order_id), 2) AS order_total_payment
+               CAST(sum(CAST(payment_value AS DECIMAL(18,2))) OVER (PARTITION BY order_id) AS DECIMAL(38,2))
+                 AS order_total_payment
         FROM (SELECT user_id AS order_id, event_id AS payment_sequential, event_type AS payment_type,
                      value AS payment_value FROM events WHERE event_type = 'purchase') p
         WHERE order_id IS NOT NULL""",
@@ -503,28 +542,23 @@ ORACLE: dict[str, str] = {
         FROM fact f JOIN dimd d ON f.date_key = d.date_key
         GROUP BY d.year_month ORDER BY d.year_month""",
     "top_products": with_("fact", "dimp") + f"""
-        SELECT sp.product_sk, dp.product_id, dp.product_category_name, sp.units_sold, sp.product_revenue
-        FROM (SELECT product_sk, count(*) AS units_sold, CAST(sum(price) AS DECIMAL(38,2)) AS product_revenue
-              FROM fact WHERE order_status = {DELIVERED} GROUP BY product_sk) sp
-        JOIN dimp dp ON sp.product_sk = dp.product_sk
-        ORDER BY sp.product_revenue DESC, sp.product_sk ASC LIMIT 10""",
+        SELECT product_sk, product_id, product_category_name, units_sold, product_revenue
+        FROM (SELECT product_sk, count(*) AS units_sold, CAST(sum(price) AS DECIMAL(38,2)) AS product_revenue,
+                     row_number() OVER (ORDER BY sum(price) DESC, product_sk) AS place
+              FROM fact WHERE order_status = {DELIVERED} AND product_sk IS NOT NULL GROUP BY product_sk) ranked
+        JOIN dimp USING (product_sk)
+        WHERE place <= 10""",
+    # a person's first month first, then each later month's distance from it, counted per first month
     "cohort_retention": with_("fact", "dimc", "dimd") + f""",
-        monthly_activity AS (
-          SELECT DISTINCT dc.customer_unique_id, dd.year_month AS activity_month,
-                 dd.year * 12 + dd.month AS activity_index
-          FROM fact fs JOIN dimc dc ON fs.customer_sk = dc.customer_sk
-          JOIN dimd dd ON fs.date_key = dd.date_key
-          WHERE fs.order_status = {DELIVERED}),
-        offsets AS (
-          SELECT customer_unique_id,
-                 min(activity_month) OVER (PARTITION BY customer_unique_id) AS cohort_month,
-                 activity_index - min(activity_index) OVER (PARTITION BY customer_unique_id) AS month_offset
-          FROM monthly_activity),
-        retention AS (
-          SELECT cohort_month, CAST(month_offset AS INTEGER) AS month_offset,
-                 count(DISTINCT customer_unique_id) AS active_customers
-          FROM offsets GROUP BY cohort_month, month_offset)
-        SELECT *, round(100 * (active_customers / max(active_customers) OVER (PARTITION BY cohort_month)), 5)
-                  AS retention_rate
-        FROM retention ORDER BY cohort_month, month_offset""",
+        person_months AS (
+          SELECT customer_unique_id AS person, year_month, year * 12 + month AS m
+          FROM fact JOIN dimc USING (customer_sk) JOIN dimd USING (date_key)
+          WHERE order_status = {DELIVERED} GROUP BY ALL),
+        starts AS (SELECT person, min(m) AS m0, min(year_month) AS cohort_month FROM person_months GROUP BY person),
+        sizes AS (
+          SELECT cohort_month, CAST(m - m0 AS INTEGER) AS month_offset, count(*) AS active_customers
+          FROM person_months JOIN starts USING (person) GROUP BY ALL),
+        peaks AS (SELECT cohort_month, max(active_customers) AS peak FROM sizes GROUP BY cohort_month)
+        SELECT cohort_month, month_offset, active_customers, round(100 * (active_customers / peak), 5) AS retention_rate
+        FROM sizes JOIN peaks USING (cohort_month)""",
 }

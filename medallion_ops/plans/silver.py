@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medallion_ops.operators.dedup import dedup_any, dedup_latest
+from medallion_ops.operators.windows import money_sum, per_key_total
 
 ORDERS_COLS = ["order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_total"]
 ORDER_ITEMS_COLS = ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
@@ -72,7 +73,7 @@ def silver_reviews(bronze: DataFrame) -> DataFrame:
 
 
 def payments_collapsed(bronze: DataFrame) -> DataFrame:
-    """One row per order; payment_value replaced by the order's total (2 decimals).
+    """One row per order; payment_value replaced by the order's total (exact decimal).
 
     The surviving row is the latest load, lowest payment_sequential. Written
     as one grouped aggregation (``max_by`` over the ordering), so partial
@@ -83,14 +84,12 @@ def payments_collapsed(bronze: DataFrame) -> DataFrame:
     rank = F.struct(F.col("_load_timestamp"), -F.col("payment_sequential"))
     g = b.groupBy("order_id").agg(
         F.max_by(keep, rank).alias("__row"),
-        F.round(F.sum("payment_value"), 2).alias("payment_value"))
+        money_sum("payment_value").alias("payment_value"))
     return g.select("order_id", "__row.payment_sequential", "__row.payment_type", "payment_value")
 
 
 def payments_with_total(bronze: DataFrame) -> DataFrame:
-    """Every payment row plus ``order_total_payment`` (the order's rounded total)."""
-    from medallion_ops.operators.windows import per_key_total
-
+    """Every payment row plus ``order_total_payment`` (the order's exact total)."""
     b = bronze.filter(F.col("order_id").isNotNull()).select(*PAYMENTS_COLS)
     return per_key_total(b, "order_id", "payment_value", "order_total_payment") \
         .select(*PAYMENTS_COLS, "order_total_payment")

@@ -35,11 +35,11 @@ def scale_conf(input_bytes: int, cores: int) -> dict:
 
     About 1 GiB of input per initial shuffle partition (AQE then coalesces
     small ones towards the 256 MiB advisory size and splits skewed ones over
-    512 MiB), never fewer than 2 tasks per core, at most 100,000; scan splits
-    of 256 MiB. For 100 TB on 8,000 cores: 100,000 shuffle partitions and
-    ~400,000 scan tasks.
+    512 MiB), never fewer than 2 tasks per core; scan splits of 256 MiB. For
+    100 TB on 8,000 cores: about 95,000 shuffle partitions and 400,000 scan
+    tasks.
     """
-    shuffle = min(100_000, max(2 * cores, -(-input_bytes // (1024 * MB))))
+    shuffle = max(2 * cores, -(-input_bytes // (1024 * MB)))
     return {
         "spark.sql.shuffle.partitions": str(shuffle),
         "spark.sql.files.maxPartitionBytes": str(256 * MB),
@@ -79,7 +79,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):     # local-cluster is a cluster
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         conf = tempfile.mkdtemp(prefix="medallion-ckpt-")
     sc.setCheckpointDir(conf)

@@ -19,19 +19,13 @@ DELIVERED = "F"                       # o_orderstatus playing the role of 'deliv
 LOAD_TS = "2024-06-01 00:00:00"       # the bronze load time stamped on every adapted row
 
 
-_SCHEMAS: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one driver table; Catalyst prunes columns and pushes filters.
 
-    The schema is inferred once per path and then passed explicitly, which
-    skips the footer-reading job every schema-less Parquet read launches.
+    The schema is read from the files each time: a path may be rewritten
+    with other columns.
     """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _lineage(df: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ def test_build_then_incremental_rerun_is_stable(spark):
     assert fact1.filter(F.col("product_sk").isNull() | F.col("date_key").isNull()).count() == 0
     rows1 = sorted(map(tuple, fact1.select(*sorted(fact1.columns)).collect()))
 
-    second = run(spark, SF_SMALL, out, previous=first, register_prefix="shop")
+    second = run(spark, SF_SMALL, out, previous=first, register_prefix="shop", as_of="2003-01-01")
     assert spark.table("shop_gold.fact_sales").count() == n1
     assert spark.table("shop_silver.orders").count() > 0
     people = spark.table("shop_customer_current")
@@ -34,20 +34,44 @@ def test_build_then_incremental_rerun_is_stable(spark):
     assert rev.count() > 0
 
 
-def test_incremental_since_rewrites_only_recent_partitions(spark):
+def test_changed_only_rerun_rewrites_only_months_with_changes(spark):
     import glob
     import os
+    import shutil
+
+    from medallion_ops.sources.tables import TABLES
 
     out = scratch_path(spark, "build_inc")
     first = run(spark, SF_SMALL, out)
     path = first["gold.fact_sales"]
     local = path[len("file:"):] if path.startswith("file:") else path
     before = {f: os.path.getmtime(f) for f in glob.glob(local + "/order_month=*/*.parquet")}
-    rows1 = sorted(map(tuple, spark.read.parquet(path).select("order_id", "order_item_id", "price").collect()))
-    second = run(spark, SF_SMALL, out, previous=first, since="2001-01-01")
+    old = {(r.order_id, r.order_item_id): r for r in spark.read.parquet(path).collect()}
+
+    # one old order is moved by years: its facts leave their month; all else is as before
+    sf = scratch_path(spark, "changed_tables")
+    local_sf = sf[len("file:"):] if sf.startswith("file:") else sf
+    os.makedirs(local_sf)
+    for t in TABLES:
+        if t != "orders":
+            shutil.copy(f"{SF_SMALL}/{t}.parquet", local_sf)
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    key = o.agg(F.min("o_orderkey")).collect()[0][0]
+    moved = o.withColumn("o_orderdate", F.when(F.col("o_orderkey") == key, F.col("o_orderdate") + F.expr("interval 3 years"))
+                         .otherwise(F.col("o_orderdate")))
+    moved.coalesce(1).write.parquet(f"{sf}/orders.parquet")
+    second = run(spark, sf, out, previous=first, as_of="2003-01-01", changed_only=True)
     assert second["gold.fact_sales"] == path
+    fact = spark.read.parquet(path)
+    assert fact.count() == fact.select("order_id", "order_item_id").distinct().count() == len(old)
+    new = {(r.order_id, r.order_item_id): r for r in fact.collect()}
+    changed = {r.order_id for r in spark.read.parquet(second["gold.changed_orders"]).collect()}
+    assert key in changed
+    assert all(new[k].date_key // 10000 == old[k].date_key // 10000 + 3 for k in old if k[0] == key)
+    assert all(new[k] == old[k] for k in old if k[0] not in changed)
+    touched = {r.order_month for k, r in [*old.items(), *new.items()] if k[0] in changed}
     after = {f: os.path.getmtime(f) for f in glob.glob(local + "/order_month=*/*.parquet")}
-    old = [f for f in before if int(f.split("order_month=")[1].split("/")[0]) < 200101]
-    assert old and all(after.get(f) == before[f] for f in old)          # untouched files, same mtime
-    rows2 = sorted(map(tuple, spark.read.parquet(path).select("order_id", "order_item_id", "price").collect()))
-    assert rows2 == rows1
+    still = [f for f in before if f.split("order_month=")[1].split("/")[0] not in {str(t) for t in touched}]
+    assert still and all(after.get(f) == before[f] for f in still)          # other months: same files
+    assert not any("order_month=" + str(m) in f for m in {r.order_month for r in old.values()}
+                   - {r.order_month for r in new.values()} for f in after)       # emptied months are gone

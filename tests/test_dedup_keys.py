@@ -63,7 +63,7 @@ def _reference_rank(df, cols):
        st.integers(1, 9), st.integers(1, 5))
 def test_dense_key_equals_row_number(spark, values, buckets, start):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v int")
-    got = {r["id"]: r["sk"] for r in dense_surrogate_key(df, ["v"], tie_break=["id"], buckets=buckets,
+    got = {r["id"]: r["sk"] for r in dense_surrogate_key(df, ["v"], tie_break=["id"], partitions=buckets,
                                                           start=start).collect()}
     ref = {k[0]: v + start - 1 for k, v in _reference_rank(df, ["v", "id"]).items()}
     assert got == ref
@@ -72,7 +72,7 @@ def test_dense_key_equals_row_number(spark, values, buckets, start):
 def test_dense_key_strings_and_composite_order(spark):
     data = [(i, f"name{(i * 37) % 23:02d}", None if i % 5 == 0 else i % 3) for i in range(200)]
     df = spark.createDataFrame(data, "id int, s string, g int")
-    got = {r["id"]: r["sk"] for r in dense_surrogate_key(df, ["s", "g"], tie_break=["id"], buckets=7).collect()}
+    got = {r["id"]: r["sk"] for r in dense_surrogate_key(df, ["s", "g"], tie_break=["id"], partitions=7).collect()}
     ref = _reference_rank(df, ["s", "g", "id"])
     assert got == {k[0]: v for k, v in ref.items()}
     assert sorted(got.values()) == list(range(1, 201))
@@ -80,7 +80,7 @@ def test_dense_key_strings_and_composite_order(spark):
 
 def test_dense_key_has_no_single_partition_exchange(spark):
     df = spark.range(5000).select(F.col("id"), (F.col("id") * 7919 % 5000).alias("k"))
-    out = dense_surrogate_key(df, ["k"], buckets=8)
+    out = dense_surrogate_key(df, ["k"], partitions=8)
     assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
     assert out.agg(F.countDistinct("sk")).first()[0] == 5000
 

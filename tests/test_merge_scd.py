@@ -157,3 +157,61 @@ def test_upsert_partitioned_rewrites_only_touched_partitions(spark):
     assert got == [(1, "a", 1), (2, "B", 1), (3, "c", 2), (4, "d", None), (5, "E", 1), (6, "F", None)]
     untouched = [f for f in before if "/p=2/" in f]
     assert untouched and all(os.path.getmtime(f) == before[f] for f in untouched)
+
+
+def test_upsert_partitioned_moves_rows_between_partitions(spark):
+    from medallion_ops.operators.merge import upsert_partitioned
+    from medallion_ops.session import scratch_path
+
+    path = scratch_path(spark, "upsert_moves")
+    spark.createDataFrame([(1, 1, 199501), (2, 1, None), (3, 1, 199504), (4, 1, 199505)], "k int, v int, p int") \
+        .write.partitionBy("p").parquet(path)
+    source = spark.createDataFrame([(1, 2, 199502), (2, 2, 199503), (3, 2, None)], "k int, v int, p int")
+    for _ in range(2):      # and again: nothing changes
+        upsert_partitioned(path, source, "k", "p")
+        got = sorted(map(tuple, spark.read.parquet(path).select("k", "v", "p").collect()))
+        assert got == [(1, 2, 199502), (2, 2, 199503), (3, 2, None), (4, 1, 199505)]
+
+
+def _dim(spark, rows):
+    return spark.createDataFrame(rows, "sk long, id string, attr string, effective_date date, end_date date, "
+                                       "is_current boolean")
+
+
+def test_scd2_null_key_is_one_key(spark):
+    import datetime as dt
+
+    from medallion_ops.operators.scd import scd2_apply, scd2_seed
+
+    dim = scd2_seed(spark.createDataFrame([("a", "x")], "id string, attr string"), "id", ["attr"], effective="2020-01-01")
+    for i, attr in enumerate(["p", "p", "q"]):
+        inc = spark.createDataFrame([(None, attr)], "id string, attr string")
+        dim = scd2_apply(dim, inc, "id", ["attr"], dt.date(2021 + i, 1, 1))
+    got = [r for r in dim.collect() if r.id is None]
+    assert sorted((r.attr, r.is_current) for r in got) == [("p", False), ("q", True)]
+
+
+def test_scd2_keeps_rows_whose_flag_is_null(spark):
+    import datetime as dt
+
+    from medallion_ops.operators.scd import scd2_apply
+
+    old = _dim(spark, [(1, "a", "x", dt.date(2019, 1, 1), dt.date(2020, 1, 1), None),
+                       (2, "a", "y", dt.date(2020, 1, 1), dt.date(9999, 12, 31), True)])
+    out = scd2_apply(old, spark.createDataFrame([("a", "z")], "id string, attr string"), "id", ["attr"], "2021-01-01")
+    assert sorted((r.sk, r.attr, r.is_current) for r in out.collect()) == [(1, "x", None), (2, "y", False), (3, "z", True)]
+
+
+def test_scd2_same_day_corrects_in_place_and_earlier_day_raises(spark):
+    import datetime as dt
+
+    import pytest
+
+    from medallion_ops.operators.scd import scd2_apply
+
+    old = _dim(spark, [(1, "a", "x", dt.date(2020, 1, 1), dt.date(9999, 12, 31), True)])
+    inc = spark.createDataFrame([("a", "z")], "id string, attr string")
+    same = scd2_apply(old, inc, "id", ["attr"], "2020-01-01").collect()
+    assert [(r.sk, r.attr, r.effective_date, r.is_current) for r in same] == [(1, "z", dt.date(2020, 1, 1), True)]
+    with pytest.raises(ValueError, match="before the versions"):
+        scd2_apply(old, inc, "id", ["attr"], "2019-06-01")

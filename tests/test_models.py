@@ -43,7 +43,7 @@ def test_payments_collapsed_keeps_lowest_sequential_with_order_total(spark):
         (None, 1, "card", 1.0, D1, T0, "f")], schema)
     rows = silver.payments_collapsed(bronze).collect()
     assert [(r.order_id, r.payment_sequential, r.payment_type, r.payment_value) for r in rows] == \
-        [(1, 2, "voucher", 15.11)]
+        [(1, 2, "voucher", Decimal("15.11"))]
 
 
 FACT = "order_id long, order_item_id int, price decimal(10,2), freight_value decimal(10,2), product_sk long, " \

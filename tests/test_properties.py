@@ -23,17 +23,19 @@ def test_dedup_is_idempotent_and_unique(spark, data):
     assert len({r[0] for r in a}) == len(a) == len({r[0] for r in data})
 
 
-snapshot = st.dictionaries(st.sampled_from("abcdef"), st.one_of(st.none(), st.sampled_from("xyz")), max_size=6)
+snapshot = st.dictionaries(st.sampled_from([None, *"abcdef"]), st.one_of(st.none(), st.sampled_from("xyz")), max_size=6)
 
 
 @settings(max_examples=8, deadline=None)
-@given(st.lists(snapshot, min_size=1, max_size=3))
-def test_scd2_intervals_never_overlap_and_one_open_row(spark, snaps):
+@given(st.lists(st.tuples(snapshot, st.booleans()), min_size=1, max_size=3))
+def test_scd2_intervals_never_overlap_and_one_open_row(spark, loads):
+    """Loads on later days or (True) on the day of the load before; null keys included."""
+    snaps = [s for s, _ in loads]
     schema = "id string, attr string"
     dim = scd2_seed(spark.createDataFrame(list(snaps[0].items()), schema), "id", ["attr"], effective="2020-01-01")
     day = dt.date(2020, 1, 1)
-    for i, snap in enumerate(snaps[1:], start=1):
-        day = dt.date(2020, 1 + i, 1)
+    for i, (snap, same_day) in enumerate(loads[1:], start=1):
+        day = day if same_day else dt.date(2020, 1 + i, 1)
         dim = scd2_apply(dim, spark.createDataFrame(list(snap.items()), schema), "id", ["attr"], day)
     got = [r.asDict() for r in dim.collect()]
     seen = set().union(*[set(s) for s in snaps])
@@ -44,6 +46,7 @@ def test_scd2_intervals_never_overlap_and_one_open_row(spark, snaps):
         assert versions[-1]["is_current"] and versions[-1]["end_date"] == dt.date(9999, 12, 31)
         for a, b in zip(versions, versions[1:]):
             assert a["end_date"] == b["effective_date"] and not a["is_current"]
+        assert all(v["effective_date"] < v["end_date"] for v in versions)
         # the open version carries the attribute of the last snapshot that had the key
         last = [s[k] for s in snaps if k in s][-1]
         assert versions[-1]["attr"] == last

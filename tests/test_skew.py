@@ -36,7 +36,7 @@ def test_per_key_total_with_hot_key(spark):
 
 def test_dense_key_spreads_a_hot_key_with_tie_break(spark):
     df = _hot(spark)
-    out = dense_surrogate_key(df, ["k"], tie_break=["id"], buckets=8)
+    out = dense_surrogate_key(df, ["k"], tie_break=["id"], partitions=8)
     w = Window.orderBy("k", "id")
     ref = {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(w)).collect()}
     assert {r.id: r.sk for r in out.collect()} == ref
