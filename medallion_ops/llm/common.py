@@ -76,6 +76,19 @@ def text_chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Ite
             at = to
 
 
+def give_back_memory() -> None:
+    """Returns freed memory to the system: a Python worker lives on and serves the tasks of other stages."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):       # another C library keeps or returns memory in its own way
+        pass
+
+
 def import_arrow_compute() -> None:
     """``pyarrow.compute`` must be imported before ``pa.compute`` is used in a worker."""
     import pyarrow.compute  # noqa: F401

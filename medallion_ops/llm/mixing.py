@@ -143,15 +143,15 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     them. A document without words takes part in no share and is not emitted.
     """
     plan = mix_to_weights(docs, id_col=id_col, text_col=text_col, source_col=source_col, **params)
-    plan = (plan.where("copies > 0").groupBy(_row_key(F.col("doc_id"), F.col("source"), F.col("size")).alias("__key"))
-            .agg(F.sum("copies").alias("__all"), F.count(F.lit(1)).alias("__rows")))
+    plan = (plan.where("copies > 0").groupBy(_row_key(F.col("doc_id"), F.col("source"), F.col("size")).alias("__mix_key"))
+            .agg(F.sum("copies").alias("__mix_all"), F.count(F.lit(1)).alias("__mix_rows")))
     key = _row_key(col(id_col), col(source_col), word_count(col(text_col)))
-    both = docs.withColumn("__key", key).join(plan, "__key", "inner")
+    both = docs.withColumn("__mix_key", key).join(plan, "__mix_key", "inner")
     # equal rows of one document share its copies: the first ones get one more
-    nth = F.row_number().over(Window.partitionBy("__key").orderBy(col(text_col)))
-    times = F.floor(F.col("__all") / F.col("__rows")) + F.when(nth <= F.col("__all") % F.col("__rows"), 1).otherwise(0)
-    both = both.withColumn("__times", times.cast("int")).where("__times > 0")
-    return both.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(
+    nth = F.row_number().over(Window.partitionBy("__mix_key").orderBy(col(text_col)))
+    times = F.floor(F.col("__mix_all") / F.col("__mix_rows")) + F.when(nth <= F.col("__mix_all") % F.col("__mix_rows"), 1).otherwise(0)
+    both = both.withColumn("__mix_times", times.cast("int")).where("__mix_times > 0")
+    return both.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_times")))).select(
         *[col(c) for c in docs.columns])
 
 

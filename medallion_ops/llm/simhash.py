@@ -46,12 +46,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion_ops.llm.common import col, text_chunks
+from medallion_ops.llm.common import col, give_back_memory, text_chunks
 from medallion_ops.session import materialize, materialize_counted
 
 BITS = 64
 SEED = 42
-SLICE = 4 << 20
+SLICE = 2 << 20
 HASHES = 1 << 16                 # shingles whose bits are unpacked at once
 
 
@@ -87,6 +87,7 @@ def _fingerprints(shingle: int):
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(i) for i in keep], pa.array(found.view(np.int64))],
                 names=[*[batch.schema.names[i] for i in keep], "fp"])
+        give_back_memory()
     return run
 
 
@@ -161,7 +162,7 @@ def allocate_thresholds(partitions: list[list[int]], p: np.ndarray, corr: np.nda
     cost = []
     for bits in partitions:
         miss = 2 * p[bits] * (1 - p[bits])
-        independent = len(bits) ** 2 / np.sum(corr[np.ix_(bits, bits)] ** 2)
+        independent = len(bits) ** 2 / max(np.sum(corr[np.ix_(bits, bits)] ** 2), 1e-9)
         chance = np.array([1.0])
         for m in np.minimum(miss, 0.5):
             chance = np.convolve(chance, [1 - m, m])
@@ -270,6 +271,6 @@ def deduplicate(docs: DataFrame, shingle: int = 3, distance: int = 3, parts: int
     names = docs.columns
     classes = near_duplicates(docs, shingle, distance, parts, id_col, text_col)
     key = lambda doc_id, row: F.concat_ws("/", F.coalesce(doc_id.cast("string"), F.lit("none")), row.cast("string"))
-    kept = classes.where("keep").select(key(F.col("doc_id"), F.col("row")).alias("__key")).distinct()
-    mine = docs.withColumn("__key", key(col(id_col).cast("bigint"), F.xxhash64(col(text_col))))
-    return mine.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).select(*[col(c) for c in names])
+    kept = classes.where("keep").select(key(F.col("doc_id"), F.col("row")).alias("__simhash_key")).distinct()
+    mine = docs.withColumn("__simhash_key", key(col(id_col).cast("bigint"), F.xxhash64(col(text_col))))
+    return mine.join(kept, "__simhash_key", "left_semi").dropDuplicates(["__simhash_key"]).select(*[col(c) for c in names])

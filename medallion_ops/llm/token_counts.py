@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion_ops.llm.common import col, text_chunks
+from medallion_ops.llm.common import col, give_back_memory, text_chunks
 from medallion_ops.llm.learning import worker_state
 
 SPACE = "▁"
@@ -142,6 +142,7 @@ def _count(shared, keep: list[str], text: str):
             per = model.counts(batch.column(text).fill_null(""))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *[pa.array(x) for x in per]],
                                              names=[*keep, *[f.name for f in FOUND]])
+        give_back_memory()
     return run
 
 

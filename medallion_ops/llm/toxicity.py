@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import re
 import string
+import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -46,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion_ops.llm.common import col, text_chunks
+from medallion_ops.llm.common import col, give_back_memory, text_chunks
 from medallion_ops.llm.learning import labelled_sample, logistic
 
 SYMBOLS = 42                     # 0: no letter, 1-26: a-z, 27: start of a mention, 28-41: other letters
@@ -60,7 +61,7 @@ LIFT = 3.0                       # how much more often a first guess is in toxic
 WIDTH = 24                       # longer mentions are read in windows of this width, half overlapping
 MARKS = string.punctuation
 CACHE = 200_000                  # distinct mentions a task remembers
-SLICE = 4 << 20
+SLICE = 2 << 20
 COMBOS = [(a, b, DECAY ** (a + b - 2)) for a in range(1, GAP + 1) for b in range(1, GAP + 1)]
 SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
 SENTENCE = re.compile(r"[.!?\n]+(?:\s|$)")
@@ -144,27 +145,26 @@ def weighted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row[at], code[at], np.add.reduceat(WEIGHTS[flat & 15], at)
 
 
-def feature_matrix(batch: list[str], table: np.ndarray) -> np.ndarray:
-    """Normalised subsequence vectors of a few mentions (first windows), as a dense matrix."""
-    out = np.zeros((len(batch), SYMBOLS ** 3), np.float32)
+def feature_columns(batch: list[str], table: np.ndarray) -> np.ndarray:
+    """Normalised subsequence vectors of a few mentions (first windows), as the columns of a dense matrix."""
+    out = np.zeros((SYMBOLS ** 3, len(batch)), np.float32)
     for owner, m in codes([t[:WIDTH] for t in batch], table):
         row, code, w = weighted(subsequences(m))
-        out[owner[row], code] = w
-    norm = np.linalg.norm(out, axis=1, keepdims=True)
-    return out / np.where(norm > 0, norm, 1)
+        norm = np.sqrt(np.bincount(row, w * w, len(m)))
+        out[code, owner[row]] = w / norm[row]
+    return out
 
 
 def kernel(batch: list[str], base: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Kernel values of mentions (first windows) with the rows of ``base``."""
-    across = np.ascontiguousarray(base.T)
-    out = np.zeros((len(batch), len(base)))
+    """Kernel values of mentions (first windows) with the columns of ``base``."""
+    out = np.zeros((len(batch), base.shape[1]))
     for owner, m in codes([t[:WIDTH] for t in batch], table):
-        for at in range(0, len(m), 1024):
-            row, code, w = weighted(subsequences(m[at:at + 1024]))
+        for at in range(0, len(m), 256):
+            row, code, w = weighted(subsequences(m[at:at + 256]))
             if len(row):
                 first = np.flatnonzero(np.diff(row, prepend=-1))
                 norm = np.sqrt(np.add.reduceat(w * w, first))[:, None]
-                out[owner[at + row[first]]] = np.add.reduceat(across[code] * w[:, None].astype(np.float32), first) / norm
+                out[owner[at + row[first]]] = np.add.reduceat(base[code] * w[:, None].astype(np.float32), first) / norm
     return out
 
 
@@ -216,16 +216,20 @@ def first_guess(toxic: list[list[str]], clean: list[list[str]]) -> list[list[str
     equal shares and ten times as often, or z of 12 and ``LIFT`` times.
     """
     grams = lambda w: {f" {w} "[i:i + n] for n in (4, 5, 6) for i in range(max(1, len(w) + 3 - n))}
-    count = []
-    for docs in (toxic, clean):
-        seen: Counter = Counter()
-        for words in docs:
-            seen.update(set().union(*map(grams, words)))
-        count.append(seen)
+    seen: Counter = Counter()
+    for words in toxic:
+        seen.update(set().union(*map(grams, words)))
+    often = {g: k for g, k in seen.items() if k >= 3}
+    del seen
+    usual = dict.fromkeys(often, 0)
+    for words in clean:
+        for g in set().union(*map(grams, words)):
+            if g in usual:
+                usual[g] += 1
     p, n = len(toxic), len(clean)
     sure = set()
-    for g, k in count[0].items():
-        other = count[1][g]
+    for g, k in often.items():
+        other = usual[g]
         share = (k + other) / (p + n)
         z = (k / p - other / n) / np.sqrt(share * (1 - share) * (1 / p + 1 / n) + 1e-12)
         if k / p >= (LIFT if z >= 12 else 10) * other / n and z >= 6:
@@ -240,9 +244,9 @@ def train(documents: list[tuple[str, int]], landmarks: int = 400, rounds: int =
     rng = np.random.default_rng(seed)
     said: dict[int, list[list[str]]] = {0: [], 1: []}
     for text, label in documents:
-        words = [w for s in SENTENCE.split(text or "") for w in mentions(s)]
+        words = Counter(sys.intern(w) for s in SENTENCE.split(text or "") for w in mentions(s))
         if words:
-            said[int(label)].append(words)
+            said[int(label)].append([*words, *(w for w, n in words.items() if n > 1)])   # twice is as good as often
     toxic, clean = ([sorted(set(words)) for words in said[k]] for k in (1, 0))
     if not toxic or not clean:
         return None
@@ -266,8 +270,8 @@ def train(documents: list[tuple[str, int]], landmarks: int = 400, rounds: int =
             return None
         marks = [w for w, _ in counts.most_common(landmarks * 5 // 8)]
         marks = list(dict.fromkeys([*marks, *hard[:landmarks // 4], *negative[:landmarks]]))[:landmarks]
-        base = feature_matrix(marks, table)
-        values, vectors = np.linalg.eigh((base @ base.T).astype(np.float64))
+        base = feature_columns(marks, table)
+        values, vectors = np.linalg.eigh((base.T @ base).astype(np.float64))
         good = values > 1e-6
         white = vectors[:, good] / np.sqrt(values[good])
         bad = list(counts)
@@ -276,7 +280,7 @@ def train(documents: list[tuple[str, int]], landmarks: int = 400, rounds: int =
         seen = np.array([counts[w] for w in bad], np.float64)
         often = np.concatenate([seen, 0.5 * seen, [usual[w] ** POWER for w in negative]])
         w, bias = linear_svm(x, y, often, c=COST)
-        weights = base.T.astype(np.float64) @ (white @ w)
+        weights = (base @ (white @ w).astype(np.float32)).astype(np.float64)
         f = decisions(vocabulary, table, weights, bias, ordinary)
         best = [words[int(np.argmax(f[[where[w] for w in words]]))] for words in toxic]
         worst = [w for words in guess for w in words] + [w for w in best if f[where[w]] > 0]
@@ -322,13 +326,17 @@ def _score(model, keep: list[str], text: str):
             score = 1 / (1 + np.exp(-np.clip(f @ own["w"][:2] + own["w"][2], -35, 35)))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(score)],
                                              names=[*keep, "toxicity"])
+        known.clear()
+        give_back_memory()
     return run
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, max_toxic: int = 1500, max_clean: int = 3000,
+def fit_toxicity(docs: DataFrame, labels: DataFrame, learn: Column, max_toxic: int = 1200, max_clean: int = 3000,
                  label_col: str = "toxic", **cols) -> dict | None:
     """Trains on at most ``max_toxic`` + ``max_clean`` labelled documents that meet ``learn``."""
-    return train(labelled_sample(docs, labels, label_col, learn, {1: max_toxic, 0: max_clean}, **cols))
+    model = train(labelled_sample(docs, labels, label_col, learn, {1: max_toxic, 0: max_clean}, **cols))
+    give_back_memory()
+    return model
 
 
 def score_toxicity(docs: DataFrame, model: dict | None, keep: list[str] | None = None,
