@@ -11,7 +11,7 @@ Operators (``medallion_ops.operators``):
     scd.scd2_seed / scd2_apply / snapshot_check / scd2_lookup   type-2 dimensions
     quality.table_checks / orphan_check / quality_report / enforce   one-pass checks, fail loudly
     calendar.date_bounds / date_spine / date_dimension   the date dimension
-    joins.broadcast_if_small / orphans / RowPreservingJoin / row_number_join
+    joins.left_join_using / orphans / RowPreservingJoin / row_number_join
     windows.per_key_agg / per_key_total / *_over / ratio_to_max
 Sources and sinks (``medallion_ops.sources``): tables (driver tables and
 bronze adapters), files (CSV, permissive CSV, quarantine, lineage, ingest),
