@@ -14,7 +14,7 @@ whole, with more the documents are scanned once per block and the covered
 spans united, so a test set of any size gives the same result.
 
 Scale: one narrow scan of the documents, no shuffle of texts; a document is
-cut into slices of a few MB for hashing, its word table (24 bytes a word)
+cut into slices of 1 MB for hashing, its word table (24 bytes a word)
 is the largest thing in memory. Only hits leave the scan.
 
 Defined cases: null or wordless texts have no words and no hits; null item
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from medallion_ops.llm.common import col, text_chunks
+from medallion_ops.llm.common import col, give_back_memory, text_chunks
 from medallion_ops.session import materialize
 
 # bytes outside 0-9, A-Z, a-z and 0x80.. separate words; A-Z become a-z
@@ -42,7 +42,7 @@ FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <=
              for b in range(256))
 BASE = np.uint64(0x9E3779B97F4A7C15)      # odd, so it has an inverse modulo 2^64
 STEP = np.uint64(0xD6E8FEB86659FD93)
-SLICE = 1 << 22                            # bytes hashed at once
+SLICE = 1 << 20                            # bytes hashed at once
 BITS = 22                                  # the bitmap's size is 2^BITS
 
 
@@ -202,6 +202,7 @@ def _scan(grams, keep: list[str], text: str):
                 [*[batch.column(c) for c in keep], pa.array(per.astype(np.int64)), pa.array(n_hit, pa.int64()),
                  pa.array(all_items, ARROW_ITEMS), pa.array(spans, ARROW_SPANS)],
                 names=[*keep, "n_words", "n_hit", "items", "spans"])
+        give_back_memory()
     return run
 
 
