@@ -20,10 +20,10 @@ other task attempt uses. A file counts only once its row is in the stored
 manifest, so files of lost or repeated attempts are never read. Files go
 through ``pyarrow.fs`` to the shared folder, whatever store that is.
 
-The tokenizers library encodes each distinct space-led chunk of a task
-once: a byte-level BPE whose pre-tokenizer starts a new piece at every
-single space before a non-space gives the same ids for a text as for its
-chunks. The cache is dropped at ``CACHE`` chunks, so memory stays bounded.
+The tokenizers library encodes each distinct space-led chunk once per
+Python worker: a byte-level BPE whose pre-tokenizer starts a new piece at
+every space before a non-space gives the same ids for a text as for its
+chunks. At most ``CACHE`` chunks are remembered, so memory stays bounded.
 
 Defined cases: null text is the empty text (its ids are just the end id);
 a null id sorts first and is stored as such; repeated rows are documents of
@@ -39,18 +39,25 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from medallion_ops.llm.common import col, text_chunks
+from medallion_ops.llm.common import col, give_back_memory, text_chunks
+from medallion_ops.llm.learning import worker_state
 from medallion_ops.session import materialize, scratch_path
 
 ID_MAGIC, TABLE_MAGIC, SEEKABLE = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
-CACHE = 150_000                # distinct chunks that a task remembers
+CACHE = 450_000                # distinct chunks that a Python worker remembers, about 200 bytes each
 LONGEST = 64                   # characters of a chunk that is remembered
-SLICE = 2 << 20                # bytes of text encoded at once
+SLICE = 6 << 20                # bytes of text encoded at once
 BORDER = re.compile(r"(?= \S)")
+# a word, marks (no apostrophe, which may join a word), and perhaps a line break, a word and marks
+SIMPLE = re.compile(r"([^\W\d_]+)([!-&(-/:-@\[-`{-~]{0,8})(?:(\n)([^\W\d_]+)([!-&(-/:-@\[-`{-~]{0,8}))?")
+# a space before white space or the end, or at the start: there not every space is a border
+ODD_SPACE = r" [\s\p{Z}\x0b\x1c-\x1f\x{85}]| \z|\A "
 MANIFEST = "file string, pid int, n_docs bigint, n_tokens bigint"
 DOCS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -67,8 +74,20 @@ def filesystem(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def byte_letters() -> dict[int, str]:
+    """The printable letter by which byte-level vocabularies write each byte: itself, or the next one from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return {b: chr(b if b in plain else next(others)) for b in range(256)}
+
+
 class ChunkEncoder:
-    """Ids of a text as little-endian unsigned 32-bit integers, by distinct chunks."""
+    """Ids of a text as little-endian unsigned 32-bit integers, by distinct chunks.
+
+    A chunk is a space and what follows up to the next border; the dictionary
+    leaves the space out, the first chunk of a text (no space) is apart. Up
+    to ``CACHE`` chunks are kept for good, later ones for their slice only.
+    """
 
     def __init__(self, tokenizer_file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -76,31 +95,119 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}                # by chunk without its space
+        self.bare: dict[str, bytes] = {}                 # by word that no space precedes
+        self.marks = {"": b"", "\n": self._ids(["\n"])[0]}   # ids of runs of marks
+        self.letters = byte_letters()
+        self.packed = [struct.pack("<I", i) for i in range(self.tokenizer.get_vocab_size())]
+
+    @classmethod
+    def of_worker(cls, tokenizer_file: str) -> ChunkEncoder:
+        """The Python worker's own encoder: what earlier tasks of the worker have encoded stays known."""
+        held = worker_state("token_files")
+        if not hasattr(held, "by_file"):
+            held.by_file = {}
+        if tokenizer_file not in held.by_file:
+            held.by_file[tokenizer_file] = cls(tokenizer_file)
+        return held.by_file[tokenizer_file]
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        out = []
+        for at in range(0, len(texts), 4096):
+            for e in self.tokenizer.encode_batch_fast(texts[at:at + 4096], add_special_tokens=False):
+                ids = e.ids
+                out.append(struct.pack(f"<{len(ids)}I", *ids))
+        return out
 
     @staticmethod
-    def chunks(text: str) -> list[str]:
-        """Cuts before each space that a non-space follows; the cuts are piece borders of the pre-tokenizer."""
-        return BORDER.split(text)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.chunks(t) for t in texts]
-        known = self.known
-        new = list({c for chunks in cut for c in chunks if c not in known})
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            new = list({c for chunks in cut for c in chunks})
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                ids = e.ids
-                known[c] = struct.pack(f"<{len(ids)}I", *ids)
-        out = [b"".join([known[c] for c in chunks]) for chunks in cut]
-        for c in new:                                    # a very long chunk is not kept
-            if len(c) > LONGEST:
-                del known[c]
+    def odd_chunks(text: str) -> list[str]:
+        """The first chunk and the others without their space, for a text with other spacing than single spaces.
+
+        A border is before each space that a non-space follows: there the
+        pre-tokenizer always starts a new piece.
+        """
+        first, *rest = BORDER.split(text)
+        return [first, *[c[1:] for c in rest]]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text (a string array without nulls)."""
+        odd = pc.match_substring_regex(texts, ODD_SPACE).to_numpy(zero_copy_only=False)
+        out: list[bytes] = [b""] * len(texts)
+        usual = np.flatnonzero(~odd)
+        if len(usual):
+            words = pc.split_pattern(texts.take(pa.array(usual)), " ")
+            for at, body in zip(usual.tolist(), self._joined(words.flatten(), words.offsets.to_numpy())):
+                out[at] = body
+        if odd.any():
+            cut = [self.odd_chunks(texts[at].as_py()) for at in np.flatnonzero(odd).tolist()]
+            ends = np.cumsum([0, *map(len, cut)])
+            for at, body in zip(np.flatnonzero(odd).tolist(), self._joined(pa.array([c for x in cut for c in x]), ends)):
+                out[at] = body
         return out
 
+    def _joined(self, chunks: pa.Array, offsets: np.ndarray) -> list[bytes]:
+        """Ids of lists of chunks; the first chunk of each list is taken as it is, the others without their space."""
+        coded = chunks.dictionary_encode()
+        of, vocabulary = coded.indices.to_numpy().copy(), coded.dictionary.to_pylist()
+        heads = chunks.take(pa.array(offsets[:-1])).to_pylist()
+        of[offsets[:-1]] = len(vocabulary) + np.arange(len(heads))
+        self.known[""] = b""                             # only a first chunk can be empty
+        bodies = list(map(self.known.get, vocabulary))
+        missing = [i for i, body in enumerate(bodies) if body is None]
+        found = self._new([vocabulary[i] for i in missing])
+        for i in missing:
+            bodies[i] = found[vocabulary[i]]
+        if len(self.known) + len(found) <= CACHE and max(map(len, found), default=0) <= LONGEST:
+            self.known.update(found)
+        ids = pa.array(bodies + self._ids(heads), pa.binary()).take(pa.array(of)).cast(pa.large_binary())
+        ends = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, ids.offset * 8)
+        data, cuts = memoryview(ids.buffers()[2] or b""), ends[offsets].tolist()
+        return [bytes(data[b:e]) for b, e in zip(cuts[:-1], cuts[1:])]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of single pieces (letters, perhaps behind a space): the library's model without its pre-tokenizer."""
+        if not words:
+            return []
+        spelt = "\n".join(words).encode().decode("latin-1").translate(self.letters).split(self.letters[10])
+        model, packed = self.tokenizer.model.tokenize, self.packed
+        return [b"".join([packed[t.id] for t in model(w)]) for w in spelt]
+
+    def _new(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of chunks that are not known yet.
+
+        Letters, marks and a line break in between are pieces of their own,
+        so a chunk of the form word, marks, break, word, marks needs only
+        its words encoded.
+        """
+        known, bare, parts, todo, words, lines = self.known, self.bare, {}, set(), set(), set()
+        for c in chunks:
+            m = SIMPLE.fullmatch(c)
+            if m and m[1].isalpha() and (not m[4] or m[4].isalpha()):
+                parts[c] = m[1], m[2], m[4], m[5] or ""
+                words.add(m[1])
+                if m[3]:
+                    lines.add(m[4])                      # a word without a space
+            else:
+                todo.add(c)
+        rest = list(todo.difference(known))
+        found = dict(zip(rest, self._ids([" " + c for c in rest])))
+        new = list(words.difference(known))
+        found.update(zip(new, self._words([" " + c for c in new])))
+        new = list(lines.difference(bare))
+        begun = dict(zip(new, self._words(new)))
+        marks = self.marks
+        for x in {x for p in parts.values() for x in (p[1], p[3])}.difference(marks):
+            marks[x] = self._ids([x])[0]
+        for c, (a, p, b, q) in parts.items():
+            if c not in found:
+                body = (known[a] if a in known else found[a]) + marks[p]
+                if b:
+                    body += marks["\n"] + (bare[b] if b in bare else begun[b]) + marks[q]
+                found[c] = body
+        if len(bare) + len(begun) <= CACHE // 4:
+            bare.update(begun)
+        return found
+
 
 def _write(folder: str, tokenizer_file: str, end_id: int, level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -114,12 +221,12 @@ def _write(folder: str, tokenizer_file: str, end_id: int, level: int):
         name, out, sizes, ids, tokens = "", None, [], [], 0
         for batch in text_chunks(batches, "text", SLICE):
             if out is None:
-                encoder = ChunkEncoder(tokenizer_file)
+                encoder = ChunkEncoder.of_worker(tokenizer_file)
                 store.create_dir(base, recursive=True)
                 name = f"{base}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.zst"
                 out = store.open_output_stream(name, compression=None)
-            texts = batch.column("text").fill_null("").to_pylist()
-            for doc, body in zip(batch.column("doc_id").to_pylist(), encoder.encode(texts)):
+            bodies = encoder.encode(batch.column("text").fill_null(""))
+            for doc, body in zip(batch.column("doc_id").to_pylist(), bodies):
                 body += end
                 frame = press.compress(body)
                 out.write(frame)
@@ -139,6 +246,7 @@ def _write(folder: str, tokenizer_file: str, end_id: int, level: int):
             [pa.array([name.rsplit("/", 1)[1]]), pa.array([TaskContext.get().partitionId()], pa.int32()),
              pa.array([len(ids)], pa.int64()), pa.array([tokens], pa.int64())],
             names=["file", "pid", "n_docs", "n_tokens"])
+        give_back_memory()
     return run
 
 
@@ -222,7 +330,6 @@ def _read(folder: str, wanted: bool):
                                pa.array([file.lengths[k] // 4 for k in part], pa.int64())]
                     names = ["doc_id", "start", "n_tokens"]
                     if wanted:
-                        import numpy as np
                         columns.append(pa.array([np.frombuffer(file.document(k), "<u4").astype(np.int64) for k in part],
                                                 pa.list_(pa.int64())))
                         names.append("ids")

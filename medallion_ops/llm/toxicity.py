@@ -61,7 +61,7 @@ LIFT = 3.0                       # how much more often a first guess is in toxic
 WIDTH = 24                       # longer mentions are read in windows of this width, half overlapping
 MARKS = string.punctuation
 CACHE = 200_000                  # distinct mentions a task remembers
-SLICE = 2 << 20
+SLICE = 1 << 20
 COMBOS = [(a, b, DECAY ** (a + b - 2)) for a in range(1, GAP + 1) for b in range(1, GAP + 1)]
 SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
 SENTENCE = re.compile(r"[.!?\n]+(?:\s|$)")
@@ -102,8 +102,8 @@ def codes(batch: list[str], table: np.ndarray) -> Iterator[tuple[np.ndarray, np.
     lo = 0
     for hi in (5, 7, 9, 12, 16, WIDTH):
         here = np.flatnonzero((size > lo) & (size <= hi))
-        for at in range(0, len(here), 16384):
-            part = here[at:at + 16384]
+        for at in range(0, len(here), 4096):
+            part = here[at:at + 4096]
             m = np.zeros((len(part), hi + 1), np.int32)
             m[:, 1:] = flat[begin[part][:, None] + np.arange(hi)]
             m[:, 1:][np.arange(hi)[None, :] >= size[part][:, None]] = 0

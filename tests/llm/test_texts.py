@@ -185,7 +185,8 @@ def test_chunks_give_the_tokenizers_ids(monkeypatch, cache):
     rnd, t = random.Random(cache), _tokenizer()
     parts = [" ", " ", "\n", "\t", "a", "the", "The", "'s", "'", "1", "²", "½", "é", "　", " ", "\x85", "!", "###",
              "<|endoftext|>", "中", "\x1c", "​", "᠎", "﻿", " ", "\xa0", ".", ",", "_", "-", "\x00"]
-    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 14))) for _ in range(3000)] + ["", "x" * 300, " " * 50, "a. b.\nC d"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 14))) for _ in range(3000)] + [
+        "", "x" * 300, " " * 50, "a. b.\nC d", "\nThe", "The\nThe the\nThe", "\n中 b", "b\n中 中\n中!"]
     got = ChunkEncoder(VOCABULARY).encode(pa.array(texts))
     assert got == [struct.pack(f"<{len(i)}I", *i) for i in (t.encode(x, add_special_tokens=False).ids for x in texts)]
 
