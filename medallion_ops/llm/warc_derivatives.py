@@ -22,7 +22,8 @@ Responses are streamed, one at a time in memory; nothing is shuffled.
 Defined cases: a null or empty page is a response with an empty body and
 gives both records (empty text, no title); a null URL leaves the URI headers
 out; control characters in a URL are percent-encoded, so no header can be
-forged; a message without an HTTP header is all body; repeated rows give
+forged; a message without an HTTP header is all body; a head without end tag
+ends at the first element or text that no head holds; repeated rows give
 records of equal ids in each row's place; an empty table gives no file and
 an empty index; extra columns are not read.
 """
@@ -52,7 +53,13 @@ INDEX = ("page_id bigint, record_type string, record_id string, refers_to string
          "length bigint")
 RECORD = ("page_id bigint, record_type string, record_id string, refers_to string, target_uri string, "
           "block_digest string, source_payload_digest string, content_length bigint, digest_ok boolean, block binary")
-HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+HIDDEN = re.compile(r"<!--|<(script|style|noscript|template|head)(?=[\s/>])[^>]*>", re.I)
+CLOSE = {None: re.compile("-->")} | {
+    x: re.compile(rf"</{x}\s*>", re.I) for x in ("script", "style", "noscript", "template")}
+# what a head can hold: its end tag may be left out, so anything else ends it
+HEAD = re.compile(r"(?:\s+|<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
+                  r"|<(title|noscript|template)(?=[\s/>])[^>]*>.*?</\2\s*>"
+                  r"|</?(?:meta|link|base|basefont|bgsound|title|noscript|template)(?=[\s/>])[^>]*>)*(?:</head\s*>)?", re.S | re.I)
 TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
 LINK = re.compile(r"""<(a|img|link|script|iframe)\b[^>]*?\b(?:href|src)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 BLOCK = re.compile(r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr"
@@ -98,9 +105,34 @@ def split_http(block: bytes) -> tuple[str, dict[str, str], bytes]:
     return status, {k.strip(): v.strip() for k, v in pairs}, body
 
 
+def without_hidden(page: str) -> str:
+    """A page with a space for each comment and hidden element.
+
+    Without its end, a comment, script or style runs to the end of the page
+    (as in browsers); a noscript or template is shown and a head ends where
+    something begins that no head holds, so no visible text goes with them.
+    """
+    out, at, unclosed = [], 0, set()
+    begin = HIDDEN.search(page)
+    while begin:
+        name = begin[1].lower() if begin[1] else None
+        if name == "head":
+            end = HEAD.match(page, begin.end()).end()
+        else:
+            close = None if name in unclosed else CLOSE[name].search(page, begin.end())
+            end = close.end() if close else len(page)
+            if not close and name in ("noscript", "template"):
+                unclosed.add(name)                       # nor is there an end for later ones
+                end = begin.end()
+        out += page[at:begin.start()], " "
+        at = end
+        begin = HIDDEN.search(page, at)
+    return "".join([*out, page[at:]])
+
+
 def page_text(page: str) -> str:
     """Visible text: hidden elements and tags out, block elements as line breaks, entities resolved."""
-    shown = TAG.sub("", BLOCK.sub("\n", HIDDEN.sub(" ", page)))
+    shown = TAG.sub("", BLOCK.sub("\n", without_hidden(page)))
     shown = SPACES.sub(" ", html.unescape(shown).replace("\r", "\n"))
     return BREAKS.sub("\n", shown).strip()
 

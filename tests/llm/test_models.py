@@ -214,3 +214,16 @@ def test_derivatives_link_to_their_responses(spark):
 def test_page_text_resolves_blocks_and_entities():
     assert page_text("<ul><li>a<li>b</ul>x&nbsp;&eacute; <b>bold</b>y") == "a\nb\nx é boldy"
     assert page_text("1 < 2 and 3 > 2") == "1 < 2 and 3 > 2"
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<html><head><title>x</title><body><p>whole page text</p></body></html>", "whole page text"),
+    ("<head><meta charset=utf-8><title>x</title>\n<script>'<p>'</script><style>p{}</style><link href=a><p>one<p>two", "one\ntwo"),
+    ("<HEAD lang=en><!-- <p> --><base href=/><noscript><img></noscript><h1>one</h1>two</head>three", "one\ntwothree"),
+    ("<head><title>x</title>bare text", "bare text"), ("<head><title>x</title></head><header>top</header>", "top"),
+    ("<head><title>x</title><body>one<pre>&lt;head>...</head></pre>two", "one\n<head>...\ntwo"),
+    ("one<noscript>two<p>three", "one two\nthree"),
+    ("one <template><p>two<noscript>no</noscript> three <template>four", "one\ntwo three four"),
+    ("one<template>no</template>two<style>no", "one two"), ("one<!-- no", "one")])
+def test_unclosed_elements_lose_no_visible_text(page, text):
+    assert page_text(page) == text
