@@ -24,6 +24,9 @@ The tokenizers library encodes each distinct space-led chunk once per
 Python worker: a byte-level BPE whose pre-tokenizer starts a new piece at
 every space before a non-space gives the same ids for a text as for its
 chunks. At most ``CACHE`` chunks are remembered, so memory stays bounded.
+A text that holds the string of an added token (``<|endoftext|>``) is encoded
+whole, with the library's defaults: the string becomes the token's id, and
+the space around it is cut otherwise than at chunk borders.
 
 Defined cases: null text is the empty text (its ids are just the end id);
 a null id sorts first and is stored as such; repeated rows are documents of
@@ -89,12 +92,16 @@ class ChunkEncoder:
     to ``CACHE`` chunks are kept for good, later ones for their slice only.
     """
 
-    def __init__(self, tokenizer_file: str):
+    def __init__(self, tokenizer_file: str, special_as_text: bool = True):
+        """``special_as_text``: strings of special tokens are ordinary text, not the library's default; op8 sets it off."""
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True     # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()
+                 if t.content and not (special_as_text and t.special)]
+        self.added = "|".join(f"(?:{re.escape(x)})" for x in added)
         self.known: dict[str, bytes] = {}                # by chunk without its space
         self.bare: dict[str, bytes] = {}                 # by word that no space precedes
         self.marks = {"": b"", "\n": self._ids(["\n"])[0]}   # ids of runs of marks
@@ -108,7 +115,7 @@ class ChunkEncoder:
         if not hasattr(held, "by_file"):
             held.by_file = {}
         if tokenizer_file not in held.by_file:
-            held.by_file[tokenizer_file] = cls(tokenizer_file)
+            held.by_file[tokenizer_file] = cls(tokenizer_file, special_as_text=False)
         return held.by_file[tokenizer_file]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
@@ -131,6 +138,16 @@ class ChunkEncoder:
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text (a string array without nulls)."""
+        if self.added:
+            whole = pc.match_substring_regex(texts, self.added)
+            if pc.any(whole).as_py():
+                rest = iter(self._by_chunks(texts.filter(pc.invert(whole))))
+                ids = iter(self._ids(texts.filter(whole).to_pylist()))
+                return [next(ids if w else rest) for w in whole.to_pylist()]
+        return self._by_chunks(texts)
+
+    def _by_chunks(self, texts: pa.Array) -> list[bytes]:
+        """The ids of texts without the string of an added token."""
         odd = pc.match_substring_regex(texts, ODD_SPACE).to_numpy(zero_copy_only=False)
         out: list[bytes] = [b""] * len(texts)
         usual = np.flatnonzero(~odd)

@@ -226,6 +226,31 @@ def test_token_files_round_trip(spark):
     assert read_index(folder, manifest).count() == 0
 
 
+@pytest.mark.parametrize("cache", [1_500_000, 5])
+def test_added_tokens_in_a_text_are_the_librarys(monkeypatch, spark, cache):
+    """Against a tokenizer as it is loaded: the string of an added token is its id."""
+    import pyarrow as pa
+
+    from medallion_ops.llm import token_files
+
+    monkeypatch.setattr(token_files, "CACHE", cache)
+    rnd, t = random.Random(cache), Tokenizer.from_file(VOCABULARY)
+    ids = lambda x: t.encode(x, add_special_tokens=False).ids
+    assert ids("a <|endoftext|> b") == [64, 220, 50256, 275]
+    parts = [" ", " ", "\n", "a", "The", "'s", "é", "!", "<|endoftext|>", "<|endof", "text|>", "\xa0"]
+    texts = ["a <|endoftext|> b", "x  <|endoftext|>  y", "no token here", "", "<|endoftext|>"] + [
+        "".join(rnd.choices(parts, k=rnd.randint(0, 14))) for _ in range(2000)]
+    encode = ChunkEncoder(VOCABULARY, special_as_text=False).encode
+    want = [struct.pack(f"<{len(i)}I", *i) for i in map(ids, texts)]
+    assert encode(pa.array(texts)) == want
+    assert encode(pa.array(texts[2:4])) == want[2:4] and encode(pa.array(texts[:1])) == want[:1]
+    assert encode(pa.array([], pa.string())) == []
+
+    folder, manifest = write_token_files(documents(spark, list(enumerate(texts[:40]))), VOCABULARY)
+    got = read_documents(folder, manifest, list(range(40))).collect()
+    assert {r.doc_id: list(r.ids) for r in got} == {i: ids(x) + [0] for i, x in enumerate(texts[:40])}
+
+
 PIECES = ranked_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
 
 
