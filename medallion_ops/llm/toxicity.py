@@ -8,6 +8,13 @@ folded to their base letter; any other character only takes up a place, so
 inserted dots, dashes or spaces and changed endings leave most of an
 insult's subsequences in common.
 
+Instances of a sentence are its mentions and its phrases: windows of two or
+three neighbouring tokens, whose subsequences may cross the spaces. So an
+insult of several words, or one that a space breaks, is found too. A phrase
+counts where its decision value is above 0 and above those of the tokens and
+phrases it consists of (else it adds nothing to them), and no token of it
+counts by itself.
+
 Nystroem: features of a mention are its kernel values with ``landmarks``
 training mentions, whitened by the landmarks' own kernel matrix. A linear
 SVM (squared hinge, Newton steps) is trained on them. Sentences are as bad as
@@ -21,7 +28,10 @@ likeness is weaker evidence than two).
 Scoring needs no kernel matrix: the decision function is a sum over
 landmarks, and the landmarks' subsequence weights add up to one table of
 42^3 entries (the same number, rearranged), looked up for the subsequences
-of each distinct mention of a task, with its exact norm.
+of each distinct mention of a task, with its exact norm. Phrases are mostly
+distinct: running totals over the text give each one's value but for equal
+subsequences in its norm, an upper bound, and only phrases that could count
+by that bound are worked out.
 
 The model is fitted on a bounded sample of labelled documents
 (``max_toxic``, ``max_clean``; chosen by a hash of the id) and every text is
@@ -40,6 +50,7 @@ import string
 import sys
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -62,9 +73,12 @@ WIDTH = 24                       # longer mentions are read in windows of this w
 MARKS = string.punctuation
 CACHE = 200_000                  # distinct mentions a task remembers
 SLICE = 1 << 20
+PHRASE = (2, 3)                  # tokens of a phrase
+BLOCK = 1 << 14                  # tokens whose phrases are bounded at once
 COMBOS = [(a, b, DECAY ** (a + b - 2)) for a in range(1, GAP + 1) for b in range(1, GAP + 1)]
 SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
 SENTENCE = re.compile(r"[.!?\n]+(?:\s|$)")
+BREAK = re.compile(r"(?<=[.!?])\s+|\n\s+")        # the same, but the marks stay with their token
 
 
 def symbol_table() -> np.ndarray:
@@ -85,6 +99,12 @@ def mentions(text: str | None) -> list[str]:
     return out
 
 
+def sentence_tokens(text: str | None) -> tuple[list[str], list[int]]:
+    """The tokens of a text in lower case, and how many each sentence has."""
+    parts = [s.split() for s in BREAK.split((text or "").lower())]
+    return [w for p in parts for w in p], list(map(len, parts))
+
+
 def codes(batch: list[str], table: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(indices into ``batch``, matrix of symbols padded with 0) by groups of similar length; long mentions by windows."""
     lengths = np.fromiter(map(len, batch), np.int64, len(batch))
@@ -186,6 +206,107 @@ def decisions(batch: list[str], table: np.ndarray, weights: np.ndarray, bias: fl
     return out
 
 
+class Phrases:
+    """Finds the phrases that count under a decision function."""
+
+    def __init__(self, table: np.ndarray, weights: np.ndarray, bias: float):
+        self.table, self.weights, self.bias = table, weights, bias
+        cube = np.indices((SYMBOLS,) * 3) > 0
+        self.letters = cube.all(axis=0).ravel()                  # triples without a gap symbol
+        self.triple = np.where(self.letters, weights, 0).astype(np.float32)
+
+    def bounds(self, tokens: list[str], spans: list[tuple[np.ndarray, int]]) -> list[np.ndarray]:
+        """Upper bounds of the decision values of phrases given as (first tokens, number of tokens)."""
+        lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        points = np.frombuffer((" ".join(tokens) + " " * 8).encode("utf-32-le", "surrogatepass"), np.uint32)
+        flat = self.table[np.where(points < 1 << 16, points, 0)].astype(np.int32)
+        starts = np.cumsum(lengths + 1) - lengths - 1
+        n, before = len(flat) - 2 * GAP, starts - 1
+        some = flat > 0
+        sums = []
+        for d in range(2, 2 * GAP + 1):                          # places from first to last letter
+            value, square = np.zeros(n), np.zeros(n)
+            head, head_square = np.zeros(len(tokens)), np.zeros(len(tokens))
+            for a in range(max(1, d - GAP), min(GAP, d - 1) + 1):
+                key = (flat[:n] * SYMBOLS + flat[a:n + a]) * SYMBOLS + flat[d:n + d]
+                value += self.triple[key]
+                square += some[:n] & some[a:n + a] & some[d:n + d]
+                key = (START * SYMBOLS + flat[before + a]) * SYMBOLS + flat[before + d]
+                head += self.triple[key]
+                head_square += self.letters[key]
+            w = DECAY ** (d - 2)
+            sums.append((d, np.cumsum(np.append(0, value * w)), np.cumsum(np.append(0, square * w * w)),
+                         head * w, head_square * w * w))
+        out = []
+        for first, k in spans:
+            begin, end = starts[first], starts[first + k - 1] + lengths[first + k - 1]
+            owner, at = np.arange(len(first)), np.zeros(len(first), np.int64)
+            more = np.maximum(0, -(-(end - begin - 2 - WIDTH // 2) // (WIDTH // 2))) * (end - begin > WIDTH)
+            owner = np.concatenate([owner, np.repeat(owner, more)])             # the windows that codes() reads
+            step = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
+            at = np.concatenate([at, step * (WIDTH // 2)])
+            s = begin[owner] + at
+            e = np.minimum(end[owner], s + WIDTH)
+            dot, norm = np.zeros(len(s)), np.zeros(len(s))
+            for d, value, square, head, head_square in sums:
+                to = np.maximum(e - d, s)
+                started = (at == 0) & (d <= e - s)
+                dot += value[to] - value[s] + head[first[owner]] * started
+                norm += square[to] - square[s] + head_square[first[owner]] * started
+            best = np.full(len(first), -np.inf)
+            np.maximum.at(best, owner, np.maximum(dot, 0) / np.sqrt(np.maximum(norm, 1e-6)))
+            out.append(best + self.bias + 1e-6)
+        return out
+
+    def find(self, tokens: list[str], sizes: list[int], own: dict[str, float], raw: dict[str, float],
+             least: float = 0.0) -> list[tuple[int, str, float]]:
+        """(first token, phrase, decision value) of the phrases above ``least`` that count, none overlapping a worse one.
+
+        ``sizes`` are the sentences' numbers of tokens. ``own`` has the value
+        of every token as a mention; ``raw`` that of the ordinary ones by
+        their likeness alone, which is all that a phrase is held against.
+        """
+        out: list[tuple[int, str, float]] = []
+        at, sentence = 0, np.repeat(np.arange(len(sizes)), sizes)
+        while at < len(tokens):
+            out += self._block(tokens[at:at + BLOCK + max(PHRASE) - 1], sentence[at:at + BLOCK + max(PHRASE) - 1],
+                               at, own, raw, least)
+            at += BLOCK
+        taken: set[int] = set()
+        kept = []
+        for i, text, f in sorted(set(out), key=lambda x: (-x[2], x[0])):
+            places = range(i, i + len(text.split(" ")))
+            if taken.isdisjoint(places):
+                taken.update(places)
+                kept.append((i, text, f))
+        return kept
+
+    def _block(self, tokens, sentence, offset, own, raw, least):
+        mine = np.array(list(map(own.__getitem__, tokens)))
+        like = np.maximum(mine, np.array(list(map(raw.get, tokens, repeat(-np.inf)))))
+        long = np.fromiter(map(len, tokens), np.int64, len(tokens)) > 1
+        spans, floors = [], []
+        for k in PHRASE:
+            first = np.arange(max(0, len(tokens) - k + 1))
+            parts = first[:, None] + np.arange(k)
+            # a run of single characters is a mention already
+            first = first[(sentence[first] == sentence[first + k - 1]) & (mine[parts] <= 0).all(axis=1)
+                          & long[parts].any(axis=1)]
+            spans.append((first, k))
+            floors.append(np.maximum(like[first[:, None] + np.arange(k)].max(axis=1, initial=-np.inf), least))
+        if not any(len(first) for first, _ in spans):
+            return []
+        found = [(int(i), k, x) for (first, k), bound, floor in zip(spans, self.bounds(tokens, spans), floors)
+                 for keep in [np.flatnonzero(bound > floor)] for i, x in zip(first[keep], floor[keep].tolist())]
+        if not found:
+            return []
+        text = lambda i, k: " ".join(tokens[i:i + k])
+        batch = sorted({text(i + j, m) for i, k, _ in found for m in PHRASE if m <= k for j in range(k - m + 1)})
+        value = dict(zip(batch, decisions(batch, self.table, self.weights, self.bias).tolist()))
+        return [(offset + i, text(i, k), value[text(i, k)]) for i, k, floor in found
+                if value[text(i, k)] > max([floor, *(value[text(i + j, m)] for m in PHRASE if m < k for j in range(k - m + 1))])]
+
+
 def linear_svm(x: np.ndarray, y: np.ndarray, often: np.ndarray, c: float) -> tuple[np.ndarray, float]:
     """L2-regularised squared-hinge SVM by Newton steps on the active examples.
 
@@ -238,14 +359,48 @@ def first_guess(toxic: list[list[str]], clean: list[list[str]]) -> list[list[str
     return [[w for w in words if looks[w]] for words in toxic]
 
 
+def first_phrases(toxic: list[tuple[list[str], list[int]]], clean: list[tuple[list[str], list[int]]],
+                  guessed: set[str]) -> list[list[str]]:
+    """The phrases of each toxic document that are in significantly more toxic than clean ones, as in ``first_guess``.
+
+    Marks around the tokens do not count, and phrases with a ``guessed``
+    mention are left to it.
+    """
+    def phrases(document):
+        tokens, sizes = document
+        bare, at = [w.strip(MARKS) for w in tokens], 0
+        for n in sizes:
+            for k in PHRASE:
+                for i in range(at, at + n - k + 1):
+                    yield " ".join(bare[i:i + k]), i, k
+            at += n
+    keys = lambda document: np.fromiter({hash(x) for x, _, _ in phrases(document)}, np.int64)
+    none = [np.empty(0, np.int64)]
+    seen, often = np.unique(np.concatenate(none + [keys(x) for x in toxic]), return_counts=True)
+    seen, often = seen[often >= 3], often[often >= 3]
+    usual = np.zeros(len(seen))
+    for x in clean:
+        usual += np.isin(seen, keys(x), assume_unique=True)
+    p, n = len(toxic), len(clean)
+    share = (often + usual) / (p + n)
+    z = (often / p - usual / n) / np.sqrt(share * (1 - share) * (1 / p + 1 / n) + 1e-12)
+    sure = set(seen[(often / p >= np.where(z >= 12, LIFT, 10) * usual / n) & (z >= 6)].tolist())
+    return [sorted({" ".join(x[0][i:i + k]) for text, i, k in phrases(x)
+                    if hash(text) in sure and guessed.isdisjoint(x[0][i:i + k])}) if sure else [] for x in toxic]
+
+
 def train(documents: list[tuple[str, int]], landmarks: int = 400, rounds: int = 4, seed: int = 5) -> dict | None:
     """Fits the model on (text, toxic) pairs; None unless both kinds are there."""
     table = symbol_table()
     rng = np.random.default_rng(seed)
     said: dict[int, list[list[str]]] = {0: [], 1: []}
+    told: dict[int, list[tuple[list[str], list[int]]]] = {0: [], 1: []}
     for text, label in documents:
-        words = Counter(sys.intern(w) for s in SENTENCE.split(text or "") for w in mentions(s))
+        sentences = SENTENCE.split(text or "")
+        words = Counter(sys.intern(w) for s in sentences for w in mentions(s))
         if words:
+            parts = [list(map(sys.intern, s.lower().split())) for s in sentences]
+            told[int(label)].append(([w for p in parts for w in p], list(map(len, parts))))
             said[int(label)].append([*words, *(w for w, n in words.items() if n > 1)])   # twice is as good as often
     toxic, clean = ([sorted(set(words)) for words in said[k]] for k in (1, 0))
     if not toxic or not clean:
@@ -262,7 +417,16 @@ def train(documents: list[tuple[str, int]], landmarks: int = 400, rounds: int =
     ordinary = frozenset(w for w, n in plain.items()
                          if n >= COMMON and blamed[w] / len(toxic) < LIFT * n / len(clean))
     guess = [[w for w in words if w.strip(MARKS) not in ordinary] for words in first_guess(toxic, clean)]
+    phrases = first_phrases(told[1], told[0], {w for words in guess for w in words})
+    guess = [a + b for a, b in zip(guess, phrases)]
     worst = [w for words in guess for w in words]
+    for i in rng.permutation(len(told[0]))[:2000]:               # a phrase of each of so many clean documents
+        tokens, sizes = told[0][i]
+        at = int(rng.integers(len(tokens)))
+        phrase = " ".join(tokens[at:at + PHRASE[int(rng.integers(len(PHRASE)))]])
+        if " " in phrase and phrase not in usual:
+            usual[phrase] = 1
+            negative.append(phrase)
     weights, bias = np.zeros(SYMBOLS ** 3), 0.0
     for r in range(rounds):
         counts = Counter(worst)
@@ -282,24 +446,52 @@ def train(documents: list[tuple[str, int]], landmarks: int = 400, rounds: int =
         w, bias = linear_svm(x, y, often, c=COST)
         weights = (base @ (white @ w).astype(np.float32)).astype(np.float64)
         f = decisions(vocabulary, table, weights, bias, ordinary)
+        g = decisions(pool, table, weights, bias, ordinary)
+        value = dict(zip(vocabulary, f.tolist())) | dict(zip(pool, g.tolist()))
+        forced = [w for w in value if w.strip(MARKS) in ordinary]
+        raw = dict(zip(forced, decisions(forced, table, weights, bias).tolist()))
+        finder = Phrases(table, weights, bias)
         best = [words[int(np.argmax(f[[where[w] for w in words]]))] for words in toxic]
         worst = [w for words in guess for w in words] + [w for w in best if f[where[w]] > 0]
         if r + 1 < rounds:
-            g = decisions(pool, table, weights, bias, ordinary)
+            for words, w, x in zip(guess, best, told[1]):        # a phrase where no mention tells
+                if not words and f[where[w]] <= 0:
+                    worst += [t for _, t, _ in finder.find(*x, value, raw)[:1]]
+            likely: dict[str, float] = {}
+            for x in told[0]:
+                for _, t, v in finder.find(*x, value, raw, least=-0.3):
+                    likely[t] = v
+                    usual[t] = max(1, usual[t])
+            negative = list(dict.fromkeys([*negative, *sorted(likely, key=lambda t: (-likely[t], t))[:500]]))
             hard = [pool[i] for i in np.argsort(-(np.maximum(g, -0.5) + 0.5) * often_clean)[:500]]
             negative = list(dict.fromkeys([*negative, *hard]))
-    value = dict(zip(vocabulary, f.tolist())) | dict(zip(pool, decisions(pool, table, weights, bias, ordinary).tolist()))
-    top = np.array([worst_two(words, value) for words in said[1] + said[0]])
+    found = [[(t, v) for _, t, v in finder.find(*x, value, raw)] for x in told[1] + told[0]]
+    top = np.array([worst_two(words + [t for t, _ in more], value, dict(more))
+                    for words, more in zip(said[1] + said[0], found)])
     w = logistic(top, np.array([1] * len(toxic) + [0] * len(clean)))
     return {"weights": weights.astype(np.float32), "bias": bias, "w": w, "table": table,
             "ordinary": ordinary}
 
 
-def worst_two(words: list[str], value: dict[str, float]) -> tuple[float, float]:
-    """Decision values of the two worst mentions; one that is said twice is both."""
+def phrases_of(finder: Phrases, texts: list[str | None], value: dict[str, float],
+               raw: dict[str, float]) -> list[tuple[list[str], dict[str, float]]]:
+    """The phrases of each text that count, as often as they do, and their decision values."""
+    cut = [sentence_tokens(t) for t in texts]
+    ends = np.cumsum([len(tokens) for tokens, _ in cut])
+    out: list[tuple[list[str], dict[str, float]]] = [([], {}) for _ in texts]
+    every, sizes = [w for tokens, _ in cut for w in tokens], [n for _, sizes in cut for n in sizes]
+    for at, phrase, f in finder.find(every, sizes, value, raw):
+        said, values = out[int(np.searchsorted(ends, at, side="right"))]
+        said.append(phrase)
+        values[phrase] = f
+    return out
+
+
+def worst_two(words: list[str], value: dict[str, float], more: dict[str, float] | None = None) -> tuple[float, float]:
+    """Decision values of the two worst mentions or phrases (values in ``more``); one that is said twice is both."""
     first, second, worst = -np.inf, -np.inf, ""
     for w in set(words):
-        f = value[w]
+        f = more[w] if more and w in more else value[w]
         if f > first:
             first, second, worst = f, first, w
         elif f > second:
@@ -313,16 +505,23 @@ def _score(model, keep: list[str], text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
         known: dict[str, float] = {}
+        raw: dict[str, float] = {}                       # of ordinary mentions, by their likeness alone
+        finder = Phrases(own["table"], own["weights"], own["bias"])
         for batch in text_chunks(batches, text, SLICE):
-            words = [mentions(t) for t in batch.column(text).to_pylist()]
+            texts = batch.column(text).to_pylist()
+            words = [mentions(t) for t in texts]
             every = set().union(*words)
             new = [w for w in every if w not in known]
             if len(known) + len(new) > CACHE:
                 known.clear()
+                raw.clear()
                 new = list(every)
             if new:
                 known.update(zip(new, decisions(new, own["table"], own["weights"], own["bias"], own["ordinary"]).tolist()))
-            f = np.array([worst_two(w, known) if w else (own["bias"],) * 2 for w in words])
+                forced = [w for w in new if w.strip(MARKS) in own["ordinary"]]
+                raw.update(zip(forced, decisions(forced, own["table"], own["weights"], own["bias"]).tolist()))
+            phrases = phrases_of(finder, texts, known, raw)
+            f = np.array([worst_two(w + t, known, more) if w else (own["bias"],) * 2 for w, (t, more) in zip(words, phrases)])
             score = 1 / (1 + np.exp(-np.clip(f @ own["w"][:2] + own["w"][2], -35, 35)))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(score)],
                                              names=[*keep, "toxicity"])

@@ -79,6 +79,73 @@ def test_toxicity_on_held_out_documents(spark):
     assert none is None and {r.score for r in score_toxicity(documents(spark), none, score_col="score").collect()} == {0.0}
 
 
+def _phrase_corpus(seed, n=700):
+    """Toxic documents say a phrase whose three words clean documents use apart, or a plain insult."""
+    rnd, out = random.Random(seed), []
+    for i in range(n):
+        words, bad = _text(rnd, rnd.randint(20, 60)).split(), i % 4 == 0
+        for _ in range(2):
+            if bad:
+                words.insert(rnd.randrange(len(words)), rnd.choice(["waste of space", "moron", "scumbag"]))
+            else:
+                for w in ("waste", "of", "space"):
+                    words.insert(rnd.randrange(len(words)), w)
+        out.append((" ".join(words).replace("waste of space", "waste of space" if bad else "of"), int(bad)))
+    return out
+
+
+def _scores(model, texts):
+    import pyarrow as pa
+
+    class Shared:
+        value = model
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["i", "t"])
+    return [s for out in toxicity._score(Shared, ["i"], "t")(iter([batch])) for s in out.column("toxicity").to_pylist()]
+
+
+def test_insults_of_several_words_are_found():
+    """Of ordinary words, and broken by one space into pieces that are no insult."""
+    model = toxicity.train(_phrase_corpus(1))
+    assert {"waste", "of", "space"} <= model["ordinary"]
+    rnd = random.Random(4)
+    clean = lambda: _text(rnd, 25)[:-1]
+    for insult in ("waste of space", "mo ron", "scum bag", "mor on"):
+        got = _scores(model, [f"{clean()} {insult} {clean()} {insult} {clean()}" for _ in range(20)])
+        assert sum(s >= 0.5 for s in got) >= 18, (insult, got)
+    apart = _scores(model, [f"{clean()} waste {clean()} of {clean()} space {clean()}." for _ in range(50)])
+    assert sum(s >= 0.5 for s in apart) <= 4
+
+
+def test_phrase_bounds_hold_and_nothing_that_counts_is_left_out():
+    rng, rnd = np.random.default_rng(3), random.Random(3)
+    table = toxicity.symbol_table()
+    weights = rng.normal(size=toxicity.SYMBOLS ** 3)
+    tokens = [rnd.choice(["a", "bb", "é!", "x.y", "moron", "the", "中文字", "." * 4, "abcdefgh" * 3, "z" * 40]) for _ in range(400)]
+    finder = toxicity.Phrases(table, weights, -0.2)
+    spans = [(np.arange(len(tokens) - k + 1), k) for k in toxicity.PHRASE]
+    value = {}
+    for (first, k), bound in zip(spans, finder.bounds(tokens, spans)):
+        text = [" ".join(tokens[i:i + k]) for i in first]
+        exact = toxicity.decisions(text, table, weights, -0.2)
+        value |= dict(zip(text, exact))
+        assert (bound >= np.minimum(exact, bound.max()) - 1e-9).all() and (bound >= exact - 1e-9).all()
+    own = dict(zip(tokens, toxicity.decisions(tokens, table, weights, -0.2)))
+    own = {w: min(f, -0.01) for w, f in own.items()}
+    found = finder.find(tokens, [150, 0, 250], own, {})
+    places = {j for i, text, _ in found for j in range(i, i + len(text.split(" ")))}
+    counted = 0
+    for k in toxicity.PHRASE:
+        for i in range(len(tokens) - k + 1):
+            text = " ".join(tokens[i:i + k])
+            smaller = [value[" ".join(tokens[j:j + 2])] for j in (i, i + 1)] if k == 3 else []
+            inside = (i < 150) == (i + k - 1 < 150) and any(len(w) > 1 for w in tokens[i:i + k])
+            if inside and value[text] > max([0, *smaller, *(own[w] for w in tokens[i:i + k])]):
+                counted += 1
+                assert not places.isdisjoint(range(i, i + k)), (i, text)
+    assert 0 < len(found) <= counted
+
+
+
 def _pages(seed, n=300):
     rnd, out = random.Random(seed), []
     for i in range(n):
