@@ -21,7 +21,8 @@ SVM (squared hinge, Newton steps) is trained on them. Sentences are as bad as
 their mentions; only documents are labelled, so training alternates
 (multiple-instance SVM): the worst mentions of the toxic documents'
 sentences are the positive examples, mentions of clean sentences the
-negative ones, the hardest added each round. Platt's method maps a
+negative ones, the hardest added each round. A mention of more than ``WIDTH``
+characters stands by its worst window, as in scoring. Platt's method maps a
 document's two worst decision values to a probability (a single accidental
 likeness is weaker evidence than two).
 
@@ -105,16 +106,28 @@ def sentence_tokens(text: str | None) -> tuple[list[str], list[int]]:
     return [w for p in parts for w in p], list(map(len, parts))
 
 
-def codes(batch: list[str], table: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(indices into ``batch``, matrix of symbols padded with 0) by groups of similar length; long mentions by windows."""
+def windows(length: int) -> range:
+    """Where the windows of a mention begin."""
+    return range(0, max(1, length - 2) if length > WIDTH else 1, WIDTH // 2)
+
+
+def codes(batch: list[str], table: np.ndarray, at: list[int] | None = None
+          ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(indices into ``batch``, begins, matrix of symbols padded with 0) by groups of similar length; long mentions by windows.
+
+    With ``at``, only the window of each mention that begins there.
+    """
     lengths = np.fromiter(map(len, batch), np.int64, len(batch))
     points = np.frombuffer("".join(batch).encode("utf-32-le", "surrogatepass"), np.uint32)
     flat = np.concatenate([table[np.where(points < 1 << 16, points, 0)], np.zeros(WIDTH, np.uint8)])
     starts = np.cumsum(lengths) - lengths
     owner, begin, size = np.arange(len(batch)), starts, lengths
-    if (lengths > WIDTH).any():
-        more = [(i, starts[i] + at, min(WIDTH, lengths[i] - at)) for i in np.flatnonzero(lengths > WIDTH)
-                for at in range(WIDTH // 2, int(lengths[i]) - 2, WIDTH // 2)]
+    if at is not None:
+        begin = starts + np.array(at, np.int64)
+        size = np.minimum(starts + lengths - begin, WIDTH)
+    elif (lengths > WIDTH).any():
+        more = [(i, starts[i] + b, min(WIDTH, lengths[i] - b)) for i in np.flatnonzero(lengths > WIDTH)
+                for b in windows(int(lengths[i]))[1:]]
         if more:
             o, b, s = map(np.array, zip(*more))
             owner, begin, size = np.concatenate([owner, o]), np.concatenate([begin, b]), np.concatenate([size, s])
@@ -122,13 +135,13 @@ def codes(batch: list[str], table: np.ndarray) -> Iterator[tuple[np.ndarray, np.
     lo = 0
     for hi in (5, 7, 9, 12, 16, WIDTH):
         here = np.flatnonzero((size > lo) & (size <= hi))
-        for at in range(0, len(here), 4096):
-            part = here[at:at + 4096]
+        for i in range(0, len(here), 4096):
+            part = here[i:i + 4096]
             m = np.zeros((len(part), hi + 1), np.int32)
             m[:, 1:] = flat[begin[part][:, None] + np.arange(hi)]
             m[:, 1:][np.arange(hi)[None, :] >= size[part][:, None]] = 0
             m[:, 0] = np.where(begin[part] == starts[owner[part]], START, 0)
-            yield owner[part], m
+            yield owner[part], begin[part] - starts[owner[part]], m
         lo = hi
 
 
@@ -165,26 +178,26 @@ def weighted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row[at], code[at], np.add.reduceat(WEIGHTS[flat & 15], at)
 
 
-def feature_columns(batch: list[str], table: np.ndarray) -> np.ndarray:
-    """Normalised subsequence vectors of a few mentions (first windows), as the columns of a dense matrix."""
+def feature_columns(batch: list[str], table: np.ndarray, at: list[int] | None = None) -> np.ndarray:
+    """Normalised subsequence vectors of the windows of a few mentions (first ones, or ``at``), as the columns of a dense matrix."""
     out = np.zeros((SYMBOLS ** 3, len(batch)), np.float32)
-    for owner, m in codes([t[:WIDTH] for t in batch], table):
+    for owner, _, m in codes(batch, table, at or [0] * len(batch)):
         row, code, w = weighted(subsequences(m))
         norm = np.sqrt(np.bincount(row, w * w, len(m)))
         out[code, owner[row]] = w / norm[row]
     return out
 
 
-def kernel(batch: list[str], base: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Kernel values of mentions (first windows) with the columns of ``base``."""
+def kernel(batch: list[str], base: np.ndarray, table: np.ndarray, at: list[int] | None = None) -> np.ndarray:
+    """Kernel values of the windows of mentions (first ones, or ``at``) with the columns of ``base``."""
     out = np.zeros((len(batch), base.shape[1]))
-    for owner, m in codes([t[:WIDTH] for t in batch], table):
-        for at in range(0, len(m), 256):
-            row, code, w = weighted(subsequences(m[at:at + 256]))
+    for owner, _, m in codes(batch, table, at or [0] * len(batch)):
+        for i in range(0, len(m), 256):
+            row, code, w = weighted(subsequences(m[i:i + 256]))
             if len(row):
                 first = np.flatnonzero(np.diff(row, prepend=-1))
                 norm = np.sqrt(np.add.reduceat(w * w, first))[:, None]
-                out[owner[at + row[first]]] = np.add.reduceat(base[code] * w[:, None].astype(np.float32), first) / norm
+                out[owner[i + row[first]]] = np.add.reduceat(base[code] * w[:, None].astype(np.float32), first) / norm
     return out
 
 
@@ -195,7 +208,7 @@ def decisions(batch: list[str], table: np.ndarray, weights: np.ndarray, bias: fl
     ``ordinary`` mentions, known from clean documents, are -1 however like an insult they look.
     """
     out = np.full(len(batch), -np.inf)
-    for owner, m in codes(batch, table):
+    for owner, _, m in codes(batch, table):
         row, code, w = weighted(subsequences(m))
         dot = np.bincount(row, weights[code] * w, len(m))
         norm = np.sqrt(np.bincount(row, w * w, len(m)))
@@ -307,6 +320,19 @@ class Phrases:
                 if value[text(i, k)] > max([floor, *(value[text(i + j, m)] for m in PHRASE if m < k for j in range(k - m + 1))])]
 
 
+def worst_windows(batch: list[str], table: np.ndarray, weights: np.ndarray, bias: float) -> list[tuple[str, int]]:
+    """Each mention with the begin of its window of the highest decision value."""
+    best, out = np.full(len(batch), -np.inf), np.zeros(len(batch), np.int64)
+    for owner, begin, m in codes(batch, table):
+        row, code, w = weighted(subsequences(m))
+        norm = np.sqrt(np.bincount(row, w * w, len(m)))
+        value = np.where(norm > 0, np.bincount(row, weights[code] * w, len(m)) / np.where(norm > 0, norm, 1), 0.0) + bias
+        for k in np.lexsort((-begin, value)):                    # the worst one last, the first one among equals
+            if (value[k], -begin[k]) > (best[owner[k]], -out[owner[k]]):
+                best[owner[k]], out[owner[k]] = value[k], begin[k]
+    return list(zip(batch, out.tolist()))
+
+
 def linear_svm(x: np.ndarray, y: np.ndarray, often: np.ndarray, c: float) -> tuple[np.ndarray, float]:
     """L2-regularised squared-hinge SVM by Newton steps on the active examples.
 
@@ -329,8 +355,8 @@ def linear_svm(x: np.ndarray, y: np.ndarray, often: np.ndarray, c: float) -> tup
     return w[:-1], float(w[-1])
 
 
-def first_guess(toxic: list[list[str]], clean: list[list[str]]) -> list[list[str]]:
-    """The mentions of each toxic document that look toxic before any training, perhaps none.
+def first_guess(toxic: list[list[str]], clean: list[list[str]]) -> tuple[list[list[str]], set[str]]:
+    """The mentions of each toxic document that look toxic before any training, perhaps none, and the runs that show it.
 
     They hold a run of 4 to 6 characters (the start of the mention is one)
     that is in significantly more toxic than clean documents: z of 6 for
@@ -356,7 +382,15 @@ def first_guess(toxic: list[list[str]], clean: list[list[str]]) -> list[list[str
         if k / p >= (LIFT if z >= 12 else 10) * other / n and z >= 6:
             sure.add(g)
     looks = {w: not sure.isdisjoint(grams(w)) for w in {w for words in toxic for w in words}}
-    return [[w for w in words if looks[w]] for words in toxic]
+    return [[w for w in words if looks[w]] for words in toxic], sure
+
+
+def guessed_window(mention: str, sure: set[str], step: int = 1) -> int:
+    """Begin of the window that has most of the runs ``sure``; of the mention with dots between its letters if ``step`` is 2."""
+    def runs(b):
+        part = f" {mention} "[b // step + (b > 0):(b + WIDTH) // step + 2]
+        return sum(part[i:i + n] in sure for n in (4, 5, 6) for i in range(len(part) + 1 - n))
+    return max(windows(step * len(mention) - step + 1), key=lambda b: (runs(b), -b))
 
 
 def first_phrases(toxic: list[tuple[list[str], list[int]]], clean: list[tuple[list[str], list[int]]],
@@ -416,7 +450,8 @@ def train(documents: list[tuple[str, int]], landmarks: int = 400, rounds: int =
     plain = Counter(w for words in clean for w in {w.strip(MARKS) for w in words})
     ordinary = frozenset(w for w, n in plain.items()
                          if n >= COMMON and blamed[w] / len(toxic) < LIFT * n / len(clean))
-    guess = [[w for w in words if w.strip(MARKS) not in ordinary] for words in first_guess(toxic, clean)]
+    guess, sure = first_guess(toxic, clean)
+    guess = [[w for w in words if w.strip(MARKS) not in ordinary] for words in guess]
     phrases = first_phrases(told[1], told[0], {w for words in guess for w in words})
     guess = [a + b for a, b in zip(guess, phrases)]
     worst = [w for words in guess for w in words]
@@ -428,21 +463,30 @@ def train(documents: list[tuple[str, int]], landmarks: int = 400, rounds: int =
             usual[phrase] = 1
             negative.append(phrase)
     weights, bias = np.zeros(SYMBOLS ** 3), 0.0
+    clear: list[tuple[str, int]] = []
     for r in range(rounds):
         counts = Counter(worst)
         if not counts:
             return None
+        bad = list(counts)
+        spelt = list(map(".".join, bad))                         # spelled out with dots as well
+        if r:                                                    # a toxic mention stands by its worst window
+            at, dotted = ([b for _, b in worst_windows(x, table, weights, bias)] for x in (bad, spelt))
+        else:
+            at, dotted = ([guessed_window(w, sure, step) for w in bad] for step in (1, 2))
+        # no window of a clean mention is toxic: the first ones and, round by round, the worst ones
+        clear = list(dict.fromkeys([*clear, *[(w, 0) for w in negative], *worst_windows(negative, table, weights, bias)]))
         marks = [w for w, _ in counts.most_common(landmarks * 5 // 8)]
         marks = list(dict.fromkeys([*marks, *hard[:landmarks // 4], *negative[:landmarks]]))[:landmarks]
-        base = feature_columns(marks, table)
+        begin = dict(worst_windows(marks, table, weights, bias)) | {w: b for w, b in zip(bad, at)}
+        base = feature_columns(marks, table, [begin[w] for w in marks])
         values, vectors = np.linalg.eigh((base.T @ base).astype(np.float64))
         good = values > 1e-6
         white = vectors[:, good] / np.sqrt(values[good])
-        bad = list(counts)
-        x = kernel([*bad, *map(".".join, bad), *negative], base, table) @ white      # spelled out with dots as well
-        y = np.concatenate([np.ones(2 * len(bad)), -np.ones(len(negative))])
+        x = kernel([*bad, *spelt, *[w for w, _ in clear]], base, table, [*at, *dotted, *[b for _, b in clear]]) @ white
+        y = np.concatenate([np.ones(2 * len(bad)), -np.ones(len(clear))])
         seen = np.array([counts[w] for w in bad], np.float64)
-        often = np.concatenate([seen, 0.5 * seen, [usual[w] ** POWER for w in negative]])
+        often = np.concatenate([seen, 0.5 * seen, [usual[w] ** POWER for w, _ in clear]])
         w, bias = linear_svm(x, y, often, c=COST)
         weights = (base @ (white @ w).astype(np.float32)).astype(np.float64)
         f = decisions(vocabulary, table, weights, bias, ordinary)
@@ -454,18 +498,16 @@ def train(documents: list[tuple[str, int]], landmarks: int = 400, rounds: int =
         best = [words[int(np.argmax(f[[where[w] for w in words]]))] for words in toxic]
         worst = [w for words in guess for w in words] + [w for w in best if f[where[w]] > 0]
         if r + 1 < rounds:
-            for words, w, x in zip(guess, best, told[1]):        # a phrase where no mention tells
-                if not words and f[where[w]] <= 0:
-                    worst += [t for _, t, _ in finder.find(*x, value, raw)[:1]]
-            likely: dict[str, float] = {}
-            for x in told[0]:
-                for _, t, v in finder.find(*x, value, raw, least=-0.3):
-                    likely[t] = v
-                    usual[t] = max(1, usual[t])
+            silent = [x for words, w, x in zip(guess, best, told[1]) if not words and f[where[w]] <= 0]
+            for more in phrases_of(finder, silent, value, raw):  # a phrase where no mention tells
+                worst += [t for t, _ in more[:1]]
+            likely = {t: v for more in phrases_of(finder, told[0], value, raw, least=-0.1) for t, v in more}
+            for t in likely:
+                usual[t] = max(1, usual[t])
             negative = list(dict.fromkeys([*negative, *sorted(likely, key=lambda t: (-likely[t], t))[:500]]))
             hard = [pool[i] for i in np.argsort(-(np.maximum(g, -0.5) + 0.5) * often_clean)[:500]]
             negative = list(dict.fromkeys([*negative, *hard]))
-    found = [[(t, v) for _, t, v in finder.find(*x, value, raw)] for x in told[1] + told[0]]
+    found = phrases_of(finder, told[1] + told[0], value, raw)
     top = np.array([worst_two(words + [t for t, _ in more], value, dict(more))
                     for words, more in zip(said[1] + said[0], found)])
     w = logistic(top, np.array([1] * len(toxic) + [0] * len(clean)))
@@ -473,17 +515,20 @@ def train(documents: list[tuple[str, int]], landmarks: int = 400, rounds: int =
             "ordinary": ordinary}
 
 
-def phrases_of(finder: Phrases, texts: list[str | None], value: dict[str, float],
-               raw: dict[str, float]) -> list[tuple[list[str], dict[str, float]]]:
-    """The phrases of each text that count, as often as they do, and their decision values."""
-    cut = [sentence_tokens(t) for t in texts]
-    ends = np.cumsum([len(tokens) for tokens, _ in cut])
-    out: list[tuple[list[str], dict[str, float]]] = [([], {}) for _ in texts]
-    every, sizes = [w for tokens, _ in cut for w in tokens], [n for _, sizes in cut for n in sizes]
-    for at, phrase, f in finder.find(every, sizes, value, raw):
-        said, values = out[int(np.searchsorted(ends, at, side="right"))]
-        said.append(phrase)
-        values[phrase] = f
+def phrases_of(finder: Phrases, documents: list[tuple[list[str], list[int]]], value: dict[str, float],
+               raw: dict[str, float], least: float = 0.0) -> list[list[tuple[str, float]]]:
+    """The phrases of each document that count, as often as they do, with their decision values; many documents at once."""
+    out: list[list[tuple[str, float]]] = [[] for _ in documents]
+    ends = np.cumsum([len(tokens) for tokens, _ in documents])
+    at = 0
+    while at < len(documents):
+        done = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + BLOCK, side="right")))
+        tokens = [w for x, _ in documents[at:to] for w in x]
+        sizes = [n for _, x in documents[at:to] for n in x]
+        for i, phrase, f in finder.find(tokens, sizes, value, raw, least):
+            out[int(np.searchsorted(ends, done + i, side="right"))].append((phrase, f))
+        at = to
     return out
 
 
@@ -520,8 +565,9 @@ def _score(model, keep: list[str], text: str):
                 known.update(zip(new, decisions(new, own["table"], own["weights"], own["bias"], own["ordinary"]).tolist()))
                 forced = [w for w in new if w.strip(MARKS) in own["ordinary"]]
                 raw.update(zip(forced, decisions(forced, own["table"], own["weights"], own["bias"]).tolist()))
-            phrases = phrases_of(finder, texts, known, raw)
-            f = np.array([worst_two(w + t, known, more) if w else (own["bias"],) * 2 for w, (t, more) in zip(words, phrases)])
+            phrases = phrases_of(finder, [sentence_tokens(t) for t in texts], known, raw)
+            f = np.array([worst_two(w + [t for t, _ in more], known, dict(more)) if w else (own["bias"],) * 2
+                          for w, more in zip(words, phrases)])
             score = 1 / (1 + np.exp(-np.clip(f @ own["w"][:2] + own["w"][2], -35, 35)))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(score)],
                                              names=[*keep, "toxicity"])

@@ -116,6 +116,28 @@ def test_insults_of_several_words_are_found():
     assert sum(s >= 0.5 for s in apart) <= 4
 
 
+def test_long_mentions_are_learned_by_their_worst_window():
+    """Toxic documents say their insult past the first 24 characters of a token without spaces."""
+    rnd, docs = random.Random(6), []
+    glued = lambda words: "_".join(words)
+    for i in range(600):
+        words = _text(rnd, 40)[:-1].split()
+        for _ in range(3):
+            long = _text(rnd, 14)[:-1].split()
+            if i % 4 == 0:
+                long.insert(rnd.randint(9, 13), rnd.choice(["moron", "scumbag", "pathetic"]))
+            words.insert(rnd.randrange(len(words)), glued(long))
+        docs.append((" ".join(words), int(i % 4 == 0)))
+    assert all("moron" not in w[:24] for t, _ in docs for w in t.split())
+    model = toxicity.train(docs)
+    clean = lambda: _text(rnd, 25)[:-1]
+    plain = _scores(model, [f"{clean()} moron {clean()} scumbag {clean()}" for _ in range(20)])
+    assert sum(s >= 0.5 for s in plain) >= 18
+    worst = [(t, at) for t, at in toxicity.worst_windows(["a" * 30 + "moron", "moron"], model["table"], model["weights"], 0.0)]
+    assert [at for _, at in worst] == [24, 0]        # of the windows that hold it, the one with the least besides
+    assert sum(s >= 0.5 for s in _scores(model, [clean() for _ in range(50)])) <= 4
+
+
 def test_phrase_bounds_hold_and_nothing_that_counts_is_left_out():
     rng, rnd = np.random.default_rng(3), random.Random(3)
     table = toxicity.symbol_table()
