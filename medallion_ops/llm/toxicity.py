@@ -501,7 +501,8 @@ def train(documents: list[tuple[str, int]], landmarks: int = 400, rounds: int =
             silent = [x for words, w, x in zip(guess, best, told[1]) if not words and f[where[w]] <= 0]
             for more in phrases_of(finder, silent, value, raw):  # a phrase where no mention tells
                 worst += [t for t, _ in more[:1]]
-            likely = {t: v for more in phrases_of(finder, told[0], value, raw, least=-0.1) for t, v in more}
+            mined = told[0][r::rounds - 1]                       # every clean document is gone through in one round
+            likely = {t: v for more in phrases_of(finder, mined, value, raw) for t, v in more}
             for t in likely:
                 usual[t] = max(1, usual[t])
             negative = list(dict.fromkeys([*negative, *sorted(likely, key=lambda t: (-likely[t], t))[:500]]))
