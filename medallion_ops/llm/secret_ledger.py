@@ -18,7 +18,8 @@ matches come from ``regexp_extract_all`` and their positions from the gaps
 matches), summed by an ``aggregate`` per text that has any.
 
 Scale: the scan reads each text where it lies for hashing, then shuffles
-the texts of chosen versions once by (path, version), which is uniform; a
+the texts of chosen versions once by (path, version, blob), so versions that
+share or lack a path meet only their own blob; a
 blob shared by a third of all versions has one representative there, and
 only its narrow rows (version, blob) meet the findings in a join that
 adaptive execution can split.
@@ -102,9 +103,9 @@ def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules: S
     spark = versions.sparkSession
     text = F.coalesce(col(text_col), F.lit(""))
     version = F.lit(None).cast("string") if version_col is None else col(version_col)
-    named = versions.select(col(path_col).alias("path"), version.alias("version"), text.alias("text"))
-    addressed = materialize(named.select("path", "version", F.sha2(F.col("text").cast("binary"), 256).alias("blob")),
-                            "blobs")
+    named = versions.select(col(path_col).alias("path"), version.alias("version"), text.alias("text"),
+                            F.sha2(text.cast("binary"), 256).alias("blob"))
+    addressed = materialize(named.select("path", "version", "blob"), "blobs")
 
     wanted = spark.createDataFrame([(r.kind, r.version) for r in rules], "kind string, rule_version int")
     # one version of each blob stands for it
@@ -121,16 +122,16 @@ def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, rules: S
     unseen = unseen.select(F.col("at.path").alias("path"), F.col("at.version").alias("version"), "blob", "kinds")
 
     n, u = named.alias("n"), unseen.alias("u")
-    same = F.col("n.path").eqNullSafe(F.col("u.path")) & F.col("n.version").eqNullSafe(F.col("u.version"))
+    # two rows may share path and version but not the text: the blob keeps them apart
+    same = (F.col("n.path").eqNullSafe(F.col("u.path")) & F.col("n.version").eqNullSafe(F.col("u.version"))
+            & (F.col("n.blob") == F.col("u.blob")))
     blobs = n.join(u, same, "inner").select("n.text", "u.blob", "u.kinds")
     found = blobs.select("blob", "kinds", *[
         F.when(F.array_contains("kinds", r.kind), spans_of(F.col("text"), r)).alias(f"spans_{i}")
-        for i, r in enumerate(rules)],
-        # two rows may share path and version but not the text: the blob tells them apart
-        (F.sha2(F.col("text").cast("binary"), 256) == F.col("blob")).alias("own"))
+        for i, r in enumerate(rules)])
     per_rule = [F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("rule_version"),
                          F.col(f"spans_{i}").alias("spans")) for i, r in enumerate(rules)]
-    added = (found.where("own").select("blob", F.explode(F.array(*per_rule)).alias("x"))
+    added = (found.select("blob", F.explode(F.array(*per_rule)).alias("x"))
              .select("blob", "x.*").where("spans is not null"))
     added = materialize(added, "ledger")
 

@@ -131,3 +131,18 @@ def test_same_path_with_other_texts(spark):
     docs = spark.createDataFrame([(1, "token=abcdef"), (1, "nothing"), (1, "token=abcdef")], "path long, text string")
     got = sorted(len(r.findings) for r in scan_versions(docs)[0].collect())
     assert got == [0, 1, 1]
+
+
+def test_versions_without_a_path_meet_only_their_own_blob(spark, monkeypatch):
+    """The blob is a key of the join that carries the texts: no pairs of rows that only share a path."""
+    from medallion_ops.llm import secret_ledger
+
+    plans, store = [], secret_ledger.materialize
+    monkeypatch.setattr(secret_ledger, "materialize", lambda df, name: (plans.append(
+        (name, df._jdf.queryExecution().optimizedPlan().toString())), store(df, name))[1])
+    rows = [(None, f"token=abcdef{i}") for i in range(40)] + [(7, "token=zzzzzz1"), (7, "clean")]
+    found, added = scan_versions(spark.createDataFrame(rows, "path long, text string"))
+    assert sorted(len(r.findings) for r in found.collect()) == [0] + [1] * 41
+    assert added.count() == 42 * len(RULES)
+    joins = [line for name, plan in plans if name == "ledger" for line in plan.splitlines() if "Join Inner" in line]
+    assert joins and all(re.search(r"blob#\d+ = blob#\d+", line) for line in joins)
