@@ -9,6 +9,7 @@ from medallion_ops.llm.ann import search
 from medallion_ops.llm.common import table
 from medallion_ops.llm.decontaminate import scan_benchmark
 from medallion_ops.llm.mixing import mix_to_weights
+from medallion_ops.llm.phrases import collocations
 from medallion_ops.llm.quality_crf import fit_quality, score_quality
 from medallion_ops.llm.secret_ledger import RULES, scan_versions
 from medallion_ops.llm.simhash import near_duplicates
@@ -104,6 +105,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of two and three words of each language of the documents."""
+    found = collocations(table(spark, sf_dir, "documents"), top=2000, least=10, overlap=50)
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES = {
     "op1_mix_to_weights": op1_mix_to_weights,
     "op2_warc_derivatives": op2_warc_derivatives,
@@ -115,6 +122,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
     "op10_simhash": op10_simhash,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE: dict[str, str] = {}
@@ -195,3 +203,40 @@ select doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0):
        coalesce(n_hex, 0)::bigint as n_hex, sha256(coalesce(spans, '')) as base_sha256, coalesce(spans, '') as spans
 from docs left join per using (n)
 """
+
+ORACLE["op13_collocations"] = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+spoken as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+grams as (
+  select lang, 1 as k, unnest(w) as phrase from spoken
+  union all
+  select lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') for i in range(1, len(w) - k + 2)])
+  from spoken, (values (2), (3)) as sizes(k) where len(w) >= k),
+counted as (select lang, k, phrase, count(*)::hugeint as f from grams group by all),
+totals as (select lang, sum(f)::bigint as n from counted where k = 1 group by lang),
+candidates as (
+  select lang, k, phrase, f as a, string_split(phrase, ' ') as w from counted where k > 1 and f >= 10),
+cuts as (
+  select c.*, cut, array_to_string(w[1:cut], ' ') as head, array_to_string(w[cut + 1:k], ' ') as tail
+  from candidates c, (values (1), (2)) as places(cut) where cut < k),
+scored as (
+  select c.*, h.f as l, t.f as r, (1000000::hugeint * a * a) // (h.f * t.f) as score
+  from cuts c join counted h on h.lang = c.lang and h.k = c.cut and h.phrase = c.head
+  join counted t on t.lang = c.lang and t.k = c.k - c.cut and t.phrase = c.tail),
+worst as (
+  select * from scored qualify row_number() over (partition by lang, k, phrase order by score, cut) = 1),
+held as (
+  select lang, inner_phrase, max(a) as longer from (
+    select lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as inner_phrase
+    from candidates where k = 3) group by all),
+kept as (
+  select c.* from worst c left join held x on c.k = 2 and x.lang = c.lang and x.inner_phrase = c.phrase
+  where x.longer is null or 100 * x.longer < 50 * c.a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score
+from ranked join totals using (lang) where rank <= 2000
+"""
