@@ -9,6 +9,7 @@ from medallion_ops.llm.ann import search
 from medallion_ops.llm.common import table
 from medallion_ops.llm.decontaminate import scan_benchmark
 from medallion_ops.llm.mixing import mix_to_weights
+from medallion_ops.llm.negatives import mine_negatives
 from medallion_ops.llm.phrases import collocations
 from medallion_ops.llm.quality_crf import fit_quality, score_quality
 from medallion_ops.llm.secret_ledger import RULES, scan_versions
@@ -105,6 +106,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every row whose vec_id is divisible by 100; a seventh of the rows moves on by one label."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 2,000 best phrases of two and three words of each language of the documents."""
     found = collocations(table(spark, sf_dir, "documents"), top=2000, least=10, overlap=50)
@@ -122,6 +129,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
     "op10_simhash": op10_simhash,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_collocations": op13_collocations,
 }
 
@@ -204,6 +212,29 @@ select doc_id, coalesce(n_assign, 0)::bigint as n_assign, coalesce(n_access, 0):
 from docs left join per using (n)
 """
 
+ORACLE["op12_hard_negatives"] = r"""
+with fine as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         [floor(256 * x::double) for x in embedding] as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0),
+against as (
+  select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+         list_inner_product(a.v, b.v)::bigint as score
+  from fine a join fine b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+positive as (
+  select anchor_id, vec_id as positive_id, score as positive_score from against where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+negative as (
+  select anchor_id, positive_id, positive_score, n.vec_id as negative_id, n.score as negative_score,
+         row_number() over (partition by anchor_id, positive_id order by n.score desc, n.vec_id) as rank
+  from positive join against n using (anchor_id)
+  where not n.same and 30 * positive_score <= 100 * n.score and 100 * n.score <= 90 * positive_score)
+select anchor_id, positive_id, rank::int as rank, negative_id, positive_score, negative_score
+from negative where rank <= 10
+"""
+
 ORACLE["op13_collocations"] = r"""
 with pieces as (
   select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
