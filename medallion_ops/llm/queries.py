@@ -11,6 +11,7 @@ from medallion_ops.llm.decontaminate import scan_benchmark
 from medallion_ops.llm.mixing import mix_to_weights
 from medallion_ops.llm.negatives import mine_negatives
 from medallion_ops.llm.phrases import collocations
+from medallion_ops.llm.pii_crf import KINDS, example_table, find_pii, fit_pii
 from medallion_ops.llm.quality_crf import fit_quality, score_quality
 from medallion_ops.llm.secret_ledger import RULES, scan_versions
 from medallion_ops.llm.simhash import near_duplicates
@@ -106,6 +107,17 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("component").alias("component_id"))
 
 
+def op11_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base patterns, and all spans, the chain's included."""
+    found = find_pii(table(spark, sf_dir, "documents"), fit_pii(example_table(spark)), keep=["doc_id"])
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in KINDS],
+                        F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every row whose vec_id is divisible by 100; a seventh of the rows moves on by one label."""
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -129,6 +141,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_decontaminate": op9_decontaminate,
     "op10_simhash": op10_simhash,
+    "op11_pii_crf": op11_pii_crf,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_collocations": op13_collocations,
 }
