@@ -22,7 +22,10 @@ COLUMNS = {
     "op5": ["doc_id", "held_out", "score", "predicted"], "op7": ["doc_id", "held_out", "score", "predicted"],
     "op8": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op9": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
-    "op10": ["doc_id", "fingerprint", "component_id"]}
+    "op10": ["doc_id", "fingerprint", "component_id"],
+    "op11": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
+    "op12": ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"],
+    "op13": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -32,7 +35,7 @@ def test_query(spark, name):
     n = name.split("_")[0]
     assert df.columns[:len(COLUMNS.get(n, []))] == COLUMNS.get(n, [])
     docs = spark.read.parquet(f"{SF}/documents.parquet").count()
-    if n not in ("op2", "op3"):
+    if n not in ("op2", "op3", "op12", "op13"):
         assert df.count() == docs
     if name in ORACLE:
         con = duckdb.connect()
@@ -73,7 +76,6 @@ def test_pipeline_is_its_stages(spark):
     assert sorted(ids(mixed)) == sorted(i for i, n in copies.items() for _ in range(n))
 
     t = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     at, want = 0, []
     for r in sorted(mixed, key=lambda r: r.doc_id):
         got = t.encode(r.text, add_special_tokens=False).ids + [0]

@@ -170,9 +170,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def _tokenizer():
-    t = Tokenizer.from_file(VOCABULARY)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(VOCABULARY)
 
 
 @pytest.mark.parametrize("cache", [1_500_000, 5])
