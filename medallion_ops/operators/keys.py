@@ -3,22 +3,25 @@
 ``row_number() over (order by k)`` plans ``Exchange SinglePartition``: the
 whole table passes through one task. Here the same numbers come from
 
-1. one range shuffle on the key and the tie-break, stored with each row's
-   partition number: all rows of partition p sort before those of p + 1;
-2. the rows per partition, prefix-summed: a table with one row per
-   partition, stored as well;
-3. ``row_number()`` within each partition plus the partition's offset.
-
-The same plan runs at every size; the number of partitions is the session's
-shuffle parallelism (adaptive execution coalesces small ones before the
-numbers are taken). Rows with equal keys share a partition unless
-``tie_break`` columns, which are part of the order, tell them apart; with
-them a hot key spreads over as many partitions as its rows need.
+1. the input, computed and stored once;
+2. one range shuffle of the stored rows on the key, the tie-break and the
+   place a row was stored at, sorted within partitions and stored with the
+   running number that a task gives its rows: all rows of partition p sort
+   before those of p + 1;
+3. the rows per partition, prefix-summed on the driver (a row per partition:
+   bounded by the shuffle parallelism, as is its broadcast) and added.
+
+The same plan runs at every size; adaptive execution coalesces small
+partitions before the numbers are taken. Rows with equal keys are told apart by
+``tie_break`` columns and then by where they were stored, so a hot key spreads
+over as many partitions as its rows need.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medallion_ops.session import materialize
@@ -34,39 +37,56 @@ def dense_surrogate_key(df: DataFrame, order_cols, name: str = "sk", start: int
     """Add ``name`` = 1-based rank of each row under ``order_cols`` (asc, nulls first).
 
     Equals ``row_number() over (order by order_cols, tie_break)`` plus
-    ``start - 1``; the new column comes first. ``df`` is computed twice (the
-    range sample reads only what the keys need, then the stored pass), never
-    after that; ``partitions`` overrides the shuffle parallelism.
+    ``start - 1``; the new column comes first. ``df`` is computed once;
+    ``partitions`` overrides the shuffle parallelism.
     """
-    names = [f"__k{i}" for i in range(len(_cols(order_cols)) + len(_cols(tie_break or [])))]
-    keyed = df.withColumns(dict(zip(names, _cols(order_cols) + _cols(tie_break or []))))
-    order = [F.col(n).asc_nulls_first() for n in names]
-    dealt = keyed.repartitionByRange(partitions, *order) if partitions else keyed.repartitionByRange(*order)
-    stored = materialize(dealt.withColumn("__part", F.spark_partition_id()), "sk_input")
-
-    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)     # a row per partition
-    sizes = stored.groupBy("__part").agg(F.count(F.lit(1)).alias("n"))
-    offsets = materialize(sizes.select("__part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__before")),
-                          "sk_offsets")
-
-    ranked = stored.withColumn("__rn", F.row_number().over(Window.partitionBy("__part").orderBy(*order)))
-    out = ranked.join(offsets, "__part").withColumn(
-        name, (F.lit(start - 1).cast("bigint") + F.col("__before") + F.col("__rn")).cast("bigint"))
-    return out.select(name, *[F.col(f"`{c}`") for c in df.columns])
-
-
-def extend_surrogate_keys(existing: DataFrame, incoming: DataFrame, key: str, name: str = "sk") -> DataFrame:
-    """Surrogate keys for an incremental load: known keys keep theirs, new ones follow the maximum.
-
-    ``existing`` holds ``key`` and ``name`` from the previous load; every row of
-    ``incoming`` comes back with ``name`` first. Keys already issued never
-    change, so facts stored earlier stay joined to the right rows; new keys
-    are numbered densely in key order after ``max(name)``.
+    by = _cols(order_cols) + _cols(tie_break or [])
+    names = [f"__k{i}" for i in range(len(by))]
+    stored = materialize(df.withColumns(dict(zip(names, by))), "sk_input")
+    order = [F.col(n).asc_nulls_first() for n in names] + [F.col("__stored")]
+    placed = stored.withColumn("__stored", F.monotonically_increasing_id())
+    dealt = placed.repartitionByRange(partitions, *order) if partitions else placed.repartitionByRange(*order)
+    numbered = dealt.sortWithinPartitions(*order).select(
+        *[_exact(c) for c in df.columns], F.monotonically_increasing_id().alias("__at"))
+    numbered = materialize(numbered, "sk_sorted").withColumns({
+        "__part": F.shiftright("__at", 33), "__row": F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))})   # a task's 2^33 ids
+
+    sizes = sorted(numbered.groupBy("__part").agg((F.max("__row") + 1).alias("n")).collect())     # a row per partition
+    before = [(part, sum_before) for (part, _), sum_before in zip(sizes, accumulate((n for _, n in sizes), initial=0))]
+    before = df.sparkSession.createDataFrame(before, "__part bigint, __before bigint")
+    out = numbered.join(F.broadcast(before), "__part")
+    return out.select((F.col("__before") + F.col("__row") + start).cast("bigint").alias(name), *[_exact(c) for c in df.columns])
+
+
+def _exact(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def match(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Null-safe join on ``keys``, which come from the left side only; ``right`` holds them and its own columns."""
+    renamed = right.select(*[F.col(k).alias(f"__{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    same = None
+    for k in keys:
+        one = F.col(k).eqNullSafe(F.col(f"__{k}"))
+        same = one if same is None else same & one
+    return left.join(renamed, same, how).drop(*[f"__{k}" for k in keys])
+
+
+def extend_surrogate_keys(existing: DataFrame, incoming: DataFrame, key, name: str = "sk",
+                          issued_to: int | None = None) -> DataFrame:
+    """Surrogate keys for an incremental load: known keys keep theirs, new ones follow the highest number.
+
+    ``existing`` holds the key columns ``key`` and ``name``; every row of
+    ``incoming`` comes back with ``name`` first. Keys are matched null-safely.
+    New ones are numbered densely in key order after ``issued_to``, the
+    highest number ever issued (default: the highest in ``existing``, which is
+    right only if nothing ever leaves it; ``operators/registry.py`` keeps
+    both over loads).
     """
-    known = existing.select(key, name)
-    max_sk = existing.agg(F.max(name).alias("m")).collect()[0]["m"] or 0
-    cols = [c for c in incoming.columns]
-    kept = incoming.join(known, key, "inner").select(name, *cols)
-    new = incoming.join(known.select(key), key, "left_anti")
-    added = dense_surrogate_key(new, [key], name=name, start=max_sk + 1)
-    return kept.unionByName(added.select(name, *cols))
+    keys = [key] if isinstance(key, str) else list(key)
+    known = existing.select(*keys, name)
+    if issued_to is None:
+        issued_to = existing.agg(F.max(name).alias("m")).collect()[0]["m"] or 0
+    kept = match(incoming, known, keys, "inner").select(name, *incoming.columns)
+    new = match(incoming, known.select(*keys), keys, "left_anti")
+    return kept.unionByName(dense_surrogate_key(new, keys, name=name, start=issued_to + 1))

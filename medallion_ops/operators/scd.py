@@ -20,6 +20,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from medallion_ops.operators.asof import asof_join
 from medallion_ops.operators.dedup import latest_per_entity
 from medallion_ops.operators.keys import dense_surrogate_key
 from medallion_ops.operators.merge import assert_unique
@@ -151,7 +152,8 @@ def scd2_lookup(fact: DataFrame, dim: DataFrame, key: str, sk: str = "sk",
     """Attach ``sk`` to every fact row (left join: no fact is lost).
 
     ``mode="current"``: the open version of the key. ``mode="point_in_time"``:
-    the version whose ``[effective_date, end_date)`` holds ``at``.
+    the version whose ``[effective_date, end_date)`` holds ``at``, found by one
+    sorted merge (``operators/asof.py``).
     """
     fk = fact_key or key
     if mode == "current":
@@ -159,12 +161,8 @@ def scd2_lookup(fact: DataFrame, dim: DataFrame, key: str, sk: str = "sk",
         return fact.join(d, F.col(fk) == F.col("__nk"), "left").drop("__nk")
     if mode != "point_in_time" or at is None:
         raise ValueError("mode must be 'current' or 'point_in_time' with at=")
-    at_c = F.col(at) if isinstance(at, str) else at
-    d = dim.select(F.col(key).alias("__nk"), sk,
-                   F.col("effective_date").alias("__from"), F.col("end_date").alias("__to"))
-    cond = ((F.col(fk) == F.col("__nk"))
-            & (at_c.cast("date") >= F.col("__from")) & (at_c.cast("date") < F.col("__to")))
-    return fact.join(d, cond, "left").drop("__nk", "__from", "__to")
+    at_c = (F.col(at) if isinstance(at, str) else at).cast("date")
+    return asof_join(fact, dim, key, at_c, "effective_date", sk, end="end_date", fact_key=fk)
 
 
 def current_unique_violations(dim: DataFrame, key: str) -> DataFrame:
