@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion_ops.functions.dates import date_key, month_index, year_end, year_month
-from medallion_ops.operators import dedup, joins, keys, merge, quality, scd, windows
+from medallion_ops.operators import dedup, digest, joins, keys, merge, quality, scd, windows
 from medallion_ops.operators.calendar import date_bounds, date_spine
+from medallion_ops.operators.registry import KeyRegistry, keyed_dimension
 from medallion_ops.plans import analytics, gold, silver
 from medallion_ops.session import materialize, materialize_observed, scratch_path
-from medallion_ops.sources import files, sinks
+from medallion_ops.sources import files, sinks, split_csv
 from medallion_ops.sources import tables as tb
 from medallion_ops.sources.tables import DELIVERED, table
 
@@ -115,45 +116,23 @@ def q_csv_scan(spark, d):
     return files.csv_scan(spark, path, schema=part.schema)
 
 
-REVIEW_CSV_SCHEMA = T.StructType([
-    T.StructField("review_id", T.StringType()),
-    T.StructField("order_id", T.LongType()),
-    T.StructField("review_score", T.IntegerType()),
-    T.StructField("review_comment_message", T.StringType()),
-    T.StructField("review_answer_timestamp", T.TimestampNTZType()),
-])
-
-
-def review_csv_text(events: DataFrame) -> DataFrame:
-    """Reviews as raw CSV fields derived from every event.
-
-    Data-driven defects: 'error' events carry a non-numeric score (corrupt
-    record), 'view' events a 16-character id (fails the shape rule). Every
-    message spans two lines and holds quotes (the props JSON).
-    """
-    rid = F.md5(F.concat_ws("|", "user_id", "event_type", "event_id"))
-    return events.select(
-        F.when(F.col("event_type") == "view", F.substring(rid, 1, 16)).otherwise(rid).alias("review_id"),
-        F.col("user_id").cast("string").alias("order_id"),
-        F.when(F.col("event_type") == "error", F.lit("n/a"))
-         .otherwise(F.floor(F.col("value") / 100).cast("string")).alias("review_score"),
-        F.concat(F.col("event_type"), F.lit("\n"), F.col("props")).alias("review_comment_message"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("review_answer_timestamp"),
-    )
-
-
-def _review_csv(spark, d) -> DataFrame:
-    text = review_csv_text(table(spark, d, "events"))
+def _review_csv(spark, d, scan=split_csv.split_csv_scan) -> DataFrame:
+    text = tb.review_csv_text(table(spark, d, "events"))
     path = sinks.write_overwrite(text, scratch_path(spark, "reviews_csv"), fmt="csv")
-    return files.csv_permissive_scan(spark, path, REVIEW_CSV_SCHEMA)
+    return scan(spark, path, tb.REVIEW_CSV_SCHEMA)
 
 
-def q_csv_permissive_scan(spark, d):
-    parsed = _review_csv(spark, d)
+def q_csv_permissive_scan(spark, d, scan=files.csv_permissive_scan):
+    parsed = _review_csv(spark, d, scan)
     return parsed.select("review_id", "order_id", "review_score", "review_comment_message",
                          "review_answer_timestamp", F.col(files.CORRUPT).isNotNull().alias("is_corrupt"))
 
 
+def q_csv_split_scan(spark, d):
+    """The same rows from files read by as many tasks as they have splits."""
+    return q_csv_permissive_scan(spark, d, split_csv.split_csv_scan)
+
+
 def q_quarantine_split(spark, d):
     clean, rejects = files.quarantine_split(_review_csv(spark, d), [F.length("review_id") == 32])
     return clean.withColumn("quarantined", F.lit(False)).unionByName(
@@ -553,6 +532,30 @@ def q_dense_surrogate_key(spark, d):
                                     ["p_name", "p_partkey"], name="part_sk")
 
 
+def _three_loads(registry, loads):
+    """The dimension after three loads through the registry, each stored as the next one's previous state."""
+    dim = None
+    for n, load in enumerate(loads, 1):
+        dim = materialize(keyed_dimension(registry, load.withColumn("last_load", F.lit(n)), dim, check_unique=False), f"dim_load{n}")
+    return dim
+
+
+def q_key_registry(spark, d):
+    """Products over three loads: the small ones leave in the second and return in the third, larger ones come in each."""
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("product_id"), "p_name", "p_size")
+    registry = KeyRegistry(spark, scratch_path(spark, "product_keys"), "product_id", "product_sk")
+    size = F.col("p_size")
+    return _three_loads(registry, [p.filter(size <= 30), p.filter((size > 15) & (size <= 40)), p.filter((size <= 15) | (size > 40))])
+
+
+def q_key_registry_nulls(spark, d):
+    """Composite keys with nulls (size 10 is unknown) over three loads: each keeps the one number it was given."""
+    p = table(spark, d, "part")
+    pairs = lambda rows: rows.select("p_brand", F.nullif("p_size", F.lit(10)).alias("size")).distinct()
+    registry = KeyRegistry(spark, scratch_path(spark, "brand_keys"), ["p_brand", "size"], "brand_sk")
+    return _three_loads(registry, [pairs(p.filter("p_size <= 20")), pairs(p.filter("p_size between 10 and 35")), pairs(p)])
+
+
 def q_window_sum(spark, d):
     """Every event with its user's exact total."""
     e = table(spark, d, "events").select("event_id", "user_id", "value")
@@ -655,6 +658,47 @@ def q_upsert_partitioned(spark, d):
     return spark.read.parquet(path)
 
 
+def q_merge_follow_source(spark, d):
+    """A load that lost rows, merged into a table by ship month: small lots and everything before 1993 are gone from the
+    source, and removed where the load is complete (all orders but the pending ones); the rest is repriced."""
+    month = F.date_format("shipping_limit_date", "yyyyMM").cast("int")
+    s = Star(spark, d)
+    soi = s.soi.select("order_id", "order_item_id", "price", "freight_value", month.alias("ship_month"))
+    path = scratch_path(spark, "fact_following")
+    soi.write.partitionBy("ship_month").parquet(path)
+    source = _bump(soi.filter((F.col("freight_value") >= 10) & (F.col("ship_month") >= 199301)))
+    complete = s.so.filter(F.col("order_status") != "P").select("order_id")
+    merge.upsert_partitioned(path, source, ["order_id", "order_item_id"], "ship_month", check_unique=False,
+                             delete_missing=True, scope=complete)
+    return spark.read.parquet(path)
+
+
+def q_merge_changes(spark, d):
+    """What that merge does, by action."""
+    s = Star(spark, d)
+    soi = s.soi.select("order_id", "order_item_id", "price", "freight_value")
+    source = soi.filter(F.col("freight_value") >= 10).withColumn(
+        "price", F.when(F.col("freight_value") >= 40, F.col("price") + 1).otherwise(F.col("price")).cast("decimal(10,2)"))
+    target = soi.filter(F.col("order_item_id") <= 4)
+    complete = s.so.filter(F.col("order_status") != "P").select("order_id")
+    return merge.merge_changes(target, source, ["order_id", "order_item_id"], complete).withColumnRenamed("__action", "action")
+
+
+def q_order_digest_changes(spark, d):
+    """Orders whose header or items differ between two loads, found by digests: the second load lacks small lots, reprices
+    large ones, knows orders from 1998 on and has the status of pending orders settled."""
+    s = Star(spark, d)
+    header = s.so.select("order_id", "order_status", "order_purchase_timestamp")
+    items = s.soi.select("order_id", "order_item_id", "price", "freight_value")
+    early = header.filter(F.col("order_purchase_timestamp") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    settled = header.withColumn("order_status", F.when(F.col("order_status") == "P", "F").otherwise(F.col("order_status")))
+    priced = items.filter(F.col("freight_value") >= 3).withColumn(
+        "price", F.when(F.col("freight_value") > 48, F.col("price") + 1).otherwise(F.col("price")).cast("decimal(10,2)"))
+    before = digest.digests({"orders": early, "items": items.join(early, "order_id", "left_semi")}, "order_id")
+    now = digest.digests({"orders": settled, "items": priced}, "order_id")
+    return digest.changed_keys(materialize(before, "digests_before"), materialize(now, "digests_now"), "order_id")
+
+
 def q_upsert_idempotence(spark, d):
     """The merge protocol: load the first items, merge the whole table, merge it again."""
     soi = Star(spark, d).soi

@@ -561,4 +561,52 @@ ORACLE: dict[str, str] = {
         peaks AS (SELECT cohort_month, max(active_customers) AS peak FROM sizes GROUP BY cohort_month)
         SELECT cohort_month, month_offset, active_customers, round(100 * (active_customers / peak), 5) AS retention_rate
         FROM sizes JOIN peaks USING (cohort_month)""",
+    "csv_split_scan": f"SELECT * FROM {REVIEW_CSV} r",
+    # a number is given when a key is first loaded, in key order within the load, and never again
+    "key_registry": """
+        SELECT row_number() OVER (ORDER BY CASE WHEN p_size <= 30 THEN 1 WHEN p_size <= 40 THEN 2 ELSE 3 END, p_partkey) AS product_sk,
+               p_partkey AS product_id, p_name, p_size, CASE WHEN p_size <= 15 OR p_size > 40 THEN 3 ELSE 2 END AS last_load
+        FROM part""",
+    "key_registry_nulls": """
+        SELECT row_number() OVER (ORDER BY min(CASE WHEN p_size <= 20 THEN 1 WHEN p_size <= 35 THEN 2 ELSE 3 END),
+                                           p_brand NULLS FIRST, nullif(p_size, 10) NULLS FIRST) AS brand_sk,
+               p_brand, nullif(p_size, 10) AS size, 3 AS last_load
+        FROM part GROUP BY p_brand, nullif(p_size, 10)""",
+    "merge_follow_source": with_("so", "soi") + """
+        SELECT order_id, order_item_id, CAST(CASE WHEN in_source THEN price + 1 ELSE price END AS DECIMAL(10,2)) AS price,
+               freight_value, ship_month
+        FROM (SELECT i.order_id, i.order_item_id, i.price, i.freight_value, o.order_status,
+                     CAST(strftime(i.shipping_limit_date, '%Y%m') AS INTEGER) AS ship_month,
+                     i.freight_value >= 10 AND i.shipping_limit_date >= DATE '1993-01-01' AS in_source
+              FROM soi i LEFT JOIN so o USING (order_id)) x
+        WHERE in_source OR coalesce(order_status, 'P') = 'P'""",
+    "merge_changes": with_("so", "soi") + """
+        SELECT CASE WHEN in_source AND NOT in_target THEN 'insert'
+                    WHEN in_source AND freight_value >= 40 THEN 'update'
+                    WHEN in_source THEN 'same'
+                    WHEN coalesce(order_status, 'P') <> 'P' THEN 'delete' ELSE 'keep' END AS action,
+               order_id, order_item_id,
+               CAST(CASE WHEN in_source AND freight_value >= 40 THEN price + 1 ELSE price END AS DECIMAL(10,2)) AS price,
+               freight_value
+        FROM (SELECT i.*, o.order_status, i.freight_value >= 10 AS in_source, i.order_item_id <= 4 AS in_target
+              FROM soi i LEFT JOIN so o USING (order_id)) x
+        WHERE in_source OR in_target""",
+    "order_digest_changes": with_("so", "soi") + """,
+        early AS (SELECT * FROM so WHERE order_purchase_timestamp < TIMESTAMP '1998-01-01'),
+        old_items AS (
+          SELECT order_id, list((order_item_id, price, freight_value) ORDER BY order_item_id) AS items
+          FROM soi SEMI JOIN early USING (order_id) GROUP BY order_id),
+        new_items AS (
+          SELECT order_id, list((order_item_id, CAST(CASE WHEN freight_value > 48 THEN price + 1 ELSE price END AS DECIMAL(10,2)),
+                                 freight_value) ORDER BY order_item_id) AS items
+          FROM soi WHERE freight_value >= 3 GROUP BY order_id),
+        a AS (SELECT order_id, o.order_status AS status, o.order_purchase_timestamp AS ts, i.items, true AS there
+              FROM early o FULL JOIN old_items i USING (order_id)),
+        b AS (SELECT order_id, CASE WHEN o.order_status = 'P' THEN 'F' ELSE o.order_status END AS status,
+                     o.order_purchase_timestamp AS ts, i.items, true AS there
+              FROM so o FULL JOIN new_items i USING (order_id))
+        SELECT order_id, CASE WHEN a.there IS NULL THEN 'new' WHEN b.there IS NULL THEN 'gone' ELSE 'changed' END AS change
+        FROM a FULL JOIN b USING (order_id)
+        WHERE a.there IS NULL OR b.there IS NULL OR a.status IS DISTINCT FROM b.status OR a.ts IS DISTINCT FROM b.ts
+           OR a.items IS DISTINCT FROM b.items""",
 }
