@@ -11,8 +11,8 @@ whole table passes through one task. Here the same numbers come from
 3. the rows per partition, prefix-summed on the driver (a row per partition:
    bounded by the shuffle parallelism, as is its broadcast) and added.
 
-The same plan runs at every size; adaptive execution coalesces small
-partitions before the numbers are taken. Rows with equal keys are told apart by
+A table of up to ``ONE_TASK`` rows, counted while it is stored, is sorted in one
+task instead: sampling and dealing it would only add jobs. Rows with equal keys are told apart by
 ``tie_break`` columns and then by where they were stored, so a hot key spreads
 over as many partitions as its rows need.
 """
@@ -24,7 +24,9 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion_ops.session import materialize
+from medallion_ops.session import materialize, materialize_counted
+
+ONE_TASK = 1 << 16               # rows that are numbered without a shuffle; larger tables are range-dealt
 
 
 def _cols(items) -> list[Column]:
@@ -38,12 +40,15 @@ def dense_surrogate_key(df: DataFrame, order_cols, name: str = "sk", start: int
 
     Equals ``row_number() over (order by order_cols, tie_break)`` plus
     ``start - 1``; the new column comes first. ``df`` is computed once;
-    ``partitions`` overrides the shuffle parallelism.
+    ``partitions`` sets the number of range partitions, whatever the size.
     """
     by = _cols(order_cols) + _cols(tie_break or [])
     names = [f"__k{i}" for i in range(len(by))]
-    stored = materialize(df.withColumns(dict(zip(names, by))), "sk_input")
+    stored, n_rows = materialize_counted(df.withColumns(dict(zip(names, by))), "sk_input")
     order = [F.col(n).asc_nulls_first() for n in names] + [F.col("__stored")]
+    if n_rows <= ONE_TASK and partitions is None:
+        sorted_ = stored.withColumn("__stored", F.monotonically_increasing_id()).coalesce(1).sortWithinPartitions(*order)
+        return sorted_.select((F.monotonically_increasing_id() + start).cast("bigint").alias(name), *[_exact(c) for c in df.columns])
     placed = stored.withColumn("__stored", F.monotonically_increasing_id())
     dealt = placed.repartitionByRange(partitions, *order) if partitions else placed.repartitionByRange(*order)
     numbered = dealt.sortWithinPartitions(*order).select(

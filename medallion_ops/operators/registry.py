@@ -17,23 +17,31 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from medallion_ops.operators.keys import dense_surrogate_key, match
 from medallion_ops.operators.merge import assert_unique
 from medallion_ops.session import materialize_counted
 
 
+MARKS = T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())])
+
+
 class KeyRegistry:
     """The registry at ``path`` for the key columns ``keys``, whose numbers are called ``name``."""
 
     def __init__(self, spark: SparkSession, path: str, keys, name: str = "sk"):
         self.spark, self.path, self.name = spark, path.rstrip("/"), name
         self.keys = [keys] if isinstance(keys, str) else list(keys)
+        self._schema = {"marks": MARKS}                  # known ones: no footers are read for them
 
     def _table(self, part: str) -> DataFrame | None:
         folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}/_SUCCESS")
         there = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
-        return self.spark.read.parquet(f"{self.path}/{part}") if there else None
+        if not there:
+            return None
+        read = self.spark.read if self._schema.get(part) is None else self.spark.read.schema(self._schema[part])
+        return read.parquet(f"{self.path}/{part}")
 
     def high_water(self) -> int:
         """The highest number ever reserved; 0 before the first load."""
@@ -56,12 +64,28 @@ class KeyRegistry:
         if n or known is None:
             start = self.high_water() + 1
             if n:
-                reserved = self.spark.createDataFrame([(start, start + n - 1)], "first bigint, last bigint")
-                reserved.coalesce(1).write.mode("append").parquet(f"{self.path}/marks")
-            numbered = dense_surrogate_key(new, self.keys, name=self.name, start=start)
-            numbered.select(*self.keys, self.name).write.mode("append").parquet(f"{self.path}/keys")
+                self._reserve(start, start + n - 1)
+            self._append(dense_surrogate_key(new, self.keys, name=self.name, start=start))
+        return self.issued()
+
+    def adopt(self, dimension: DataFrame) -> DataFrame:
+        """Begins the registry with the numbers that a dimension built without one holds already."""
+        if self.issued() is not None:
+            raise ValueError(f"{self.path} holds keys already")
+        highest = dimension.agg(F.max(self.name).alias("m")).collect()[0]["m"]
+        if highest:
+            self._reserve(1, highest)
+        self._append(dimension.select(*self.keys, F.col(self.name).cast("bigint").alias(self.name)))
         return self.issued()
 
+    def _reserve(self, first: int, last: int) -> None:
+        self.spark.createDataFrame([(first, last)], MARKS).coalesce(1).write.mode("append").parquet(f"{self.path}/marks")
+
+    def _append(self, numbered: DataFrame) -> None:
+        rows = numbered.select(*self.keys, self.name)
+        rows.write.mode("append").parquet(f"{self.path}/keys")
+        self._schema["keys"] = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
+
     def attach(self, df: DataFrame) -> DataFrame:
         """``df`` with ``name`` first; null where the key was never registered."""
         return match(df, self.issued(), self.keys, "left").select(self.name, *df.columns)

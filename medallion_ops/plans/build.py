@@ -16,19 +16,23 @@ from __future__ import annotations
 
 import sys
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medallion_ops.operators.dedup import latest_per_entity
+from medallion_ops.operators.digest import changed_keys, digests
 from medallion_ops.operators.joins import RowPreservingJoin
-from medallion_ops.operators.keys import extend_surrogate_keys
 from medallion_ops.operators.merge import upsert_partitioned
 from medallion_ops.operators.quality import enforce, orphan_check, quality_report, table_checks
+from medallion_ops.operators.registry import KeyRegistry, keyed_dimension
 from medallion_ops.operators.scd import current_unique_violations, scd2_apply, scd2_lookup
 from medallion_ops.plans import analytics, gold, silver
 from medallion_ops.sources import tables as tb
+from medallion_ops.sources.files import quarantine_split
 from medallion_ops.sources.sinks import register_table
+from medallion_ops.sources.split_csv import split_csv_scan
 from medallion_ops.sources.tables import DELIVERED
 
 FACT_KEYS = ["order_id", "order_item_id"]
@@ -40,23 +44,50 @@ def _write(df: DataFrame, path: str) -> str:
     return path
 
 
-def changed_orders(so: DataFrame, soi: DataFrame, context: DataFrame, previous: dict) -> DataFrame:
-    """Orders whose facts may differ from the previous run's: order_id.
+def _land_reviews(spark: SparkSession, sf_dir: str, out: str, run_id: str) -> dict[str, str]:
+    """Raw review files, read in splits and cut in two by the quarantine."""
+    raw = f"{out}/landing/reviews/{run_id}"
+    tb.review_csv_text(tb.table(spark, sf_dir, "events")).write.option("header", True).option("escape", '"').csv(raw)
+    parsed = split_csv_scan(spark, raw, tb.REVIEW_CSV_SCHEMA)
+    clean, rejects = quarantine_split(parsed, [F.length("review_id") == tb.REVIEW_ID_LENGTH])
+    return {"bronze.reviews": _write(tb.reviews_of_csv(clean), f"{out}/bronze/reviews/{run_id}"),
+            "bronze.reviews_rejected": _write(rejects, f"{out}/bronze/reviews_rejected/{run_id}")}
 
-    An order counts if its silver row, one of its items or the surrogate key
-    of its person is new, changed or gone. Compared by value against the
-    previous run's tables, so it does not matter when a change was made.
-    ``context`` maps order_id to the current customer_sk.
+
+def order_digests(so: DataFrame, soi: DataFrame, context: DataFrame) -> DataFrame:
+    """One digest per order over its silver row, its items and its customer key (``context``: order_id, customer_sk)."""
+    return digests({"orders": so, "items": soi, "customer": context}, "order_id")
+
+
+def changed_orders(now: DataFrame, previous: dict) -> DataFrame:
+    """Orders whose facts may differ from the previous run's: order_id and change (new, changed, gone).
+
+    ``now`` are the orders' digests; the previous run's are read, or computed
+    if that run stored none. What is compared does not depend on when a change
+    was made, and orders and digests are all that is shuffled.
+    """
+    spark = now.sparkSession
+    if "gold.order_digests" in previous:
+        before = spark.read.parquet(previous["gold.order_digests"])
+    else:
+        before = order_digests(*[spark.read.parquet(previous[k]) for k in
+                                 ("silver.orders", "silver.order_items", "gold.order_customer")])
+    return changed_keys(before, now, "order_id")
+
+
+def product_dimension(spark: SparkSession, products: DataFrame, previous: dict, path: str) -> tuple[DataFrame, str]:
+    """dim_product with registered keys, and the path of the registry's keys.
+
+    The registry lives on over runs: a product that leaves the source keeps its
+    row and its number, and no number is issued twice.
     """
-    spark = so.sparkSession
-    old = {k: spark.read.parquet(previous[k]) for k in ("silver.orders", "silver.order_items", "gold.order_customer")}
-    ids = None
-    for now, before in ((so, old["silver.orders"]), (soi, old["silver.order_items"]),
-                        (context, old["gold.order_customer"])):
-        before = before.select(*now.columns)
-        diff = now.exceptAll(before).select("order_id").unionByName(before.exceptAll(now).select("order_id"))
-        ids = diff if ids is None else ids.unionByName(diff)
-    return ids.distinct()
+    keys_path = previous.get("gold.product_keys", f"{path}/keys")
+    registry = KeyRegistry(spark, keys_path.removesuffix("/keys"), "product_id", "product_sk")
+    before = spark.read.parquet(previous["gold.dim_product"]) if "gold.dim_product" in previous else None
+    if before is not None and "gold.product_keys" not in previous:
+        registry.adopt(before)
+    # the gate has proved the products unique
+    return keyed_dimension(registry, products, before, check_unique=False), keys_path
 
 
 def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None = None,
@@ -67,9 +98,12 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None =
     dim_customer gets the new snapshot applied as SCD2 ``as_of`` that day
     (default: today; a first run applies its second load on
     ``gold.APPLY_AS_OF``), and fact_sales is upserted into the previous fact.
-    With ``changed_only`` only facts of orders that changed since the
-    previous run are re-staged and merged, so months without changes are
-    neither read nor rewritten.
+    The merge follows the source: facts whose items vanished are removed. With
+    ``changed_only`` only facts of orders that changed since the previous run
+    (by digest) are re-staged and merged, within the scope of these orders, so
+    months without changes are neither read nor rewritten.
+    Reviews are landed as raw CSV and pass the quarantine; what it rejects is
+    kept as ``bronze.reviews_rejected``.
     ``register_prefix`` also exposes every table in the session catalog as
     ``<prefix>_<layer>.<table>`` (``""``: the layer name itself), creates the
     databases if missing, and adds the lazy view ``customer_current``
@@ -87,10 +121,13 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None =
     bronze = {
         "orders": tb.bronze_orders, "order_items": tb.bronze_order_items,
         "customers": tb.bronze_customers, "products": tb.bronze_products,
-        "payments": tb.bronze_payments, "reviews": tb.bronze_reviews,
+        "payments": tb.bronze_payments,
     }
-    for name, adapter in bronze.items():
-        paths[f"bronze.{name}"] = _write(adapter(spark, sf_dir), f"{out}/bronze/{name}/{run_id}")
+    with ThreadPoolExecutor(len(bronze) + 1) as pool:        # independent tables are landed at once
+        landed = {name: pool.submit(_write, adapter(spark, sf_dir), f"{out}/bronze/{name}/{run_id}")
+                  for name, adapter in bronze.items()}
+        reviews = pool.submit(_land_reviews, spark, sf_dir, out, run_id)
+        paths |= {f"bronze.{name}": path.result() for name, path in landed.items()} | reviews.result()
 
     # silver: dedup, cast, null-key filter; orders first (others depend on it)
     paths["silver.orders"] = _write(silver.silver_orders(read("bronze.orders")), f"{out}/silver/orders/{run_id}")
@@ -114,12 +151,8 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None =
     ]))
 
     # gold dimensions
-    if "gold.dim_product" in previous:
-        # issued keys never change (facts stored earlier refer to them); new products follow
-        dimp = extend_surrogate_keys(spark.read.parquet(previous["gold.dim_product"]), sp, "product_id", "product_sk")
-        paths["gold.dim_product"] = _write(dimp, f"{out}/gold/dim_product/{run_id}")
-    else:
-        paths["gold.dim_product"] = _write(gold.dim_product(sp), f"{out}/gold/dim_product/{run_id}")
+    dimp, paths["gold.product_keys"] = product_dimension(spark, sp, previous, f"{out}/gold/product_keys/{run_id}")
+    paths["gold.dim_product"] = _write(dimp, f"{out}/gold/dim_product/{run_id}")
     paths["gold.dim_date"] = _write(
         gold.dim_date([(soi, ["shipping_limit_date"]), (so, ["order_purchase_timestamp"]),
                        (read("silver.reviews"), ["review_creation_date", "review_answer_timestamp"])]),
@@ -140,11 +173,14 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None =
     paths["gold.order_customer"] = _write(
         scd2_lookup(people, dimc, "customer_unique_id", sk="customer_sk").select("order_id", "customer_sk"),
         f"{out}/gold/order_customer/{run_id}")
+    paths["gold.order_digests"] = _write(order_digests(so, soi, read("gold.order_customer")),
+                                         f"{out}/gold/order_digests/{run_id}")
     guard = RowPreservingJoin("fact_sales")
-    items, orders = soi, so
+    items, orders, scope = soi, so, None
     if changed_only and "gold.fact_sales" in previous:
-        paths["gold.changed_orders"] = _write(changed_orders(so, soi, read("gold.order_customer"), previous),
+        paths["gold.changed_orders"] = _write(changed_orders(read("gold.order_digests"), previous),
                                               f"{out}/gold/changed_orders/{run_id}")
+        scope = read("gold.changed_orders").select("order_id")
         orders = so.join(read("gold.changed_orders"), "order_id", "left_semi")
         items = soi.join(read("gold.changed_orders"), "order_id", "left_semi")
     fact = gold.fact_sales(items, orders, sc, read("gold.dim_product"), read("gold.dim_date"), dimc, guard=guard)
@@ -156,7 +192,7 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str, previous: dict | None =
         # proved one fact row per item, so the merge skips its own duplicate-key shuffle
         paths["gold.fact_sales"] = upsert_partitioned(
             previous["gold.fact_sales"], spark.read.parquet(staged), FACT_KEYS, FACT_PARTITION,
-            check_unique=False)
+            check_unique=False, delete_missing=True, scope=scope)
     else:
         paths["gold.fact_sales"] = f"{out}/gold/fact_sales/{run_id}"
         spark.read.parquet(staged).write.partitionBy(FACT_PARTITION).parquet(paths["gold.fact_sales"])

@@ -7,6 +7,8 @@ DuckDB SQL for the same keys; computed columns carry the same aliases.
 
 from __future__ import annotations
 
+import threading
+from concurrent.futures import Future, ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,12 +39,23 @@ class Star:
 
     def __init__(self, spark: SparkSession, d: str):
         self.spark, self.d = spark, d
-        self._memo: dict = {}
+        self._memo: dict[str, Future] = {}
+        self._lock = threading.Lock()
 
     def _get(self, name, build, store: bool = True):
-        if name not in self._memo:
-            self._memo[name] = materialize(build(), name) if store else build()
-        return self._memo[name]
+        with self._lock:
+            mine, found = name not in self._memo, self._memo.setdefault(name, Future())
+        if mine:
+            try:
+                found.set_result(materialize(build(), name) if store else build())
+            except BaseException as e:
+                found.set_exception(e)
+        return found.result()
+
+    def _together(self, *names) -> None:
+        """Builds independent layers at once: their jobs are small and would wait for one another."""
+        with ThreadPoolExecutor(len(names)) as pool:
+            list(pool.map(lambda n: getattr(self, n), names))
 
     @property
     def so(self):
@@ -74,16 +87,20 @@ class Star:
 
     @property
     def dimd(self):
+        self._together("so", "soi")
         return self._get("dimd", lambda: gold.dim_date(
             [(self.soi, ["shipping_limit_date"]), (self.so, ["order_purchase_timestamp"]),
              (self.sr, ["review_creation_date", "review_answer_timestamp"])]))
 
     @property
     def dimc(self):
+        self._together("so", "sc")
         return self._get("dimc", lambda: gold.dim_customer(self.sc, self.so))
 
     @property
     def fact(self):
+        self._together("so", "soi", "sc", "dimp")
+        self._together("dimd", "dimc")
         # read once per query: left lazy so the analytics prune its columns
         return self._get("fact", lambda: gold.fact_sales(self.soi, self.so, self.sc, self.dimp,
                                                          self.dimd, self.dimc), store=False)
@@ -134,7 +151,7 @@ def q_csv_split_scan(spark, d):
 
 
 def q_quarantine_split(spark, d):
-    clean, rejects = files.quarantine_split(_review_csv(spark, d), [F.length("review_id") == 32])
+    clean, rejects = files.quarantine_split(_review_csv(spark, d), [F.length("review_id") == tb.REVIEW_ID_LENGTH])
     return clean.withColumn("quarantined", F.lit(False)).unionByName(
         rejects.drop(files.CORRUPT).withColumn("quarantined", F.lit(True)))
 
@@ -490,6 +507,7 @@ def q_dq_not_null(spark, d):
 
 def q_dq_report(spark, d):
     s = Star(spark, d)
+    s._together("so", "soi")
     return quality.quality_report([
         quality.table_checks("silver_orders", s.so, unique="order_id", not_null=["order_id"]),
         quality.table_checks("silver_order_items", s.soi, unique=["order_id", "order_item_id"],
@@ -731,9 +749,10 @@ def _apply(dim, max_sk, incoming, check_cols, as_of):
 def q_scd2_merge(spark, d):
     """Two successive loads: snapshot before 2000 applied on 2000-01-01, then all."""
     s = Star(spark, d)
-    seed, seen = gold.stored_seed(s.sc, s.so)
-    mid = gold.customer_profile(s.sc, s.so, before=SCD_MID_CUTOFF).drop("first_order_date")
-    full = gold.customer_profile(s.sc, s.so).drop("first_order_date")
+    s._together("so", "sc")
+    early, mid, full = gold.customer_profiles(s.sc, s.so, gold.SEED_CUTOFF, SCD_MID_CUTOFF)
+    seed, seen = gold.stored_profile_seed(early)
+    mid, full = mid.drop("first_order_date"), full.drop("first_order_date")
     one, seen = materialize_observed(_apply(seed, seen, mid, gold.CUSTOMER_ATTRS, SCD_MID_CUTOFF),
                                      "dim_customer_v1", max_sk=F.max("customer_sk"))
     two = _apply(one, seen["max_sk"] or 0, full, gold.CUSTOMER_ATTRS, gold.APPLY_AS_OF)
@@ -775,10 +794,8 @@ def q_silver_reviews(spark, d):
 
 def q_silver_reviews_clean(spark, d):
     """Silver reviews behind the quarantine: raw CSV -> clean rows -> latest per review."""
-    clean, _ = files.quarantine_split(_review_csv(spark, d), [F.length("review_id") == 32])
-    bronze = clean.select("*", F.col("review_answer_timestamp").alias("review_creation_date"),
-                          F.col("review_comment_message").alias("event_id"))
-    return silver.silver_reviews(bronze)
+    clean, _ = files.quarantine_split(_review_csv(spark, d), [F.length("review_id") == tb.REVIEW_ID_LENGTH])
+    return silver.silver_reviews(tb.reviews_of_csv(clean))
 
 
 def q_payments_collapsed(spark, d):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from medallion_ops.operators.calendar import date_bounds, date_dimension, date_spine
 from medallion_ops.operators.keys import dense_surrogate_key
 from medallion_ops.operators.scd import scd2_apply, scd2_lookup, scd2_seed
-from medallion_ops.session import materialize_observed
+from medallion_ops.session import materialize, materialize_observed
 
 # Fixed values of the customer scenario: spend tiers (cumulative order total)
 # and the two snapshot dates of the SCD2 load.
@@ -63,33 +63,70 @@ def customer_profile(silver_customers: DataFrame, silver_orders: DataFrame,
         tier.alias("customer_tier"), "first_order_date")
 
 
+def customer_profiles(silver_customers: DataFrame, silver_orders: DataFrame, *before: str) -> list[DataFrame]:
+    """``customer_profile`` of the orders before each of the days, and of all orders, from one join and one grouped pass.
+
+    The pass is stored; an early profile comes from aggregates that count
+    early orders only, for people who have any.
+    """
+    o = silver_orders.select("customer_id", "order_purchase_timestamp", "order_total")
+    c = silver_customers.select("customer_id", "customer_unique_id", *CUSTOMER_ATTRS[:3])
+    joined = c.filter(F.col("customer_unique_id").isNotNull()).join(o, "customer_id", "left")
+    place, attrs = F.struct("order_purchase_timestamp", "customer_id"), F.struct(*CUSTOMER_ATTRS[:3])
+    total, time = F.col("order_total").cast("decimal(18,2)"), F.col("order_purchase_timestamp")
+    seen = [time < F.lit(day).cast("timestamp_ntz") for day in before] + [F.lit(True)]
+    aggs = [x for i, known in enumerate(seen) for x in (
+        F.max_by(attrs, F.when(known, place)).alias(f"a{i}"), F.sum(F.when(known, total)).alias(f"s{i}"),
+        F.to_date(F.min(F.when(known, time))).alias(f"d{i}"))]
+    stored = materialize(joined.groupBy("customer_unique_id").agg(*aggs), "customer_profiles")
+
+    def profile(i: int) -> DataFrame:
+        spend = F.col(f"s{i}")
+        tier = F.when(spend >= TIER_GOLD_FROM, "GOLD").when(spend >= TIER_SILVER_FROM, "SILVER").otherwise("BRONZE")
+        rows = stored if i == len(before) else stored.filter(F.col(f"d{i}").isNotNull())
+        return rows.select("customer_unique_id", *[F.col(f"a{i}.{a}").alias(a) for a in CUSTOMER_ATTRS[:3]],
+                           tier.alias("customer_tier"), F.col(f"d{i}").alias("first_order_date"))
+    return [profile(i) for i in range(len(before) + 1)]
+
+
 def dim_customer_seed(silver_customers: DataFrame, silver_orders: DataFrame,
                       before: str | None = None) -> DataFrame:
     """First SCD2 load: one current version per person, valid from the first order.
 
     ``before``: load what was known before that day (default: everything).
     """
-    prof = customer_profile(silver_customers, silver_orders, before)
-    return scd2_seed(prof, "customer_unique_id", CUSTOMER_ATTRS,
-                     effective=F.col("first_order_date"), sk="customer_sk") \
-        .select(*DIM_CUSTOMER_COLS)
+    return _seed(customer_profile(silver_customers, silver_orders, before))
+
+
+def _seed(profile: DataFrame) -> DataFrame:
+    return scd2_seed(profile, "customer_unique_id", CUSTOMER_ATTRS,
+                     effective=F.col("first_order_date"), sk="customer_sk").select(*DIM_CUSTOMER_COLS)
+
+
+def stored_profile_seed(profile: DataFrame) -> tuple[DataFrame, int]:
+    """The seed of a profile, stored, and its largest key."""
+    return _stored(_seed(profile))
+
+
+def _stored(seed: DataFrame) -> tuple[DataFrame, int]:
+    stored, seen = materialize_observed(seed, "dim_customer_seed", max_sk=F.max("customer_sk"))
+    return stored, seen["max_sk"] or 0
 
 
 def stored_seed(silver_customers: DataFrame, silver_orders: DataFrame,
                 seed_before: str = SEED_CUTOFF) -> tuple[DataFrame, int]:
     """The seed, stored once (an apply step reads it three times: current
     rows, history, comparison), and its largest key, observed while writing."""
-    seed, seen = materialize_observed(dim_customer_seed(silver_customers, silver_orders, seed_before),
-                                      "dim_customer_seed", max_sk=F.max("customer_sk"))
-    return seed, seen["max_sk"] or 0
+    return _stored(dim_customer_seed(silver_customers, silver_orders, seed_before))
 
 
 def dim_customer(silver_customers: DataFrame, silver_orders: DataFrame,
                  seed_before: str = SEED_CUTOFF, as_of: str = APPLY_AS_OF) -> DataFrame:
     """Seed from the early snapshot, then apply the full-history snapshot as SCD2."""
-    seed, max_sk = stored_seed(silver_customers, silver_orders, seed_before)
+    early, everything = customer_profiles(silver_customers, silver_orders, seed_before)
+    seed, max_sk = stored_profile_seed(early)
     # the profile is a groupBy on the person: unique by construction
-    incoming = customer_profile(silver_customers, silver_orders).drop("first_order_date")
+    incoming = everything.drop("first_order_date")
     return scd2_apply(seed, incoming, "customer_unique_id", CUSTOMER_ATTRS, as_of, sk="customer_sk",
                       max_sk=max_sk, incoming_unique=True).select(*DIM_CUSTOMER_COLS)
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -105,6 +106,13 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     return materialize_counted(df, name)[0]
 
 
+def materialize_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """``materialize`` for several independent frames at once, so that small jobs do not wait for one another."""
+    with ThreadPoolExecutor(max(1, len(frames))) as pool:
+        stored = {name: pool.submit(materialize, df, name) for name, df in frames.items()}
+        return {name: f.result() for name, f in stored.items()}
+
+
 def materialize_counted(df: DataFrame, name: str = "stage") -> tuple[DataFrame, int]:
     """``materialize`` that also returns the row count, observed during the write."""
     out, metrics = materialize_observed(df, name)

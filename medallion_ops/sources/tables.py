@@ -18,6 +18,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 # Fixed values of the fixture mapping.
 DELIVERED = "F"                       # o_orderstatus playing the role of 'delivered'
 LOAD_TS = "2024-06-01 00:00:00"       # the bronze load time stamped on every adapted row
+REVIEW_ID_LENGTH = 32                 # the shape rule of review ids
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -159,3 +160,9 @@ def review_csv_text(events: DataFrame) -> DataFrame:
         F.concat(F.col("event_type"), F.lit("\n"), F.col("props")).alias("review_comment_message"),
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("review_answer_timestamp"),
     )
+
+
+def reviews_of_csv(clean: DataFrame) -> DataFrame:
+    """Bronze reviews of the clean rows of the raw review files (which have one time and no event id)."""
+    return clean.select("*", F.col("review_answer_timestamp").alias("review_creation_date"),
+                        F.col("review_comment_message").alias("event_id"))
