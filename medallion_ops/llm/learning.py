@@ -44,7 +44,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, learn: C
     """(text, label) of at most ``most[label]`` documents per label, chosen by a hash of the id.
 
     ``learn`` is a condition on the id column. Ids are chosen among the
-    narrow rows; only the chosen texts are read to the driver.
+    narrow rows; only the chosen texts are read to the driver, one per id (of
+    rows that share an id, that of the smallest hash of the text).
     """
     ids = docs.select(col(id_col).alias(id_col)).where(learn).distinct()
     known = labels.select(col(id_col).alias(id_col), col(label_col).cast("int").alias("label")).where("label in (0, 1)")
@@ -57,5 +58,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, learn: C
         return []
     picked = docs.sparkSession.createDataFrame(chosen, f"{id_col} bigint, label int")
     rows = docs.select(col(id_col).cast("bigint").alias(id_col), col(text_col).cast("string").alias("text"))
-    found = rows.join(F.broadcast(picked), id_col).select(id_col, "text", "label").collect()    # as many as chosen
+    found = rows.join(F.broadcast(picked), id_col)
+    one = found.groupBy(id_col, "label").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    found = one.select(id_col, "text", "label").collect()                     # as many as chosen
     return [(r["text"], r["label"]) for r in sorted(found, key=lambda r: (r[id_col], r["text"] or ""))]

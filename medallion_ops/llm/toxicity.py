@@ -51,7 +51,7 @@ import string
 import sys
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -188,16 +188,46 @@ def feature_columns(batch: list[str], table: np.ndarray, at: list[int] | None =
     return out
 
 
-def kernel(batch: list[str], base: np.ndarray, table: np.ndarray, at: list[int] | None = None) -> np.ndarray:
-    """Kernel values of the windows of mentions (first ones, or ``at``) with the columns of ``base``."""
-    out = np.zeros((len(batch), base.shape[1]))
+def landmark_features(batch: list[str], table: np.ndarray, at: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """``feature_columns`` without the rows of subsequences that no mention has: (row of each code, -1 for none; matrix)."""
+    parts = []
+    for owner, _, m in codes(batch, table, at):
+        row, code, w = weighted(subsequences(m))
+        norm = np.sqrt(np.bincount(row, w * w, len(m)))
+        parts.append((code, owner[row], (w / norm[row]).astype(np.float32)))
+    code, owner, value = map(np.concatenate, zip(*parts)) if parts else [np.empty(0, np.int64)] * 3
+    place = np.full(SYMBOLS ** 3, -1, np.int32)
+    used = np.unique(code)
+    place[used] = np.arange(len(used))
+    out = np.zeros((len(used) + 1, len(batch)), np.float32)        # the last row is that of all others
+    out[place[code], owner] = value
+    return place, out
+
+
+def kernel(batch: list[str], base: np.ndarray, table: np.ndarray, at: list[int] | None = None,
+           place: np.ndarray | None = None, white: np.ndarray | None = None) -> np.ndarray:
+    """Kernel values of the windows of mentions (first ones, or ``at``) with the columns of ``base``.
+
+    ``place`` has the row of ``base`` that a subsequence's code stands in, if
+    not its own. With ``white`` the values are multiplied by it row by row and
+    a column of ones follows, so that no second matrix is held.
+    """
+    out = np.zeros((len(batch), base.shape[1] if white is None else white.shape[1] + 1))
+    if white is not None:
+        out[:, -1] = 1
     for owner, _, m in codes(batch, table, at or [0] * len(batch)):
         for i in range(0, len(m), 256):
             row, code, w = weighted(subsequences(m[i:i + 256]))
             if len(row):
                 first = np.flatnonzero(np.diff(row, prepend=-1))
                 norm = np.sqrt(np.add.reduceat(w * w, first))[:, None]
-                out[owner[i + row[first]]] = np.add.reduceat(base[code] * w[:, None].astype(np.float32), first) / norm
+                rows = base[code if place is None else place[code]]
+                rows *= w[:, None].astype(np.float32)
+                values = np.add.reduceat(rows, first) / norm
+                if white is None:
+                    out[owner[i + row[first]]] = values
+                else:
+                    out[owner[i + row[first]], :-1] = values @ white
     return out
 
 
@@ -226,51 +256,71 @@ class Phrases:
         self.table, self.weights, self.bias = table, weights, bias
         cube = np.indices((SYMBOLS,) * 3) > 0
         self.letters = cube.all(axis=0).ravel()                  # triples without a gap symbol
-        self.triple = np.where(self.letters, weights, 0).astype(np.float32)
+        # real part: weight, imaginary part: whether it counts in the norm; one gather fetches both
+        self.triple = (np.where(self.letters, weights, 0) + 1j * self.letters).astype(np.complex64)
 
-    def bounds(self, tokens: list[str], spans: list[tuple[np.ndarray, int]]) -> list[np.ndarray]:
+    def bounds(self, tokens: list[str], spans: list[tuple[np.ndarray, int]], lengths: np.ndarray | None = None) -> list[np.ndarray]:
         """Upper bounds of the decision values of phrases given as (first tokens, number of tokens)."""
-        lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        if lengths is None:
+            lengths = np.fromiter(map(len, tokens), np.int64, len(tokens))
         points = np.frombuffer((" ".join(tokens) + " " * 8).encode("utf-32-le", "surrogatepass"), np.uint32)
         flat = self.table[np.where(points < 1 << 16, points, 0)].astype(np.int32)
         starts = np.cumsum(lengths + 1) - lengths - 1
         n, before = len(flat) - 2 * GAP, starts - 1
-        some = flat > 0
-        sums = []
-        for d in range(2, 2 * GAP + 1):                          # places from first to last letter
-            value, square = np.zeros(n), np.zeros(n)
-            head, head_square = np.zeros(len(tokens)), np.zeros(len(tokens))
+        first_letter, second = flat * (SYMBOLS * SYMBOLS), flat * SYMBOLS
+        stop = starts + lengths
+        sums = []                                                # by distance from first to last letter
+        all_value, all_square = np.zeros(n), np.zeros(n)
+        cut, heads = np.zeros(len(tokens), np.complex64), np.zeros(len(tokens), np.complex64)
+        for d in range(2, 2 * GAP + 1):
+            both, head = np.zeros(n, np.complex64), np.zeros(len(tokens), np.complex64)
+            ends, tail = first_letter[:n] + flat[d:n + d], START * SYMBOLS * SYMBOLS + flat[before + d]
             for a in range(max(1, d - GAP), min(GAP, d - 1) + 1):
-                key = (flat[:n] * SYMBOLS + flat[a:n + a]) * SYMBOLS + flat[d:n + d]
-                value += self.triple[key]
-                square += some[:n] & some[a:n + a] & some[d:n + d]
-                key = (START * SYMBOLS + flat[before + a]) * SYMBOLS + flat[before + d]
-                head += self.triple[key]
-                head_square += self.letters[key]
+                both += self.triple[ends + second[a:n + a]]
+                head += self.triple[tail + second[before + a]]
             w = DECAY ** (d - 2)
-            sums.append((d, np.cumsum(np.append(0, value * w)), np.cumsum(np.append(0, square * w * w)),
-                         head * w, head_square * w * w))
+            value, square = both.real * np.float32(w), both.imag * np.float32(w * w)
+            both = value + 1j * square
+            heads += head.real * np.float32(w) + 1j * (head.imag * np.float32(w * w))
+            for j in range(1, d + 1):                            # what begins before a token's end and ends behind it
+                cut += both[np.maximum(stop - j, 0)]
+            all_value += value
+            all_square += square
+            sums.append((d, both, head.real * w, head.imag * (w * w)))
+        run_value, run_square = (np.concatenate([[0.0], np.cumsum(x)]) for x in (all_value, all_square))
         out = []
         for first, k in spans:
-            begin, end = starts[first], starts[first + k - 1] + lengths[first + k - 1]
-            owner, at = np.arange(len(first)), np.zeros(len(first), np.int64)
-            more = np.maximum(0, -(-(end - begin - 2 - WIDTH // 2) // (WIDTH // 2))) * (end - begin > WIDTH)
-            owner = np.concatenate([owner, np.repeat(owner, more)])             # the windows that codes() reads
-            step = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
-            at = np.concatenate([at, step * (WIDTH // 2)])
-            s = begin[owner] + at
-            e = np.minimum(end[owner], s + WIDTH)
-            dot, norm = np.zeros(len(s)), np.zeros(len(s))
-            for d, value, square, head, head_square in sums:
-                to = np.maximum(e - d, s)
-                started = (at == 0) & (d <= e - s)
-                dot += value[to] - value[s] + head[first[owner]] * started
-                norm += square[to] - square[s] + head_square[first[owner]] * started
-            best = np.full(len(first), -np.inf)
-            np.maximum.at(best, owner, np.maximum(dot, 0) / np.sqrt(np.maximum(norm, 1e-6)))
-            out.append(best + self.bias + 1e-6)
+            last = first + k - 1
+            begin, end = starts[first], stop[last]
+            dot = run_value[end] - run_value[begin] - cut.real[last] + heads.real[first]
+            norm = run_square[end] - run_square[begin] - cut.imag[last] + heads.imag[first]
+            best = np.maximum(dot, 0) / np.sqrt(np.maximum(norm - 1e-4, 1e-6))
+            odd = np.flatnonzero((end - begin > WIDTH) | (end - begin < 2 * GAP))   # in windows, or shorter than some distance
+            if len(odd):
+                best[odd] = self._by_windows(sums, n, first[odd], begin[odd], end[odd])
+            out.append(best + self.bias + 1e-4)
         return out
 
+    def _by_windows(self, sums, n: int, first: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The same for phrases of any length, by the windows that ``codes`` reads."""
+        more = np.maximum(0, -(-(end - begin - 2 - WIDTH // 2) // (WIDTH // 2))) * (end - begin > WIDTH)
+        step = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
+        owner = np.concatenate([np.arange(len(first)), np.repeat(np.arange(len(first)), more)])
+        at = np.concatenate([np.zeros(len(first), np.int64), step * (WIDTH // 2)])
+        s = begin[owner] + at
+        e = np.minimum(end[owner], s + WIDTH)
+        dot, norm = np.zeros(len(s)), np.zeros(len(s))
+        place = np.minimum(s[:, None] + np.arange(WIDTH), n - 1)
+        for d, both, head, head_square in sums:
+            inside = place + d < e[:, None]
+            here = both[place] * inside
+            started = (at == 0) & (d <= e - s)
+            dot += here.real.sum(axis=1, dtype=np.float64) + head[first[owner]] * started
+            norm += here.imag.sum(axis=1, dtype=np.float64) + head_square[first[owner]] * started
+        best = np.full(len(first), -np.inf)
+        np.maximum.at(best, owner, np.maximum(dot, 0) / np.sqrt(np.maximum(norm - 1e-4, 1e-6)))
+        return best
+
     def find(self, tokens: list[str], sizes: list[int], own: dict[str, float], raw: dict[str, float],
              least: float = 0.0) -> list[tuple[int, str, float]]:
         """(first token, phrase, decision value) of the phrases above ``least`` that count, none overlapping a worse one.
@@ -295,21 +345,27 @@ class Phrases:
         return kept
 
     def _block(self, tokens, sentence, offset, own, raw, least):
-        mine = np.array(list(map(own.__getitem__, tokens)))
-        like = np.maximum(mine, np.array(list(map(raw.get, tokens, repeat(-np.inf)))))
-        long = np.fromiter(map(len, tokens), np.int64, len(tokens)) > 1
+        index = dict(zip(dict.fromkeys(tokens), count()))
+        which = np.fromiter(map(index.__getitem__, tokens), np.int64, len(tokens))
+        size = np.fromiter(map(len, index), np.int64, len(index))[which]
+        alone = np.array(list(map(own.__getitem__, index)))
+        like = np.maximum(alone, np.array(list(map(raw.get, index, repeat(-np.inf)))))[which]
+        quiet, long = (alone <= 0)[which], size > 1
         spans, floors = [], []
         for k in PHRASE:
-            first = np.arange(max(0, len(tokens) - k + 1))
-            parts = first[:, None] + np.arange(k)
+            n = max(0, len(tokens) - k + 1)
             # a run of single characters is a mention already
-            first = first[(sentence[first] == sentence[first + k - 1]) & (mine[parts] <= 0).all(axis=1)
-                          & long[parts].any(axis=1)]
+            fit, some, floor = sentence[:n] == sentence[k - 1:k - 1 + n], np.zeros(n, bool), np.full(n, least)
+            for j in range(k):
+                fit &= quiet[j:j + n]
+                some |= long[j:j + n]
+                floor = np.maximum(floor, like[j:j + n])
+            first = np.flatnonzero(fit & some)
             spans.append((first, k))
-            floors.append(np.maximum(like[first[:, None] + np.arange(k)].max(axis=1, initial=-np.inf), least))
+            floors.append(floor[first])
         if not any(len(first) for first, _ in spans):
             return []
-        found = [(int(i), k, x) for (first, k), bound, floor in zip(spans, self.bounds(tokens, spans), floors)
+        found = [(int(i), k, x) for (first, k), bound, floor in zip(spans, self.bounds(tokens, spans, size), floors)
                  for keep in [np.flatnonzero(bound > floor)] for i, x in zip(first[keep], floor[keep].tolist())]
         if not found:
             return []
@@ -333,12 +389,12 @@ def worst_windows(batch: list[str], table: np.ndarray, weights: np.ndarray, bias
     return list(zip(batch, out.tolist()))
 
 
-def linear_svm(x: np.ndarray, y: np.ndarray, often: np.ndarray, c: float) -> tuple[np.ndarray, float]:
-    """L2-regularised squared-hinge SVM by Newton steps on the active examples.
+def linear_svm(ones: np.ndarray, y: np.ndarray, often: np.ndarray, c: float) -> tuple[np.ndarray, float]:
+    """L2-regularised squared-hinge SVM by Newton steps on the active examples; the last column of ``ones`` is 1.
 
     An example weighs as ``often`` as it occurs; the classes weigh alike.
+    Examples are gone through in blocks, so no weighted copy of them is held.
     """
-    ones = np.concatenate([x, np.ones((len(x), 1))], axis=1)
     share = [often[y == k].sum() or 1.0 for k in (-1, 1)]
     cost = often / np.where(y > 0, share[1], share[0]) * c / 2
     w = np.zeros(ones.shape[1])
@@ -350,46 +406,43 @@ def linear_svm(x: np.ndarray, y: np.ndarray, often: np.ndarray, c: float) -> tup
         if active is not None and (now == active).all():
             break
         active = now
-        a, k = ones[now], cost[now]
-        w = np.linalg.solve(ridge + (a * k[:, None]).T @ a, a.T @ (k * y[now]))
+        at = np.flatnonzero(now)
+        left, right = ridge.copy(), np.zeros(len(w))
+        for i in range(0, len(at), 1024):
+            a, k = ones[at[i:i + 1024]], cost[at[i:i + 1024]]
+            left += (a * k[:, None]).T @ a
+            right += a.T @ (k * y[at[i:i + 1024]])
+        w = np.linalg.solve(left, right)
     return w[:-1], float(w[-1])
 
 
-def first_guess(toxic: list[list[str]], clean: list[list[str]]) -> tuple[list[list[str]], set[str]]:
-    """The mentions of each toxic document that look toxic before any training, perhaps none, and the runs that show it.
+def first_guess(toxic: list[list[str]], clean: list[list[str]]) -> tuple[list[list[str]], set[int]]:
+    """The mentions of each toxic document that look toxic before any training, perhaps none, and hashes of the runs that show it.
 
     They hold a run of 4 to 6 characters (the start of the mention is one)
     that is in significantly more toxic than clean documents: z of 6 for
     equal shares and ten times as often, or z of 12 and ``LIFT`` times.
     """
-    grams = lambda w: {f" {w} "[i:i + n] for n in (4, 5, 6) for i in range(max(1, len(w) + 3 - n))}
-    seen: Counter = Counter()
-    for words in toxic:
-        seen.update(set().union(*map(grams, words)))
-    often = {g: k for g, k in seen.items() if k >= 3}
-    del seen
-    usual = dict.fromkeys(often, 0)
+    grams = lambda w: {hash(f" {w} "[i:i + n]) for n in (4, 5, 6) for i in range(max(1, len(w) + 3 - n))}
+    mine = lambda words: np.fromiter(set().union(*map(grams, words)), np.int64)
+    seen, often = np.unique(np.concatenate([np.empty(0, np.int64), *map(mine, toxic)]), return_counts=True)
+    seen, often = seen[often >= 3], often[often >= 3]
+    other = np.zeros(len(seen))
     for words in clean:
-        for g in set().union(*map(grams, words)):
-            if g in usual:
-                usual[g] += 1
+        other += np.isin(seen, mine(words), assume_unique=True)
     p, n = len(toxic), len(clean)
-    sure = set()
-    for g, k in often.items():
-        other = usual[g]
-        share = (k + other) / (p + n)
-        z = (k / p - other / n) / np.sqrt(share * (1 - share) * (1 / p + 1 / n) + 1e-12)
-        if k / p >= (LIFT if z >= 12 else 10) * other / n and z >= 6:
-            sure.add(g)
+    share = (often + other) / (p + n)
+    z = (often / p - other / n) / np.sqrt(share * (1 - share) * (1 / p + 1 / n) + 1e-12)
+    sure = set(seen[(often / p >= np.where(z >= 12, LIFT, 10) * other / n) & (z >= 6)].tolist())
     looks = {w: not sure.isdisjoint(grams(w)) for w in {w for words in toxic for w in words}}
     return [[w for w in words if looks[w]] for words in toxic], sure
 
 
-def guessed_window(mention: str, sure: set[str], step: int = 1) -> int:
+def guessed_window(mention: str, sure: set[int], step: int = 1) -> int:
     """Begin of the window that has most of the runs ``sure``; of the mention with dots between its letters if ``step`` is 2."""
     def runs(b):
         part = f" {mention} "[b // step + (b > 0):(b + WIDTH) // step + 2]
-        return sum(part[i:i + n] in sure for n in (4, 5, 6) for i in range(len(part) + 1 - n))
+        return sum(hash(part[i:i + n]) in sure for n in (4, 5, 6) for i in range(len(part) + 1 - n))
     return max(windows(step * len(mention) - step + 1), key=lambda b: (runs(b), -b))
 
 
@@ -479,16 +532,18 @@ def train(documents: list[tuple[str, int]], landmarks: int = 400, rounds: int =
         marks = [w for w, _ in counts.most_common(landmarks * 5 // 8)]
         marks = list(dict.fromkeys([*marks, *hard[:landmarks // 4], *negative[:landmarks]]))[:landmarks]
         begin = dict(worst_windows(marks, table, weights, bias)) | {w: b for w, b in zip(bad, at)}
-        base = feature_columns(marks, table, [begin[w] for w in marks])
+        place, base = landmark_features(marks, table, [begin[w] for w in marks])
         values, vectors = np.linalg.eigh((base.T @ base).astype(np.float64))
         good = values > 1e-6
         white = vectors[:, good] / np.sqrt(values[good])
-        x = kernel([*bad, *spelt, *[w for w, _ in clear]], base, table, [*at, *dotted, *[b for _, b in clear]]) @ white
+        x = kernel([*bad, *spelt, *[w for w, _ in clear]], base, table, [*at, *dotted, *[b for _, b in clear]], place, white)
         y = np.concatenate([np.ones(2 * len(bad)), -np.ones(len(clear))])
         seen = np.array([counts[w] for w in bad], np.float64)
         often = np.concatenate([seen, 0.5 * seen, [usual[w] ** POWER for w, _ in clear]])
         w, bias = linear_svm(x, y, often, c=COST)
-        weights = (base @ (white @ w).astype(np.float32)).astype(np.float64)
+        del x
+        weights = np.where(place >= 0, (base @ (white @ w).astype(np.float32))[place], 0).astype(np.float64)
+        del base
         f = decisions(vocabulary, table, weights, bias, ordinary)
         g = decisions(pool, table, weights, bias, ordinary)
         value = dict(zip(vocabulary, f.tolist())) | dict(zip(pool, g.tolist()))
