@@ -4,7 +4,9 @@ Every key value that was ever given a number stays registered with it, whether
 or not a later load still holds it, so facts stored earlier keep pointing at
 the same row and no number is issued twice. Two Parquet tables under one path:
 
-* ``keys``: the key columns and their number, a batch of files per load;
+* ``keys``: the key columns and their number, a folder per load, which counts
+  once it is committed (so a frame made before a load never sees half of it,
+  nor any of it);
 * ``marks``: the range of numbers each load reserved. The highest one is the
   high-water mark.
 
@@ -15,6 +17,8 @@ null-safely: a null is one more value. One load writes at a time.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,24 +37,32 @@ class KeyRegistry:
     def __init__(self, spark: SparkSession, path: str, keys, name: str = "sk"):
         self.spark, self.path, self.name = spark, path.rstrip("/"), name
         self.keys = [keys] if isinstance(keys, str) else list(keys)
-        self._schema = {"marks": MARKS}                  # known ones: no footers are read for them
+        self._schema: T.StructType | None = None         # of the keys, once known: no footers are read for it
 
-    def _table(self, part: str) -> DataFrame | None:
-        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part}/_SUCCESS")
-        there = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
-        if not there:
-            return None
-        read = self.spark.read if self._schema.get(part) is None else self.spark.read.schema(self._schema[part])
-        return read.parquet(f"{self.path}/{part}")
+    def _files(self, path: str):
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return folder, folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _committed(self, path: str) -> bool:
+        done, files = self._files(f"{path}/_SUCCESS")
+        return files.exists(done)
 
     def high_water(self) -> int:
         """The highest number ever reserved; 0 before the first load."""
-        marks = self._table("marks")
-        return 0 if marks is None else marks.agg(F.max("last").alias("m")).collect()[0]["m"] or 0
+        path = f"{self.path}/marks"
+        if not self._committed(path):
+            return 0
+        return self.spark.read.schema(MARKS).parquet(path).agg(F.max("last").alias("m")).collect()[0]["m"] or 0
 
     def issued(self) -> DataFrame | None:
         """The key columns and ``name`` of every key ever registered; None before the first load."""
-        return self._table("keys")
+        folder, files = self._files(f"{self.path}/keys")
+        loads = sorted(str(x.getPath()) for x in files.listStatus(folder)) if files.exists(folder) else []
+        loads = [x for x in loads if self._committed(x)]
+        if not loads:
+            return None
+        read = self.spark.read if self._schema is None else self.spark.read.schema(self._schema)
+        return read.parquet(*loads)
 
     def register(self, incoming: DataFrame) -> DataFrame:
         """Gives a number to every key of ``incoming`` that has none and returns all issued ones.
@@ -83,8 +95,8 @@ class KeyRegistry:
 
     def _append(self, numbered: DataFrame) -> None:
         rows = numbered.select(*self.keys, self.name)
-        rows.write.mode("append").parquet(f"{self.path}/keys")
-        self._schema["keys"] = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
+        rows.write.parquet(f"{self.path}/keys/load=l{uuid.uuid4().hex[:12]}")
+        self._schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
 
     def attach(self, df: DataFrame) -> DataFrame:
         """``df`` with ``name`` first; null where the key was never registered."""

@@ -17,14 +17,14 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medallion_ops.operators.asof import asof_join
 from medallion_ops.operators.dedup import latest_per_entity
-from medallion_ops.operators.keys import dense_surrogate_key
+from medallion_ops.operators.keys import dense_surrogate_key, match
 from medallion_ops.operators.merge import assert_unique
-from medallion_ops.session import materialize_observed
+from medallion_ops.session import materialize, materialize_observed
 
 OPEN_END = "9999-12-31"          # fixed value: end date of the current version
 VALIDITY = ["effective_date", "end_date", "is_current"]
@@ -80,7 +80,8 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, check_cols, as_of,
 
     A change dated on the day its current version began corrects that
     version in place (same key, no zero-length interval); a change dated
-    earlier raises, as it would end a version before it began. New versions
+    earlier raises, as it would end a version before it began
+    (``scd2_backdate`` takes such rows). New versions
     get surrogate keys after ``max(sk)`` (pass ``max_sk`` when already known,
     e.g. observed while writing ``dim``). Attributes not in ``check_cols``
     are carried from the incoming row on insert and correction.
@@ -111,8 +112,8 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, check_cols, as_of,
     if seen.get("late"):
         raise ValueError(f"{seen['late']} changes dated {as_of} begin before the versions they would end")
     if not incoming_unique:
-        # also catches a dimension with two current versions of a key (the join fans out)
-        assert_unique(classified, [key], "incoming")
+        assert_unique(incoming, [key], "incoming")
+    assert_unique(cur, [key], "current versions")         # two of a key would be expired and followed twice
     to_insert = classified.filter(F.col("__change").isin("new", "changed")).drop("__change")
     touched = classified.filter(F.col("__change").isin("changed", "fixed")).select(
         F.col(key).alias("__key"), *[F.col(a).alias(f"__{a}") for a in attrs], "__change")
@@ -138,6 +139,57 @@ def scd2_apply(dim: DataFrame, incoming: DataFrame, key: str, check_cols, as_of,
             .unionByName(inserts.select(*cols)))
 
 
+def scd2_backdate(dim: DataFrame, late: DataFrame, key: str, check_cols, as_of=None, sk: str = "sk",
+                  max_sk: int | None = None) -> DataFrame:
+    """Lets rows that arrive late fall into the history where their date puts them.
+
+    ``late`` states a key's attributes from a day on (``as_of``, or its own
+    column ``effective_date``). The versions of its keys are re-cut: every
+    version ends where the next one begins, the last one is current.
+
+    * A late row dated inside a version splits it; before the first version it
+      begins the history.
+    * Dated on the day a version began, it corrects that version, which keeps
+      its key.
+    * One that says (null-safe, in ``check_cols``) what held on that day anyway
+      adds nothing.
+
+    Versions keep their keys and begins, new ones get keys after ``max(sk)`` in
+    (key, date) order. Keys are compared null-safely; of several late rows of a
+    key and day the largest counts; other keys' rows pass as they are, and a
+    rerun changes nothing.
+    """
+    check_cols = list(check_cols)
+    attrs = [c for c in dim.columns if c not in {sk, key, *VALIDITY}]
+    begin = _date(as_of) if as_of is not None else F.col("effective_date").cast("date")
+    late = late.select(F.col(key), F.struct(*attrs).alias("__a"), begin.alias("effective_date")).filter("effective_date is not null")
+    late = late.groupBy(key, "effective_date").agg(F.max("__a").alias("__late"))
+    touched = late.select(key).distinct()
+    old = match(dim, touched, [key], "left_semi").select(
+        key, "effective_date", F.struct(*attrs).alias("__old"), F.col(sk).alias("__sk"))
+    new = late.select(F.col(key).alias("__k"), F.col("effective_date").alias("__d"), "__late")
+    same = F.col(key).eqNullSafe(F.col("__k")) & (F.col("effective_date") == F.col("__d"))
+    events = old.join(new, same, "full_outer").select(
+        F.when(F.col("__sk").isNull(), F.col("__k")).otherwise(F.col(key)).alias(key),
+        F.coalesce("effective_date", "__d").alias("effective_date"), F.coalesce("__late", "__old").alias("__a"), "__sk")
+
+    by_day = Window.partitionBy(key).orderBy("effective_date")      # a row per version of the key
+    compared = F.struct(*[F.col(f"__a.{c}").alias(c) for c in check_cols])
+    events = events.withColumn("__says", compared).withColumn("__before", F.lag("__says").over(by_day))
+    events = events.filter(F.col("__sk").isNotNull() | F.col("__before").isNull() | ~F.col("__says").eqNullSafe(F.col("__before")))
+    ends = F.lead("effective_date").over(by_day)
+    cut = events.select("__sk", key, *[F.col(f"__a.{a}").alias(a) for a in attrs], "effective_date",
+                        F.coalesce(ends, F.lit(OPEN_END).cast("date")).alias("end_date"), ends.isNull().alias("is_current"))
+    cut = materialize(cut, "scd_recut")
+    next_sk = max_sk if max_sk is not None else dim.agg(F.max(sk).alias("m")).collect()[0]["m"]
+    cols = [key, *attrs, *VALIDITY]
+    added = dense_surrogate_key(cut.filter(F.col("__sk").isNull()).select(*cols), [key, "effective_date"], name=sk,
+                                start=(next_sk or 0) + 1)
+    kept = cut.filter(F.col("__sk").isNotNull()).select(F.col("__sk").alias(sk), *cols)
+    others = match(dim, touched, [key], "left_anti")
+    return others.select(sk, *cols).unionByName(kept).unionByName(added)
+
+
 def snapshot_check(dim: DataFrame, incoming: DataFrame, unique_key: str, check_cols, as_of,
                    sk: str = "sk", hard_deletes: str = "ignore", max_sk: int | None = None,
                    incoming_unique: bool = False) -> DataFrame:

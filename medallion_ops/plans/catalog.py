@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion_ops.functions.dates import date_key, month_index, year_end, year_month
-from medallion_ops.operators import dedup, digest, joins, keys, merge, quality, scd, windows
+from medallion_ops.operators import cohorts, dedup, digest, distinct, joins, keys, merge, quality, quality_state, scd, windows
 from medallion_ops.operators.calendar import date_bounds, date_spine
 from medallion_ops.operators.registry import KeyRegistry, keyed_dimension
 from medallion_ops.plans import analytics, gold, silver
@@ -435,6 +435,29 @@ def q_group_count_distinct(spark, d):
             .agg(F.countDistinct("o_custkey").alias("active_customers")))
 
 
+def _order_months(spark, d):
+    return table(spark, d, "orders").select("o_custkey", "o_orderdate", year_month("o_orderdate").alias("year_month"))
+
+
+def q_distinct_bitmaps(spark, d):
+    """Active customers per month and in all, from the united bitmaps of two overlapping loads."""
+    o = _order_months(spark, d)
+    state = [materialize(distinct.distinct_state(o.filter(x), "o_custkey", "year_month"), "bitmaps") for x in (
+        F.col("o_orderdate") < "1997-01-01", F.col("o_orderdate") >= "1996-01-01")]
+    state = materialize(distinct.unite(state, "year_month"), "bitmaps_united")
+    total = distinct.distinct_counts(state, name="active_customers").select(F.lit("all").alias("year_month"), "active_customers")
+    return distinct.distinct_counts(state, "year_month", "active_customers").unionByName(total)
+
+
+def q_distinct_bitmaps_dense(spark, d):
+    """Distinct pairs of brand and size per type over two loads: strings counted by the dense numbers of a registry."""
+    p = table(spark, d, "part").select("p_type", "p_brand", "p_size")
+    registry = KeyRegistry(spark, scratch_path(spark, "pair_ids"), ["p_brand", "p_size"], "pair_id")
+    state = [materialize(distinct.distinct_state(distinct.dense_ids(p.filter(x), registry), "pair_id", "p_type"), "bitmaps")
+             for x in (F.col("p_size") <= 30, F.col("p_size") >= 20)]
+    return distinct.distinct_counts(distinct.unite(state, "p_type"), "p_type", "n_pairs")
+
+
 def q_date_bounds(spark, d):
     return date_bounds([(table(spark, d, "orders"), ["o_orderdate"]),
                         (table(spark, d, "lineitem"), ["l_shipdate"]),
@@ -515,6 +538,18 @@ def q_dq_report(spark, d):
         quality.orphan_check("silver_order_items", s.soi, s.so, "order_id", "silver_orders")])
 
 
+def q_dq_incremental(spark, d):
+    """The gate over raw items after two loads by ship month: the second brings later months and writes those of 1996
+    anew, of which the first held large lots only. Only a load's own months are scanned."""
+    raw, k = tb.bronze_order_items(spark, d), ["order_id", "order_item_id"]
+    month, late = F.date_format("shipping_limit_date", "yyyyMM"), F.col("shipping_limit_date")
+    first = raw.filter((late < "1996-01-01") | ((late < "1997-01-01") & (F.col("freight_value") >= 25)))
+    second = raw.filter((late >= "1996-01-01") | late.isNull())
+    loads = [quality_state.quality_state(x, month, k, k) for x in (first, second)]
+    one, two = [quality_state.QualityState(materialize(x.metrics, "dq_metrics"), materialize(x.keys, "dq_keys")) for x in loads]
+    return quality_state.state_report("bronze_order_items", quality_state.replace_partitions(one, two), k, k)
+
+
 def q_scd2_current_unique(spark, d):
     dim = Star(spark, d).dimc
     per = dim.filter(F.col("is_current")).groupBy("customer_unique_id").agg(F.count(F.lit(1)).alias("n"))
@@ -759,6 +794,18 @@ def q_scd2_merge(spark, d):
     return two.select(*gold.DIM_CUSTOMER_COLS)
 
 
+def q_scd2_backdated(spark, d):
+    """The loads of ``scd2_merge`` out of order: what was known before 2000 arrives after the full load of 2002."""
+    s = Star(spark, d)
+    s._together("so", "sc")
+    early, mid, full = gold.customer_profiles(s.sc, s.so, gold.SEED_CUTOFF, SCD_MID_CUTOFF)
+    seed, seen = gold.stored_profile_seed(early)
+    dim, seen = materialize_observed(_apply(seed, seen, full.drop("first_order_date"), gold.CUSTOMER_ATTRS, gold.APPLY_AS_OF),
+                                     "dim_customer_full", max_sk=F.max("customer_sk"))
+    return scd.scd2_backdate(dim, mid, "customer_unique_id", gold.CUSTOMER_ATTRS, SCD_MID_CUTOFF, sk="customer_sk",
+                             max_sk=seen["max_sk"]).select(*gold.DIM_CUSTOMER_COLS)
+
+
 SNAPSHOT_CHECK_COLS = ["customer_zip_code_prefix", "customer_city", "customer_state"]
 
 
@@ -842,4 +889,15 @@ def q_cohort_retention(spark, d):
     return analytics.cohort_retention(s.fact, s.dimc, s.dimd, DELIVERED)
 
 
+def q_cohort_state(spark, d):
+    """Retention from a state of two overlapping loads, the later months first: most first months move with the second."""
+    s = Star(spark, d)
+    active = materialize(analytics.monthly_activity(s.fact, s.dimc, s.dimd, DELIVERED).select(
+        F.col("customer_unique_id").alias("person"), F.col("activity_index").alias("month")), "cohort_load")
+    state = cohorts.no_cohorts(spark)
+    for load in (active.filter(F.col("month") >= 1995 * 12 + 7), active.filter(F.col("month") <= 1997 * 12 + 12)):
+        state = cohorts.add_activity(state, load)
+    return cohorts.retention(state)
+
+
 QUERIES = {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}

@@ -609,4 +609,38 @@ ORACLE: dict[str, str] = {
         FROM a FULL JOIN b USING (order_id)
         WHERE a.there IS NULL OR b.there IS NULL OR a.status IS DISTINCT FROM b.status OR a.ts IS DISTINCT FROM b.ts
            OR a.items IS DISTINCT FROM b.items""",
+    "distinct_bitmaps": """
+        SELECT strftime(o_orderdate, '%Y-%m') AS year_month, count(DISTINCT o_custkey) AS active_customers FROM orders GROUP BY 1
+        UNION ALL SELECT 'all', count(DISTINCT o_custkey) FROM orders""",
+    "distinct_bitmaps_dense": "SELECT p_type, count(DISTINCT (p_brand, p_size)) AS n_pairs FROM part GROUP BY p_type",
+    "dq_incremental": """
+        SELECT 'bronze_order_items' AS table_name, 'not_empty' AS check_name,
+               CAST(CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS BIGINT) AS failures, count(*) > 0 AS passed FROM lineitem
+        UNION ALL SELECT 'bronze_order_items', 'unique(order_id,order_item_id)',
+               count(*) - count(DISTINCT (l_orderkey, l_linenumber)), count(*) = count(DISTINCT (l_orderkey, l_linenumber))
+        FROM lineitem
+        UNION ALL SELECT 'bronze_order_items', 'not_null(order_id)', count(*) FILTER (WHERE l_orderkey IS NULL),
+               count(*) FILTER (WHERE l_orderkey IS NULL) = 0 FROM lineitem
+        UNION ALL SELECT 'bronze_order_items', 'not_null(order_item_id)', count(*) FILTER (WHERE l_linenumber IS NULL),
+               count(*) FILTER (WHERE l_linenumber IS NULL) = 0 FROM lineitem""",
+    # the state of 2000 beside the versions of the other loads; a late row that says what held anyway is none
+    "scd2_backdated": with_("dimc", "prof_mid") + f""",
+        stated AS (
+          SELECT customer_sk, customer_unique_id, {A}, effective_date FROM dimc
+          UNION ALL
+          SELECT NULL, customer_unique_id, {A}, DATE '2000-01-01' FROM prof_mid),
+        compared AS (
+          SELECT *, ({A}) AS says, lag(({A})) OVER (PARTITION BY customer_unique_id ORDER BY effective_date, customer_sk NULLS LAST) AS held,
+                 count(*) FILTER (WHERE customer_sk IS NOT NULL AND effective_date = DATE '2000-01-01')
+                   OVER (PARTITION BY customer_unique_id) AS same_day
+          FROM stated),
+        versions AS (
+          SELECT * FROM compared
+          WHERE customer_sk IS NOT NULL OR (same_day = 0 AND (held IS NULL OR says IS DISTINCT FROM held)))
+        SELECT coalesce(customer_sk, CAST((SELECT max(customer_sk) FROM dimc)
+                 + row_number() OVER (PARTITION BY customer_sk IS NULL ORDER BY customer_unique_id, effective_date) AS BIGINT)) AS customer_sk,
+               customer_unique_id, {A}, effective_date,
+               coalesce(lead(effective_date) OVER w, DATE '9999-12-31') AS end_date, lead(effective_date) OVER w IS NULL AS is_current
+        FROM versions WINDOW w AS (PARTITION BY customer_unique_id ORDER BY effective_date)""",
 }
+ORACLE["cohort_state"] = ORACLE["cohort_retention"]
