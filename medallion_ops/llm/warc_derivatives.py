@@ -55,13 +55,14 @@ RECORD = ("page_id bigint, record_type string, record_id string, refers_to strin
           "block_digest string, source_payload_digest string, content_length bigint, digest_ok boolean, block binary")
 HIDDEN = re.compile(r"<!--|<(script|style|noscript|template|head)(?=[\s/>])[^>]*>", re.I)
 CLOSE = {None: re.compile("-->")} | {
-    x: re.compile(rf"</{x}\s*>", re.I) for x in ("script", "style", "noscript", "template")}
+    x: re.compile(rf"</{x}\s*>", re.I) for x in ("script", "style", "noscript", "template", "title")}
 # what a head can hold: its end tag may be left out, so anything else ends it
-HEAD = re.compile(r"(?:\s+|<!--.*?(?:-->|\Z)|<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
-                  r"|<(title|noscript|template)(?=[\s/>])[^>]*>.*?</\2\s*>"
-                  r"|</?(?:meta|link|base|basefont|bgsound|title|noscript|template)(?=[\s/>])[^>]*>)*(?:</head\s*>)?", re.S | re.I)
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
-LINK = re.compile(r"""<(a|img|link|script|iframe)\b[^>]*?\b(?:href|src)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
+IN_HEAD = re.compile(r"\s+|<(script|style|title|noscript|template)(?=[\s/>])[^>]*>", re.I)
+VOID = re.compile(r"</?(?:meta|link|base|basefont|bgsound|title|noscript|template)(?=[\s/>])[^>]*>", re.I)
+HEAD_END = re.compile(r"</head\s*>", re.I)
+TITLE_BEGIN, TITLE_END = re.compile(r"<title\b", re.I), re.compile(r"</title\s*>", re.I)
+LINK_BEGIN = re.compile(r"<(a|img|link|script|iframe)\b", re.I)
+LINK_VALUE = re.compile(r"""\b(?:href|src)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
 BLOCK = re.compile(r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr"
                    r"|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul)\b[^>]*>", re.I)
 TAG = re.compile(r"<[a-zA-Z/!?][^>]*>")
@@ -105,19 +106,49 @@ def split_http(block: bytes) -> tuple[str, dict[str, str], bytes]:
     return status, {k.strip(): v.strip() for k, v in pairs}, body
 
 
+def head_end(page: str, at: int, unclosed: set[str]) -> int:
+    """Where a head that begins at ``at`` ends: behind its end tag or before the first thing that no head holds.
+
+    ``unclosed``: elements known to have no end from here on; added to.
+    """
+    while True:
+        if page.startswith("<!--", at):
+            close = page.find("-->", at + 4)
+            at = close + 3 if close >= 0 else len(page)
+            continue
+        m = IN_HEAD.match(page, at)
+        name = m[1].lower() if m and m[1] else None
+        if m and name is None:
+            at = m.end()
+            continue
+        if name and name not in unclosed:
+            close = CLOSE[name].search(page, m.end())
+            if close or name in ("script", "style"):
+                at = close.end() if close else len(page)
+                continue
+            unclosed.add(name)                           # nor is there an end for later ones
+        m = VOID.match(page, at)
+        if not m:
+            break
+        at = m.end()
+    end = HEAD_END.match(page, at)
+    return end.end() if end else at
+
+
 def without_hidden(page: str) -> str:
     """A page with a space for each comment and hidden element.
 
     Without its end, a comment, script or style runs to the end of the page
     (as in browsers); a noscript or template is shown and a head ends where
     something begins that no head holds, so no visible text goes with them.
+    No tag begins behind the last ``>``, so none is looked for there.
     """
-    out, at, unclosed = [], 0, set()
-    begin = HIDDEN.search(page)
+    out, at, unclosed, last = [], 0, set(), page.rfind(">") + 1
+    begin = HIDDEN.search(page, at, last)
     while begin:
         name = begin[1].lower() if begin[1] else None
         if name == "head":
-            end = HEAD.match(page, begin.end()).end()
+            end = head_end(page, begin.end(), unclosed)
         else:
             close = None if name in unclosed else CLOSE[name].search(page, begin.end())
             end = close.end() if close else len(page)
@@ -126,17 +157,55 @@ def without_hidden(page: str) -> str:
                 end = begin.end()
         out += page[at:begin.start()], " "
         at = end
-        begin = HIDDEN.search(page, at)
+        begin = HIDDEN.search(page, at, last)
+    comment = page.find("<!--", max(at, last))
+    if comment >= 0:
+        out += page[at:comment], " "
+        at = len(page)
     return "".join([*out, page[at:]])
 
 
+def _without(tags: re.Pattern, page: str, instead: str) -> str:
+    last = page.rfind(">") + 1
+    return tags.sub(instead, page[:last]) + page[last:]
+
+
 def page_text(page: str) -> str:
     """Visible text: hidden elements and tags out, block elements as line breaks, entities resolved."""
-    shown = TAG.sub("", BLOCK.sub("\n", without_hidden(page)))
+    shown = _without(TAG, _without(BLOCK, without_hidden(page), "\n"), "")
     shown = SPACES.sub(" ", html.unescape(shown).replace("\r", "\n"))
     return BREAKS.sub("\n", shown).strip()
 
 
+def page_title(page: str) -> str | None:
+    """Content of the first title element that is closed; if the first one has no end, none has."""
+    begin = TITLE_BEGIN.search(page)
+    opened = page.find(">", begin.end()) if begin else -1
+    end = TITLE_END.search(page, opened + 1) if opened >= 0 else None
+    return page[opened + 1:end.start()] if end else None
+
+
+def page_links(page: str) -> Iterator[tuple[str, str]]:
+    """(tag, value) of the first href or src of each a, img, link, script and iframe tag, in one pass.
+
+    A tag goes to the next ``>``. The next attribute and the next ``>`` are
+    remembered, so tags without either do not read the page again.
+    """
+    at, value, close = 0, None, -1
+    while begin := LINK_BEGIN.search(page, at):
+        at = begin.end()
+        if value is None or value.start() < at:
+            value = LINK_VALUE.search(page, at)
+            if value is None:
+                return
+        if close < at:
+            close = page.find(">", at)
+            close = close if close >= 0 else len(page)
+        if value.start() <= close:
+            yield begin[1], value[1] or value[2] or value[3] or ""
+            at = value.end()
+
+
 def _clean(value: str) -> str:
     return CONTROL.sub(lambda m: f"%{ord(m[0]):02X}", value)
 
@@ -155,14 +224,14 @@ def derived_records(headers: dict[str, str], block: bytes) -> list[tuple[dict[st
         page = body.decode(charset[1] if charset else "utf-8", "replace")
     except LookupError:
         page = body.decode("utf-8", "replace")
-    title = TITLE.search(page)
-    links = [{"path": f"{m[1].upper()}@/{'href' if m[1].lower() in ('a', 'link') else 'src'}",
-              "url": html.unescape(m[2] or m[3] or m[4] or "")} for m in LINK.finditer(page)]
+    title = page_title(page)
+    links = [{"path": f"{tag.upper()}@/{'href' if tag.lower() in ('a', 'link') else 'src'}", "url": html.unescape(value)}
+             for tag, value in page_links(page)]
     about = {"Envelope": {
         "WARC-Header-Metadata": headers, "Payload-Digest": payload, "Block-Digest": sha1_digest(block),
         "HTTP-Response-Metadata": {
             "Response-Message": status, "Headers": http,
-            "HTML-Metadata": {"Title": html.unescape(title[1]).strip() if title else None, "Links": links}}}}
+            "HTML-Metadata": {"Title": html.unescape(title).strip() if title is not None else None, "Links": links}}}}
     out = []
     for kind, content, data in (
             ("metadata", "application/json", json.dumps(about, ensure_ascii=False, sort_keys=True).encode()),
