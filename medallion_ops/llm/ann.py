@@ -9,9 +9,9 @@ it is further than the k-th best so far (distance r) with high probability.
 Survivors of the last block are scored exactly, in double precision, on the
 original vectors.
 
-Index: centroids by k-means on a bounded sample (``sample_rows``), as many
-lists as the square root of the row count (the sample bounds them); every
-row is indexed. How many lists a query probes is fitted as well: the share
+Index: centroids by k-means on a bounded sample (``sample_rows``, chosen by
+hash), as many lists as the square root of the row count, but no more than an
+eighth of the sample; every row is indexed. How many lists a query probes is fitted as well: the share
 of lists that finds ``fit_recall`` of the true neighbours of sample rows
 among the sample, which is harder than among all rows. Each query scans its
 nearest list first; the k-th score found there is r for the others.
@@ -19,8 +19,9 @@ nearest list first; the k-th score found there is r for the others.
 Scale: equal vectors are searched once, as a query and as a candidate (of a
 candidate vector's copies the k + 1 smallest ids suffice, exactly, for any
 query), so a vector that a third of all rows share costs no more than
-another. A list is cut into blocks of ``block_rows`` rows and the queries
-into blocks of ``block_queries``; a task holds one pair of blocks. Per block
+another. A list is cut into blocks of ``block_rows`` rows and the queries that
+probe it into parts of ``block_queries``; a task holds one pair of them, and
+rows are copied to the parts of their own list only. Per block
 and query k + 1 rows leave a task. The driver sees the sample only.
 
 Defined cases: vectors that are null, zero, of another length than most, or
@@ -192,13 +193,17 @@ def _scan_group(model, dim: int, k: int):
     return run
 
 
-def _probe(queries: DataFrame, rows: DataFrame, sizes: DataFrame, block_queries: int, n_queries: int, model, dim: int,
-           k: int) -> DataFrame:
-    """Scans each (query, list) pair: ``queries`` has rep, vec, bound and list; ``rows`` vec_id, vec, list and block."""
-    q_blocks = max(1, -(-n_queries // block_queries))
+def _probe(queries: DataFrame, rows: DataFrame, sizes: DataFrame, block_queries: int, model, dim: int, k: int) -> DataFrame:
+    """Scans each (query, list) pair: ``queries`` has rep, vec, bound and list; ``rows`` vec_id, vec, list and block.
+
+    The queries of a list are cut into parts of about ``block_queries``; a row
+    meets the parts of its own list only, and none where no query probes it.
+    """
+    parts = queries.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / block_queries).cast("int").alias("parts"))
+    parts = materialize(parts, "ann_parts")                            # a row per list
     blocked = queries.join(sizes, "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    blocked = blocked.withColumn("part", F.pmod(F.xxhash64("rep"), F.lit(q_blocks)).cast("int"))
-    spread = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
+    blocked = blocked.join(parts, "list").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    spread = rows.join(parts, "list").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     keys = ["list", "block", "part"]
     return (spread.select(*keys, "vec_id", "vec").groupBy(*keys)
             .cogroup(blocked.select(*keys, "rep", "vec", "bound").groupBy(*keys))
@@ -237,7 +242,8 @@ def search(rows: DataFrame, k: int = 20, queries=None, id_col: str = "vec_id", v
     # fit on a bounded sample, chosen by hash so that reruns agree
     share = min(1.0, 0.9 * sample_rows / count)
     chosen = rows_of.where(F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
-    picked = sorted((r["vec_id"], r["vec"]) for r in chosen.limit(2 * sample_rows).collect())
+    chosen = chosen.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(sample_rows)
+    picked = sorted((r["vec_id"], r["vec"]) for r in chosen.collect())
     x = np.array([v for _, v in picked], np.float64).reshape(-1, dim)
     top = rows_of.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v)).alias("m")).collect()[0]["m"]
     most = float(top) * (1 + 1e-12)
@@ -259,11 +265,11 @@ def search(rows: DataFrame, k: int = 20, queries=None, id_col: str = "vec_id", v
         _assign(model, dim, True, probes), "rep bigint, vec array<double>, list array<int>"), "ann_probes")
 
     first = aimed.select("rep", "vec", F.lit(None).cast("double").alias("bound"), F.element_at("list", 1).alias("list"))
-    near = materialize(_probe(first, homed, sizes, block_queries, n_queries, model, dim, k + 1), "ann_near")
+    near = materialize(_probe(first, homed, sizes, block_queries, model, dim, k + 1), "ann_near")
     best = Window.partitionBy("rep").orderBy(F.desc("score"), "vec_id")
     kth = near.withColumn("r", F.row_number().over(best)).where(F.col("r") == k + 1).select("rep", F.col("score").alias("bound"))
     others = aimed.withColumn("list", F.explode(F.slice("list", 2, max(probes - 1, 1)))).join(kth, "rep", "left")
-    far = _probe(others.select("rep", "vec", "bound", "list"), homed, sizes, block_queries, n_queries, model, dim, k + 1)
+    far = _probe(others.select("rep", "vec", "bound", "list"), homed, sizes, block_queries, model, dim, k + 1)
     found = near.unionByName(far)
     found = found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r")
 

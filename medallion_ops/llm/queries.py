@@ -284,3 +284,31 @@ ranked as (select *, row_number() over (partition by lang order by score desc, a
 select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score
 from ranked join totals using (lang) where rank <= 2000
 """
+
+ORACLE["op9_decontaminate"] = r"""
+with docs as (
+  select row_number() over () as n, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+tests as (
+  select coalesce(cast(item_id as varchar), 'null') as item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark),
+windows as (
+  select distinct item, k, unnest([array_to_string(w[i:i + k - 1], ' ') for i in range(1, len(w) - k + 2)]) as gram
+  from (select item, w, least(len(w), 10) as k from tests where len(w) > 0)),
+spoken as (
+  select n, k, i, array_to_string(w[i:i + k - 1], ' ') as gram
+  from (select n, k, w, unnest(range(1, len(w) - k + 2)) as i
+        from docs, (select distinct k from windows) as lengths where len(w) >= k)),
+hits as (select n, i, spoken.k, item from spoken join windows using (k, gram)),
+covered as (select n, count(distinct place) as n_hit from (select n, unnest(range(i, i + k)) as place from hits) group by n),
+named as (
+  select n, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct n, item from hits) group by n)
+select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from docs left join covered using (n) left join named using (n)
+"""
