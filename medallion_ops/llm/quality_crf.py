@@ -12,7 +12,8 @@ Training: the lines of a labelled document carry its label, the chain is
 fitted by maximum conditional likelihood (L2-regularised, Adam) on a bounded
 sample of labelled documents (``max_good``, ``max_bad``; chosen by a hash of
 the id). Scoring reads every text whole where it lies; nothing is shuffled.
-Chains of similar length are padded together in groups of bounded size.
+Chains of similar length are padded together in groups of bounded size; a text
+of very many lines goes through the chain in pieces.
 
 Defined cases: a null or empty text is one empty line; documents without a
 label are scored alike; repeated rows are scored each; without labels of
@@ -36,6 +37,7 @@ from medallion_ops.llm.learning import labelled_sample, logistic
 
 SLICE = 2 << 20
 PADDED = 1 << 16               # lines, padding included, that are run through the chain at once
+PIECE = 1 << 14                # lines of a text that are looked at together; texts of more go through the chain in pieces
 N_OWN = 16                     # features of a line
 N = 3 * N_OWN + 2              # with its neighbours' and the ends of the text
 
@@ -55,7 +57,12 @@ def class_table() -> np.ndarray:
 
 def line_features(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(features of all lines, length of each line, index of each text's first line and the end)."""
-    lines = [t.split("\n") for t in texts]
+    return features_of_lines([t.split("\n") for t in texts], [set() for _ in texts], table)
+
+
+def features_of_lines(lines: list[list[str]], before: list[set[str]], table: np.ndarray
+                      ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for texts given as lines; ``before`` holds the lines that each text had already, and is added to."""
     first = np.cumsum([0, *map(len, lines)])
     every = [x for ls in lines for x in ls]
     long = np.fromiter(map(len, every), np.int64, len(every))
@@ -64,7 +71,7 @@ def line_features(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.n
     kinds = np.bincount(np.repeat(np.arange(len(every)) * 8, long) + kind, minlength=8 * len(every)).reshape(-1, 8)
     own = np.empty((len(every), 5))
     for i, ls in enumerate(lines):
-        seen: set[str] = set()
+        seen = before[i]
         for j, line in enumerate(ls):
             words = line.split()
             n = len(words)
@@ -188,6 +195,50 @@ def fit_chain(x: np.ndarray, first: np.ndarray, labels: np.ndarray, l2: float =
     return params[:N], params[N:].reshape(2, 2)
 
 
+def long_text(text: str, table: np.ndarray, theta: np.ndarray, trans: np.ndarray) -> float:
+    """Length-weighted mean of the lines' probabilities of a text of any number of lines, piece by piece.
+
+    A line's features are reduced to what they add to its own score and its
+    neighbours'. The chain's messages pass through the pieces as odds of good
+    against bad, forwards and then backwards: 24 bytes a line are kept.
+    """
+    lines, seen = text.split("\n"), set()
+    n = len(lines)
+    score, long = np.zeros(n), np.zeros(n)
+    weights = theta[:3 * N_OWN].reshape(3, N_OWN)
+    for at in range(0, n, PIECE):
+        own, size, _ = features_of_lines([lines[at:at + PIECE]], [seen], table)
+        end = at + len(own)
+        long[at:end] = np.maximum(size, 1)
+        score[at:end] += own @ weights[0]
+        after, before = own @ weights[1], own @ weights[2]              # to the line behind, to the line before
+        to = min(end + 1, n)
+        score[at + 1:to] += after[:to - at - 1]
+        score[max(at - 1, 0):end - 1] += before[0 if at else 1:]
+    score[0] += theta[-2]
+    score[-1] += theta[-1]
+    del lines, seen
+    odds = np.exp(np.clip(score, -60, 60))
+    (m00, m01), (m10, m11) = np.exp(np.clip(trans - trans.max(), -60, 0)).tolist()
+    forward, r = score, 0.0                                                # reuses the scores' place
+    for at in range(0, n, PIECE):
+        out = []
+        for k, e in enumerate(odds[at:at + PIECE].tolist()):
+            r = e * (m01 + r * m11) / (m00 + r * m10) if at + k else e
+            out.append(r)
+        forward[at:at + PIECE] = out
+    total, b = 0.0, 1.0
+    for at in range((n - 1) // PIECE * PIECE, -1, -PIECE):
+        out = []
+        for e in odds[at:at + PIECE][::-1].tolist():
+            out.append(b)
+            q = e * b
+            b = (m10 + m11 * q) / (m00 + m01 * q)
+        both = forward[at:at + PIECE] * np.array(out[::-1])
+        total += float((both / (1 + both) * long[at:at + PIECE]).sum())
+    return total / float(long.sum())
+
+
 def _means(p: np.ndarray, long: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Mean of the lines' probabilities per text, weighted by length (an empty line counts as one character)."""
     weight = np.maximum(long, 1).astype(np.float64)
@@ -220,9 +271,13 @@ def _score(model, keep: list[str], text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
         for batch in text_chunks(batches, text, SLICE):
-            raw, long, first = line_features(batch.column(text).fill_null("").to_pylist(), own["table"])
+            texts = batch.column(text).fill_null("").to_pylist()
+            many = [i for i, t in enumerate(texts) if t.count("\n") >= PIECE]
+            raw, long, first = line_features(["" if i in many else t for i, t in enumerate(texts)], own["table"])
             p = good_lines(with_neighbours(raw, first), first, own["theta"], own["trans"])
             mean = _means(p, long, first)
+            for i in many:
+                mean[i] = long_text(texts[i], own["table"], own["theta"], own["trans"])
             score = 1 / (1 + np.exp(-np.clip(own["a"] * mean + own["b"], -35, 35)))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(mean), pa.array(score)],
                                              names=[*keep, "good_share", "quality"])
