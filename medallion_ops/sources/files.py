@@ -7,6 +7,7 @@ parity with exploratory use.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -81,13 +82,15 @@ def bronze_ingest(spark: SparkSession, sources: dict, write, load_ts: str | None
     count per table) and the counts observed by the writing jobs themselves;
     the two agree unless a landed table was changed in between.
     """
-    reports, observed = [], {}
-    for name, (path, schema) in sources.items():
+    def land(name, path, schema):
         obs = Observation(f"ingest_{name}")
         df = lineage_columns(csv_scan(spark, path, schema), load_ts)
         landed = write(name, df.observe(obs, F.count(F.lit(1)).alias("n")))
-        observed[name] = int(obs.get["n"])
-        reports.append(spark.read.schema(df.schema).parquet(landed)
-                       .agg(F.count(F.lit(1)).alias("n_rows"))
-                       .select(F.lit(name).alias("table_name"), "n_rows"))
-    return reduce(DataFrame.unionByName, reports), observed
+        report = (spark.read.schema(df.schema).parquet(landed).agg(F.count(F.lit(1)).alias("n_rows"))
+                  .select(F.lit(name).alias("table_name"), "n_rows"))
+        return report, int(obs.get["n"])
+
+    with ThreadPoolExecutor(max(1, len(sources))) as pool:          # tables are landed at once
+        landing = {name: pool.submit(land, name, path, schema) for name, (path, schema) in sources.items()}
+        done = {name: f.result() for name, f in landing.items()}
+    return reduce(DataFrame.unionByName, [r for r, _ in done.values()]), {name: n for name, (_, n) in done.items()}
