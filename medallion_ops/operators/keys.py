@@ -44,7 +44,7 @@ def dense_surrogate_key(df: DataFrame, order_cols, name: str = "sk", start: int
     """
     by = _cols(order_cols) + _cols(tie_break or [])
     names = [f"__k{i}" for i in range(len(by))]
-    stored, n_rows = materialize_counted(df.withColumns(dict(zip(names, by))), "sk_input")
+    stored, n_rows = materialize_counted(df.withColumns(dict(zip(names, by))), "sk_rows")
     order = [F.col(n).asc_nulls_first() for n in names] + [F.col("__stored")]
     if n_rows <= ONE_TASK and partitions is None:
         sorted_ = stored.withColumn("__stored", F.monotonically_increasing_id()).coalesce(1).sortWithinPartitions(*order)
@@ -53,7 +53,7 @@ def dense_surrogate_key(df: DataFrame, order_cols, name: str = "sk", start: int
     dealt = placed.repartitionByRange(partitions, *order) if partitions else placed.repartitionByRange(*order)
     numbered = dealt.sortWithinPartitions(*order).select(
         *[_exact(c) for c in df.columns], F.monotonically_increasing_id().alias("__at"))
-    numbered = materialize(numbered, "sk_sorted").withColumns({
+    numbered = materialize(numbered, "sk_input").withColumns({
         "__part": F.shiftright("__at", 33), "__row": F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))})   # a task's 2^33 ids
 
     sizes = sorted(numbered.groupBy("__part").agg((F.max("__row") + 1).alias("n")).collect())     # a row per partition
