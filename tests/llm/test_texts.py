@@ -173,19 +173,21 @@ def _tokenizer():
     return Tokenizer.from_file(VOCABULARY)
 
 
-@pytest.mark.parametrize("cache", [1_500_000, 5])
-def test_chunks_give_the_tokenizers_ids(monkeypatch, cache):
+@pytest.mark.parametrize("cache,special_as_text", [(1_500_000, False), (5, False), (5, True)])
+def test_chunks_give_the_tokenizers_ids(monkeypatch, cache, special_as_text):
     import pyarrow as pa
 
     from medallion_ops.llm import token_files
 
     monkeypatch.setattr(token_files, "CACHE", cache)
     rnd, t = random.Random(cache), _tokenizer()
+    if special_as_text:                                # not the library's default: the option of the encoder
+        t.encode_special_tokens = True
     parts = [" ", " ", "\n", "\t", "a", "the", "The", "'s", "'", "1", "²", "½", "é", "　", " ", "\x85", "!", "###",
              "<|endoftext|>", "中", "\x1c", "​", "᠎", "﻿", " ", "\xa0", ".", ",", "_", "-", "\x00"]
     texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 14))) for _ in range(3000)] + [
         "", "x" * 300, " " * 50, "a. b.\nC d", "\nThe", "The\nThe the\nThe", "\n中 b", "b\n中 中\n中!"]
-    got = ChunkEncoder(VOCABULARY).encode(pa.array(texts))
+    got = ChunkEncoder(VOCABULARY, special_as_text=special_as_text).encode(pa.array(texts))
     assert got == [struct.pack(f"<{len(i)}I", *i) for i in (t.encode(x, add_special_tokens=False).ids for x in texts)]
 
 
