@@ -10,21 +10,21 @@ distinct fingerprints:
 
 1. Bit statistics of all distinct fingerprints (counts per bit and per pair
    of bits, summed in Spark) give the correlation of every pair of bits.
-2. Correlated bits are grouped into ``parts`` partitions, so that what is
-   redundant sits together and the others stay selective.
-3. Each partition gets its own threshold t_i >= -1 with
-   sum(t_i) = distance - parts + 1: if two fingerprints are within
+2. The bits are put in a row with correlated ones side by side, so that what
+   is redundant can sit together and the other partitions stay selective.
+3. The row is cut into partitions, each with its own threshold t_i >= -1,
+   with sum(t_i) = distance - parts + 1: if two fingerprints are within
    ``distance``, some partition has them within t_i. Dynamic programming
-   chooses the thresholds of least estimated cost: probes sent plus
-   candidates met, from the bits' mismatch probabilities.
+   chooses number and widths of the partitions and the thresholds of least
+   estimated cost: rows sent plus candidates met, from the bits' mismatch
+   probabilities and the number of fingerprints. Small corpora get more and
+   narrower partitions of few probes, large ones fewer and wider ones, whose
+   buckets stay selective. The links found are the same for every plan.
 4. Every fingerprint is indexed by the value of each used partition and
    probes all values within t_i of its own; candidates are verified on all
    64 bits in the join itself, so only true links leave it.
 5. Components by alternating large-star and small-star steps over the links.
 
-Two partitions are the default: their 32-bit values keep buckets selective
-as the corpus grows (with four, buckets of 16 bits grow with the square).
-
 Scale: fingerprints are computed where the texts lie; after that rows are a
 few bytes wide. Copies, however many, are one fingerprint; the hot group's
 rows meet the component table in a join that adaptive execution can split.
@@ -40,6 +40,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,8 @@ BITS = 64
 SEED = 42
 SLICE = 2 << 20
 HASHES = 1 << 16                 # shingles whose bits are unpacked at once
+NEAR = 8                         # bits in the row that the next one is compared with
+CANDIDATE = 0.1                  # cost of a candidate compared in the join, against a row sent through the shuffle
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -123,63 +126,79 @@ def bit_statistics(prints: DataFrame, count: int) -> tuple[np.ndarray, np.ndarra
     return p, (both - np.outer(p, p)) / np.outer(spread, spread)
 
 
-def partition_bits(corr: np.ndarray, parts: int) -> list[list[int]]:
-    """Groups the bits into ``parts`` partitions of nearly equal width, correlated bits together."""
+def bit_order(corr: np.ndarray) -> list[int]:
+    """All bits in a row, correlated ones side by side: each next bit is the one closest to the last few."""
     strength = np.abs(corr) - np.eye(BITS) * 2
-    left, out = set(range(BITS)), []
-    for k in range(parts):
-        width = len(left) // (parts - k)
-        free = sorted(left)
-        if width == len(free):
-            group = free
-        else:
-            sub = strength[np.ix_(free, free)]
-            i, j = np.unravel_index(int(np.argmax(sub)), sub.shape)
-            group = [free[i], free[j]][:width]
-            while len(group) < width:
-                rest = sorted(left - set(group))
-                group.append(rest[int(np.argmax(strength[np.ix_(rest, group)].mean(axis=1)))])
-        out.append(sorted(group))
-        left -= set(group)
-    return out
+    row = [int(x) for x in np.unravel_index(int(np.argmax(strength)), strength.shape)]
+    while len(row) < BITS:
+        rest = [b for b in range(BITS) if b not in row]
+        row.append(rest[int(np.argmax(strength[np.ix_(rest, row[-NEAR:])].mean(axis=1)))])
+    return row
 
 
 def _probes(width: int, t: int) -> int:
-    from math import comb
-    return sum(comb(width, k) for k in range(t + 1)) if t >= 0 else 0
+    return sum(comb(width, k) for k in range(t + 1))
+
+
+def _chances(row: list[int], p: np.ndarray, corr: np.ndarray, most: int) -> np.ndarray:
+    """[i, j, t]: the chance that two fingerprints differ in at most t of the bits row[i:j].
+
+    A bit differs with chance 2p(1-p); correlated bits count as fewer
+    independent ones.
+    """
+    miss = np.minimum(2 * p[row] * (1 - p[row]), 0.5)
+    shared = np.zeros((BITS + 1, BITS + 1))
+    shared[1:, 1:] = np.cumsum(np.cumsum(corr[np.ix_(row, row)] ** 2, axis=0), axis=1)
+    out = np.ones((BITS + 1, BITS + 1, most + 1))
+    for i in range(BITS):
+        exactly = np.zeros(most + 1)
+        exactly[0] = 1.0
+        for j in range(i + 1, BITS + 1):
+            m = miss[j - 1]
+            exactly[1:] = exactly[1:] * (1 - m) + exactly[:-1] * m
+            exactly[0] *= 1 - m
+            within = shared[j, j] - shared[i, j] - shared[j, i] + shared[i, i]
+            independent = (j - i) ** 2 / max(within, 1e-9)
+            out[i, j] = np.minimum(np.cumsum(exactly), 1.0) ** min(1.0, independent / (j - i))
+    return out
 
 
-def allocate_thresholds(partitions: list[list[int]], p: np.ndarray, corr: np.ndarray, count: int,
-                        distance: int) -> list[int]:
-    """Thresholds of least estimated cost with sum distance - parts + 1, by dynamic programming.
+def plan_partitions(p: np.ndarray, corr: np.ndarray, count: int, distance: int,
+                    parts: int | None = None) -> tuple[list[list[int]], list[int]]:
+    """The partitions (their number and widths too, unless ``parts`` fixes the number) and thresholds of least
+    estimated cost.
 
-    The cost of threshold t on a partition is the probes that ``count``
-    fingerprints send plus the candidates they meet: the chance that two
-    fingerprints differ in at most t of its bits, from the bits' mismatch
-    chances 2p(1-p), with correlated bits counted as fewer independent ones.
+    Partitions are runs of the bits in ``bit_order``. With thresholds t_i >= 0
+    the sum of t_i + 1 must be distance + 1, whatever the number of
+    partitions; a partition without a threshold (-1) is not probed and costs
+    nothing. Dynamic programming over (bits dealt, sum so far, partitions)
+    finds the cheapest. Threshold t on a run costs the rows that ``count``
+    fingerprints send (one for the index, one per probe) and the candidates
+    they meet, a candidate being CANDIDATE of a row.
     """
-    parts, need = len(partitions), distance - len(partitions) + 1
-    cost = []
-    for bits in partitions:
-        miss = 2 * p[bits] * (1 - p[bits])
-        independent = len(bits) ** 2 / max(np.sum(corr[np.ix_(bits, bits)] ** 2), 1e-9)
-        chance = np.array([1.0])
-        for m in np.minimum(miss, 0.5):
-            chance = np.convolve(chance, [1 - m, m])
-        tail = np.minimum(np.cumsum(chance), 1.0) ** min(1.0, independent / len(bits))
-        cost.append({t: 0.0 if t < 0 else count * (1.0 + _probes(len(bits), t)) + float(count) ** 2 * tail[t]
-                     for t in range(-1, min(distance, len(bits)) + 1)})
-    best: dict[int, tuple[float, list[int]]] = {0: (0.0, [])}
-    for c in cost:
-        step: dict[int, tuple[float, list[int]]] = {}
-        for used, (so_far, chosen) in best.items():
-            for t, x in c.items():
-                if used + t not in step or so_far + x < step[used + t][0]:
-                    step[used + t] = so_far + x, [*chosen, t]
-        best = step
-    if need not in best:
+    n, need = float(max(count, 1)), distance + 1
+    row = bit_order(corr)
+    chance = _chances(row, p, corr, distance)
+    width = np.arange(BITS + 1)
+    rows = np.array([[1.0 + _probes(int(w), t) for t in range(need)] for w in width])
+    best: list[dict[tuple[int, int], tuple[float, list[tuple[int, int, int]]]]] = [{} for _ in range(BITS + 1)]
+    best[0][0, 0] = 0.0, []
+    for j in range(1, BITS + 1):
+        for i in range(j):
+            cost = n * rows[j - i] + CANDIDATE * n * n * chance[i, j]
+            for (spent, k), (so_far, runs) in best[i].items():
+                if parts is not None and k == parts:
+                    continue
+                for t in range(-1, min(distance - spent, j - i) + 1):
+                    state = spent + t + 1, 0 if parts is None else k + 1
+                    total = so_far + (cost[t] if t >= 0 else 0.0)
+                    if state not in best[j] or total < best[j][state][0]:
+                        best[j][state] = total, [*runs, (i, j, t)]
+    goal = need, parts or 0
+    if goal not in best[BITS]:
         raise ValueError(f"{parts} partitions cannot cover a distance of {distance}")
-    return best[need][1]
+    runs = best[BITS][goal][1]
+    return [sorted(row[i:j]) for i, j, _ in runs], [t for _, _, t in runs]
 
 
 def _gather(fp: Column, bits: list[int]) -> Column:
@@ -241,18 +260,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         state = n, mark
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, parts: int = 2, id_col: str = "doc_id",
+def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, parts: int | None = None, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: doc_id, row (hash of the text), fp, component (smallest doc_id reachable) and
     keep (whether this id and text stand for the component)."""
-    if not 0 <= distance <= BITS or not 1 <= parts <= distance + 1:
-        raise ValueError("parts must be between 1 and distance + 1")
+    if not 0 <= distance <= BITS or not (parts is None or 1 <= parts <= BITS):
+        raise ValueError("distance must be 0 to 64 and parts, if given, 1 to 64")
     rows = materialize(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
     ids = rows.select("fp", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row").alias("first"))
     prints, count = materialize_counted(ids.groupBy("fp").agg(F.min("first").alias("first")), "prints")
     p, corr = bit_statistics(prints, count)
-    partitions = partition_bits(corr, parts)
-    thresholds = allocate_thresholds(partitions, p, corr, count, distance)
+    partitions, thresholds = plan_partitions(p, corr, count, distance, parts)
     found = components(links(prints.select("fp"), partitions, thresholds, distance))
     rooted = prints.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     first = rooted.groupBy("root").agg(F.min("first").alias("top"))
@@ -262,7 +280,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, parts:
     return out.select("doc_id", "row", "fp", F.col("top.doc_id").alias("component"), keep.alias("keep"))
 
 
-def deduplicate(docs: DataFrame, shingle: int = 3, distance: int = 3, parts: int = 2, id_col: str = "doc_id",
+def deduplicate(docs: DataFrame, shingle: int = 3, distance: int = 3, parts: int | None = None, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id (no id last).
 

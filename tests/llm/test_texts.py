@@ -114,9 +114,9 @@ def _components(prints, distance=3):
     return {p: find(p) for p in prints}
 
 
-@pytest.mark.parametrize("parts", [1, 2, 3, 4])
+@pytest.mark.parametrize("parts", [1, 2, 3, 4, None])
 def test_links_and_components_match_brute_force(spark, parts):
-    rnd = random.Random(parts)
+    rnd = random.Random(parts or 0)
     prints = [0, (1 << 64) - 1]
     for _ in range(40):
         p = rnd.getrandbits(64)
@@ -128,10 +128,10 @@ def test_links_and_components_match_brute_force(spark, parts):
     signed = [(p - (1 << 64) if p >> 63 else p,) for p in sorted(set(prints))]
     df = spark.createDataFrame(signed, "fp long")
     share, corr = simhash.bit_statistics(df, len(signed))
-    groups = simhash.partition_bits(corr, parts)
+    groups, thresholds = simhash.plan_partitions(share, corr, len(signed), 3, parts)
     assert sorted(b for g in groups for b in g) == list(range(64))
-    thresholds = simhash.allocate_thresholds(groups, share, corr, len(signed), 3)
-    assert sum(thresholds) == 3 - parts + 1
+    assert len(groups) == len(thresholds) == (parts or len(groups))
+    assert sum(thresholds) == 3 - len(groups) + 1
     if parts == 1:
         return                                   # a radius of 3 on 64 bits: too many probes for a test
     found = simhash.links(df, groups, thresholds, 3).distinct().collect()
@@ -145,6 +145,52 @@ def test_links_and_components_match_brute_force(spark, parts):
         assert {linked.get(m, m) for m in members} == {min(members)}
 
 
+def _even():
+    return np.full(64, 0.5), np.eye(64)
+
+
+def test_partitions_follow_the_number_of_fingerprints():
+    widths = {}
+    for count in (10 ** 3, 10 ** 6, 10 ** 9, 5 * 10 ** 10):
+        groups, thresholds = simhash.plan_partitions(*_even(), count, 3)
+        assert sum(t + 1 for t in thresholds) == 4
+        widths[count] = sorted(len(g) for g, t in zip(groups, thresholds) if t >= 0)
+    assert len(widths[10 ** 3]) == 4                                # one probe each
+    assert len(widths[5 * 10 ** 10]) == 2 and min(widths[5 * 10 ** 10]) >= 30
+    counts = [len(w) for w in widths.values()]
+    assert counts == sorted(counts, reverse=True)
+
+
+def test_uneven_statistics_give_uneven_partitions():
+    """Sixteen bits that hardly ever differ and sixteen that always agree with one another stay unselective."""
+    p, corr = _even()
+    p[:16] = 0.01
+    corr[16:32, 16:32] = 1.0
+    groups, thresholds = simhash.plan_partitions(p, corr, 10 ** 7, 3)
+    used = [(len(g), t) for g, t in zip(groups, thresholds) if t >= 0]
+    assert len({w for w, _ in used}) > 1
+    groups, thresholds = simhash.plan_partitions(p, corr, 10 ** 7, 3, parts=3)
+    assert len(set(thresholds)) > 1 and sum(thresholds) == 1
+    assert len({len(g) for g in groups}) > 1
+
+
+def test_the_plan_is_the_cheapest_of_all():
+    """Against every cut of the row of bits into two runs and every share of the distance."""
+    rnd = np.random.default_rng(5)
+    p = rnd.uniform(0.05, 0.5, 64)
+    corr = np.eye(64)
+    row, n = simhash.bit_order(corr), 10 ** 8
+    chance = simhash._chances(row, p, corr, 3)
+
+    def cost(i, j, t):
+        return 0 if t < 0 else n * (1 + simhash._probes(j - i, t)) + simhash.CANDIDATE * n * n * chance[i, j, t]
+
+    want = min(cost(0, c, t) + cost(c, 64, 2 - t) for c in range(1, 64) for t in range(-1, 4)
+               if t <= c and 2 - t <= 64 - c)
+    (a, b), (s, t) = simhash.plan_partitions(p, corr, n, 3, parts=2)
+    assert cost(0, len(a), s) + cost(len(a), 64, t) == pytest.approx(want)
+
+
 def test_near_duplicates_of_odd_rows(spark):
     base = " ".join(f"tok{i}" for i in range(400))
     cases = [(31, base), (30, base.upper()), (32, base + " end"), (33, "\t" + base.replace(" ", "  "))]
