@@ -8,10 +8,11 @@ each word from prefix sums, combined over the window), looks them up in a
 bitmap and the sorted hashes, and compares the words of every hit with the
 window's own, so a hash collision cannot make a hit.
 
-The broadcast set is checked: windows are counted first and split by hash
-into blocks of at most ``max_windows``; with one block the set is broadcast
-whole, with more the documents are scanned once per block and the covered
-spans united, so a test set of any size gives the same result.
+The broadcast set is checked: the bytes of all (window, item) pairs are summed
+first and the pairs dealt by hash into blocks of about ``max_bytes`` (one pair
+at least); with one block the set is broadcast whole, with more the documents
+are scanned once per block, one block after the other, and the covered spans
+united, so a test set of any size gives the same result in the same memory.
 
 Scale: one narrow scan of the documents, no shuffle of texts; a document is
 cut into slices of 1 MB for hashing, its word table (24 bytes a word)
@@ -27,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +45,8 @@ FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <=
 BASE = np.uint64(0x9E3779B97F4A7C15)      # odd, so it has an inverse modulo 2^64
 STEP = np.uint64(0xD6E8FEB86659FD93)
 SLICE = 1 << 20                            # bytes hashed at once
-BITS = 22                                  # the bitmap's size is 2^BITS
+BITS = 22                                  # a bitmap's size is 2^BITS at most
+PAIR_BYTES = 64                            # of a (window, item) pair in the set, besides its words and item id
 
 
 def _powers(n: int, base: np.uint64) -> np.ndarray:
@@ -123,47 +126,76 @@ def item_windows(text: str | None, n: int) -> list[tuple[int, int, bytes]]:
     return [(long, int(h), b" ".join(words[i:i + long])) for i, h in enumerate(window_hashes(hashes, long))]
 
 
+@dataclass
+class Grams:
+    """Windows of one length, sorted by hash: flat arrays, so that the set takes little more than its texts."""
+
+    known: np.ndarray            # hashes; equal ones (collisions) stand side by side
+    bitmap: np.ndarray           # over the hashes' top bits
+    texts: bytes                 # words of all windows; window k has texts[ends[k]:ends[k + 1]]
+    ends: np.ndarray
+    items: np.ndarray            # numbers of the items of all windows; window k has items[lists[k]:lists[k + 1]]
+    lists: np.ndarray
+
+    @classmethod
+    def of(cls, pairs: list[tuple[int, bytes, int]]) -> Grams:
+        """``pairs``: distinct (hash, words, item number), sorted."""
+        firsts = [k for k, p in enumerate(pairs) if not k or pairs[k - 1][:2] != p[:2]]
+        known = np.array([pairs[k][0] for k in firsts], np.uint64)
+        bits = min(BITS, max(10, (16 * len(firsts)).bit_length()))
+        bitmap = np.zeros(1 << bits, bool)
+        bitmap[known >> np.uint64(64 - bits)] = True
+        return cls(known, bitmap, b"".join(pairs[k][1] for k in firsts),
+                   np.cumsum([0, *[len(pairs[k][1]) for k in firsts]]),
+                   np.array([p[2] for p in pairs], np.int32), np.array([*firsts, len(pairs)], np.int64))
+
+    def candidates(self, w: np.ndarray) -> np.ndarray:
+        """Places of ``w`` whose top bits some window has."""
+        return np.flatnonzero(self.bitmap[w >> np.uint64(65 - len(self.bitmap).bit_length())])
+
+
 @dataclass
 class GramSet:
-    """The hash set that is broadcast: per window length sorted hashes, a bitmap, and each hash's windows."""
+    """The hash set that is broadcast: the windows by length, and the names of the items."""
 
-    lengths: dict[int, tuple[np.ndarray, np.ndarray]]
-    windows: dict[tuple[int, int], list[tuple[bytes, list[str]]]]
+    lengths: dict[int, Grams]
+    names: list[str]
 
     @classmethod
-    def of(cls, rows) -> GramSet:
-        """``rows``: (length, hash, words, item ids)."""
-        lengths: dict[int, list[int]] = {}
-        windows: dict[tuple[int, int], list[tuple[bytes, list[str]]]] = {}
-        for long, h, words, items in rows:
-            lengths.setdefault(long, []).append(h)
-            windows.setdefault((long, h), []).append((bytes(words), list(items)))
-        tables = {}
-        for long, hs in lengths.items():
-            known = np.unique(np.array(hs, np.uint64))
-            bitmap = np.zeros(1 << BITS, bool)
-            bitmap[known >> np.uint64(64 - BITS)] = True
-            tables[long] = known, bitmap
-        return cls(tables, windows)
+    def of(cls, pairs: pa.Table) -> GramSet:
+        """``pairs``: distinct rows (long, hash (signed), words, item)."""
+        item = pairs.column("item").combine_chunks().dictionary_encode()
+        names = item.dictionary.to_pylist()
+        hashes = pairs.column("hash").to_numpy().astype(np.int64).view(np.uint64).tolist()
+        by_length: dict[int, list[tuple[int, bytes, int]]] = {}
+        for long, h, words, k in zip(pairs.column("long").to_pylist(), hashes, pairs.column("words").to_pylist(),
+                                     item.indices.to_pylist()):
+            by_length.setdefault(long, []).append((h, words, k))
+        return cls({long: Grams.of(sorted(own)) for long, own in by_length.items()}, names)
 
     def parts(self) -> tuple:
         """Plain values, which any worker can unpickle."""
-        return self.lengths, self.windows
+        return {long: tuple(vars(g).values()) for long, g in self.lengths.items()}, self.names
+
+    @classmethod
+    def from_parts(cls, parts: tuple) -> GramSet:
+        return cls({long: Grams(*g) for long, g in parts[0].items()}, parts[1])
 
     def hits(self, folded: bytes, starts, ends, hashes, first) -> list[tuple[int, int, list[str]]]:
         """(first word, length, item ids) of each verified window; ``first`` = word at which each word's document begins."""
         found = []
-        for long, (known, bitmap) in self.lengths.items():
+        for long, own in self.lengths.items():
             w = window_hashes(hashes, long)
-            at = np.flatnonzero(bitmap[w >> np.uint64(64 - BITS)])
+            at = own.candidates(w)
             at = at[first[at] == first[at + long - 1]]   # within one document
-            place = np.searchsorted(known, w[at])
-            at = at[(place < len(known)) & (known[np.minimum(place, len(known) - 1)] == w[at])]
-            for i in at.tolist():
+            place = np.searchsorted(own.known, w[at])
+            hit = own.known[np.minimum(place, len(own.known) - 1)] == w[at]
+            for i, k in zip(at[hit].tolist(), place[hit].tolist()):
                 words = b" ".join(folded[b:e] for b, e in zip(starts[i:i + long].tolist(), ends[i:i + long].tolist()))
-                for own, items in self.windows[long, int(w[i])]:
-                    if own == words:
-                        found.append((i, long, items))
+                while k < len(own.known) and own.known[k] == w[i]:
+                    if own.texts[own.ends[k]:own.ends[k + 1]] == words:
+                        found.append((i, long, [self.names[x] for x in own.items[own.lists[k]:own.lists[k + 1]]]))
+                    k += 1
         return found
 
 
@@ -176,7 +208,7 @@ ARROW_SPANS = pa.list_(pa.struct([(c, pa.int64()) for c in ("first", "last", "st
 
 def _scan(grams, keep: list[str], text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = GramSet(*grams.value)
+        own = GramSet.from_parts(grams.value)
         for batch in text_chunks(batches, text, SLICE):
             values = batch.column(text).fill_null("").cast(pa.large_binary())
             offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset:values.offset + len(values) + 1]
@@ -217,7 +249,7 @@ def _united(spans) -> list[tuple[int, int]]:
 
 
 def benchmark_windows(benchmark: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """Distinct windows of the test items: length, hash (signed), words, and the ids of items that have them."""
+    """Distinct windows of the test items, a row per window and item: long, hash (signed), words, item."""
     def run(batches):
         for b in batches:
             ids = b.column(0).to_pylist()
@@ -229,48 +261,66 @@ def benchmark_windows(benchmark: DataFrame, n: int, id_col: str, text_col: str)
                                              names=["long", "hash", "words", "item"])
     items = benchmark.select(F.coalesce(col(id_col).cast("string"), F.lit("null")).alias("item"),
                              col(text_col).cast("string").alias("text"))
-    rows = items.mapInArrow(run, "long int, hash bigint, words binary, item string")
-    return rows.groupBy("long", "hash", "words").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return items.mapInArrow(run, "long int, hash bigint, words binary, item string").distinct()
+
+
+def _blocks(windows: DataFrame, max_bytes: int) -> tuple[int, Column]:
+    """How many blocks keep each within ``max_bytes`` (or at one pair), and the number of a pair's block."""
+    weight = F.octet_length("words") + F.octet_length("item") + F.lit(PAIR_BYTES)
+    rows, size = windows.agg(F.count(F.lit(1)), F.coalesce(F.sum(weight), F.lit(0))).collect()[0]
+    blocks = -(-size // max_bytes) or 1
+    while True:
+        mine = F.pmod(F.xxhash64("words", "item"), F.lit(blocks))
+        if blocks == 1:
+            return blocks, mine
+        most = windows.groupBy(mine.alias("k")).agg(F.sum(weight).alias("size")).agg(F.max("size")).collect()[0][0]
+        if most <= max_bytes * 1.25 or blocks >= 4 * rows:    # pairs are dealt by hash: a quarter over the mean is even
+            return blocks, mine
+        blocks *= 2
 
 
 def scan_benchmark(docs: DataFrame, benchmark: DataFrame, n: int = 10, keep: list[str] | None = None,
                    text_col: str = "text", item_id: str = "item_id", item_text: str = "text",
-                   max_windows: int = 2_000_000) -> DataFrame:
+                   max_bytes: int = 48 << 20) -> DataFrame:
     """Each row's hits: the columns ``keep`` (default: all), then
     n_words, n_hit (words inside a window), items (ids of items with an
     occurring window, sorted as strings) and spans (covered runs: first and
     last word, exclusive, and byte offsets in the UTF-8 text, end exclusive).
 
-    ``max_windows`` bounds the (window, item) pairs of one broadcast block.
+    ``max_bytes`` bounds the (window, item) pairs of one broadcast block.
     """
     spark = docs.sparkSession
     keep = docs.columns if keep is None else keep
     windows = materialize(benchmark_windows(benchmark, n, item_id, item_text), "test_windows")
-    size = windows.agg(F.sum(F.size("items"))).collect()[0][0] or 0
-    blocks = -(-size // max_windows) or 1
+    blocks, mine = _blocks(windows, max_bytes)
     names = [f"__c{i}" for i in range(len(keep))]      # free of clashes with the new columns
     typed = docs.select(*[col(c).alias(k) for c, k in zip(keep, names)], col(text_col).cast("string").alias("__text"))
     if blocks > 1:   # each block's scan must know a row by the same number
         typed = materialize(typed.withColumn("__row", F.monotonically_increasing_id()), "decontaminate_input")
         names = [*names, "__row"]
-    schema = T.StructType([f for f in typed.schema if f.name in names] + FOUND)
-    parts = []
-    for k in range(blocks):
-        block = windows if blocks == 1 else windows.where(F.pmod("hash", F.lit(blocks)) == k)
-        rows = [(r["long"], r["hash"] % (1 << 64), r["words"], r["items"]) for r in block.collect()]
-        grams = spark.sparkContext.broadcast(GramSet.of(rows).parts())
-        carry = [f.name for f in schema if f.name in names]
-        parts.append(typed.mapInArrow(_scan(grams, carry, "__text"), schema))
-    out = parts[0] if blocks == 1 else _join_blocks(parts)
+    fields = [f for f in typed.schema if f.name in names]
+
+    def scan(pairs: pa.Table, carry: list):
+        grams = spark.sparkContext.broadcast(GramSet.of(pairs).parts())
+        run = _scan(grams, [f.name for f in carry], "__text")
+        return typed.mapInArrow(run, T.StructType(carry + FOUND)), grams
+
+    if blocks == 1:
+        out, _ = scan(windows.toArrow(), fields)
+    else:
+        parts = []
+        for k in range(blocks):                        # one block at a time is on the driver and the workers
+            hits, grams = scan(windows.where(mine == k).toArrow(), [f for f in fields if f.name == "__row"])
+            parts.append(materialize(hits.where("n_hit > 0"), "decontaminate_hits"))
+            grams.unpersist()
+        counted, _ = scan(windows.limit(0).toArrow(), fields)
+        out = _join_blocks(counted, parts)
     return out.select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(keep)], "n_words", "n_hit", "items", "spans")
 
 
-def _join_blocks(parts: list[DataFrame]) -> DataFrame:
-    """Unites the blocks' hits of each row; a word covered in two blocks counts once."""
-    found = None
-    for p in parts:
-        p = p.select("__row", "n_hit", "items", "spans").where("n_hit > 0")
-        found = p if found is None else found.unionByName(p)
+def _join_blocks(counted: DataFrame, parts: list[DataFrame]) -> DataFrame:
+    """``counted`` with the blocks' hits of each row united; a word covered in two blocks counts once."""
+    found = reduce(DataFrame.unionByName, [p.select("__row", "items", "spans") for p in parts])
     many = found.groupBy("__row").agg(          # as many rows of a document as blocks
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         F.array_sort(F.flatten(F.collect_list("spans"))).alias("all"))
@@ -286,7 +336,7 @@ def _join_blocks(parts: list[DataFrame]) -> DataFrame:
     none = F.array().cast(T.ArrayType(SPAN))
     many = many.withColumn("spans", F.aggregate("all", none, unite)).drop("all")
     count = F.aggregate("spans", F.lit(0).cast("bigint"), lambda a, s: a + s["last"] - s["first"])
-    base = parts[0].drop("n_hit", "items", "spans")
+    base = counted.drop("n_hit", "items", "spans")
     out = base.join(many, "__row", "left").withColumns({
         "items": F.coalesce("items", F.array().cast("array<string>")), "spans": F.coalesce("spans", none)})
     return out.withColumn("n_hit", count)

@@ -1,5 +1,6 @@
 """Decontamination, SimHash, token files and token counts against brute force and the libraries themselves."""
 
+import pickle
 import random
 import re
 import struct
@@ -7,10 +8,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import zstandard
 from tokenizers import Tokenizer, models, pre_tokenizers
 
+from medallion_ops.llm import decontaminate as decontaminate_module
 from medallion_ops.llm import simhash
 from medallion_ops.llm.decontaminate import decontaminate, scan_benchmark
 from medallion_ops.llm.simhash import deduplicate, fingerprint, near_duplicates
@@ -46,12 +49,12 @@ CASES = [(20, f"before {PASSAGE} after"), (21, "one two three four five six seve
          (25, "shortitem"), (26, PASSAGE[:-6])]
 
 
-@pytest.mark.parametrize("max_windows", [2_000_000, 2])
-def test_decontamination_matches_brute_force(spark, max_windows):
+@pytest.mark.parametrize("max_bytes", [48 << 20, 600])
+def test_decontamination_matches_brute_force(spark, max_bytes):
     """Also with the windows split into blocks that are scanned one after the other."""
     docs = documents(spark, TEXTS + CASES)
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
-    got = scan_benchmark(docs, bench, keep=["doc_id", "size"], max_windows=max_windows).collect()
+    got = scan_benchmark(docs, bench, keep=["doc_id", "size"], max_bytes=max_bytes).collect()
     assert len(got) == len(TEXTS) + len(CASES)
     texts = dict(TEXTS + CASES)
     for r in got:
@@ -114,6 +117,23 @@ def _components(prints, distance=3):
     return {p: find(p) for p in prints}
 
 
+def test_broadcast_set_stays_within_its_bytes():
+    """A window that a third of the pairs share, hashes that meet by chance, and a set as large as counted."""
+    pairs = [(10, i - 5000, f"w{i} b c d e f g h i j".encode(), f"item{i % 700}") for i in range(10000)]
+    pairs += [(10, 7, b"one for all", f"item{i}") for i in range(5000)] + [(10, 7, b"same hash", "other")]
+    columns = list(zip(*pairs))
+    types = [pa.int32(), pa.int64(), pa.binary(), pa.string()]
+    table = pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["long", "hash", "words", "item"])
+    grams = decontaminate_module.GramSet.of(table)
+    counted = sum(len(w) + len(i) + decontaminate_module.PAIR_BYTES for _, _, w, i in pairs)
+    assert len(pickle.dumps(grams.parts())) <= counted
+    own = grams.lengths[10]
+    found = {own.texts[own.ends[k]:own.ends[k + 1]]: [grams.names[x] for x in own.items[own.lists[k]:own.lists[k + 1]]]
+             for k in np.flatnonzero(own.known == 7)}
+    assert set(found) == {b"one for all", b"same hash", b"w5007 b c d e f g h i j"}
+    assert len(found[b"one for all"]) == 5000 and found[b"same hash"] == ["other"]
+
+
 @pytest.mark.parametrize("parts", [1, 2, 3, 4, None])
 def test_links_and_components_match_brute_force(spark, parts):
     rnd = random.Random(parts or 0)
