@@ -66,9 +66,9 @@ LINK_VALUE = re.compile(r"""\b(?:href|src)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'
 BLOCK = re.compile(r"</?(?:address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figure|footer|form|h[1-6]|header|hr"
                    r"|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul)\b[^>]*>", re.I)
 TAG = re.compile(r"<[a-zA-Z/!?][^>]*>")
-SPACES = re.compile(r"[^\S\n]+")
-BREAKS = re.compile(r" ?\n[ \n]*")
 CONTROL = re.compile(r"[\x00-\x20\x7f]")
+LINE_END = re.compile(r"[\r\n]+")
+CHARSET = re.compile(r"charset=([\w.-]+)", re.I)
 
 
 def responses_of_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -173,8 +173,8 @@ def _without(tags: re.Pattern, page: str, instead: str) -> str:
 def page_text(page: str) -> str:
     """Visible text: hidden elements and tags out, block elements as line breaks, entities resolved."""
     shown = _without(TAG, _without(BLOCK, without_hidden(page), "\n"), "")
-    shown = SPACES.sub(" ", html.unescape(shown).replace("\r", "\n"))
-    return BREAKS.sub("\n", shown).strip()
+    lines = html.unescape(shown).replace("\r", "\n").split("\n")
+    return "\n".join(filter(None, [" ".join(x.split()) for x in lines]))
 
 
 def page_title(page: str) -> str | None:
@@ -211,7 +211,11 @@ def _clean(value: str) -> str:
 
 
 def _field(name: str, value: str) -> str:
-    return f"{name}: {_clean(value) if name.endswith('URI') else re.sub(r'[\r\n]+', ' ', value)}\r\n"
+    if name.endswith("URI"):
+        value = _clean(value)
+    elif "\n" in value or "\r" in value:
+        value = LINE_END.sub(" ", value)
+    return f"{name}: {value}\r\n"
 
 
 def derived_records(headers: dict[str, str], block: bytes) -> list[tuple[dict[str, str], bytes]]:
@@ -219,7 +223,7 @@ def derived_records(headers: dict[str, str], block: bytes) -> list[tuple[dict[st
     source, uri = headers.get("WARC-Record-ID", ""), headers.get("WARC-Target-URI")
     status, http, body = split_http(block)
     payload = headers.get("WARC-Payload-Digest") or sha1_digest(body)
-    charset = re.search(r"charset=([\w.-]+)", http.get("Content-Type", ""), re.I)
+    charset = CHARSET.search(http.get("Content-Type", ""))
     try:
         page = body.decode(charset[1] if charset else "utf-8", "replace")
     except LookupError:
@@ -283,9 +287,9 @@ def _derive(folder: str, level: int, flush: int = 2048):
                  for n, c in zip(names, zip(*rows))], names=names)
 
         for batch in batches:
-            for i in range(batch.num_rows):
-                page, headers, block = (batch.column(k)[i].as_py() for k in range(3))
-                headers = json.loads(headers or "{}")
+            blocks = batch.column(2)
+            for i, (page, headers) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                block, headers = blocks[i].as_py(), json.loads(headers or "{}")
                 if out is None:
                     store.create_dir(base, recursive=True)
                     name = f"derived-{uuid.uuid4().hex}.warc.gz"

@@ -1,5 +1,6 @@
 """Page text, title and links: equal to the plain patterns, and linear on malformed pages."""
 
+import html
 import random
 import re
 import time
@@ -52,3 +53,25 @@ def test_a_megabyte_of_one_thing_takes_seconds(piece):
     page_title(page)
     sum(1 for _ in page_links(page))
     assert time.process_time() - t < 15
+
+
+def test_white_space_is_evened_out():
+    """Runs of white space within a line become a space, empty lines go, lines are trimmed; any kind of white space."""
+    rnd = random.Random(3)
+    for _ in range(500):
+        page = "".join(rnd.choice(["a", "b\u00e9", " ", "  ", "\t", "\n", "\r", "\r\n", "\u00a0", "\u2028", "\x1c", "\x85", "\u3000", "&nbsp;", "<br>"])
+                       for _ in range(rnd.randrange(30)))
+        plain = html.unescape(page.replace("<br>", "\n")).replace("\r", "\n")
+        assert page_text(page) == re.sub(r" ?\n[ \n]*", "\n", re.sub(r"[^\S\n]+", " ", plain)).strip()
+
+
+def test_plain_words_cost_little_more_than_splitting_them():
+    page = "words in a row " * 200_000
+    def least(f):
+        took = []
+        for _ in range(5):
+            t = time.process_time()
+            f(page)
+            took.append(time.process_time() - t)
+        return min(took)
+    assert least(page_text) < 4 * least(lambda x: " ".join(x.split()))
