@@ -31,8 +31,8 @@ landmarks, and the landmarks' subsequence weights add up to one table of
 42^3 entries (the same number, rearranged), looked up for the subsequences
 of each distinct mention of a task, with its exact norm. Phrases are mostly
 distinct: running totals over the text give each one's value but for equal
-subsequences in its norm, an upper bound, and only phrases that could count
-by that bound are worked out.
+subsequences in its norm, an upper bound, and only phrases that could be
+among a document's two worst by that bound are worked out.
 
 The model is fitted on a bounded sample of labelled documents
 (``max_toxic``, ``max_clean``; chosen by a hash of the id) and every text is
@@ -49,9 +49,10 @@ from __future__ import annotations
 import re
 import string
 import sys
-from collections import Counter
+from array import array
+from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import count, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -76,7 +77,9 @@ CACHE = 200_000                  # distinct mentions a task remembers
 SLICE = 1 << 20
 PHRASE = (2, 3)                  # tokens of a phrase
 BLOCK = 1 << 14                  # tokens whose phrases are bounded at once
+STEPS = (8, 64, np.inf)          # how many of a document's phrases are worked out, by bound, until its score is settled
 COMBOS = [(a, b, DECAY ** (a + b - 2)) for a in range(1, GAP + 1) for b in range(1, GAP + 1)]
+ONES = array("I", [1, 1, 1]).tobytes()
 SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
 SENTENCE = re.compile(r"[.!?\n]+(?:\s|$)")
 BREAK = re.compile(r"(?<=[.!?])\s+|\n\s+")        # the same, but the marks stay with their token
@@ -95,9 +98,14 @@ def mentions(text: str | None) -> list[str]:
     """The tokens of a text in lower case, spelled-out runs also as one token."""
     low = (text or "").lower()
     out = low.split()
-    for run in SPACED.findall(low):
-        out.append("".join(run.split()))
-    return out
+    return out + spelled_out(low, out)
+
+
+def spelled_out(low: str, tokens: list[str]) -> list[str]:
+    """The runs of single characters in a lower-case text with these tokens; without three such in a row nothing is looked for."""
+    if ONES not in array("I", map(len, tokens)).tobytes():
+        return []
+    return ["".join(run.split()) for run in SPACED.findall(low)]
 
 
 def sentence_tokens(text: str | None) -> tuple[list[str], list[int]]:
@@ -106,6 +114,14 @@ def sentence_tokens(text: str | None) -> tuple[list[str], list[int]]:
     return [w for p in parts for w in p], list(map(len, parts))
 
 
+def distinct(tokens: list[str]) -> tuple[list[str], np.ndarray]:
+    """The distinct tokens, and which of them each token is."""
+    index: defaultdict[str, int] = defaultdict()
+    index.default_factory = index.__len__
+    which = np.fromiter(map(index.__getitem__, tokens), np.int64, len(tokens))
+    return list(index), which
+
+
 def windows(length: int) -> range:
     """Where the windows of a mention begin."""
     return range(0, max(1, length - 2) if length > WIDTH else 1, WIDTH // 2)
@@ -329,51 +345,69 @@ class Phrases:
         of every token as a mention; ``raw`` that of the ordinary ones by
         their likeness alone, which is all that a phrase is held against.
         """
-        out: list[tuple[int, str, float]] = []
-        at, sentence = 0, np.repeat(np.arange(len(sizes)), sizes)
-        while at < len(tokens):
-            out += self._block(tokens[at:at + BLOCK + max(PHRASE) - 1], sentence[at:at + BLOCK + max(PHRASE) - 1],
-                               at, own, raw, least)
-            at += BLOCK
-        taken: set[int] = set()
-        kept = []
-        for i, text, f in sorted(set(out), key=lambda x: (-x[2], x[0])):
-            places = range(i, i + len(text.split(" ")))
-            if taken.isdisjoint(places):
-                taken.update(places)
-                kept.append((i, text, f))
-        return kept
-
-    def _block(self, tokens, sentence, offset, own, raw, least):
-        index = dict(zip(dict.fromkeys(tokens), count()))
-        which = np.fromiter(map(index.__getitem__, tokens), np.int64, len(tokens))
+        first, size, floor, _ = self.candidates(tokens, sizes, own, raw, np.full(len(tokens), least))
+        return apart(self.counting(tokens, first, size, floor))
+
+    def candidates(self, tokens: list[str], sizes: list[int], own: dict[str, float], raw: dict[str, float],
+                   least: np.ndarray, words: tuple[list[str], np.ndarray] | None = None
+                   ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """First token, number of tokens, what it must exceed and upper bound of each phrase that could count.
+
+        ``least`` is by first token, ``words`` what ``distinct`` gives; the rest is as in ``find``.
+        """
+        index, which = words or distinct(tokens)
         size = np.fromiter(map(len, index), np.int64, len(index))[which]
-        alone = np.array(list(map(own.__getitem__, index)))
-        like = np.maximum(alone, np.array(list(map(raw.get, index, repeat(-np.inf)))))[which]
+        alone = np.fromiter(map(own.__getitem__, index), np.float64, len(index))
+        like = np.maximum(alone, np.fromiter(map(raw.get, index, repeat(-np.inf)), np.float64, len(index)))[which]
         quiet, long = (alone <= 0)[which], size > 1
-        spans, floors = [], []
-        for k in PHRASE:
-            n = max(0, len(tokens) - k + 1)
-            # a run of single characters is a mention already
-            fit, some, floor = sentence[:n] == sentence[k - 1:k - 1 + n], np.zeros(n, bool), np.full(n, least)
-            for j in range(k):
-                fit &= quiet[j:j + n]
-                some |= long[j:j + n]
-                floor = np.maximum(floor, like[j:j + n])
-            first = np.flatnonzero(fit & some)
-            spans.append((first, k))
-            floors.append(floor[first])
-        if not any(len(first) for first, _ in spans):
-            return []
-        found = [(int(i), k, x) for (first, k), bound, floor in zip(spans, self.bounds(tokens, spans, size), floors)
-                 for keep in [np.flatnonzero(bound > floor)] for i, x in zip(first[keep], floor[keep].tolist())]
+        sentence = np.repeat(np.arange(len(sizes)), sizes)
+        out = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0), np.empty(0))]
+        for at in range(0, len(tokens), BLOCK):
+            to = min(len(tokens), at + BLOCK + max(PHRASE) - 1)
+            spans, floors = [], []
+            for k in PHRASE:
+                n = max(0, min(BLOCK, to - at - k + 1))          # those that begin in the block
+                fit, some, floor = sentence[at:at + n] == sentence[at + k - 1:at + k - 1 + n], np.zeros(n, bool), least[at:at + n]
+                for j in range(at, at + k):
+                    # a run of single characters is a mention already
+                    fit &= quiet[j:j + n]
+                    some |= long[j:j + n]
+                    floor = np.maximum(floor, like[j:j + n])
+                first = np.flatnonzero(fit & some)
+                spans.append((first, k))
+                floors.append(floor[first])
+            if any(len(first) for first, _ in spans):
+                for (first, k), floor, bound in zip(spans, floors, self.bounds(tokens[at:to], spans, size[at:to])):
+                    keep = np.flatnonzero(bound > floor)
+                    out.append((at + first[keep], np.full(len(keep), k), floor[keep], bound[keep]))
+        return tuple(map(np.concatenate, zip(*out)))
+
+    def counting(self, tokens: list[str], first: np.ndarray, size: np.ndarray, floor: np.ndarray) -> list[tuple[int, str, float]]:
+        """(first token, phrase, decision value) of the candidates that count."""
+        found, parts = [], {}
+        for i, k, least in zip(first.tolist(), size.tolist(), floor.tolist()):
+            text = " ".join(tokens[i:i + k])
+            if text not in parts:
+                parts[text] = [" ".join(tokens[i + j:i + j + m]) for m in PHRASE if m < k for j in range(k - m + 1)]
+            found.append((i, text, least))
         if not found:
             return []
-        text = lambda i, k: " ".join(tokens[i:i + k])
-        batch = sorted({text(i + j, m) for i, k, _ in found for m in PHRASE if m <= k for j in range(k - m + 1)})
+        batch = sorted(set(parts).union(*parts.values()))
         value = dict(zip(batch, decisions(batch, self.table, self.weights, self.bias).tolist()))
-        return [(offset + i, text(i, k), value[text(i, k)]) for i, k, floor in found
-                if value[text(i, k)] > max([floor, *(value[text(i + j, m)] for m in PHRASE if m < k for j in range(k - m + 1))])]
+        own = {text: max([value[x] for x in inner], default=-np.inf) for text, inner in parts.items()}
+        return [(i, text, value[text]) for i, text, least in found if value[text] > least and value[text] > own[text]]
+
+
+def apart(phrases: list[tuple[int, str, float]]) -> list[tuple[int, str, float]]:
+    """The phrases that overlap no worse one, given and returned as (first token, phrase, decision value)."""
+    taken: set[int] = set()
+    kept = []
+    for i, text, f in sorted(phrases, key=lambda x: (-x[2], x[0])):
+        places = range(i, i + text.count(" ") + 1)
+        if taken.isdisjoint(places):
+            taken.update(places)
+            kept.append((i, text, f))
+    return kept
 
 
 def worst_windows(batch: list[str], table: np.ndarray, weights: np.ndarray, bias: float) -> list[tuple[str, int]]:
@@ -563,43 +597,96 @@ def train(documents: list[tuple[str, int]], landmarks: int = 400, rounds: int =
             negative = list(dict.fromkeys([*negative, *sorted(likely, key=lambda t: (-likely[t], t))[:500]]))
             hard = [pool[i] for i in np.argsort(-(np.maximum(g, -0.5) + 0.5) * often_clean)[:500]]
             negative = list(dict.fromkeys([*negative, *hard]))
-    found = phrases_of(finder, told[1] + told[0], value, raw)
-    top = np.array([worst_two(words + [t for t, _ in more], value, dict(more))
-                    for words, more in zip(said[1] + said[0], found)])
+    every = told[1] + told[0]
+    top = np.array([worst_two(words, value) for words in said[1] + said[0]])
+    top = np.concatenate([worst_of(finder, every[a:b], top[a:b], value, raw) for a, b in by_block(every, 8 * BLOCK)])
     w = logistic(top, np.array([1] * len(toxic) + [0] * len(clean)))
     return {"weights": weights.astype(np.float32), "bias": bias, "w": w, "table": table,
             "ordinary": ordinary}
 
 
+def by_block(documents: list[tuple[list[str], list[int]]], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of documents of at most ``most`` tokens together, but for one document of more."""
+    ends = np.cumsum([len(tokens) for tokens, _ in documents])
+    at = 0
+    while at < len(documents):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, side="right")))
+        yield at, to
+        at = to
+
+
 def phrases_of(finder: Phrases, documents: list[tuple[list[str], list[int]]], value: dict[str, float],
                raw: dict[str, float], least: float = 0.0) -> list[list[tuple[str, float]]]:
     """The phrases of each document that count, as often as they do, with their decision values; many documents at once."""
     out: list[list[tuple[str, float]]] = [[] for _ in documents]
-    ends = np.cumsum([len(tokens) for tokens, _ in documents])
-    at = 0
-    while at < len(documents):
-        done = int(ends[at - 1]) if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, done + BLOCK, side="right")))
+    for at, to in by_block(documents, BLOCK):
         tokens = [w for x, _ in documents[at:to] for w in x]
         sizes = [n for _, x in documents[at:to] for n in x]
+        ends = np.cumsum([len(x) for x, _ in documents[at:to]])
         for i, phrase, f in finder.find(tokens, sizes, value, raw, least):
-            out[int(np.searchsorted(ends, done + i, side="right"))].append((phrase, f))
-        at = to
+            out[at + int(np.searchsorted(ends, i, side="right"))].append((phrase, f))
+    return out
+
+
+def worst_of(finder: Phrases, told: list[tuple[list[str], list[int]]], top: np.ndarray, value: dict[str, float],
+             raw: dict[str, float], words: tuple[list[str], np.ndarray] | None = None) -> np.ndarray:
+    """Decision values of the two worst mentions or phrases of documents, of which ``top`` has those of their mentions.
+
+    A phrase that is no worse than the second of them changes neither, nor
+    does it keep a worse one out. So phrases are gone through by their upper
+    bounds, a document's highest ``STEPS`` first, until the second value is
+    above all bounds that are left; the values are those of all phrases.
+    """
+    out = top.copy()
+    tokens = [w for x, _ in told for w in x]
+    lengths = [len(x) for x, _ in told]
+    ends = np.cumsum(lengths)
+    first, size, floor, bound = finder.candidates(tokens, [n for _, x in told for n in x], value, raw,
+                                                  np.repeat(np.maximum(top[:, 1], 0.0), lengths), words)
+    owner = np.searchsorted(ends, first, side="right")
+    order = np.lexsort((-bound, owner))
+    first, size, floor, bound, owner = (x[order] for x in (first, size, floor, bound, owner))
+    place = np.arange(len(owner)) - np.searchsorted(owner, owner)    # among its document's, by bound
+    for step in STEPS:
+        now = place < step
+        more: dict[int, list[tuple[str, float]]] = {}
+        for i, phrase, f in apart(finder.counting(tokens, first[now], size[now], floor[now])):
+            more.setdefault(int(np.searchsorted(ends, i, side="right")), []).append((phrase, f))
+        for k, phrases in more.items():
+            out[k] = with_phrases(top[k].tolist(), phrases)
+        left = place == step                                         # of each document the highest bound that is left
+        again = np.isin(owner, owner[left][out[owner[left], 1] <= bound[left]])
+        if not again.any():
+            break
+        first, size, floor, bound, owner, place = (x[again] for x in (first, size, floor, bound, owner, place))
+    return out
+
+
+def worst_two(words: list[str], value: dict[str, float]) -> tuple[float, float]:
+    """Decision values of the two worst mentions; one that is said twice is both, and so is a single one."""
+    top = sorted(map(value.__getitem__, words))[-2:]
+    return top[-1], top[0]
+
+
+def worst_tokens(lengths: list[int], values: np.ndarray, bias: float) -> np.ndarray:
+    """``worst_two`` of the tokens of each document, given all their values; ``bias`` for a document without any."""
+    lengths = np.array(lengths)
+    out = np.full((len(lengths), 2), bias)
+    some = np.flatnonzero(lengths)
+    if len(some):
+        begin = (np.cumsum(lengths) - lengths)[some]
+        first = np.maximum.reduceat(values, begin)
+        at = np.flatnonzero(values == np.repeat(first, lengths[some]))
+        rest = values.copy()
+        rest[at[np.searchsorted(at, begin)]] = -np.inf               # one of them, so an equal one stays
+        second = np.maximum.reduceat(rest, begin)
+        out[some] = np.column_stack([first, np.where(lengths[some] > 1, second, first)])
     return out
 
 
-def worst_two(words: list[str], value: dict[str, float], more: dict[str, float] | None = None) -> tuple[float, float]:
-    """Decision values of the two worst mentions or phrases (values in ``more``); one that is said twice is both."""
-    first, second, worst = -np.inf, -np.inf, ""
-    for w in set(words):
-        f = more[w] if more and w in more else value[w]
-        if f > first:
-            first, second, worst = f, first, w
-        elif f > second:
-            second = f
-    if words.count(worst) > 1 or len(words) == 1:
-        second = first
-    return first, second
+def with_phrases(top: list[float], phrases: list[tuple[str, float]]) -> list[float]:
+    """The two worst values when phrases that count, as often as they do, are added to mentions."""
+    return sorted([*top, *(f for _, f in phrases)])[:-3:-1]
 
 
 def _score(model, keep: list[str], text: str):
@@ -609,21 +696,26 @@ def _score(model, keep: list[str], text: str):
         raw: dict[str, float] = {}                       # of ordinary mentions, by their likeness alone
         finder = Phrases(own["table"], own["weights"], own["bias"])
         for batch in text_chunks(batches, text, SLICE):
-            texts = batch.column(text).to_pylist()
-            words = [mentions(t) for t in texts]
-            every = set().union(*words)
+            low = [(t or "").lower() for t in batch.column(text).to_pylist()]
+            told = [sentence_tokens(t) for t in low]
+            runs = {k: r for k, (t, (x, _)) in enumerate(zip(low, told)) if (r := spelled_out(t, x))}
+            del low
+            words, which = distinct([w for x, _ in told for w in x])
+            every = [*words, *set().union(*runs.values()).difference(words)]
             new = [w for w in every if w not in known]
             if len(known) + len(new) > CACHE:
                 known.clear()
                 raw.clear()
-                new = list(every)
+                new = every
             if new:
                 known.update(zip(new, decisions(new, own["table"], own["weights"], own["bias"], own["ordinary"]).tolist()))
                 forced = [w for w in new if w.strip(MARKS) in own["ordinary"]]
                 raw.update(zip(forced, decisions(forced, own["table"], own["weights"], own["bias"]).tolist()))
-            phrases = phrases_of(finder, [sentence_tokens(t) for t in texts], known, raw)
-            f = np.array([worst_two(w + [t for t, _ in more], known, dict(more)) if w else (own["bias"],) * 2
-                          for w, more in zip(words, phrases)])
+            values = np.fromiter(map(known.__getitem__, words), np.float64, len(words))[which]
+            f = worst_tokens([len(x) for x, _ in told], values, own["bias"])
+            for k, r in runs.items():
+                f[k] = worst_two(told[k][0] + r, known)
+            f = worst_of(finder, told, f, known, raw, (words, which))
             score = 1 / (1 + np.exp(-np.clip(f @ own["w"][:2] + own["w"][2], -35, 35)))
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(score)],
                                              names=[*keep, "toxicity"])

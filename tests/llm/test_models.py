@@ -138,6 +138,43 @@ def test_long_mentions_are_learned_by_their_worst_window():
     assert sum(s >= 0.5 for s in _scores(model, [clean() for _ in range(50)])) <= 4
 
 
+def _random_model(seed):
+    rng = np.random.default_rng(seed)
+    weights = rng.normal(size=toxicity.SYMBOLS ** 3)
+    return {"weights": weights.astype(np.float32), "bias": -1.0, "w": np.array([1.0, 0.5, 0.0]), "table": toxicity.symbol_table(),
+            "ordinary": frozenset({"ab", "cab", "bad"})}
+
+
+def _random_texts(seed, n):
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choice("abcd.") for _ in range(rnd.choice((1, 1, 2, 3, 5, 9, 30))))
+    vocabulary = [word() for _ in range(150)]
+    return [" ".join(rnd.choices(vocabulary, k=rnd.choice((0, 1, 2, 5, 40, 300)))) for _ in range(n)] + ["", "x", "a b c d", "a b c", "ab. cd. ab."]
+
+
+def test_scores_are_those_of_all_phrases(monkeypatch):
+    """Phrases that cannot be among a document's two worst are left out; the scores are as if all were worked out."""
+    model, texts = _random_model(8), _random_texts(8, 120)
+    monkeypatch.setattr(toxicity, "BLOCK", 500)                   # phrases across blocks too
+    finder = toxicity.Phrases(model["table"], model["weights"], model["bias"])
+    phrases, plain = [], toxicity.decisions
+    monkeypatch.setattr(toxicity, "decisions", lambda batch, *a: phrases.extend(w for w in batch if " " in w) or plain(batch, *a))
+    got = _scores(model, texts)
+    few, expected = len(phrases), []
+    phrases.clear()
+    for t in texts:
+        words = toxicity.mentions(t)
+        own = dict(zip(words, plain(words, model["table"], model["weights"], model["bias"], model["ordinary"]).tolist())) if words else {}
+        forced = [w for w in own if w.strip(toxicity.MARKS) in model["ordinary"]]
+        raw = dict(zip(forced, plain(forced, model["table"], model["weights"], model["bias"]).tolist())) if forced else {}
+        found = toxicity.phrases_of(finder, [toxicity.sentence_tokens(t)], own, raw)[0]
+        values = sorted([own[w] for w in words] + [f for _, f in found])[::-1] or [model["bias"]] * 2
+        x = values[0] * 1.0 + values[min(1, len(values) - 1)] * 0.5
+        expected.append(1 / (1 + np.exp(-np.clip(x, -35, 35))))
+    assert np.allclose(got, expected, atol=1e-6)
+    assert any(len(t) > 500 for t in texts) and few < 0.5 * len(phrases)
+
+
 def test_phrase_bounds_hold_and_nothing_that_counts_is_left_out():
     rng, rnd = np.random.default_rng(3), random.Random(3)
     table = toxicity.symbol_table()
