@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medallion_ops.llm.common import col
+from medallion_ops.llm.common import col, give_back_memory
 
 
 def worker_state(name: str) -> types.ModuleType:
@@ -17,6 +17,15 @@ def worker_state(name: str) -> types.ModuleType:
     return sys.modules.setdefault(f"corpus_worker_{name}", types.ModuleType(f"corpus_worker_{name}"))
 
 
+def drop_worker_states() -> None:
+    """Frees what earlier tasks of other operators have left in this Python worker; they build it anew if they come back."""
+    held = [name for name in sys.modules if name.startswith("corpus_worker_")]
+    for name in held:
+        del sys.modules[name]
+    if held:
+        give_back_memory()
+
+
 def logistic(x: np.ndarray, y: np.ndarray, share: float = 0.5) -> np.ndarray:
     """w of P(1 | x) = 1 / (1 + exp(-(w[:-1] x + w[-1]))), with Platt's smoothed targets.
 

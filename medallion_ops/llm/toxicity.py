@@ -61,7 +61,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from medallion_ops.llm.common import col, give_back_memory, text_chunks
-from medallion_ops.llm.learning import labelled_sample, logistic
+from medallion_ops.llm.learning import drop_worker_states, labelled_sample, logistic
 
 SYMBOLS = 42                     # 0: no letter, 1-26: a-z, 27: start of a mention, 28-41: other letters
 START = 27
@@ -691,6 +691,7 @@ def with_phrases(top: list[float], phrases: list[tuple[str, float]]) -> list[flo
 
 def _score(model, keep: list[str], text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_worker_states()
         own = model.value
         known: dict[str, float] = {}
         raw: dict[str, float] = {}                       # of ordinary mentions, by their likeness alone

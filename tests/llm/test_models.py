@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from medallion_ops.llm import ann, quality_crf, toxicity
+from medallion_ops.llm import ann, learning, quality_crf, toxicity
 from medallion_ops.llm.quality_crf import fit_quality, score_quality
 from medallion_ops.llm.token_files import filesystem
 from medallion_ops.llm.toxicity import fit_toxicity, score_toxicity
@@ -175,6 +175,12 @@ def test_scores_are_those_of_all_phrases(monkeypatch):
     assert any(len(t) > 500 for t in texts) and few < 0.5 * len(phrases)
 
 
+def test_scoring_frees_what_other_operators_left_in_the_worker():
+    learning.worker_state("token_files").held = list(range(10))
+    assert len(_scores(_random_model(9), ["ab cd"])) == 1
+    assert not hasattr(learning.worker_state("token_files"), "held")
+
+
 def test_phrase_bounds_hold_and_nothing_that_counts_is_left_out():
     rng, rnd = np.random.default_rng(3), random.Random(3)
     table = toxicity.symbol_table()
